@@ -1,0 +1,11 @@
+"""Sparse vectors: maps from dimension to weight."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def sort_sparse(vector: Column) -> Column:
+    """The same map with its entries in key order."""
+    return F.map_from_entries(F.array_sort(F.map_entries(vector)))
