@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vectable.functions.half import encode_bf16, encode_fp16
 from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
-from vectable.sources.catalog import create_collection
+from vectable.sources.catalog import create_collection, has_collection
 from vectable.sources.collection import append_collection
 from vectable.workspace import fresh_folder
 
@@ -57,6 +57,11 @@ def _packed_byte(first: int) -> Column:
     return F.when(total > 127, total - 256).otherwise(total).cast("tinyint")
 
 
+def _wrapped_int(number: Column) -> Column:
+    """The number as Int32, wrapping round where a large table runs past its range."""
+    return (F.pmod(number + 2**31, F.lit(2**32)) - 2**31).cast("int")
+
+
 def hello_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of the HELLO definition per embedding."""
     rows = _table(spark, sf_dir, "embeddings").select(
@@ -78,13 +83,13 @@ def hello_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (v % 2 == 0).alias("f2"),
         (v % 256 - 128).cast("tinyint").alias("f3"),
         ((v * 131) % 65536 - 32768).cast("smallint").alias("f4"),
-        (v * 7919 - 1000000).cast("int").alias("f5"),
+        _wrapped_int(v * 7919 - 1000000).alias("f5"),
         (v * 1000003).alias("f6"),
         e[0].alias("f7"),
         e[1].cast("double").alias("f8"),
         F.concat(F.lit("vec-"), v).alias("f9"),
         F.transform(steps, lambda k: F.concat(F.lit("string-"), v, F.lit("-"), k)).alias("f10"),
-        F.transform(steps, lambda k: (v * k - 100).cast("int")).alias("f10_2"),
+        F.transform(steps, lambda k: _wrapped_int(v * k - 100)).alias("f10_2"),
         F.when(v % 11 != 0, attributes).alias("f11"),
         F.slice(e, 1, 8).alias("vec_dense"),
         F.array(_packed_byte(0), _packed_byte(8)).alias("vec_binary"),
@@ -226,7 +231,7 @@ _kept: dict[tuple[str, str, str], CollectionOptions] = {}
 def kept_collection(spark: SparkSession, sf_dir: str, name: str) -> CollectionOptions:
     """The named collection, written once per session and table folder; only read it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _kept:
+    if key not in _kept or not has_collection(spark, _kept[key]):
         _kept[key] = new_collection(spark, sf_dir, name)
     return _kept[key]
 
