@@ -3,31 +3,39 @@
 Type compatibility is decided while planning. Value checks (nulls, ranges,
 lengths, JSON validity) become plain column expressions evaluated in the same
 stage as the read, and only where the incoming type leaves room for a bad value.
+The expressions are SQL text: one call to the JVM per field keeps binding a wide
+collection quick on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from vectable.functions.sparse import sort_sparse
 from vectable.plans.errors import SchemaError, UnsupportedTypeError
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
+from vectable.plans.sqltext import quoted_name, text_literal
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATS = (T.FloatType, T.DoubleType)
+_BINDABLE = (T.NullType, T.BooleanType, T.StringType, T.ArrayType, T.MapType, *_INTEGERS, *_FLOATS)
 # Bounds of the bounded numeric types, and the noun used in range errors.
 _INT_BOUNDS = {
     T.ByteType: (-(2**7), 2**7 - 1, "Byte"),
     T.ShortType: (-(2**15), 2**15 - 1, "Short"),
     T.IntegerType: (-(2**31), 2**31 - 1, "Int"),
 }
-_FLOAT_MAX = (2 - 2**-23) * 2.0**127
+_FLOAT_MAX = "3.4028234663852886E38D"
+# Source types each floating type holds exactly.
+_EXACT = {
+    T.FloatType: (T.ByteType, T.ShortType),
+    T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType),
+}
 
-# A check is a condition that marks a bad value and the message it raises.
-Check = tuple[Column, Column]
+# The condition that marks a bad value, and an expression for the message it raises.
+Check = tuple[str, str]
 
 
 def bind(df: DataFrame, schema: CollectionSchema, fields: Iterable[Field] | None = None) -> DataFrame:
@@ -37,142 +45,131 @@ def bind(df: DataFrame, schema: CollectionSchema, fields: Iterable[Field] | None
     fails the job that evaluates the result.
     """
     fields = tuple(schema.insert_fields if fields is None else fields)
-    columns = {f.name: f.dataType for f in df.schema.fields}
-    missing = [n for n in [*(f.name for f in fields), PARTITION_COLUMN] if n not in columns]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    missing = [n for n in [*(f.name for f in fields), PARTITION_COLUMN] if n not in types]
     if missing:
-        raise SchemaError(f"the DataFrame lacks the columns {missing}; it has {df.columns}")
-    bound = [_bound_column(_col(f.name), columns[f.name], f) for f in fields]
-    return df.select(*bound, _partition_column(columns[PARTITION_COLUMN]))
-
+        raise SchemaError(f"the DataFrame lacks the columns {missing}; it has {list(types)}")
+    bound = [_bound_field(types[f.name], f) for f in fields]
+    return df.selectExpr(*bound, _bound_partition(types[PARTITION_COLUMN]))
 
-def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
 
-
-def _partition_column(source: T.DataType) -> Column:
+def _bound_partition(source: T.DataType) -> str:
     if not isinstance(source, T.StringType):
         raise SchemaError(f"{PARTITION_COLUMN} must be a string, not {source.simpleString()}")
-    tag = _col(PARTITION_COLUMN)
-    bad = tag.isNull() | (tag == "")
-    return _checked(tag, T.StringType(), [(bad, F.lit(f"{PARTITION_COLUMN} is null or empty"))]).alias(
-        PARTITION_COLUMN
-    )
+    tag = quoted_name(PARTITION_COLUMN)
+    message = text_literal(f"{PARTITION_COLUMN} is null or empty")
+    return f"{_checked(tag, [(f'{tag} IS NULL OR {tag} = {text_literal(str())}', message)])} AS {tag}"
 
 
-def _bound_column(value: Column, source: T.DataType, spec: Field) -> Column:
-    target = spec.spark_type
+def _bound_field(source: T.DataType, spec: Field) -> str:
+    value, target = quoted_name(spec.name), spec.spark_type
     checks: list[Check] = []
     if not spec.nullable:
-        checks.append((value.isNull(), F.lit(f"null in the non-nullable field {spec.name}")))
-    if isinstance(source, T.NullType):
-        return _checked(value, target, checks).alias(spec.name)
-    if isinstance(target, T.ArrayType):
-        checks += _array_checks(value, source, target, spec)
-    elif isinstance(target, T.MapType):
-        checks += _sparse_checks(value, source, target, spec)
-    else:
-        checks += _scalar_checks(value, source, target, spec)
-    bound = _checked(value, target, checks)
-    return (sort_sparse(bound) if isinstance(target, T.MapType) else bound).alias(spec.name)
-
-
-def _checked(value: Column, target: T.DataType, checks: list[Check]) -> Column:
-    """``value`` cast to ``target``, or the first failing check's error."""
-    result = value.cast(target)
-    for bad, message in reversed(checks):
-        result = F.when(bad, F.raise_error(message).cast(target)).otherwise(result)
-    return result
-
-
-def _require(source: T.DataType, target: T.DataType, spec: Field) -> None:
+        checks.append((f"{value} IS NULL", text_literal(f"null in the non-nullable field {spec.name}")))
+    if not isinstance(source, T.NullType):
+        _require_kind(source, target, spec)
+        if isinstance(target, T.ArrayType):
+            checks += _array_checks(value, source, target, spec)
+        elif isinstance(target, T.MapType):
+            checks += _sparse_checks(value, source, target, spec)
+        else:
+            checks += _scalar_checks(value, source, target, spec)
+    bound = _checked(f"CAST({value} AS {target.simpleString()})", checks)
+    if isinstance(target, T.MapType):
+        bound = f"map_from_entries(array_sort(map_entries({bound})))"
+    return f"{bound} AS {value}"
+
+
+def _checked(result: str, checks: list[Check]) -> str:
+    """``result``, or the error of the first check that finds the value bad."""
+    if not checks:
+        return result
+    branches = " ".join(f"WHEN {bad} THEN raise_error({message})" for bad, message in checks)
+    return f"CASE {branches} ELSE {result} END"
+
+
+def _require_kind(source: T.DataType, target: T.DataType, spec: Field) -> None:
     """Fail unless ``source`` widens to ``target`` or can be range-checked into it."""
-    same = type(source) is type(target)
-    integer = isinstance(target, _INTEGERS) and isinstance(source, _INTEGERS)
-    floating = isinstance(target, (T.FloatType, T.DoubleType)) and isinstance(source, (T.FloatType, T.DoubleType))
-    widened = (isinstance(target, T.FloatType) and isinstance(source, (T.ByteType, T.ShortType))) or (
-        isinstance(target, T.DoubleType) and isinstance(source, (T.ByteType, T.ShortType, T.IntegerType))
-    )
-    if same or integer or floating or widened:
-        return
-    known = (T.BooleanType, T.FloatType, T.DoubleType, T.StringType, T.ArrayType, T.MapType, *_INTEGERS)
-    if not isinstance(source, known):
+    if not isinstance(source, _BINDABLE):
         raise UnsupportedTypeError(f"Unsupported data type: {source.simpleString()} in field: {spec.name}")
-    raise SchemaError(
-        f"column {spec.name} of type {source.simpleString()} does not fit field type {spec.type}"
-        f" ({target.simpleString()})"
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return _require_kind(source.elementType, target.elementType, spec)
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        _require_kind(source.keyType, target.keyType, spec)
+        return _require_kind(source.valueType, target.valueType, spec)
+    fits = (
+        type(source) is type(target)
+        or (isinstance(source, _INTEGERS) and isinstance(target, _INTEGERS))
+        or (isinstance(source, _FLOATS) and isinstance(target, _FLOATS))
+        or isinstance(source, _EXACT.get(type(target), ()))
     )
+    if not fits:
+        raise SchemaError(
+            f"column {spec.name} of type {source.simpleString()} does not fit field type {spec.type}"
+            f" ({target.simpleString()})"
+        )
 
 
-def _out_of_range(value: Column, source: T.DataType, target: T.DataType) -> tuple[Column, str] | None:
+def _out_of_range(value: str, source: T.DataType, target: T.DataType) -> tuple[str, str] | None:
     """Condition and noun for values a narrowing cast would change, if there can be any."""
-    if isinstance(target, _INTEGERS) and _INTEGERS.index(type(source)) > _INTEGERS.index(type(target)):
-        low, high, noun = _INT_BOUNDS[type(target)]
-        return (value < low) | (value > high), noun
+    if isinstance(target, _INTEGERS) and isinstance(source, _INTEGERS):
+        if _INTEGERS.index(type(source)) > _INTEGERS.index(type(target)):
+            low, high, noun = _INT_BOUNDS[type(target)]
+            return f"({value} < {low} OR {value} > {high})", noun
     if isinstance(target, T.FloatType) and isinstance(source, T.DoubleType):
         # Infinity and NaN pass: only finite doubles that would turn infinite are bad.
-        size = F.abs(value)
-        return (size > _FLOAT_MAX) & (size < float("inf")), "Float"
+        return f"(abs({value}) > {_FLOAT_MAX} AND abs({value}) < double('Infinity'))", "Float"
     return None
 
 
-def _scalar_checks(value: Column, source: T.DataType, target: T.DataType, spec: Field) -> list[Check]:
-    _require(source, target, spec)
+def _scalar_checks(value: str, source: T.DataType, target: T.DataType, spec: Field) -> list[Check]:
     checks: list[Check] = []
     ranged = _out_of_range(value, source, target)
     if ranged:
         bad, noun = ranged
-        message = F.concat(F.lit("Value "), value.cast("string"), F.lit(f" out of {noun} range in field {spec.name}"))
-        checks.append((bad, message))
+        tail = text_literal(f" out of {noun} range in field {spec.name}")
+        checks.append((bad, f"concat('Value ', CAST({value} AS STRING), {tail})"))
     if spec.max_length is not None and isinstance(target, T.StringType):
-        checks.append(
-            (F.length(value) > spec.max_length, F.lit(f"text longer than {spec.max_length} in field {spec.name}"))
-        )
+        message = text_literal(f"text longer than {spec.max_length} in field {spec.name}")
+        checks.append((f"char_length({value}) > {spec.max_length}", message))
     if spec.type == "JSON":
-        bad_json = value.isNotNull() & F.try_parse_json(value).isNull()
-        checks.append((bad_json, F.lit(f"invalid JSON in field {spec.name}")))
+        message = text_literal(f"invalid JSON in field {spec.name}")
+        checks.append((f"{value} IS NOT NULL AND try_parse_json({value}) IS NULL", message))
     return checks
 
 
-def _array_checks(value: Column, source: T.DataType, target: T.ArrayType, spec: Field) -> list[Check]:
-    if not isinstance(source, T.ArrayType):
-        _require(source, target, spec)
-    _require(source.elementType, target.elementType, spec)
+def _array_checks(value: str, source: T.ArrayType, target: T.ArrayType, spec: Field) -> list[Check]:
     checks: list[Check] = []
     length = spec.vector_length
     if length is not None:
-        message = F.concat(
-            F.lit(f"vector field {spec.name} needs {length} stored elements, not "), F.array_size(value).cast("string")
-        )
-        checks.append((F.array_size(value) != length, message))
+        head = text_literal(f"vector field {spec.name} needs {length} stored elements, not ")
+        checks.append((f"array_size({value}) <> {length}", f"concat({head}, CAST(array_size({value}) AS STRING))"))
         if source.containsNull:
             checks.append(
-                (F.exists(value, lambda x: x.isNull()), F.lit(f"null element in vector field {spec.name}"))
+                (f"exists({value}, x -> x IS NULL)", text_literal(f"null element in vector field {spec.name}"))
             )
     if spec.max_capacity is not None:
-        checks.append(
-            (F.array_size(value) > spec.max_capacity, F.lit(f"more than {spec.max_capacity} elements in field {spec.name}"))
-        )
-    probe = _out_of_range(F.lit(0), source.elementType, target.elementType)
-    if probe:
-        bad = F.exists(value, lambda x: _out_of_range(x, source.elementType, target.elementType)[0])
-        checks.append((bad, F.lit(f"element out of {probe[1]} range in field {spec.name}")))
+        message = text_literal(f"more than {spec.max_capacity} elements in field {spec.name}")
+        checks.append((f"array_size({value}) > {spec.max_capacity}", message))
+    ranged = _out_of_range("x", source.elementType, target.elementType)
+    if ranged:
+        bad, noun = ranged
+        message = text_literal(f"element out of {noun} range in field {spec.name}")
+        checks.append((f"exists({value}, x -> {bad})", message))
     if spec.max_length is not None and isinstance(target.elementType, T.StringType):
-        bad = F.exists(value, lambda x: F.length(x) > spec.max_length)
-        checks.append((bad, F.lit(f"element longer than {spec.max_length} in field {spec.name}")))
+        message = text_literal(f"element longer than {spec.max_length} in field {spec.name}")
+        checks.append((f"exists({value}, x -> char_length(x) > {spec.max_length})", message))
     return checks
 
 
-def _sparse_checks(value: Column, source: T.DataType, target: T.MapType, spec: Field) -> list[Check]:
-    if not isinstance(source, T.MapType):
-        _require(source, target, spec)
-    _require(source.keyType, target.keyType, spec)
-    _require(source.valueType, target.valueType, spec)
+def _sparse_checks(value: str, source: T.MapType, target: T.MapType, spec: Field) -> list[Check]:
+    weights = f"map_values({value})"
     checks: list[Check] = []
     if source.valueContainsNull:
-        checks.append(
-            (F.exists(F.map_values(value), lambda x: x.isNull()), F.lit(f"null value in sparse vector field {spec.name}"))
-        )
-    if _out_of_range(F.lit(0), source.valueType, target.valueType):
-        bad = F.exists(F.map_values(value), lambda x: _out_of_range(x, source.valueType, target.valueType)[0])
-        checks.append((bad, F.lit(f"value out of Float range in field {spec.name}")))
+        message = text_literal(f"null value in sparse vector field {spec.name}")
+        checks.append((f"exists({weights}, x -> x IS NULL)", message))
+    ranged = _out_of_range("x", source.valueType, target.valueType)
+    if ranged:
+        message = text_literal(f"value out of {ranged[1]} range in field {spec.name}")
+        checks.append((f"exists({weights}, x -> {ranged[0]})", message))
     return checks

@@ -10,26 +10,19 @@ from pyspark.sql import SparkSession
 
 from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN
+from vectable.plans.sqltext import quoted_name, text_literal
 from vectable.sources import paths
 from vectable.sources.catalog import Options, load_schema
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def create_table(spark: SparkSession, options: Options, table: str) -> None:
     """Create the external table ``table`` over an existing collection."""
     opts = CollectionOptions.of(options)
     columns = ", ".join(
-        f"{_quoted(f.name)} {f.dataType.simpleString()} COMMENT {_literal(f.metadata.get('comment', ''))}"
+        f"{quoted_name(f.name)} {f.dataType.simpleString()} COMMENT {text_literal(f.metadata.get('comment', ''))}"
         for f in load_schema(spark, opts).struct.fields
     )
-    location = _literal(paths.qualified(spark, opts.data_path))
+    location = text_literal(paths.qualified(spark, opts.data_path))
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COLUMN}) LOCATION {location}"
     )

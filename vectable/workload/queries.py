@@ -466,7 +466,7 @@ def _drawn(df: DataFrame, vector: Column, size: Column, fits: Column, *more: Col
 
 
 def _unit(values: Column) -> Column:
-    return F.forall(values, lambda x: (x >= 0) & (x < 1))
+    return (F.array_min(values) >= 0) & (F.array_max(values) < 1)
 
 
 @registered
@@ -480,24 +480,25 @@ def gen_float_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def gen_constant_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = F.forall("vector", lambda x: x == 0.5)
+    fits = (F.array_min("vector") == 0.5) & (F.array_max("vector") == 0.5)
     return _drawn(_keys(spark, sf_dir), generators.constant_float_vector(0.5, 8), F.size("vector"), fits)
 
 
 @registered
 def gen_binary_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of both signs occur."""
-    signs = (F.min(F.array_min("vector")) < -120) & (F.max(F.array_max("vector")) > 120)
-    fits = F.forall("vector", lambda b: b.isNotNull())
+    low, high = F.array_min("vector"), F.array_max("vector")
+    signs = (F.min(low) < -120) & (F.max(high) > 120)
     return _drawn(
-        _keys(spark, sf_dir), generators.random_binary_vector(F.col("key"), 16), F.size("vector"), fits, signs.alias("both_signs")
+        _keys(spark, sf_dir), generators.random_binary_vector(F.col("key"), 16), F.size("vector"), low <= high, signs.alias("both_signs")
     )
 
 
 @registered
 def gen_sparse_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes vary with colliding keys, so they are reported as lying within bounds."""
-    key_fits = F.forall(F.map_keys("vector"), lambda k: (k >= 0) & (k < 1_000_000))
+    keys = F.map_keys("vector")
+    key_fits = (F.array_min(keys) >= 0) & (F.array_max(keys) < 1_000_000)
     drawn = _drawn(
         _keys(spark, sf_dir), generators.random_sparse_vector(F.col("key")), F.size("vector"),
         key_fits & _unit(F.map_values("vector")),
@@ -517,7 +518,7 @@ def gen_half_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def unit(values: Column) -> Column:
-        return F.forall(values, lambda x: (x >= 0) & (x <= 1))
+        return (F.array_min(values) >= 0) & (F.array_max(values) <= 1)
 
     return halves.agg(
         F.count("*").alias("vectors"),

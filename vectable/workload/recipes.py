@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions.half import encode_bf16, encode_fp16
@@ -48,55 +48,46 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _packed_byte(first: int) -> Column:
+def _packed_byte(first: int) -> str:
     """Eight signs of the embedding from position ``first`` on, high bit first, as a signed byte."""
-    bits = [F.when(F.col("e")[first + i] > 0, 1 << (7 - i)).otherwise(0) for i in range(8)]
-    total = bits[0]
-    for bit in bits[1:]:
-        total = total + bit
-    return F.when(total > 127, total - 256).otherwise(total).cast("tinyint")
+    top, *rest = (f"IF(e[{first + i}] > 0, {1 << (7 - i)}, 0)" for i in range(8))
+    return f"CAST({' + '.join(rest)} - {top} AS TINYINT)"
 
 
-def _wrapped_int(number: Column) -> Column:
+def _wrapped_int(number: str) -> str:
     """The number as Int32, wrapping round where a large table runs past its range."""
-    return (F.pmod(number + 2**31, F.lit(2**32)) - 2**31).cast("int")
+    return f"CAST(pmod({number} + 2147483648, 4294967296) - 2147483648 AS INT)"
 
 
 def hello_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of the HELLO definition per embedding."""
-    rows = _table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("v"), F.col("embedding").alias("e"), "label"
-    )
-    v, e = F.col("v"), F.col("e")
-    steps = F.sequence(F.lit(0), (v % 5 + 4).cast("int"))
-    attributes = F.concat(
-        F.lit('{"path":"root/abc/path'), v, F.lit('","size":'), v,
-        F.when(v % 7 == 0, ',"special":true').otherwise(""),
-        F.lit(',"flags":['), v, F.lit(","), v + 1, F.lit(","), v + 2, F.lit("]}"),
-    )
-    entries = F.transform(
-        F.sequence(F.lit(0), (v % 10 + 9).cast("int")),
-        lambda i: F.struct((i * 50021 + v % 7).alias("key"), F.get(e, i).alias("value")),
-    )
-    return rows.select(
-        v.alias("id"),
-        (v % 2 == 0).alias("f2"),
-        (v % 256 - 128).cast("tinyint").alias("f3"),
-        ((v * 131) % 65536 - 32768).cast("smallint").alias("f4"),
-        _wrapped_int(v * 7919 - 1000000).alias("f5"),
-        (v * 1000003).alias("f6"),
-        e[0].alias("f7"),
-        e[1].cast("double").alias("f8"),
-        F.concat(F.lit("vec-"), v).alias("f9"),
-        F.transform(steps, lambda k: F.concat(F.lit("string-"), v, F.lit("-"), k)).alias("f10"),
-        F.transform(steps, lambda k: _wrapped_int(v * k - 100)).alias("f10_2"),
-        F.when(v % 11 != 0, attributes).alias("f11"),
-        F.slice(e, 1, 8).alias("vec_dense"),
-        F.array(_packed_byte(0), _packed_byte(8)).alias("vec_binary"),
-        F.map_from_entries(entries).alias("vec_sparse"),
-        encode_fp16(F.slice(e, 1, 16)).alias("vec_fp16"),
-        encode_bf16(F.slice(e, 1, 16)).alias("vec_bf16"),
-        F.when(F.col("label") < 5, "_default").otherwise(F.concat(F.lit("p"), "label")).alias(PARTITION_COLUMN),
+    rows = _table(spark, sf_dir, "embeddings").selectExpr("vec_id AS v", "embedding AS e", "label")
+    steps = "sequence(0, CAST(v % 5 + 4 AS INT))"
+    return rows.selectExpr(
+        "v AS id",
+        "v % 2 = 0 AS f2",
+        "CAST(v % 256 - 128 AS TINYINT) AS f3",
+        "CAST((v * 131) % 65536 - 32768 AS SMALLINT) AS f4",
+        f"{_wrapped_int('v * 7919 - 1000000')} AS f5",
+        "v * 1000003 AS f6",
+        "e[0] AS f7",
+        "CAST(e[1] AS DOUBLE) AS f8",
+        "concat('vec-', v) AS f9",
+        f"transform({steps}, k -> concat('string-', v, '-', k)) AS f10",
+        f"transform({steps}, k -> {_wrapped_int('v * k - 100')}) AS f10_2",
+        """CASE WHEN v % 11 <> 0 THEN concat('{"path":"root/abc/path', v, '","size":', v,
+            IF(v % 7 = 0, ',"special":true', ''), ',"flags":[', v, ',', v + 1, ',', v + 2, ']}') END AS f11""",
+        "slice(e, 1, 8) AS vec_dense",
+        f"array({_packed_byte(0)}, {_packed_byte(8)}) AS vec_binary",
+        """map_from_entries(transform(sequence(0, CAST(v % 10 + 9 AS INT)),
+            i -> struct(i * 50021 + v % 7, get(e, i)))) AS vec_sparse""",
+        "slice(e, 1, 16) AS long_dense",
+        f"IF(label < 5, '_default', concat('p', label)) AS {PARTITION_COLUMN}",
+    ).select(
+        *[f.name for f in HELLO.fields[:-2]],
+        encode_fp16("long_dense").alias("vec_fp16"),
+        encode_bf16("long_dense").alias("vec_bf16"),
+        PARTITION_COLUMN,
     )
 
 
@@ -119,18 +110,17 @@ HELLO_ARRAYS = CollectionSchema(
 
 def hello_arrays_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-element arrays of the scalar fields; integers arrive wide and are narrowed by the binder."""
-    f = F.col
-    return hello_rows(spark, sf_dir).select(
+    return hello_rows(spark, sf_dir).selectExpr(
         "id",
-        F.array(f("f2"), ~f("f2")).alias("a_bool"),
-        F.array(f("f3").cast("int"), -f("f3").cast("int") - 1).alias("a_int8"),
-        F.array(f("f4").cast("bigint"), -f("f4").cast("bigint") - 1).alias("a_int16"),
-        F.array(f("f5").cast("bigint"), -f("f5").cast("bigint")).alias("a_int32"),
-        F.array(f("f6"), -f("f6")).alias("a_int64"),
-        F.array(f("f7").cast("double"), f("f8")).alias("a_float"),
-        F.array(f("f8"), -f("f8")).alias("a_double"),
-        F.array(f("f9"), F.upper("f9")).alias("a_string"),
-        F.array(f("f9"), F.concat(f("f9"), F.lit("!"))).alias("a_varchar"),
+        "array(f2, NOT f2) AS a_bool",
+        "array(INT(f3), -INT(f3) - 1) AS a_int8",
+        "array(BIGINT(f4), -BIGINT(f4) - 1) AS a_int16",
+        "array(BIGINT(f5), -BIGINT(f5)) AS a_int32",
+        "array(f6, -f6) AS a_int64",
+        "array(DOUBLE(f7), f8) AS a_float",
+        "array(f8, -f8) AS a_double",
+        "array(f9, upper(f9)) AS a_string",
+        "array(f9, concat(f9, '!')) AS a_varchar",
         PARTITION_COLUMN,
     )
 
@@ -156,15 +146,8 @@ def hello_nulls_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row ``v`` has a null in field number ``v`` modulo the field count, except for the key."""
     rows = hello_rows(spark, sf_dir)
     count = len(HELLO.fields)
-    return rows.select(
-        "id",
-        *[
-            F.when(F.col("id") % count != i, F.col(f.name)).alias(f.name)
-            for i, f in enumerate(HELLO.fields)
-            if i
-        ],
-        PARTITION_COLUMN,
-    )
+    blanked = [f"IF(id % {count} <> {i}, {f.name}, NULL) AS {f.name}" for i, f in enumerate(HELLO.fields) if i]
+    return rows.selectExpr("id", *blanked, PARTITION_COLUMN)
 
 
 def hello_shuffled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
