@@ -76,7 +76,7 @@ def _bound_field(source: T.DataType, spec: Field) -> str:
             checks += _scalar_checks(value, source, target, spec)
     bound = _checked(f"CAST({value} AS {target.simpleString()})", checks)
     if isinstance(target, T.MapType):
-        bound = f"map_from_entries(array_sort(map_entries({bound})))"
+        bound = f"map_from_entries(sort_array(map_entries({bound})))"
     return f"{bound} AS {value}"
 
 
@@ -122,6 +122,17 @@ def _out_of_range(value: str, source: T.DataType, target: T.DataType) -> tuple[s
     return None
 
 
+def _has_null(values: str, element: T.DataType) -> str:
+    """Whether an array holds a null, without a lambda, which would be interpreted.
+
+    ``array_contains`` of a value that is not there is null exactly if a null is. Only
+    where the value is there does the sorted array, nulls first, have to decide.
+    """
+    probe = "float('NaN')" if isinstance(element, T.FloatType) else "-128Y"
+    first_is_null = f"get(sort_array({values}), 0) IS NULL"
+    return f"coalesce(array_contains({values}, {probe}) AND {first_is_null}, {values} IS NOT NULL)"
+
+
 def _scalar_checks(value: str, source: T.DataType, target: T.DataType, spec: Field) -> list[Check]:
     checks: list[Check] = []
     ranged = _out_of_range(value, source, target)
@@ -146,7 +157,7 @@ def _array_checks(value: str, source: T.ArrayType, target: T.ArrayType, spec: Fi
         checks.append((f"array_size({value}) <> {length}", f"concat({head}, CAST(array_size({value}) AS STRING))"))
         if source.containsNull:
             checks.append(
-                (f"exists({value}, x -> x IS NULL)", text_literal(f"null element in vector field {spec.name}"))
+                (_has_null(value, target.elementType), text_literal(f"null element in vector field {spec.name}"))
             )
     if spec.max_capacity is not None:
         message = text_literal(f"more than {spec.max_capacity} elements in field {spec.name}")
@@ -167,7 +178,7 @@ def _sparse_checks(value: str, source: T.MapType, target: T.MapType, spec: Field
     checks: list[Check] = []
     if source.valueContainsNull:
         message = text_literal(f"null value in sparse vector field {spec.name}")
-        checks.append((f"exists({weights}, x -> x IS NULL)", message))
+        checks.append((_has_null(weights, target.valueType), message))
     ranged = _out_of_range("x", source.valueType, target.valueType)
     if ranged:
         message = text_literal(f"value out of {ranged[1]} range in field {spec.name}")
