@@ -5,6 +5,8 @@ from conftest import SF_DIR
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from vectable.operators.entities import from_entities, to_entities
+from vectable.operators.topk import top_k
 from vectable.plans.errors import CollectionExistsError, CollectionNotFoundError, SaveModeError
 from vectable.plans.schema import CollectionSchema, Field
 from vectable.sources.catalog import (
@@ -192,3 +194,37 @@ def test_columns_bind_by_name(spark, uri):
     append_collection(source.select(*reversed(source.columns)), target)
     columns = [c for c in HELLO.struct.names if c != "vec_sparse"]
     assert read_collection(spark, target).select(*columns).exceptAll(source.select(*columns)).count() == 0
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_odd_field_names(spark, uri, adaptive):
+    schema = CollectionSchema(
+        [
+            Field("the.id", "Int64", primary_key=True, auto_id=True),
+            Field("a b", "VarChar", max_length=9),
+            Field("it`s 'x'", "JSON", nullable=True),
+            Field("v.1", "FloatVector", dim=2, metric="COSINE"),
+        ]
+    )
+    options = {"uri": uri, "collection": "odd"}
+    create_collection(spark, options, schema)
+    offered = spark.createDataFrame(
+        [("x", '{"k": 1}', [1.0, 2.0], "p"), ("y", None, [2.0, 1.0], "p")],
+        "`a b` string, `it``s 'x'` string, `v.1` array<float>, __partition string",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        append_collection(offered, options)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    df = read_collection(spark, options)
+    assert df.columns == ["the.id", "a b", "it`s 'x'", "v.1", "__partition"]
+    back = from_entities(to_entities(df, schema), schema)
+    assert {tuple(r[:2]) for r in back.collect()} == {("x", '{"k":1}'), ("y", None)}
+    queries = spark.sql("SELECT 1 AS query_id, array(1F, 2F) AS query_vector")
+    assert round(top_k(df, schema, "v.1", queries, 1).first().score, 6) == 1.0
+    create_table(spark, options, "odd_table")
+    try:
+        assert spark.sql("SELECT `a b` FROM odd_table WHERE `the.id` >= 0").count() == 2
+    finally:
+        spark.sql("DROP TABLE odd_table")

@@ -148,8 +148,9 @@ def decoded(values, name):
 @pytest.mark.parametrize("name", ["dense", "fp16", "bf16", "packed", "sparse"])
 @pytest.mark.parametrize("beyond_bound", [False, True])
 def test_top_k_equals_brute_force(spark, vectors, monkeypatch, name, beyond_bound):
-    monkeypatch.setattr(topk, "ROW_TILE", 250)
-    monkeypatch.setattr(topk, "QUERY_TILE", 3)
+    monkeypatch.setattr(topk, "TILE_ROWS", 250)
+    monkeypatch.setattr(topk, "TILE_ELEMENTS", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
     queries = vectors.where(f"id IN (0, 1, 2, 100, 555, 1001) AND {name} IS NOT NULL").selectExpr(
         "concat('q', id) AS query_id", f"{name} AS query_vector"
     )
@@ -166,6 +167,18 @@ def test_top_k_equals_brute_force(spark, vectors, monkeypatch, name, beyond_boun
     assert np.allclose([f[3] for f in found], [e[3] for e in sorted(expected)], atol=1e-6)
 
 
+def test_file_scans_are_tiled_by_position(spark, monkeypatch):
+    """Only the queries are pinned, and the result is the same as with shipped queries."""
+    monkeypatch.setattr(topk, "TILE_ROWS", 100)
+    df = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
+    queries = df.selectExpr("id AS query_id", "vec_dense AS query_vector").where("id % 2 = 0")
+    tiled = topk.top_k(df, HELLO, "vec_dense", queries, 3, broadcast_queries=10)
+    text = tiled._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in text and text.count("Scan ExistingRDD") == 1 and "FileScan parquet" in text
+    whole = topk.top_k(df, HELLO, "vec_dense", queries, 3)
+    assert tiled.exceptAll(whole).count() == 0 and tiled.count() == whole.count() == 750
+
+
 def test_k_beyond_the_rows_and_no_queries(spark, vectors):
     few = vectors.where("id < 4")
     queries = few.selectExpr("id AS query_id", "packed AS query_vector")

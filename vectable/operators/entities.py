@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from vectable.plans.binder import bind
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
+from vectable.plans.sqltext import quoted_name
 
 ENTITY_COLUMN = "entity"
 
@@ -50,12 +51,12 @@ def _object_members(run: list[Field]) -> Column:
 
 def _json_member(spec: Field) -> Column:
     # Line breaks in JSON text are blanks between tokens; an entity stays one line.
-    text = F.translate(F.col(spec.name), "\r\n", "  ")
+    text = F.translate(F.col(quoted_name(spec.name)), "\r\n", "  ")
     return F.concat(F.lit(json.dumps(spec.name, ensure_ascii=False) + ":"), F.coalesce(text, F.lit("null")))
 
 
 def _finite(spec: Field) -> Column:
-    value = F.col(spec.name)
+    value = F.col(quoted_name(spec.name))
 
     def endless(x: Column) -> Column:
         return F.isnan(x) | (F.abs(x) == float("inf"))

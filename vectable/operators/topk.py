@@ -15,26 +15,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectable.functions.half import from_bf16_bits
 from vectable.plans.errors import SchemaError
-from vectable.plans.schema import CollectionSchema, Field
+from vectable.plans.schema import CollectionSchema
+from vectable.plans.sqltext import quoted_name
 from vectable.workspace import pinned
 
 # Query sets up to both bounds are shipped to the tasks.
 BROADCAST_QUERIES = 4096
 BROADCAST_BYTES = 64 << 20
-# Rows of one tile beyond the bound, and scores held at once in a task.
-QUERY_TILE = 2048
-ROW_TILE = 50_000
+# Beyond the bound: what one tile of rows or of queries may hold on average.
+TILE_ELEMENTS = 8_000_000
+TILE_ROWS = 1_000_000
+# Queries scored together in a tile, and scores held at once in a task.
+QUERY_BLOCK = 2048
 SCORE_CELLS = 1 << 22
 # Scores are compared at this many decimals, so equal vectors tie whatever order a
 # block product adds them in; ties go to the smaller id.
 SCORE_DECIMALS = 12
 
+# From a block of queries to a function that scores a block of rows against it.
+Scorer = Callable[[pa.Array], Callable[[pa.Array], np.ndarray]]
+
 # The metric each vector type is searched by.
 SEARCHES = {
     ("FloatVector", "COSINE"),
@@ -70,8 +77,8 @@ def top_k(
     key = next((f for f in schema.fields if f.primary_key), None)
     if key is None:
         raise SchemaError("a search needs a primary key")
-    rows = collection.select(F.col(key.name).alias("id"), F.col(vector).alias("vector"))
-    rows = rows.where(F.col("vector").isNotNull())
+    columns = [F.col(quoted_name(key.name)).alias("id"), F.col(quoted_name(vector)).alias("vector")]
+    rows = collection.select(*columns).where(F.col("vector").isNotNull())
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("vector"))
     asked = asked.where(F.col("query_id").isNotNull() & F.col("vector").isNotNull())
     out = T.StructType(
@@ -82,7 +89,7 @@ def top_k(
     if sample.num_rows <= broadcast_queries and sample.nbytes <= BROADCAST_BYTES:
         candidates = _broadcast(rows, sample, search, out)
     else:
-        candidates = _tiled(rows, asked, search, out)
+        candidates = _tiled(_located(collection, columns), asked, search, out)
     best = F.col("score") if spec.metric == "HAMMING" else F.col("score").desc()
     ranked = candidates.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(best, "id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
@@ -99,26 +106,43 @@ def _broadcast(rows: DataFrame, queries: pa.Table, search: _Search, out: T.Struc
     return rows.mapInArrow(scan, out)
 
 
+def _located(collection: DataFrame, columns: list[Column]) -> DataFrame:
+    """The searched rows, with the hashed place each has in its file if they come from files."""
+    try:
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("position")
+        rows = collection.select(*columns, place)
+    except AnalysisException:
+        rows = collection.select(*columns)
+    return rows.where(F.col("vector").isNotNull())
+
+
 def _tiled(rows: DataFrame, queries: DataFrame, search: _Search, out: T.StructType) -> DataFrame:
     """Score every (row tile, query tile) combination in a task of bounded size.
 
     Rows are dealt to tiles evenly whatever their ids or values, so copies of one row
-    cannot pile up. The deal is pinned in the shared folder first: a recomputed task
-    must not deal again.
+    cannot pile up. A recomputed task must not deal again: rows of a file scan are
+    dealt by file and position, others are pinned in the shared folder first. Tiles are
+    as large as a task can hold, because every row is shuffled once per query tile.
     """
-    tiles = {"row_tile": _tiles(rows, ROW_TILE), "query_tile": _tiles(queries, QUERY_TILE)}
+    tiles = {"row_tile": _tiles(rows), "query_tile": _tiles(queries)}
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        tile = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(tiles[own])).cast("int")
         each = F.explode(F.sequence(F.lit(0), F.lit(tiles[other] - 1)))
-        return pinned(df.withColumn(own, tile)).withColumn(other, each)
+        if "position" in df.columns:
+            placed = df.withColumn(own, _tile_of("position", tiles[own])).drop("position")
+        else:
+            placed = df.withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
+            placed = pinned(placed.withColumn(own, _tile_of("position", tiles[own])).drop("position"))
+        return placed.withColumn(other, each)
 
     left = dealt(rows, "row_tile", "query_tile").groupBy("row_tile", "query_tile")
     right = dealt(queries, "query_tile", "row_tile").groupBy("row_tile", "query_tile")
 
     def tile(row_table: pa.Table, query_table: pa.Table) -> pa.Table:
+        found = []
         asked = _only_batch(query_table.select(["query_id", "vector"]).combine_chunks())
-        found = [] if asked is None else list(search.run(asked, row_table.to_batches()))
+        for start in range(0, 0 if asked is None else asked.num_rows, QUERY_BLOCK):
+            found += search.run(asked.slice(start, QUERY_BLOCK), row_table.to_batches())
         if not found:
             kinds = (query_table.schema.field("query_id").type, row_table.schema.field("id").type, pa.float64())
             return pa.table([pa.array([], t) for t in kinds], names=["query_id", "id", "score"])
@@ -127,8 +151,14 @@ def _tiled(rows: DataFrame, queries: DataFrame, search: _Search, out: T.StructTy
     return left.cogroup(right).applyInArrow(tile, out)
 
 
-def _tiles(df: DataFrame, size: int) -> int:
-    return max(1, math.ceil(df.count() / size))
+def _tile_of(position: str, tiles: int) -> Column:
+    return F.pmod(F.col(position), F.lit(tiles)).cast("int")
+
+
+def _tiles(df: DataFrame) -> int:
+    elements = F.size("vector").cast("bigint")
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(elements), F.lit(0))).first()
+    return max(1, math.ceil(rows / TILE_ROWS), math.ceil(held / TILE_ELEMENTS))
 
 
 def _only_batch(table: pa.Table) -> pa.RecordBatch | None:
@@ -140,65 +170,68 @@ def _only_batch(table: pa.Table) -> pa.RecordBatch | None:
 
 @dataclass(frozen=True)
 class _Search:
-    """Scores Arrow batches of ``id, vector`` against a block of queries."""
+    """Scores Arrow batches of ``id, vector`` against a block of queries.
+
+    Scorers return a (queries x rows) block in which smaller is better and infinite
+    is out of reach.
+    """
 
     kind: str
     k: int
 
     def run(self, queries: pa.RecordBatch, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The best ``k`` rows per query over all ``batches``, as ``query_id, id, score``."""
-        score = self._scorer(queries.column("vector"))
+        score = _SCORERS[self.kind](queries.column("vector"))
         step = max(1, SCORE_CELLS // queries.num_rows)
-        # Kept between batches: query numbers, sortable scores (smaller is better), ids.
-        kept: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        kept = _Kept(self.k, queries.num_rows)
         id_type = None
         for batch in batches:
             id_type = batch.schema.field("id").type
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                found = self._select(score(part.column("vector")), _sortable(part.column("id")))
-                if kept is not None:
-                    found = tuple(np.concatenate(pair) for pair in zip(kept, found))
-                kept = self._best(*found)
-        if kept is not None and len(kept[0]):
-            numbers, order, ids = kept
+                kept.add(score(part.column("vector")), _sortable(part.column("id")))
+        if kept.numbers is not None and len(kept.numbers):
+            ids = kept.ids.tolist() if kept.ids.dtype.kind == "U" else kept.ids
+            scores = kept.order if self.kind == "BinaryVector" else -kept.order
             yield pa.RecordBatch.from_arrays(
-                [
-                    queries.column("query_id").take(pa.array(numbers)),
-                    pa.array(ids.tolist() if ids.dtype.kind == "U" else ids, id_type),
-                    pa.array(order if self.kind == "BinaryVector" else -order),
-                ],
+                [queries.column("query_id").take(pa.array(kept.numbers)), pa.array(ids, id_type), pa.array(scores)],
                 names=["query_id", "id", "score"],
             )
 
-    def _scorer(self, queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
-        if self.kind == "SparseFloatVector":
-            return _sparse_products(queries)
-        if self.kind == "BinaryVector":
-            return _hamming_distances(queries)
-        return _cosines(queries, self.kind)
-
-    def _select(self, scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows that can be among the best ``k`` of a (rows x queries) score block.
-
-        Every row tied with the k-th stays in; infinite scores mark rows out of reach.
-        """
-        if len(scores) > self.k:
-            bar = np.partition(scores, self.k - 1, axis=0)[self.k - 1]
-            good = scores <= bar
-        else:
-            good = np.ones(scores.shape, bool)
-        rows, numbers = np.nonzero(good & np.isfinite(scores))
-        return numbers, scores[rows, numbers], ids[rows]
 
-    def _best(self, numbers: np.ndarray, order: np.ndarray, ids: np.ndarray):
-        """The first ``k`` of each query by score, then id."""
+class _Kept:
+    """The best ``k`` rows of each query so far, ties included by id."""
+
+    def __init__(self, k: int, queries: int) -> None:
+        self.k = k
+        # The k-th best score of each query; nothing worse can enter any more.
+        self.bars = np.full(queries, np.inf)
+        self.numbers: np.ndarray | None = None
+        self.order: np.ndarray | None = None
+        self.ids: np.ndarray | None = None
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        unset = np.flatnonzero(np.isinf(self.bars))
+        if len(unset) and scores.shape[1] > self.k:
+            self.bars[unset] = np.partition(scores[unset], self.k - 1, axis=1)[:, self.k - 1]
+        # The margin lets scores in that only differ from the bar by rounding.
+        limits = np.where(np.isinf(self.bars), np.finfo(np.float64).max, self.bars + 2 * 10.0**-SCORE_DECIMALS)
+        numbers, rows = np.nonzero(scores <= limits.astype(scores.dtype)[:, None])
+        found = numbers, np.round(scores[numbers, rows].astype(np.float64), SCORE_DECIMALS), ids[rows]
+        if self.numbers is not None:
+            kept = self.numbers, self.order, self.ids
+            found = tuple(np.concatenate(pair) for pair in zip(kept, found))
+        self._rank(*found)
+
+    def _rank(self, numbers: np.ndarray, order: np.ndarray, ids: np.ndarray) -> None:
         by = np.lexsort((ids, order, numbers))
-        grouped = numbers[by]
-        starts = np.flatnonzero(np.r_[True, grouped[1:] != grouped[:-1]]) if len(by) else np.empty(0, int)
-        place = np.arange(len(by)) - np.repeat(starts, np.diff(np.r_[starts, len(by)]))
+        sizes = np.bincount(numbers, minlength=len(self.bars))
+        place = np.arange(len(by)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        last = by[place == self.k - 1]
+        self.bars = np.full(len(self.bars), np.inf)
+        self.bars[numbers[last]] = order[last]
         chosen = by[place < self.k]
-        return numbers[chosen], order[chosen], ids[chosen]
+        self.numbers, self.order, self.ids = numbers[chosen], order[chosen], ids[chosen]
 
 
 def _sortable(ids: pa.Array) -> np.ndarray:
@@ -215,30 +248,32 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
 
 
-def _unit_rows(vectors: pa.Array, kind: str) -> np.ndarray:
-    stored = _matrix(vectors)
-    if kind == "Float16Vector":
-        stored = stored.view("<f2")
-    elif kind == "BFloat16Vector":
-        stored = from_bf16_bits(stored.view("<u2"))
-    dense = stored.astype(np.float64)
-    norms = np.linalg.norm(dense, axis=1, keepdims=True)
-    return np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0)
+def _cosines(read: Callable[[np.ndarray], np.ndarray]) -> Scorer:
+    """Negated cosines of vectors that ``read`` turns into numbers."""
+
+    def units(vectors: pa.Array) -> np.ndarray:
+        dense = read(_matrix(vectors)).astype(np.float64)
+        norms = np.linalg.norm(dense, axis=1, keepdims=True)
+        return np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0)
 
+    def against(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+        asked = -units(queries)
+        return lambda vectors: asked @ units(vectors).T
 
-def _cosines(queries: pa.Array, kind: str) -> Callable[[pa.Array], np.ndarray]:
-    asked = _unit_rows(queries, kind).T
-    return lambda vectors: -np.round(_unit_rows(vectors, kind) @ asked, SCORE_DECIMALS)
+    return against
 
 
 def _hamming_distances(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
-    asked = _matrix(queries).view(np.uint8)
+    """Differing bits, as |a| + |b| - 2 a.b over bits: whole numbers, exact in float32."""
+
+    def bits(vectors: pa.Array) -> np.ndarray:
+        return np.unpackbits(_matrix(vectors).view(np.uint8), axis=1).astype(np.float32)
+
+    asked = bits(queries)
 
     def score(vectors: pa.Array) -> np.ndarray:
-        stored = _matrix(vectors).view(np.uint8)
-        return np.stack(
-            [np.bitwise_count(stored ^ q).sum(axis=1, dtype=np.float64) for q in asked], axis=1
-        )
+        stored = bits(vectors)
+        return asked.sum(axis=1)[:, None] + stored.sum(axis=1) - 2 * (asked @ stored.T)
 
     return score
 
@@ -253,10 +288,10 @@ def _entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _sparse_products(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+    """Negated inner products; rows sharing no dimension with a query are out of reach."""
     numbers, dims, weights = _entries(queries)
     by_dim = np.argsort(dims, kind="stable")
     numbers, dims, weights = numbers[by_dim], dims[by_dim], weights[by_dim]
-    count = len(queries)
 
     def score(vectors: pa.Array) -> np.ndarray:
         rows, row_dims, row_weights = _entries(vectors)
@@ -266,10 +301,19 @@ def _sparse_products(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
         entry = np.repeat(np.arange(len(rows)), shared)
         step = np.arange(len(entry)) - np.repeat(np.cumsum(shared) - shared, shared)
         match = first[entry] + step
-        cell = rows[entry] * count + numbers[match]
-        cells = len(vectors) * count
+        cell = numbers[match] * len(vectors) + rows[entry]
+        cells = len(queries) * len(vectors)
         products = np.bincount(cell, row_weights[entry] * weights[match], cells)
         touched = np.bincount(cell, minlength=cells) > 0
-        return np.where(touched, -np.round(products, SCORE_DECIMALS), np.inf).reshape(len(vectors), count)
+        return np.where(touched, -products, np.inf).reshape(len(queries), len(vectors))
 
     return score
+
+
+_SCORERS: dict[str, Scorer] = {
+    "FloatVector": _cosines(lambda stored: stored),
+    "Float16Vector": _cosines(lambda stored: stored.view("<f2")),
+    "BFloat16Vector": _cosines(lambda stored: from_bf16_bits(stored.view("<u2"))),
+    "BinaryVector": _hamming_distances,
+    "SparseFloatVector": _sparse_products,
+}

@@ -13,6 +13,7 @@ from vectable.plans.binder import bind
 from vectable.plans.errors import SaveModeError
 from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema
+from vectable.plans.sqltext import quoted_name
 from vectable.sources.catalog import Options, load_schema
 from vectable.sources.tables import repair_table
 
@@ -87,7 +88,7 @@ def _route(df: DataFrame) -> DataFrame:
     if adaptive and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true":
         return df.hint("rebalance", PARTITION_COLUMN)
     # The salt comes from the row's content, so a recomputed task routes it the same way.
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    plain = [quoted_name(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
     salt = F.pmod(F.xxhash64(*plain), F.lit(STATIC_SALTS))
     return df.repartition(PARTITION_COLUMN, salt)
 
@@ -101,7 +102,7 @@ def _with_auto_ids(df: DataFrame, schema: CollectionSchema, opts: CollectionOpti
     spec = schema.auto_id_field
     if spec is None:
         return df
-    highest = read_collection(df.sparkSession, opts).agg(F.max(spec.name)).first()[0]
+    highest = read_collection(df.sparkSession, opts).agg(F.max(quoted_name(spec.name))).first()[0]
     first = 0 if highest is None else highest + 1
-    names = [f.name for f in schema.visible_fields] + [PARTITION_COLUMN]
+    names = [quoted_name(f.name) for f in schema.visible_fields] + [PARTITION_COLUMN]
     return df.withColumn(spec.name, F.monotonically_increasing_id() + F.lit(first)).select(*names)

@@ -273,7 +273,7 @@ def oracles() -> dict[str, str]:
         ),
         "host_surface_smoke": _hello(
             "__partition, label, count(*) AS row_count, round(sum(f8), 6) AS f8_sum",
-            "JOIN embeddings ON vec_id = id WHERE f2 GROUP BY __partition, label",
+            "JOIN embeddings ON vec_id = id WHERE f8 > 0 GROUP BY __partition, label",
         ),
         "scan_lineitem": _LINE_TOTALS,
         "append_lineitem": _LINE_TOTALS,

@@ -587,7 +587,7 @@ def topk_cosine_bf16(spark: SparkSession, sf_dir: str) -> DataFrame:
 def host_surface_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter, join and group over a collection like over any DataFrame."""
     labels = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), "label")
-    df = _read(spark, sf_dir, "hello").where(F.col("f2"))
+    df = _read(spark, sf_dir, "hello").where(F.col("f8") > 0)
     return df.join(labels, "id").groupBy(PARTITION_COLUMN, "label").agg(
         F.count("*").alias("row_count"), F.round(F.sum("f8"), 6).alias("f8_sum")
     )
