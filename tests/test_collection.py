@@ -91,6 +91,14 @@ def test_failed_append_leaves_nothing(spark, options):
     assert read_collection(spark, options).count() == 0
 
 
+def test_preview(spark, options, capsys):
+    append_collection(rows(spark, 9), options)
+    read_collection(spark, options).orderBy("id").show(5, False)
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[1] == "|id |n  |__partition|" and "|4  |8  |1          |" in lines
+    assert "only showing top 5 rows" in lines
+
+
 def test_partition_names_are_kept_as_text(spark, options):
     names = ["01", "1", "a b", "x=y", "100%", "a/b", "ü", "__HIVE", "null"]
     listed = ", ".join(f"'{n}'" for n in names)

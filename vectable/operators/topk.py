@@ -215,7 +215,8 @@ class _Kept:
         if len(unset) and scores.shape[1] > self.k:
             self.bars[unset] = np.partition(scores[unset], self.k - 1, axis=1)[:, self.k - 1]
         # The margin lets scores in that only differ from the bar by rounding.
-        limits = np.where(np.isinf(self.bars), np.finfo(np.float64).max, self.bars + 2 * 10.0**-SCORE_DECIMALS)
+        most = np.finfo(scores.dtype).max
+        limits = np.where(np.isinf(self.bars), most, self.bars + 2 * 10.0**-SCORE_DECIMALS)
         numbers, rows = np.nonzero(scores <= limits.astype(scores.dtype)[:, None])
         found = numbers, np.round(scores[numbers, rows].astype(np.float64), SCORE_DECIMALS), ids[rows]
         if self.numbers is not None:
