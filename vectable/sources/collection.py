@@ -17,8 +17,9 @@ from vectable.plans.sqltext import quoted_name
 from vectable.sources.catalog import Options, load_schema
 from vectable.sources.tables import repair_table
 
-# Writers per partition value when adaptive execution cannot split a hot one.
-STATIC_SALTS = 64
+# Salts per shuffle partition when adaptive execution cannot split a hot partition value:
+# enough that hashing spreads one value evenly over all writers.
+SALTS_PER_WRITER = 4
 
 
 def read_collection(spark: SparkSession, options: Options, partition: str | None = None) -> DataFrame:
@@ -81,7 +82,8 @@ def _route(df: DataFrame) -> DataFrame:
     """Bring the rows of a partition together, but a hot partition to many tasks.
 
     Under adaptive execution the rebalance splits partition values above the advisory
-    size and packs small ones, by measured sizes. Without it a fixed salt does.
+    size and packs small ones, by measured sizes. Without it a salt spreads every value
+    over all writers, at the price of more and smaller files.
     """
     conf = df.sparkSession.conf
     adaptive = conf.get("spark.sql.adaptive.enabled") == "true"
@@ -89,7 +91,8 @@ def _route(df: DataFrame) -> DataFrame:
         return df.hint("rebalance", PARTITION_COLUMN)
     # The salt comes from the row's content, so a recomputed task routes it the same way.
     plain = [quoted_name(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
-    salt = F.pmod(F.xxhash64(*plain), F.lit(STATIC_SALTS))
+    salts = SALTS_PER_WRITER * int(conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*plain), F.lit(salts))
     return df.repartition(PARTITION_COLUMN, salt)
 
 
