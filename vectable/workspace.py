@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """The folder named by ``spark.checkpoint.dir``, else one beside the warehouse's tables.
+
+    Both are places that the driver and all executors reach.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vectable-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_vectable_scratch"
 
 
 def fresh_folder(spark: SparkSession) -> str:
@@ -26,5 +23,6 @@ def fresh_folder(spark: SparkSession) -> str:
 
 def pinned(df):
     """``df`` written to the shared folder, so a recomputed task sees the same rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = fresh_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
