@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from vectable.llm.rolling import Texts, slices
 from vectable.llm.scratch import kept
+from vectable.llm.worker import kept_by_worker
 
 CACHED_UNITS = 1_000_000
 
@@ -167,14 +168,9 @@ class UnitEncoder:
         return self.hashes[at] == hashes
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}
-
-
 def encoder(path: str) -> UnitEncoder:
     """The worker's encoder for this file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = UnitEncoder(path)
-    return _ENCODERS[path]
+    return kept_by_worker(("encoder", path), lambda: UnitEncoder(path))
 
 
 def token_pieces(

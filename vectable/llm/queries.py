@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectable.llm.jaccard_join import similar_classes
 from vectable.llm.line_dedup import drop_repeated_lines
 from vectable.llm.packing import pack
 
@@ -32,9 +33,14 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": best_fit_packing,
     "op4_line_dedup": line_dedup,
+    "op10_ngram_jaccard": ngram_jaccard,
 }
 
 ORACLES: dict[str, str] = {

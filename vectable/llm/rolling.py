@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from vectable.llm.worker import kept_by_worker
+
 P = 0x9E3779B97F4A7C15 | 1
 P_INVERSE = pow(P, -1, 1 << 64)
 SLICE_BYTES = 2 << 20
-_POWERS: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,16 +31,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _power_table(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if size <= SLICE_BYTES + 1:
-            _POWERS[base] = have
-    return have[:n]
+    if n > SLICE_BYTES + 1:
+        return _power_table(base, n)
+    return kept_by_worker(("powers", base), lambda: _power_table(base, SLICE_BYTES + 1))[:n]
 
 
 class Texts:
