@@ -455,6 +455,21 @@ def similar_classes(
     )
 
 
+def one_of_each_class(
+    docs: DataFrame, words: int = 5, percent: int = 75, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``docs`` without near copies: of each class of ``similar_classes`` the smallest id stays.
+
+    Documents without shingles stay. Rows with equal ids stay or go together, and of rows that
+    repeat both id and text one stays. Columns are those of ``docs``.
+    """
+    classes = similar_classes(docs, words, percent, id_column, text_column)
+    stay = classes.where("component_id <=> doc_id").select(F.col("doc_id").alias("stays")).distinct()
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept_rows = row.join(stay, F.col(f"row.`{id_column}`").eqNullSafe(F.col("stays")), "left_semi")
+    return kept_rows.select("row.*").dropDuplicates([id_column, text_column])
+
+
 def _order(spark: SparkSession, seen: DataFrame):
     """Broadcast: the most frequent tokens, at most ``FREQUENT_TOKENS`` of them."""
     often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.llm.jaccard_join import similar_classes
+from vectable.llm.language_id import fit_languages, with_language
 from vectable.llm.line_dedup import drop_repeated_lines
+from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +39,30 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_classes(_table(spark, sf_dir, "documents"))
 
 
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``: the folds of the labelled operators."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled"
+    )
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder(4) == 2
+    judged = with_language(docs.select("doc_id", "text"), fit_languages(docs, ~held_out))
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": best_fit_packing,
     "op4_line_dedup": line_dedup,
+    "op6_mixing": mixing,
+    "op7_language_id": language_id,
     "op10_ngram_jaccard": ngram_jaccard,
 }
 

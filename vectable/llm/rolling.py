@@ -19,7 +19,7 @@ from vectable.llm.worker import kept_by_worker
 
 P = 0x9E3779B97F4A7C15 | 1
 P_INVERSE = pow(P, -1, 1 << 64)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -116,11 +116,14 @@ def combine(hashes: np.ndarray, size: int) -> np.ndarray:
 def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[Texts]:
     """The column in runs of whole texts of about ``limit`` bytes; a longer text stands alone. Null: empty."""
     if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+        column = column.cast(pa.large_string()).combine_chunks()
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if len(column) == 0:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1]
+    offsets = offsets.astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     row = 0
