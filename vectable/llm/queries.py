@@ -12,11 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectable.llm.epsilon_join import similar_vectors
 from vectable.llm.jaccard_join import similar_classes
 from vectable.llm.language_id import fit_languages, with_language
 from vectable.llm.line_dedup import drop_repeated_lines
 from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
+from vectable.llm.quality_rules import log_ratios, with_quality
+from vectable.llm.url_filter import mine_rules, with_verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,11 +61,42 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ratios = log_ratios(docs, labels.where("quality = 1").select("doc_id"))
+    judged = with_quality(docs.select("doc_id", "text"), ratios)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("row.doc_id", *counts, "score", "base_failed", "kept")
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = _table(spark, sf_dir, "pages").select("page_id", "url"), _table(spark, sf_dir, "labels")
+    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id"))
+    rules = mine_rules(labelled.select("url", (F.col("quality") == 0).alias("bad")))
+    return with_verdict(pages, URL_RULES, rules).select("page.page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": quality_rules,
     "op2_best_fit_packing": best_fit_packing,
+    "op3_embedding_near_dedup": embedding_near_dedup,
     "op4_line_dedup": line_dedup,
     "op6_mixing": mixing,
     "op7_language_id": language_id,
+    "op9_url_filters": url_filters,
     "op10_ngram_jaccard": ngram_jaccard,
 }
 

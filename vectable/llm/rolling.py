@@ -64,6 +64,10 @@ class Texts:
         np.cumsum(self.data * _powers(P, len(self.data)), out=sums[1:])
         return sums
 
+    def inverse_powers(self) -> np.ndarray:
+        """What takes the position out of a difference of prefix hashes."""
+        return _powers(P_INVERSE, len(self.data) + 1)
+
     def words(self, apart: np.ndarray | None = None) -> Words:
         """``apart``: marks bytes that begin a new word although no blank stands before them."""
         data, offsets = self.data, self.offsets
@@ -97,7 +101,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         sums = self.texts.prefix_hashes()
-        raw = (sums[self.ends] - sums[self.starts]) * _powers(P_INVERSE, len(sums))[self.starts]
+        raw = (sums[self.ends] - sums[self.starts]) * self.texts.inverse_powers()[self.starts]
         return mix(raw + (self.ends - self.starts).astype(np.uint64))
 
 
