@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.llm.epsilon_join import similar_vectors
+from vectable.llm.html_extraction import fit_extractor, main_text
 from vectable.llm.jaccard_join import similar_classes
 from vectable.llm.language_id import fit_languages, with_language
 from vectable.llm.line_dedup import drop_repeated_lines
 from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
 from vectable.llm.quality_rules import log_ratios, with_quality
+from vectable.llm.rule_classifier import fit_rules, with_score
 from vectable.llm.url_filter import mine_rules, with_verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +75,19 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    text = main_text(fit_extractor(pages), F.col("html"))
+    return pages.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = _remainder(3) == 1
+    scored = with_score(docs.select("doc_id", "text"), fit_rules(docs, labels, ~held_out))
+    return scored.select("row.doc_id", "score", "predicted").withColumn("held_out", held_out)
+
+
 URL_RULES = (
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -94,8 +109,10 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": best_fit_packing,
     "op3_embedding_near_dedup": embedding_near_dedup,
     "op4_line_dedup": line_dedup,
+    "op5_html_extraction": html_extraction,
     "op6_mixing": mixing,
     "op7_language_id": language_id,
+    "op8_quality_classifier": quality_classifier,
     "op9_url_filters": url_filters,
     "op10_ngram_jaccard": ngram_jaccard,
 }
