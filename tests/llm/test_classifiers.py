@@ -1,0 +1,231 @@
+"""Quality rules, language identification, the rule ensemble, URL filters and HTML extraction."""
+
+import numpy as np
+import pytest
+from brute import base_counts
+from pyspark.sql import functions as F
+
+from vectable.llm import html_extraction, language_id, quality_rules, rule_classifier, url_filter
+from vectable.llm.queries import QUERIES, URL_RULES
+from vectable.llm.trees import fit_trees, log_odds
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def test_base_counts(spark, odd, sf):
+    docs = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    judged = quality_rules.with_quality(docs, np.zeros(quality_rules.BUCKETS))
+    for r in judged.select("row.text", *COUNTS, "base_failed", "kept").collect():
+        counts = base_counts(r.text)
+        assert tuple(r[c] for c in COUNTS) == counts
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert r.base_failed == failed and r.kept == (not failed)
+
+
+def test_quality_without_rows(odd, none):
+    ratios = quality_rules.log_ratios(none, none)
+    assert not ratios.any() and quality_rules.with_quality(none, ratios).count() == 0
+    assert quality_rules.with_quality(odd, quality_rules.log_ratios(odd, odd.select("doc_id"))).count() == odd.count()
+
+
+def test_log_ratios_count_what_a_loop_counts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a c c"), (3, None)], "doc_id long, text string")
+    found = quality_rules.log_ratios(docs, docs.where("doc_id = 1").select("doc_id"))
+    n = quality_rules.BUCKETS
+    assert np.isclose(found.max(), np.log(2 / (3 + n)) - np.log(2 / (8 + n)))  # in the target only
+    assert np.isclose(found.min(), np.log(1 / (3 + n)) - np.log(3 / (8 + n)))  # twice in the other text
+
+
+def test_quality_rules_keep_good_documents(spark, sf):
+    found = QUERIES["op1_quality_rules"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    right = found.where("NOT base_failed").select(F.avg(((F.col("quality") == 1) == F.col("kept")).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+def test_language_of_held_out_documents(spark, sf):
+    found = QUERIES["op7_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")
+    held = found.where("held_out")
+    assert held.count() > 20 and held.where("lang_pred = lang").count() >= 0.97 * held.count()
+    assert found.where("score < 0 OR score > 1").count() == 0
+
+
+def test_language_of_odd_texts(odd, none, spark, sf):
+    model = language_id.fit_languages(spark.read.parquet(f"{sf}/documents.parquet"), F.lit(True))
+    found = language_id.with_language(odd, model, lang_pred="lang")  # replaces the column
+    assert found.columns == [*odd.columns, "ambiguous"] and found.count() == odd.count()
+    pred = {r.doc_id: (r.lang, r.score) for r in found.collect()}
+    assert all(pred[i] == ("und", 0.0) for i in (1, 2, 3, 8)) and pred[4][0] in model.languages
+    assert pred[4] == pred[5]
+    nothing = language_id.fit_languages(none, F.lit(True))
+    assert nothing.languages == [] and {r.lang for r in language_id.with_language(odd, nothing, lang_pred="lang").collect()} == {"und"}
+    single = language_id.fit_languages(odd, F.lit(True))
+    assert single.languages == ["en"]
+    assert language_id.with_language(none, model).count() == 0
+
+
+def test_codewords_differ():
+    for n in (1, 2, 3, 4, 7, 8, 30):
+        code = language_id.codewords(n)
+        assert len({tuple(r) for r in code}) == n
+    code = language_id.codewords(12)
+    apart = (code[:, None] != code[None]).sum(2)
+    assert apart[~np.eye(12, dtype=bool)].min() >= 5
+
+
+def test_trees_find_a_box():
+    rng = np.random.default_rng(0)
+    rows = rng.random((2000, 4))
+    label = ((rows[:, 1] > 0.3) & (rows[:, 2] < 0.6)).astype(float)
+    trees, start = fit_trees(rows, label)
+    assert ((log_odds(trees, start, rows) > 0) == label).mean() > 0.97
+    assert fit_trees(rows[:0], label[:0]) == ([], 0.0)
+    flat, _ = fit_trees(np.ones((50, 2)), np.r_[np.ones(25), np.zeros(25)])
+    assert all((t.feature == -1).all() for t in flat)
+
+
+def test_lasso_keeps_what_matters():
+    rng = np.random.default_rng(0)
+    rules = (rng.random((3000, 12)) < 0.4).astype(float)
+    label = (rng.random(3000) < np.where(rules[:, 0] > 0, 0.9, 0.1)).astype(float)
+    weights, _ = rule_classifier.lasso_logistic(rules, label, 0.02)
+    assert weights[0] > 1 and np.abs(weights[1:]).max() < 0.2 and (weights == 0).sum() >= 6
+
+
+def test_scores_of_held_out_documents(spark, sf):
+    found = QUERIES["op8_quality_classifier"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    held = found.where("held_out")
+    assert held.count() > 10 and held.where("predicted = quality").count() >= 0.9 * held.count()
+
+
+def test_scores_of_odd_texts(odd, none):
+    labels = odd.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    model = rule_classifier.fit_rules(odd, labels, F.lit(True))
+    found = rule_classifier.with_score(odd, model).collect()
+    assert len(found) == odd.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+    empty = rule_classifier.fit_rules(none, labels, F.lit(False))
+    assert {r.score for r in rule_classifier.with_score(odd, empty).collect()} == {0.5}
+    assert rule_classifier.with_score(none, model).count() == 0
+
+
+def test_rules_are_what_the_column_computes(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    model = rule_classifier.RuleEnsemble(0.25, [(1.5, (("log_words", True, 5.0), ("mean_word", False, 4.0))), (-2.0, (("digit_share", True, 0.0),))])
+    rows = docs.select(rule_classifier.text_statistics("text").alias("s")).select("s", model.score("s").alias("score"))
+    for r in rows.collect():
+        odds = 0.25 + 1.5 * (r.s.log_words > 5 and r.s.mean_word <= 4) - 2 * (r.s.digit_share > 0)
+        assert np.isclose(r.score, 1 / (1 + np.exp(-odds)))
+
+
+def plain_verdict(url):
+    head, mark, rest = (url or "").partition("://")
+    host = path = ""
+    if mark:
+        cut = min([i for i in (rest.find(c) for c in "/?#") if i >= 0], default=len(rest))
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+        tail = rest[cut:]
+        path = tail[: min([i for i in (tail.find(c) for c in "?#") if i >= 0], default=len(tail))]
+    fits = [(h, p, v) for h, p, v in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
+    return host, path, best and best[0] + best[1], best and best[2]
+
+
+ODD_URLS = [None, "", "no scheme", "://", "http://A.Org", "http://example.org/es/x?y", "HTTP://X.EXAMPLE.ORG/en/1#z", "http://xcom/fr/"]
+ODD_URLS += ["http://com/fr/", "a://b.com?/de/", "a://b.com/de/c://d", "http://b.com#/de/", "x://ü.com/de/\n?q", "http://example.org/en/2"]
+
+
+def test_urls(spark, sf):
+    pages = spark.createDataFrame([(u, "x") for u in ODD_URLS], "url string, verdict string")
+    pages = pages.unionByName(spark.read.parquet(f"{sf}/pages.parquet").select("url", F.lit("x").alias("verdict")))
+    for r in url_filter.with_verdict(pages, URL_RULES, []).collect():
+        host, path, rule, verdict = plain_verdict(r.page.url)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or "allow")
+
+
+def test_mined_rules(spark):
+    rows = [(f"http://{h}.example.net/{p}/{i}?ref=x", h == "spam" and p == "win") for i in range(40) for h in ("spam", "good") for p in ("win", "news")]
+    df = spark.createDataFrame([*rows, (None, True), ("http://a.net/", None)], "url string, bad boolean")
+    rules = url_filter.mine_rules(df, 0.05, 0.9)
+    assert rules == [("host=spam", "path=win")]
+    found = url_filter.with_verdict(df, [], rules).collect()
+    assert all((r.verdict == "block") == bool(r.page.bad and r.page.url) for r in found)
+    index = url_filter.inverted([("a", "b"), ("a", "c"), ("a",)])
+    assert index == {"b": [frozenset("ab")], "c": [frozenset("ac")], "a": [frozenset("a")]}
+    assert url_filter.mine_rules(df.where("false")) == [] and url_filter.with_verdict(df.where("false"), [], rules).count() == 0
+
+
+PAGES = [
+    "<p>One</p> two <b>th</b>ree<br>four<p>five &amp; &eacute;&#228;<ul><li>a<li>b</ul>",
+    '<body><nav class="m"><a href="x>y">Menu</a></nav><article><h1>T</h1><p>Text <script>var a="</p>";</script>more</p></article>',
+    "<article><p>cut off <b>bold",
+    "<p>a < b and c</p><!-- no <p>this</p> --><style>p{}</style>",
+    "<article><p>unended tag <a href='",
+    "",
+    "plain text",
+]
+
+
+def test_blocks():
+    def all_blocks(source):
+        page = html_extraction.parse(source)
+        return html_extraction.blocks_of(page, np.ones(len(page.tag), bool))
+
+    # Text outside every element isn't kept: "two" and what follows the paragraph.
+    assert all_blocks(PAGES[0]) == ["One", "th", "five & éä", "a", "b"]
+    assert all_blocks("<div>x <i>y</i>\n z</div><div>w</div>") == ["x y z", "w"]
+    assert all_blocks(PAGES[1]) == ["Menu", "T", "Text more"]
+    assert all_blocks(PAGES[2]) == ["cut off bold"] and all_blocks(PAGES[3]) == ["a < b and c"]
+    assert all_blocks(PAGES[4]) == ["unended tag"] and all_blocks("") == [] and all_blocks(PAGES[6]) == ["plain text"]
+
+
+def test_decoding_never_keeps_below_a_dropped_element():
+    page = html_extraction.parse("<div><div><p>a</p><p>b</p></div><p>c</p></div>")
+    rng = np.random.default_rng(0)
+    parents = np.array(page.parent)
+    for _ in range(200):
+        odds = rng.normal(size=len(parents)) * 3
+        kept = html_extraction.decode(page, odds)
+        assert (kept[parents[1:]] | ~kept[1:]).all()
+        best = max(
+            (np.where(np.array([int(c) for c in f"{m:0{len(parents) - 1}b}"]), -np.logaddexp(0, -odds[1:]), -np.logaddexp(0, odds[1:])).sum(), m)
+            for m in range(1 << (len(parents) - 1))
+            if all(not int(c) or p == 0 or int(f"{m:0{len(parents) - 1}b}"[p - 1]) for c, p in zip(f"{m:0{len(parents) - 1}b}", parents[1:], strict=True))
+        )
+        mine = np.where(kept[1:], -np.logaddexp(0, -odds[1:]), -np.logaddexp(0, odds[1:])).sum()
+        assert np.isclose(mine, best[0])
+
+
+@pytest.fixture(scope="module")
+def extractor(spark, sf):
+    return html_extraction.fit_extractor(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+def test_pages_give_their_documents(spark, sf, extractor):
+    """The URL of a page ends in the id of the document that it shows."""
+    number = F.regexp_extract("url", r"://[^/]*/[a-z]*/([0-9]+)", 1).cast("long")
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("html", number.alias("doc_id"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").alias("truth"))
+    found = pages.join(docs, "doc_id").select("truth", html_extraction.main_text(extractor, F.col("html")).alias("text"))
+    pairs = [(r.text.split("\n\n")[1:], [" ".join(x.split()) for x in r.truth.split("\n") if x.split()]) for r in found.collect()]
+    assert len(pairs) > 50 and sum(a == b for a, b in pairs) >= 0.99 * len(pairs)
+
+
+def test_other_layouts(spark, extractor):
+    story = "".join(f"<p>Sentence {i} of the story, long enough to be read as such, with some more words.</p>" for i in range(12))
+    pages = {
+        "comments": f'<body><nav><a href="/">Home</a></nav><article><h1>Title</h1>{story}<div class="comments"><p>First! Great text, thanks, I liked it.</p></div></article><footer>© x</footer></body>',
+        "sidebar": f'<body><header class="site-header"><a href="/">Site</a></header><div class="post-content">{story}</div><aside class="sidebar"><h2>Related</h2><p>Another piece, about things.</p></aside></body>',
+        "form": f'<main>{story}<form><label>Mail</label><p>Subscribe now</p></form></main><div class="cookie-notice"><p>We use cookies.</p></div>',
+    }
+    df = spark.createDataFrame(list(pages.items()), "name string, html string")
+    for r in df.select("name", html_extraction.main_text(extractor, F.col("html")).alias("text")).collect():
+        assert r.text.count("Sentence") == 12, r.name
+        for word in ("First!", "Related", "Home", "Mail", "cookies", "©", "Site"):
+            assert word not in r.text, (r.name, word)
+
+
+def test_extraction_of_odd_pages(spark, extractor):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate([None, *PAGES, "<p>" * 3000 + "x", "<div>" * 2000 + "y"])], "page_id long, html string")
+    found = df.select("page_id", html_extraction.main_text(extractor, F.col("html")).alias("text")).collect()
+    assert len(found) == len(PAGES) + 3 and found[0].text == "" and all(r.text is not None for r in found)
+    assert html_extraction.fit_extractor(df.where("false")) == ""
+    assert df.where("false").select(html_extraction.main_text("", F.col("html"))).count() == 0

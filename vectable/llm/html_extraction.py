@@ -248,7 +248,10 @@ def decode(page: Page, odds: np.ndarray) -> np.ndarray:
 
 
 def blocks_of(page: Page, kept: np.ndarray) -> list[str]:
-    """The kept text, block by block, with single blanks; text outside every element isn't kept."""
+    """The kept text, block by block, with single blanks.
+
+    Text outside every element is kept only where a page has no element.
+    """
     blocks: list[str] = []
     last, pieces = None, []
     for node, block, piece in [*page.texts, (0, -1, "")]:
@@ -257,7 +260,7 @@ def blocks_of(page: Page, kept: np.ndarray) -> list[str]:
             if words:
                 blocks.append(" ".join(words))
             last, pieces = block, []
-        if node and kept[node]:
+        if kept[node] and (node or len(page.tag) == 1):
             pieces.append(piece)
     return blocks
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectable.llm.quality_rules import base_counts
 from vectable.llm.rolling import Texts, slices
@@ -44,7 +45,7 @@ STATISTICS = (
     "most_frequent",
     "sentence_ends",
 )
-STATISTICS_TYPE = "struct<" + ", ".join(f"{name} double" for name in STATISTICS) + ">"
+STATISTICS_TYPE = T.StructType([T.StructField(name, T.DoubleType()) for name in STATISTICS])
 
 
 def statistics(texts: Texts) -> np.ndarray:
