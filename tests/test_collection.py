@@ -9,6 +9,8 @@ from vectable.operators.entities import from_entities, to_entities
 from vectable.operators.topk import top_k
 from vectable.plans.errors import CollectionExistsError, CollectionNotFoundError, SaveModeError
 from vectable.plans.schema import CollectionSchema, Field
+from vectable.plans.options import CollectionOptions
+from vectable.sources import autoid
 from vectable.sources.catalog import (
     create_collection,
     describe_collection,
@@ -157,6 +159,15 @@ def test_routing_without_adaptive_execution_salts(spark, options):
     assert read_collection(spark, options).count() == 10_000
 
 
+def test_equal_rows_fill_all_writers_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        routed = _route(spark.range(10_000, numPartitions=2).selectExpr("1L AS id", "2 AS n", "'p' AS __partition"))
+        assert routed.groupBy(F.spark_partition_id()).count().count() == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_batchsize_bounds_files_only_when_given(spark, options):
     append_collection(rows(spark, 5000, "'a'"), options)
     append_collection(rows(spark, 5000, "'b'"), {**options, "batchsize": "700"})
@@ -179,19 +190,59 @@ def test_auto_ids_follow_existing_ones(spark, uri):
     assert df.where(F.col("id") > first).count() == 1000
 
 
+def test_auto_ids_come_from_the_mark(spark, uri, monkeypatch):
+    schema = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("k", "Int32")])
+    options = {"uri": uri, "collection": "auto"}
+    create_collection(spark, options, schema)
+    offered = rows(spark, 10).selectExpr("INT(id) AS k", "__partition")
+    append_collection(offered, options)
+    opts = CollectionOptions.of(options)
+    first = read_collection(spark, options).agg(F.max("id")).first()[0] + 1
+    with monkeypatch.context() as blind:
+        blind.setattr(autoid, "PARTITION_COLUMN", "__partition")
+        blind.setattr(CollectionSchema, "struct", property(lambda self: pytest.fail("the data is read")))
+        assert autoid._next_id(offered, schema, opts) == first
+    autoid._write_mark(spark, opts, 0, settled=False)  # as an append that broke off leaves it
+    assert autoid._next_id(offered, schema, opts) == first
+    append_collection(offered, options)
+    assert read_collection(spark, options).select("id").distinct().count() == 20
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_auto_ids_run_out(spark, uri, ansi):
+    schema = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("k", "Int32")])
+    options = {"uri": uri, "collection": "auto"}
+    create_collection(spark, options, schema)
+    autoid._write_mark(spark, CollectionOptions.of(options), autoid.LARGEST - 2, settled=True)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="no ids are left"):
+            append_collection(rows(spark, 10).selectExpr("INT(id) AS k", "__partition"), options)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert read_collection(spark, options).count() == 0
+
+
+def test_partitions_are_listed_from_directories(spark, options):
+    assert list_partitions(spark, options).count() == 0
+    append_collection(rows(spark, 6, "concat('a b/', id % 2, '%')"), options)
+    listed = list_partitions(spark, options)
+    assert {r[0] for r in listed.collect()} == {"a b/0%", "a b/1%"} and "parquet" not in plan(listed).lower()
+
+
 def test_sql_table_sees_later_partitions(spark, options):
     append_collection(rows(spark, 6), options)
-    create_table(spark, options, "simple_table")
+    create_table(spark, options, "2024_docs")
     try:
-        assert spark.table("simple_table").count() == 6
-        append_collection(rows(spark, 4, "'new'"), options, table="simple_table")
-        assert spark.sql("SELECT count(*) FROM simple_table").first()[0] == 10
-        described = {r.col_name: r.comment for r in spark.sql("DESCRIBE simple_table").collect()}
+        assert spark.table("`2024_docs`").count() == 6
+        append_collection(rows(spark, 4, "'new'"), options, table="2024_docs")
+        assert spark.sql("SELECT count(*) FROM `2024_docs`").first()[0] == 10
+        described = {r.col_name: r.comment for r in spark.sql("DESCRIBE `2024_docs`").collect()}
         assert described["id"] == "it's the key"
-        shown = {r[0] for r in spark.sql("SHOW PARTITIONS simple_table").collect()}
+        shown = {r[0] for r in spark.sql("SHOW PARTITIONS `2024_docs`").collect()}
         assert "__partition=new" in shown
     finally:
-        spark.sql("DROP TABLE simple_table")
+        spark.sql("DROP TABLE `2024_docs`")
     assert read_collection(spark, options).count() == 10
 
 

@@ -1,115 +1,61 @@
-"""The source by name: same rows and same checks as the native path."""
+"""Reads and writes by option calls: the plans of the native scan and append."""
 
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
-from pyspark.sql import functions as F
 
+from vectable.plans.errors import CollectionNotFoundError, OptionError, SaveModeError
 from vectable.sources.catalog import create_collection
-from vectable.sources.collection import list_partitions, read_collection
-from vectable.sources.facade import register
-from vectable.workload.recipes import HELLO, HELLO_AUTO, HELLO_FN, HELLO_NULLS, kept_collection, new_collection
-
-NAMES = ("vectable", "vectable.sources.facade.VectableDataSource")
-
-
-@pytest.fixture(autouse=True)
-def registered(spark):
-    register(spark)
-
-
-def by_name(spark, options, name="vectable"):
-    return spark.read.format(name).option("uri", options.uri).option("collection", options.collection).load()
+from vectable.sources.collection import read_collection
+from vectable.sources.facade import reader, writer
+from vectable.workload.recipes import HELLO, HELLO_AUTO, kept_collection
 
 
 def comparable(df):
-    return df.withColumn("vec_sparse", F.map_entries("vec_sparse"))
-
-
-@pytest.mark.parametrize("name", NAMES)
-@pytest.mark.parametrize("kept", ["hello", "hello_fn", "hello_nulls"])
-def test_reads_the_same_rows(spark, name, kept):
-    options = kept_collection(spark, SF_DIR, kept)
-    found, native = by_name(spark, options, name), read_collection(spark, options)
-    assert found.columns == native.columns
-    assert found.schema["id"].nullable is False and found.schema["id"].metadata == {"comment": "row number"}
-    assert comparable(found).exceptAll(comparable(native)).count() == 0 and found.count() == native.count()
-
-
-def test_reads_an_empty_collection(spark, uri):
-    create_collection(spark, {"uri": uri, "collection": "empty"}, HELLO)
-    assert spark.read.format("vectable").options(uri=uri, collection="empty").load().count() == 0
-
-
-def test_temporary_view(spark):
-    options = kept_collection(spark, SF_DIR, "hello")
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW by_name USING vectable OPTIONS (uri '{options.uri}', collection 'hello')"
-    )
-    assert spark.sql("SELECT count(*) FROM by_name WHERE __partition = 'p7'").first()[0] == 50
-    assert len(spark.sql("SELECT * FROM by_name LIMIT 10").collect()) == 10
+    return df.selectExpr("* EXCEPT (vec_sparse)", "map_entries(vec_sparse) AS vec_sparse")
 
 
-@pytest.mark.parametrize("kept, schema", [("hello", HELLO), ("hello_nulls", HELLO_NULLS), ("hello_fn", HELLO_FN)])
-def test_appends_the_same_rows(spark, uri, kept, schema):
-    target = {"uri": uri, "collection": "target"}
-    create_collection(spark, target, schema)
-    native = read_collection(spark, kept_collection(spark, SF_DIR, kept))
-    native.repartition(4).write.format("vectable").options(**target).mode("append").save()
-    found = read_collection(spark, target)
-    assert comparable(found).exceptAll(comparable(native)).count() == 0 and found.count() == native.count()
+def test_reads_and_appends_the_same_rows(spark, uri):
+    held = kept_collection(spark, SF_DIR, "hello")
+    found = reader(spark).option("uri", held.uri).option("collection", "hello").load()
+    create_collection(spark, {"uri": uri, "collection": "target"}, HELLO)
+    writer(found).options(uri=uri, collection="target").mode("append").save()
+    stored = read_collection(spark, {"uri": uri, "collection": "target"})
+    native = read_collection(spark, held)
+    assert found.schema == native.schema
+    assert comparable(stored).exceptAll(comparable(native)).count() == 0 and stored.count() == native.count()
 
 
-def test_partition_names_are_escaped_alike(spark, uri):
-    source = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
-    tagged = source.withColumn("__partition", F.element_at(F.array(*map(F.lit, ["a b", "x=y/z", "1%", "ü", "01"])), (F.col("id") % 5 + 1).cast("int")))
-    target = {"uri": uri, "collection": "target"}
-    create_collection(spark, target, HELLO)
-    tagged.write.format("vectable").options(**target).mode("append").save()
-    assert {r[0] for r in list_partitions(spark, target).collect()} == {"a b", "x=y/z", "1%", "ü", "01"}
-    named = spark.read.format("vectable").options(**target).load()
-    assert {r[0] for r in named.select("__partition").distinct().collect()} == {"a b", "x=y/z", "1%", "ü", "01"}
+def test_columns_and_partitions_are_pruned(spark):
+    held = kept_collection(spark, SF_DIR, "hello")
+    call = reader(spark).options(uri=held.uri, collection="hello", partition="p7")
+    text = call.load().select("f9")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__partition" in text and "ReadSchema: struct<f9:string>" in text
 
 
-@pytest.mark.parametrize(
-    "column, value, message",
-    [
-        ("f9", "CAST(NULL AS STRING)", "null in the non-nullable field f9"),
-        ("f9", "repeat('x', 1025)", "text longer than 1024 in field f9"),
-        ("f10", "array(repeat('x', 1025))", "text longer than 1024 in field f10"),
-        ("f10_2", "array_repeat(1, 1025)", "more than 1024 elements in field f10_2"),
-        ("f11", "'{'", "invalid JSON in field f11"),
-        ("vec_dense", "array(1F)", "vector field vec_dense needs 8 stored elements"),
-        ("vec_binary", "array(1Y, CAST(NULL AS TINYINT))", "null element in vector field vec_binary"),
-        ("vec_sparse", "map(1L, CAST(NULL AS FLOAT))", "null value in sparse vector field vec_sparse"),
-        ("__partition", "''", "__partition is null or empty"),
-        ("f3", "300", "column f3 must be tinyint, it is int"),
-    ],
-)
-def test_bad_values_leave_nothing(spark, uri, column, value, message):
-    target = {"uri": uri, "collection": "target"}
-    create_collection(spark, target, HELLO)
-    bad = read_collection(spark, kept_collection(spark, SF_DIR, "hello")).withColumn(
-        column, F.expr(value if column == "f3" else f"IF(id = 499, {value}, {column})")
-    )
-    with pytest.raises(Exception, match=message):
-        bad.write.format("vectable").options(**target).mode("append").save()
-    assert read_collection(spark, target).count() == 0
+def test_batchsize_bounds_files_and_batches(spark, uri):
+    held = kept_collection(spark, SF_DIR, "hello")
+    target = {"uri": uri, "collection": "auto", "batchsize": 60}
+    create_collection(spark, target, HELLO_AUTO)
+    writer(read_collection(spark, held)).options(**target).save()
+    stored = read_collection(spark, target)
+    assert stored.select("id").distinct().count() == 500
+    assert stored.groupBy("_metadata.file_path").count().agg({"count": "max"}).first()[0] <= 60
 
+    def size(batch):
+        return pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-@pytest.mark.parametrize("mode", ["overwrite", "ignore", "errorifexists"])
-def test_only_append(spark, mode):
-    options = new_collection(spark, SF_DIR, "hello")
-    df = read_collection(spark, options)
-    with pytest.raises(Exception, match="(?i)append|mode"):
-        df.write.format("vectable").options(uri=options.uri, collection="hello").mode(mode).save()
-    assert read_collection(spark, options).count() == 500
+    sizes = [r.n for r in reader(spark).options(**target).map_batches(size, "n long").collect()]
+    assert sum(sizes) == 500 and max(sizes) <= 60
 
 
-def test_options_missing_collection_and_auto_ids(spark, uri):
-    for given, message in [({"uri": uri}, "collection parameter is required"), ({"collection": "c"}, "uri parameter is required"), ({"uri": uri, "collection": "gone"}, "gone does not exist in database default")]:
-        with pytest.raises(Exception, match=message):
-            spark.read.format("vectable").options(**given).load()
-    create_collection(spark, {"uri": uri, "collection": "auto"}, HELLO_AUTO)
+def test_bad_calls(spark, uri):
     df = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
-    with pytest.raises(Exception, match="append_collection"):
-        df.write.format("vectable").options(uri=uri, collection="auto").mode("append").save()
+    for given, error in (({"uri": uri}, OptionError), ({"collection": "c"}, OptionError), ({"uri": uri, "collection": "gone"}, CollectionNotFoundError)):
+        with pytest.raises(error):
+            reader(spark).options(**given).load()
+        with pytest.raises(error):
+            writer(df).options(**given).save()
+    for mode in ("overwrite", "ignore", "errorifexists"):
+        with pytest.raises(SaveModeError):
+            writer(df).options(uri=uri, collection="c").mode(mode).save()

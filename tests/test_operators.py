@@ -36,8 +36,8 @@ def test_entity_text(spark):
     entity = json.loads(to_entities(df, HELLO).first().entity)
     assert list(entity) == [f.name for f in HELLO.fields]
     assert entity["f11"] == {"path": "root/abc/path14", "size": 14, "special": True, "flags": [14, 15, 16]}
-    assert entity["f10"] == [f"string-14-{k}" for k in range(9)] and len(entity["vec_fp16"]) == 32
-    assert list(entity["vec_sparse"]) == [str(i * 50021) for i in range(14)]
+    assert entity["f10"] == [f"string-14-{k}" for k in range(9)] and len(entity["vec_fp16"]) == 128
+    assert list(entity["vec_sparse"]) == [str(i * 15013) for i in range(64)]
 
 
 def test_auto_ids_are_left_out_unless_asked_for(spark):
@@ -49,8 +49,8 @@ def test_auto_ids_are_left_out_unless_asked_for(spark):
 
 def test_json_of_every_kind_survives(spark):
     texts = ['{"b": 1, "a": [true, null, "x"]}', "[1, 2]", '"text"', '"{}"', '"7"', "7", "true", '{\n"a":\r\n1}', None]
-    rows = [(i, 1, "e", 1.0, t, "p") for i, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string, __partition string")
+    rows = [(i, 1, "t", "e", 1.0, t, "p") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, value double, props string, __partition string")
     entities = to_entities(df, EVENTS)
     assert entities.where(F.col("entity").rlike("[\r\n]")).count() == 0
     found = {r.event_id: r.props for r in from_entities(entities, EVENTS).collect()}
@@ -61,7 +61,7 @@ def test_json_of_every_kind_survives(spark):
 @pytest.mark.parametrize("bad", ["NaN", "Infinity", "-Infinity"])
 def test_endless_floats_have_no_entity(spark, bad):
     df = spark.range(1).selectExpr(
-        "id AS event_id", "1L AS user_id", "'e' AS event_type", f"double('{bad}') AS value", "'{}' AS props", "'p' AS __partition"
+        "id AS event_id", "1L AS user_id", "'t' AS ts", "'e' AS event_type", f"double('{bad}') AS value", "'{}' AS props", "'p' AS __partition"
     )
     with pytest.raises(PySparkException, match="NaN or infinity in field value"):
         to_entities(df, EVENTS).collect()
@@ -85,7 +85,68 @@ def test_batches(spark):
         return pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     sizes = [r.n for r in map_batches(df.select("id").coalesce(1), size, "n long", 60).collect()]
-    assert sum(sizes) == 500 and max(sizes) <= 60
+    assert sizes == [60] * 8 + [20]
+    for batchsize in (7, 60, 20_000):
+        found = [r.n for r in map_batches(df.select("id", "__partition"), size, "n long", batchsize).collect()]
+        planned = batch_plan(df, batchsize).agg(F.sum("batches"), F.sum("row_count")).first()
+        assert (len(found), sum(found)) == tuple(planned) and max(found) <= batchsize
+
+
+def test_a_batch_holds_one_partition(spark):
+    df = spark.range(30_000, numPartitions=2).selectExpr("id", "concat('p', id % 3) AS __partition")
+
+    def one(batch):
+        names = set(batch.column("__partition").to_pylist())
+        return pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows]), "names": pa.array([len(names)])})
+
+    found = map_batches(df, one, "n long, names long", 4000).collect()
+    assert all(r.names == 1 for r in found) and sorted(r.n for r in found) == [1000] * 6 + [4000] * 6
+
+
+JSON_TEXTS = {
+    '{"a":1}': True, "[1, 2]": True, ' "x" ': True, "null": True, "12": True, '{"a":"\\u0041\\""}': True,
+    '{"a":1} x': False, '{"a":1}}': False, '{"a":1}{"b":2}': False, '[1],"x":{"y":2}': False, '{"a":1},2': False,
+    "": False, "{": False, '{"a":1,"a":2}': False, "NaN": False, '1,"x"]': False,
+}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_only_whole_json_is_bound(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        schema = CollectionSchema([Field("j", "JSON", nullable=True)])
+        for text, right in JSON_TEXTS.items():
+            df = spark.createDataFrame([(text, "p")], "j string, __partition string")
+            if right:
+                assert to_entities(df, schema).first().entity == '{"j":' + text + "}"
+            else:
+                with pytest.raises(Exception, match="invalid JSON in field j"):
+                    to_entities(df, schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_entities_give_equal_values_or_fail(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    schema = CollectionSchema([Field("j", "JSON", nullable=True), Field("s", "SparseFloatVector", nullable=True)])
+
+    def back(entity):
+        df = spark.createDataFrame([(entity, "p")], "entity string, __partition string")
+        return from_entities(df, schema).first()
+
+    try:
+        for text in ('{"b":0.1,"a":[1,"x"]}', "12345678901234567890123456789012345678901", '"Infinity"', "1.5", '"a 1e999"', "true"):
+            assert back('{"j":' + text + ',"s":{"3":1.5}}').j == text
+        assert back('{"j":null,"s":null}').j is None
+        for text in ("1e400", "1E-400", "0.12345678901234567890123", "[123456789012345678901.5]"):
+            with pytest.raises(Exception, match="doesn't survive"):
+                back('{"j":' + text + ',"s":null}')
+        for key in ("1.5", "x", "-1", ""):
+            with pytest.raises(Exception, match="whole number"):
+                back('{"j":1,"s":{"' + key + '":1}}')
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 SEARCHED = CollectionSchema(
@@ -146,16 +207,15 @@ def decoded(values, name):
 
 
 @pytest.mark.parametrize("name", ["dense", "fp16", "bf16", "packed", "sparse"])
-@pytest.mark.parametrize("beyond_bound", [False, True])
-def test_top_k_equals_brute_force(spark, vectors, monkeypatch, name, beyond_bound):
-    monkeypatch.setattr(topk, "TILE_ROWS", 250)
-    monkeypatch.setattr(topk, "TILE_ELEMENTS", 40)
+@pytest.mark.parametrize("many_blocks", [False, True])
+def test_top_k_equals_brute_force(spark, vectors, monkeypatch, name, many_blocks):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "SPARSE_MATCHES", 50)
     queries = vectors.where(f"id IN (0, 1, 2, 100, 555, 1001) AND {name} IS NOT NULL").selectExpr(
         "concat('q', id) AS query_id", f"{name} AS query_vector"
     )
-    bound = 2 if beyond_bound else topk.BROADCAST_QUERIES
-    df = topk.top_k(vectors, SEARCHED, name, queries, 7, broadcast_queries=bound)
+    bound = 400 if many_blocks else topk.BLOCK_BYTES
+    df = topk.top_k(vectors, SEARCHED, name, queries, 7, block_bytes=bound)
     found = sorted((r.query_id, r["rank"], r.id, round(r.score, 6)) for r in df.collect())
     def convert(v):
         return decoded(v, name) if name in ("fp16", "bf16") else v
@@ -167,16 +227,37 @@ def test_top_k_equals_brute_force(spark, vectors, monkeypatch, name, beyond_boun
     assert np.allclose([f[3] for f in found], [e[3] for e in sorted(expected)], atol=1e-6)
 
 
-def test_file_scans_are_tiled_by_position(spark, monkeypatch):
-    """Only the queries are pinned, and the result is the same as with shipped queries."""
-    monkeypatch.setattr(topk, "TILE_ROWS", 100)
-    df = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
-    queries = df.selectExpr("id AS query_id", "vec_dense AS query_vector").where("id % 2 = 0")
-    tiled = topk.top_k(df, HELLO, "vec_dense", queries, 3, broadcast_queries=10)
-    text = tiled._jdf.queryExecution().executedPlan().toString()
-    assert "FlatMapCoGroupsInArrow" in text and text.count("Scan ExistingRDD") == 1 and "FileScan parquet" in text
-    whole = topk.top_k(df, HELLO, "vec_dense", queries, 3)
-    assert tiled.exceptAll(whole).count() == 0 and tiled.count() == whole.count() == 750
+def test_bad_queries_are_errors(spark, vectors):
+    good = vectors.where("id < 3").selectExpr("id AS query_id", "dense AS query_vector")
+    endless = good.withColumn("query_vector", F.expr("array_repeat(float('NaN'), 8)"))
+    bad = {
+        "null id": good.withColumn("query_id", F.lit(None).cast("long")),
+        "null id or vector": good.withColumn("query_vector", F.lit(None).cast("array<float>")),
+        "repeat": good.unionByName(good),
+        "NaN": endless,
+    }
+    for message, queries in bad.items():
+        with pytest.raises(ValueError, match=message):
+            topk.top_k(vectors, SEARCHED, "dense", queries, 1)
+    with pytest.raises(ValueError, match="exceeds"):
+        topk.top_k(vectors, SEARCHED, "dense", good, 1, block_bytes=8)
+
+
+def test_endless_rows_rank_last(spark):
+    schema = CollectionSchema([Field("id", "Int64", primary_key=True), Field("v", "FloatVector", dim=2, metric="COSINE")])
+    df = spark.sql(
+        "SELECT * FROM VALUES (1L, array(1F, 0F)), (2L, array(float('NaN'), 1F)), (3L, array(-1F, 0F)),"
+        " (4L, array(1F, float('Infinity'))) AS t(id, v)"
+    )
+    found = topk.top_k(df, schema, "v", spark.sql("SELECT 1 AS query_id, array(1F, 0F) AS query_vector"), 10)
+    assert [(r.id, r.score) for r in found.orderBy("rank").collect()] == [(1, 1.0), (3, -1.0), (2, None), (4, None)]
+
+
+def test_text_keys_are_kept_whole(spark):
+    schema = CollectionSchema([Field("id", "VarChar", primary_key=True), SEARCHED["packed"]])
+    df = spark.createDataFrame([("a\0",), ("a",), ("b" * 70_000,)], "id string").selectExpr("id", "array(1Y, 2Y) AS packed")
+    queries = spark.sql("SELECT 1 AS query_id, array(1Y, 2Y) AS query_vector")
+    assert [r.id for r in topk.top_k(df, schema, "packed", queries, 3).orderBy("rank").collect()] == ["a", "a\0", "b" * 70_000]
 
 
 def test_k_beyond_the_rows_and_no_queries(spark, vectors):
@@ -208,8 +289,8 @@ def test_field_without_metric_is_not_searched(spark, vectors):
 
 def test_collection_is_scanned_without_a_shuffle(spark):
     df = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
-    queries = spark.sql("SELECT 1 AS query_id, array_repeat(1F, 8) AS query_vector")
+    queries = spark.sql("SELECT 1 AS query_id, array_repeat(1F, 64) AS query_vector")
     text = topk.top_k(df, HELLO, "vec_dense", queries, 3)._jdf.queryExecution().executedPlan().toString()
     scan = text[text.index("MapInArrow") :]
     assert "Exchange" not in scan and "IsNotNull(vec_dense)" in scan and "f9" not in scan
-    assert text.count("WindowGroupLimit") == 2
+    assert text.count("WindowGroupLimit") == 4

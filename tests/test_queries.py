@@ -5,8 +5,10 @@ from conftest import SF_DIR
 from oracle import differences, duck
 
 import __spark_entry__ as entry
+from vectable.workload.oracles import oracles
+from vectable.workload.queries import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,11 +13,11 @@ from vectable.plans.schema import PARTITION_COLUMN
 
 
 def batch_plan(df: DataFrame, batchsize: int) -> DataFrame:
-    """Rows of each partition and how many batches of ``batchsize`` fetch them."""
+    """Rows of each partition, and in how many batches ``map_batches`` delivers them."""
     rows = F.count(F.lit(1))
-    return df.groupBy(PARTITION_COLUMN).agg(
-        rows.alias("row_count"), F.ceil(rows / F.lit(batchsize)).alias("batches")
-    )
+    per_task = df.select(PARTITION_COLUMN, F.spark_partition_id().alias("task")).groupBy(PARTITION_COLUMN, "task")
+    counted = per_task.agg(rows.alias("rows"), F.ceil(rows / F.lit(batchsize)).alias("batches"))
+    return counted.groupBy(PARTITION_COLUMN).agg(F.sum("rows").alias("row_count"), F.sum("batches").alias("batches"))
 
 
 def map_batches(
@@ -27,14 +26,37 @@ def map_batches(
     schema: T.StructType | str,
     batchsize: int,
 ) -> DataFrame:
-    """Apply ``func`` to the rows of ``df``, at most ``batchsize`` at a time.
+    """Apply ``func`` to the rows of ``df``, ``batchsize`` at a time.
 
-    Tasks work on their own splits side by side; batches do not cross them.
+    Tasks work on their own splits side by side. A batch holds rows of one ``__partition`` of one
+    split, and only the last batch of each is smaller. Without that column a split is one partition.
     """
+    tagged = PARTITION_COLUMN in df.columns
 
     def in_batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, list[pa.RecordBatch]] = {}
         for batch in incoming:
-            for i in range(math.ceil(batch.num_rows / batchsize)):
-                yield func(batch.slice(i * batchsize, batchsize))
+            for name, part in _by_partition(batch) if tagged else [(None, batch)]:
+                waiting = held.setdefault(name, [])
+                waiting.append(part)
+                if sum(b.num_rows for b in waiting) >= batchsize:
+                    whole = pa.concat_batches(waiting)
+                    full = whole.num_rows // batchsize * batchsize
+                    for start in range(0, full, batchsize):
+                        yield func(whole.slice(start, batchsize))
+                    held[name] = [whole.slice(full)]
+        for waiting in held.values():
+            if sum(b.num_rows for b in waiting):
+                yield func(pa.concat_batches(waiting))
 
     return df.mapInArrow(in_batches, schema)
+
+
+def _by_partition(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The batch in runs of rows of one partition."""
+    names = batch.column(PARTITION_COLUMN).to_pylist()
+    start = 0
+    for end in range(1, len(names) + 1):
+        if end == len(names) or names[end] != names[start]:
+            yield names[start], batch.slice(start, end - start)
+            start = end

@@ -61,13 +61,17 @@ def _finite(spec: Field) -> Column:
     def endless(x: Column) -> Column:
         return F.isnan(x) | (F.abs(x) == float("inf"))
 
+    def any_endless(values: Column) -> Column:
+        # NaN sorts above infinity.
+        return (F.array_max(values) >= float("inf")) | (F.array_min(values) == float("-inf"))
+
     kind = spec.spark_type
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         bad = endless(value)
     elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
-        bad = F.exists(value, endless)
+        bad = any_endless(value)
     elif isinstance(kind, T.MapType):
-        bad = F.exists(F.map_values(value), endless)
+        bad = any_endless(F.map_values(value))
     else:
         return value
     error = F.raise_error(F.lit(f"NaN or infinity in field {spec.name} has no JSON form")).cast(kind)
@@ -81,28 +85,54 @@ def from_entities(
 
     Numbers are parsed wide and then range-checked, so a value too large for its
     field fails the job instead of turning into null. JSON fields come back with the
-    same content and key order, but without blanks and with numbers respelled; JSON
-    ``null`` comes back as a null field.
+    same values and key order, but without blanks and with numbers respelled; JSON
+    ``null`` comes back as a null field. An entity with a fraction of more than 17
+    digits or beyond the doubles fails the job if there are JSON fields, and so does a
+    sparse key that isn't a whole number.
     """
     fields = _fields(schema, auto_ids)
+    json_fields = [f for f in fields if f.type == "JSON"]
     wide = T.StructType([T.StructField(f.name, _wide(f.spark_type)) for f in fields])
-    parsed = df.select(
-        F.from_json(F.col(entity), wide, {"mode": "FAILFAST"}).alias("row"),
-        F.col(entity).alias("text"),
-        PARTITION_COLUMN,
-    )
-    # A JSON string loses its quotes in from_json; a second, typed parse tells it apart.
-    typed = F.parse_json(F.col("text"))
-    columns = []
+    columns = [F.from_json(F.col(entity), wide, {"mode": "FAILFAST"}).alias("row")]
+    if json_fields:
+        # A JSON string loses its quotes as text; only the JSON members are parsed again to tell.
+        typed = T.StructType([T.StructField(f.name, T.VariantType()) for f in json_fields])
+        columns.append(F.from_json(F.col(entity), typed, {"mode": "FAILFAST"}).alias("typed"))
+    parsed = df.select(*columns, F.col(entity).alias("text"), PARTITION_COLUMN)
+    out = []
     for spec in fields:
         value = F.col("row").getField(spec.name)
         if spec.type == "JSON":
-            member = F.variant_get(typed, f"$[{json.dumps(spec.name, ensure_ascii=False)}]", "variant")
-            value = F.when(F.schema_of_variant(member) == "STRING", F.to_json(member)).otherwise(value)
+            value = _json_text(value, F.col("typed").getField(spec.name), spec)
         elif isinstance(spec.spark_type, T.MapType):
-            value = F.transform_keys(value, lambda k, _: k.cast("bigint"))
-        columns.append(value.alias(spec.name))
-    return bind(parsed.select(*columns, PARTITION_COLUMN), schema, fields)
+            value = _whole_keys(value, spec)
+        out.append(value.alias(spec.name))
+    return bind(parsed.select(*out, PARTITION_COLUMN), schema, fields)
+
+
+# A JSON string, and fractions that a double doesn't hold: of 18 digits or more, too large, too small.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_LOSSY = (
+    r"(?<![0-9.])0\.0*[1-9][0-9]{17}|(?<![0-9.])(?=(?:[0-9]\.?){18})[1-9][0-9]*\.[0-9]|[1-9][0-9]{17,}[eE]"
+    r"|[eE]\+?0*(?:309|3[1-9][0-9]|[4-9][0-9]{2}|[1-9][0-9]{3,})"
+    r"|[eE]-0*(?:32[5-9]|3[3-9][0-9]|[4-9][0-9]{2}|[1-9][0-9]{3,})"
+)
+
+
+def _json_text(value: Column, member: Column, spec: Field) -> Column:
+    """The member as JSON text."""
+    lossy = F.regexp_replace("text", _STRING, "").rlike(_LOSSY)
+    error = F.raise_error(F.lit(f"an entity with JSON field {spec.name} has a number that doesn't survive parsing"))
+    quoted = F.when(F.schema_of_variant(member) == "STRING", F.to_json(member)).otherwise(value)
+    return F.when(lossy, error.cast("string")).otherwise(quoted)
+
+
+def _whole_keys(value: Column, spec: Field) -> Column:
+    keys = F.map_keys(value)
+    odd = F.size(F.filter(keys, lambda k: ~k.rlike("^[0-9]+$"))) > 0
+    error = F.raise_error(F.lit(f"a key of sparse vector field {spec.name} isn't a whole number"))
+    typed = F.transform_keys(value, lambda k, _: k.cast("bigint"))
+    return F.when(odd, error.cast("map<bigint,double>")).otherwise(typed)
 
 
 def _wide(kind: T.DataType) -> T.DataType:

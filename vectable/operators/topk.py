@@ -1,10 +1,10 @@
 """Exact top-k search by the metric a vector field declares.
 
-The collection is scanned once and never shuffled. A query set within the size
-bound is shipped to every task, which scores its rows in numpy blocks and keeps the
-best ``k`` per query as it goes, so only ``k`` rows per query and task reach the
-final ranking. A larger query set is cut into tiles (see ``_tiled``). Scored pairs
-never become rows.
+Queries are cut into blocks of bounded size by a hash of their id. For each block the
+collection is scanned once and never shuffled: the block is shipped to every task, which
+scores its rows in numpy and keeps the best ``k`` per query as it goes. The final ranking
+has two steps, first among the tasks of one bucket and then among the buckets, so no task
+ranks what all tasks kept. Scored pairs never become rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,18 +26,19 @@ from vectable.plans.schema import CollectionSchema
 from vectable.plans.sqltext import quoted_name
 from vectable.workspace import pinned
 
-# Query sets up to both bounds are shipped to the tasks.
-BROADCAST_QUERIES = 4096
-BROADCAST_BYTES = 64 << 20
-# Beyond the bound: what one tile of rows or of queries may hold on average.
-TILE_ELEMENTS = 8_000_000
-TILE_ROWS = 1_000_000
-# Queries scored together in a tile, and scores held at once in a task.
+# What one block of queries may hold, as Arrow bytes, on the driver and in each task.
+BLOCK_BYTES = 64 << 20
+# Queries scored together, scores held at once, and sparse matches held at once in a task.
 QUERY_BLOCK = 2048
 SCORE_CELLS = 1 << 22
+SPARSE_MATCHES = 1 << 22
+# Buckets of tasks whose rows are ranked together first.
+RANK_BUCKETS = 256
 # Scores are compared at this many decimals, so equal vectors tie whatever order a
 # block product adds them in; ties go to the smaller id.
 SCORE_DECIMALS = 12
+# The place of rows whose vector has a non-finite element: after all others, without a score.
+LAST = 1e200
 
 # From a block of queries to a function that scores a block of rows against it.
 Scorer = Callable[[pa.Array], Callable[[pa.Array], np.ndarray]]
@@ -60,14 +61,20 @@ def top_k(
     k: int,
     query_id: str = "query_id",
     query_vector: str = "query_vector",
-    broadcast_queries: int = BROADCAST_QUERIES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest rows for every row of ``queries``, by the field's metric.
 
     Returns ``query_id, rank, id, score`` where ``id`` is the primary key. COSINE and
     IP rank the largest score first, HAMMING the smallest. Rows without a vector are
     never returned; a sparse row must share a dimension with the query; a zero vector
-    has cosine 0. ``queries`` hold vectors stored the same way as the field.
+    has cosine 0. A row whose vector has a NaN or infinite element ranks after all
+    others and has a null score. ``queries`` hold vectors stored the same way as the
+    field. Query ids that are null or repeat, and query vectors that are null, have a
+    non-finite element or exceed ``block_bytes``, are errors.
+
+    One block of queries is one scan, planned lazily. Several are ranked one after the
+    other, and their results kept in the shared folder, so the driver holds one block.
     """
     spec = schema[vector]
     if (spec.type, spec.metric) not in SEARCHES:
@@ -80,23 +87,71 @@ def top_k(
     columns = [F.col(quoted_name(key.name)).alias("id"), F.col(quoted_name(vector)).alias("vector")]
     rows = collection.select(*columns).where(F.col("vector").isNotNull())
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("vector"))
-    asked = asked.where(F.col("query_id").isNotNull() & F.col("vector").isNotNull())
+    blocks = _blocks(asked, block_bytes)
+    search = _Search(spec.type, k)
+    results = []
+    for number in range(blocks):
+        own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
+        held = own.toArrow().combine_chunks()
+        if held.nbytes > 2 * block_bytes:
+            raise ValueError(f"a block of queries has {held.nbytes} bytes, more than twice {block_bytes}")
+        shared = rows.sparkSession.sparkContext.broadcast(held)
+        ranked = _ranked(_scan(rows, shared, search, asked), spec.metric, k)
+        if blocks > 1:
+            ranked = pinned(ranked)
+            shared.unpersist()
+        results.append(ranked)
+    whole = results[0]
+    for result in results[1:]:
+        whole = whole.unionByName(result)
+    return whole
+
+
+def _blocks(asked: DataFrame, block_bytes: int) -> int:
+    """How many blocks hold the queries, which are checked on the way."""
+    kind = asked.schema["vector"].dataType
+    per_element = 12 if isinstance(kind, T.MapType) else _width(kind.elementType)
+    size = F.coalesce(F.size("vector"), F.lit(0)).cast("long") * per_element
+    found = asked.agg(
+        F.sum(size).alias("bytes"),
+        F.max(size).alias("largest"),
+        F.sum(F.when(F.col("query_id").isNull() | F.col("vector").isNull(), 1).otherwise(0)).alias("nulls"),
+        F.sum(_endless(kind)).alias("endless"),
+    ).first()
+    if found["nulls"]:
+        raise ValueError(f"{found['nulls']} queries have a null id or vector")
+    if found["endless"]:
+        raise ValueError(f"{found['endless']} query vectors have a NaN or infinite element")
+    if (found["largest"] or 0) > block_bytes:
+        raise ValueError(f"a query vector of {found['largest']} bytes exceeds {block_bytes}")
+    if not asked.groupBy("query_id").count().where("count > 1").isEmpty():
+        raise ValueError("query ids repeat")
+    return max(1, math.ceil(2 * (found["bytes"] or 0) / block_bytes))
+
+
+def _width(element: T.DataType) -> int:
+    return {T.ByteType: 1, T.FloatType: 4}.get(type(element), 8)
+
+
+def _endless(kind: T.DataType) -> Column:
+    """1 where a vector of numbers has a NaN or infinite element; NaN sorts above infinity."""
+    values = F.map_values("vector") if isinstance(kind, T.MapType) else F.col("vector")
+    number = kind.valueType if isinstance(kind, T.MapType) else kind.elementType
+    if not isinstance(number, (T.FloatType, T.DoubleType)):
+        return F.lit(0)
+    bad = (F.array_max(values) >= float("inf")) | (F.array_min(values) == float("-inf"))
+    return F.when(bad, 1).otherwise(0)
+
+
+def _scan(rows: DataFrame, shared, search: _Search, asked: DataFrame) -> DataFrame:
     out = T.StructType(
-        [asked.schema["query_id"], rows.schema["id"], T.StructField("score", T.DoubleType())]
+        [
+            asked.schema["query_id"],
+            rows.schema["id"],
+            T.StructField("score", T.DoubleType()),
+            T.StructField("bucket", T.IntegerType()),
+        ]
     )
-    search = _Search(spec.type, k)
-    sample = asked.limit(broadcast_queries + 1).toArrow()
-    if sample.num_rows <= broadcast_queries and sample.nbytes <= BROADCAST_BYTES:
-        candidates = _broadcast(rows, sample, search, out)
-    else:
-        candidates = _tiled(_located(collection, columns), asked, search, out)
-    best = F.col("score") if spec.metric == "HAMMING" else F.col("score").desc()
-    ranked = candidates.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(best, "id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
-
-
-def _broadcast(rows: DataFrame, queries: pa.Table, search: _Search, out: T.StructType) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(queries.combine_chunks())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = _only_batch(shared.value)
@@ -106,59 +161,13 @@ def _broadcast(rows: DataFrame, queries: pa.Table, search: _Search, out: T.Struc
     return rows.mapInArrow(scan, out)
 
 
-def _located(collection: DataFrame, columns: list[Column]) -> DataFrame:
-    """The searched rows, with the hashed place each has in its file if they come from files."""
-    try:
-        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("position")
-        rows = collection.select(*columns, place)
-    except AnalysisException:
-        rows = collection.select(*columns)
-    return rows.where(F.col("vector").isNotNull())
-
-
-def _tiled(rows: DataFrame, queries: DataFrame, search: _Search, out: T.StructType) -> DataFrame:
-    """Score every (row tile, query tile) combination in a task of bounded size.
-
-    Rows are dealt to tiles evenly whatever their ids or values, so copies of one row
-    cannot pile up. A recomputed task must not deal again: rows of a file scan are
-    dealt by file and position, others are pinned in the shared folder first. Tiles are
-    as large as a task can hold, because every row is shuffled once per query tile.
-    """
-    tiles = {"row_tile": _tiles(rows), "query_tile": _tiles(queries)}
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        each = F.explode(F.sequence(F.lit(0), F.lit(tiles[other] - 1)))
-        if "position" in df.columns:
-            placed = df.withColumn(own, _tile_of("position", tiles[own])).drop("position")
-        else:
-            placed = df.withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
-            placed = pinned(placed.withColumn(own, _tile_of("position", tiles[own])).drop("position"))
-        return placed.withColumn(other, each)
-
-    left = dealt(rows, "row_tile", "query_tile").groupBy("row_tile", "query_tile")
-    right = dealt(queries, "query_tile", "row_tile").groupBy("row_tile", "query_tile")
-
-    def tile(row_table: pa.Table, query_table: pa.Table) -> pa.Table:
-        found = []
-        asked = _only_batch(query_table.select(["query_id", "vector"]).combine_chunks())
-        for start in range(0, 0 if asked is None else asked.num_rows, QUERY_BLOCK):
-            found += search.run(asked.slice(start, QUERY_BLOCK), row_table.to_batches())
-        if not found:
-            kinds = (query_table.schema.field("query_id").type, row_table.schema.field("id").type, pa.float64())
-            return pa.table([pa.array([], t) for t in kinds], names=["query_id", "id", "score"])
-        return pa.Table.from_batches(found)
-
-    return left.cogroup(right).applyInArrow(tile, out)
-
-
-def _tile_of(position: str, tiles: int) -> Column:
-    return F.pmod(F.col(position), F.lit(tiles)).cast("int")
-
-
-def _tiles(df: DataFrame) -> int:
-    elements = F.size("vector").cast("bigint")
-    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(elements), F.lit(0))).first()
-    return max(1, math.ceil(rows / TILE_ROWS), math.ceil(held / TILE_ELEMENTS))
+def _ranked(candidates: DataFrame, metric: str, k: int) -> DataFrame:
+    """The best ``k`` per query, first of every bucket of tasks and then of all."""
+    best = F.col("score").asc_nulls_last() if metric == "HAMMING" else F.col("score").desc_nulls_last()
+    for keys in (["query_id", "bucket"], ["query_id"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(best, "id"))
+        candidates = candidates.withColumn("rank", place).where(F.col("rank") <= k)
+    return candidates.select("query_id", "rank", "id", "score")
 
 
 def _only_batch(table: pa.Table) -> pa.RecordBatch | None:
@@ -170,7 +179,7 @@ def _only_batch(table: pa.Table) -> pa.RecordBatch | None:
 
 @dataclass(frozen=True)
 class _Search:
-    """Scores Arrow batches of ``id, vector`` against a block of queries.
+    """Scores Arrow batches of ``id, vector`` against queries, ``QUERY_BLOCK`` at a time.
 
     Scorers return a (queries x rows) block in which smaller is better and infinite
     is out of reach.
@@ -180,22 +189,31 @@ class _Search:
     k: int
 
     def run(self, queries: pa.RecordBatch, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The best ``k`` rows per query over all ``batches``, as ``query_id, id, score``."""
-        score = _SCORERS[self.kind](queries.column("vector"))
-        step = max(1, SCORE_CELLS // queries.num_rows)
-        kept = _Kept(self.k, queries.num_rows)
+        """The best ``k`` rows per query over all ``batches``, as ``query_id, id, score, bucket``."""
+        parts = [queries.slice(i, QUERY_BLOCK) for i in range(0, queries.num_rows, QUERY_BLOCK)]
+        states = [(_SCORERS[self.kind](p.column("vector")), _Kept(self.k, p.num_rows), p) for p in parts]
+        step = max(1, SCORE_CELLS // min(queries.num_rows, QUERY_BLOCK))
         id_type = None
         for batch in batches:
             id_type = batch.schema.field("id").type
             for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                kept.add(score(part.column("vector")), _sortable(part.column("id")))
-        if kept.numbers is not None and len(kept.numbers):
-            ids = kept.ids.tolist() if kept.ids.dtype.kind == "U" else kept.ids
+                rows = batch.slice(start, step)
+                for score, kept, _ in states:
+                    kept.add(score(rows.column("vector")), rows.column("id"))
+        context = TaskContext.get()
+        bucket = context.partitionId() % RANK_BUCKETS if context else 0
+        for _, kept, part in states:
+            if kept.numbers is None or not len(kept.numbers):
+                continue
             scores = kept.order if self.kind == "BinaryVector" else -kept.order
             yield pa.RecordBatch.from_arrays(
-                [queries.column("query_id").take(pa.array(kept.numbers)), pa.array(ids, id_type), pa.array(scores)],
-                names=["query_id", "id", "score"],
+                [
+                    part.column("query_id").take(pa.array(kept.numbers)),
+                    pa.array(kept.ids.tolist(), id_type),
+                    pa.array(scores, mask=kept.order >= LAST),
+                    pa.array(np.full(len(scores), bucket, np.int32)),
+                ],
+                names=["query_id", "id", "score", "bucket"],
             )
 
 
@@ -210,7 +228,7 @@ class _Kept:
         self.order: np.ndarray | None = None
         self.ids: np.ndarray | None = None
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, scores: np.ndarray, ids: pa.Array) -> None:
         unset = np.flatnonzero(np.isinf(self.bars))
         if len(unset) and scores.shape[1] > self.k:
             self.bars[unset] = np.partition(scores[unset], self.k - 1, axis=1)[:, self.k - 1]
@@ -218,14 +236,16 @@ class _Kept:
         most = np.finfo(scores.dtype).max
         limits = np.where(np.isinf(self.bars), most, self.bars + 2 * 10.0**-SCORE_DECIMALS)
         numbers, rows = np.nonzero(scores <= limits.astype(scores.dtype)[:, None])
-        found = numbers, np.round(scores[numbers, rows].astype(np.float64), SCORE_DECIMALS), ids[rows]
+        found = numbers, np.round(scores[numbers, rows].astype(np.float64), SCORE_DECIMALS), _ids(ids, rows)
         if self.numbers is not None:
             kept = self.numbers, self.order, self.ids
             found = tuple(np.concatenate(pair) for pair in zip(kept, found))
         self._rank(*found)
 
     def _rank(self, numbers: np.ndarray, order: np.ndarray, ids: np.ndarray) -> None:
-        by = np.lexsort((ids, order, numbers))
+        # Text is ranked among the candidates only; code points sort as UTF-8 does.
+        codes = np.unique(ids, return_inverse=True)[1] if ids.dtype == object else ids
+        by = np.lexsort((codes, order, numbers))
         sizes = np.bincount(numbers, minlength=len(self.bars))
         place = np.arange(len(by)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         last = by[place == self.k - 1]
@@ -235,10 +255,14 @@ class _Kept:
         self.numbers, self.order, self.ids = numbers[chosen], order[chosen], ids[chosen]
 
 
-def _sortable(ids: pa.Array) -> np.ndarray:
+def _ids(ids: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """The keys of the given rows; texts as they are, not as fixed-width ones."""
     if pa.types.is_integer(ids.type):
-        return ids.to_numpy(zero_copy_only=False)
-    return np.array(ids.to_pylist(), dtype=str)
+        return ids.to_numpy(zero_copy_only=False)[rows]
+    distinct, inverse = np.unique(rows, return_inverse=True)
+    texts = np.empty(len(distinct), object)
+    texts[:] = ids.take(pa.array(distinct)).to_pylist()
+    return texts[inverse]
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -254,12 +278,21 @@ def _cosines(read: Callable[[np.ndarray], np.ndarray]) -> Scorer:
 
     def units(vectors: pa.Array) -> np.ndarray:
         dense = read(_matrix(vectors)).astype(np.float64)
+        finite = np.isfinite(dense).all(axis=1)
+        dense[~finite] = 0
         norms = np.linalg.norm(dense, axis=1, keepdims=True)
-        return np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0)
+        return np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0), finite
 
     def against(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
-        asked = -units(queries)
-        return lambda vectors: asked @ units(vectors).T
+        asked, sound = units(queries)
+        if not sound.all():
+            raise ValueError("a query vector has a NaN or infinite element")
+
+        def score(vectors: pa.Array) -> np.ndarray:
+            stored, finite = units(vectors)
+            return np.where(finite, -asked @ stored.T, LAST)
+
+        return score
 
     return against
 
@@ -296,17 +329,24 @@ def _sparse_products(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
 
     def score(vectors: pa.Array) -> np.ndarray:
         rows, row_dims, row_weights = _entries(vectors)
+        finite = np.ones(len(vectors), bool)
+        finite[rows[~np.isfinite(row_weights)]] = False
+        row_weights = np.where(np.isfinite(row_weights), row_weights, 0)
         first = np.searchsorted(dims, row_dims, "left")
         shared = np.searchsorted(dims, row_dims, "right") - first
-        # One line per row entry and query entry of the same dimension.
-        entry = np.repeat(np.arange(len(rows)), shared)
-        step = np.arange(len(entry)) - np.repeat(np.cumsum(shared) - shared, shared)
-        match = first[entry] + step
-        cell = numbers[match] * len(vectors) + rows[entry]
+        ends = np.cumsum(shared)
         cells = len(queries) * len(vectors)
-        products = np.bincount(cell, row_weights[entry] * weights[match], cells)
-        touched = np.bincount(cell, minlength=cells) > 0
-        return np.where(touched, -products, np.inf).reshape(len(queries), len(vectors))
+        products, touched = np.zeros(cells), np.zeros(cells, bool)
+        # One line per row entry and query entry of the same dimension, so many at once.
+        for start in range(0, int(ends[-1]) if len(ends) else 0, SPARSE_MATCHES):
+            line = np.arange(start, min(start + SPARSE_MATCHES, int(ends[-1])))
+            entry = np.searchsorted(ends, line, "right")
+            match = first[entry] + line - (ends[entry] - shared[entry])
+            cell = numbers[match] * len(vectors) + rows[entry]
+            products += np.bincount(cell, row_weights[entry] * weights[match], cells)
+            touched |= np.bincount(cell, minlength=cells) > 0
+        block = np.where(touched, -products, np.inf).reshape(len(queries), len(vectors))
+        return np.where(finite | np.isinf(block), block, LAST)
 
     return score
 

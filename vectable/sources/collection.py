@@ -14,8 +14,9 @@ from vectable.plans.errors import SaveModeError
 from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema
 from vectable.plans.sqltext import quoted_name
+from vectable.sources.autoid import auto_ids
 from vectable.sources.catalog import Options, load_schema
-from vectable.sources.tables import repair_table
+from vectable.sources.tables import add_partitions, partition_names
 
 # Salts per shuffle partition when adaptive execution cannot split a hot partition value:
 # enough that hashing spreads one value evenly over all writers.
@@ -36,8 +37,11 @@ def read_collection(spark: SparkSession, options: Options, partition: str | None
 
 
 def list_partitions(spark: SparkSession, options: Options) -> DataFrame:
-    """Partition names that hold rows; reads file footers, no column data."""
-    return read_collection(spark, options).select(PARTITION_COLUMN).distinct()
+    """Partition names that hold rows, from the directory names; no file is opened."""
+    opts = CollectionOptions.of(options)
+    load_schema(spark, opts)
+    names = partition_names(spark, opts.data_path)
+    return spark.createDataFrame([(n,) for n in names], f"{PARTITION_COLUMN} string")
 
 
 def append_collection(
@@ -65,12 +69,14 @@ def append_collection(
     schema = load_schema(spark, opts)
     bound = bind(df, schema)
     routed = bound if aligned else _route(bound)
-    writer = _with_auto_ids(routed, schema, opts).write.mode("append").partitionBy(PARTITION_COLUMN)
-    if opts.batchsize_given:
-        writer = writer.option("maxRecordsPerFile", opts.batchsize)
-    writer.parquet(opts.data_path)
+    before = set(partition_names(spark, opts.data_path)) if table is not None else set()
+    with auto_ids(routed, schema, opts) as filled:
+        writer = filled.write.mode("append").partitionBy(PARTITION_COLUMN)
+        if opts.batchsize_given:
+            writer = writer.option("maxRecordsPerFile", opts.batchsize)
+        writer.parquet(opts.data_path)
     if table is not None:
-        repair_table(spark, table)
+        add_partitions(spark, table, [n for n in partition_names(spark, opts.data_path) if n not in before])
 
 
 def copy_collection(spark: SparkSession, source: Options, target: Options) -> None:
@@ -89,23 +95,9 @@ def _route(df: DataFrame) -> DataFrame:
     adaptive = conf.get("spark.sql.adaptive.enabled") == "true"
     if adaptive and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true":
         return df.hint("rebalance", PARTITION_COLUMN)
-    # The salt comes from the row's content, so a recomputed task routes it the same way.
+    # Content and task, both the same when a task is recomputed; equal rows of many tasks spread by
+    # the task, and of one task by their place in it.
     plain = [quoted_name(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
     salts = SALTS_PER_WRITER * int(conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*plain), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*plain, F.monotonically_increasing_id()), F.lit(salts))
     return df.repartition(PARTITION_COLUMN, salt)
-
-
-def _with_auto_ids(df: DataFrame, schema: CollectionSchema, opts: CollectionOptions) -> DataFrame:
-    """Fill the auto-id field, in field order.
-
-    Ids are drawn in the writing stage, after routing: a lost task is replaced as a
-    whole together with its uncommitted file, so no id is ever handed out twice.
-    """
-    spec = schema.auto_id_field
-    if spec is None:
-        return df
-    highest = read_collection(df.sparkSession, opts).agg(F.max(quoted_name(spec.name))).first()[0]
-    first = 0 if highest is None else highest + 1
-    names = [quoted_name(f.name) for f in schema.visible_fields] + [PARTITION_COLUMN]
-    return df.withColumn(spec.name, F.monotonically_increasing_id() + F.lit(first)).select(*names)

@@ -1,243 +1,71 @@
-"""``format("vectable")``: the collection source by name, for reads and appends.
+"""Reads and writes in the shape of option calls, over the native scan and append.
 
-``register(spark)`` makes the short name and the full class name usable with
-``spark.read.format``, ``df.write.format`` and ``CREATE TEMPORARY VIEW … USING``.
-Spark hands a Python source no pushed filters or pruned columns, so every scan here
-reads whole rows; ``sources.collection`` plans the same scan natively and is the way
-to read a large collection.
-
-Rows never pass the driver: each Parquet file is one input partition, each task
-writes its own files, and committing moves the finished files into place.
+``reader(spark).option(...).load()`` and ``writer(df).option(...).mode("append").save()`` take the
+options ``uri``, ``database``, ``collection``, ``batchsize`` and ``token``. They plan what
+``read_collection`` and ``append_collection`` plan, so columns and partitions are pruned, files
+are split, and binding, auto ids and file systems are the same.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from urllib.parse import unquote
+from collections.abc import Callable
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceArrowWriter,
-    DataSourceReader,
-    InputPartition,
-    WriterCommitMessage,
-)
-
-from vectable.plans.errors import CollectionNotFoundError, SaveModeError, SchemaError
+
+from vectable.operators.batches import map_batches
 from vectable.plans.options import CollectionOptions
-from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
-
-FORMAT_NAME = "vectable"
-# Characters Spark writes as %XX in partition directories, besides controls.
-_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f")
-
-
-def register(spark: SparkSession) -> None:
-    """Make ``format("vectable")`` and the full class name known to the session."""
-    spark.dataSource.register(VectableDataSource)
-    spark.dataSource.register(_ByClassName)
-
-
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
-def _load(options: CollectionOptions) -> CollectionSchema:
-    files, path = _filesystem(options.descriptor_path)
-    if files.get_file_info(path).type != fs.FileType.File:
-        raise CollectionNotFoundError(
-            f"Collection {options.collection} does not exist in database {options.database}"
-        )
-    with files.open_input_stream(path) as stream:
-        return CollectionSchema.from_json(stream.read().decode("utf-8"))
-
-
-class VectableDataSource(DataSource):
-    """One collection, located by the same options as ``CollectionOptions``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT_NAME
-
-    def _opened(self) -> tuple[CollectionOptions, CollectionSchema]:
-        options = CollectionOptions.of(dict(self.options))
-        return options, _load(options)
-
-    def schema(self) -> T.StructType:
-        return self._opened()[1].struct
-
-    def reader(self, schema: T.StructType) -> CollectionReader:
-        options, definition = self._opened()
-        return CollectionReader(options, [f.name for f in definition.visible_fields])
-
-    def writer(self, schema: T.StructType, overwrite: bool) -> CollectionWriter:
-        if overwrite:
-            raise SaveModeError("Only Append mode is supported, not overwrite")
-        options, definition = self._opened()
-        if definition.auto_id_field is not None:
-            raise SchemaError("auto ids need sources.collection.append_collection")
-        wanted = {**{f.name: f.spark_type for f in definition.insert_fields}, PARTITION_COLUMN: T.StringType()}
-        given = {f.name: f.dataType for f in schema.fields}
-        for name, kind in wanted.items():
-            found = given.get(name)
-            if found is None or found.simpleString() != kind.simpleString():
-                shown = "missing" if found is None else found.simpleString()
-                raise SchemaError(
-                    f"column {name} must be {kind.simpleString()}, it is {shown};"
-                    " sources.collection.append_collection casts"
-                )
-        return CollectionWriter(options, definition.insert_fields)
-
-
-class _ByClassName(VectableDataSource):
-    @classmethod
-    def name(cls) -> str:
-        return f"{VectableDataSource.__module__}.{VectableDataSource.__name__}"
-
-
-@dataclass
-class DataFile(InputPartition):
-    path: str
-    partition: str
-
-
-class CollectionReader(DataSourceReader):
-    def __init__(self, options: CollectionOptions, names: list[str]) -> None:
-        self.options = options
-        self.names = names
-
-    def partitions(self) -> list[DataFile]:
-        files, root = _filesystem(self.options.data_path)
-        found = []
-        for info in files.get_file_info(fs.FileSelector(root, recursive=True)):
-            folder, _, name = info.path[len(root) :].strip("/").partition("/")
-            if info.type == fs.FileType.File and name.endswith(".parquet") and name[0] not in "._":
-                found.append(DataFile(info.path, unquote(folder.removeprefix(f"{PARTITION_COLUMN}="))))
-        return found
-
-    def read(self, partition: DataFile | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # an empty collection
-            return
-        files, _ = _filesystem(self.options.data_path)
-        with files.open_input_file(partition.path) as source:
-            for batch in pq.ParquetFile(source).iter_batches(columns=self.names):
-                tag = pa.repeat(pa.scalar(partition.partition), batch.num_rows)
-                columns = [batch.column(name) for name in self.names]
-                yield pa.RecordBatch.from_arrays([*columns, tag], [*self.names, PARTITION_COLUMN])
-
-
-@dataclass
-class WrittenFiles(WriterCommitMessage):
-    """Files of one task, below the staging folder as later below the data folder."""
-
-    names: list[str]
-
-
-class CollectionWriter(DataSourceArrowWriter):
-    def __init__(self, options: CollectionOptions, fields: tuple[Field, ...]) -> None:
-        self.options = options
-        self.fields = fields
-        self.staging = f"{options.collection_path}/_staging/{uuid.uuid4().hex}"
-
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
-        files, root = _filesystem(self.staging)
-        open_files: dict[str, tuple[str, pq.ParquetWriter]] = {}
-        names: list[str] = []
-        try:
-            for batch in iterator:
-                rows = pa.table([_checked(batch.column(f.name), f) for f in self.fields], [f.name for f in self.fields])
-                tags = batch.column(PARTITION_COLUMN)
-                for tag in pc.unique(tags).to_pylist():
-                    if not tag:
-                        raise ValueError(f"{PARTITION_COLUMN} is null or empty")
-                    if tag not in open_files:
-                        folder = f"{PARTITION_COLUMN}={_escaped(tag)}"
-                        name = f"{folder}/part-{uuid.uuid4().hex}.parquet"
-                        files.create_dir(f"{root}/{folder}", recursive=True)
-                        open_files[tag] = name, pq.ParquetWriter(f"{root}/{name}", rows.schema, filesystem=files)
-                        names.append(name)
-                    open_files[tag][1].write_table(rows.filter(pc.equal(tags, tag)))
-        finally:
-            for _, writer in open_files.values():
-                writer.close()
-        return WrittenFiles(names)
-
-    def commit(self, messages: list[WrittenFiles | None]) -> None:
-        files, staged = _filesystem(self.staging)
-        _, data = _filesystem(self.options.data_path)
-        names = [name for message in messages if message is not None for name in message.names]
-        for folder in {name.partition("/")[0] for name in names}:
-            files.create_dir(f"{data}/{folder}", recursive=True)
-        for name in names:
-            files.move(f"{staged}/{name}", f"{data}/{name}")
-        self._clear()
-
-    def abort(self, messages: list[WrittenFiles | None]) -> None:
-        self._clear()
-
-    def _clear(self) -> None:
-        files, staged = _filesystem(self.staging)
-        if files.get_file_info(staged).type == fs.FileType.Directory:
-            files.delete_dir(staged)
-
-
-def _escaped(tag: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in tag)
-
-
-def _checked(values: pa.Array, spec: Field) -> pa.Array:
-    """The binder's value checks for a column that already has the field's type."""
-    if values.null_count and not spec.nullable:
-        raise ValueError(f"null in the non-nullable field {spec.name}")
-    present = values.drop_null()
-    kind = spec.spark_type
-    if isinstance(kind, T.MapType):
-        return _sorted_maps(values, spec)
-    if isinstance(kind, T.ArrayType):
-        longest = pc.max(present.value_lengths()).as_py() or 0
-        if spec.vector_length is not None:
-            if not pc.all(pc.equal(present.value_lengths(), spec.vector_length)).as_py():
-                raise ValueError(f"vector field {spec.name} needs {spec.vector_length} stored elements")
-            if present.flatten().null_count:
-                raise ValueError(f"null element in vector field {spec.name}")
-        if spec.max_capacity is not None and longest > spec.max_capacity:
-            raise ValueError(f"more than {spec.max_capacity} elements in field {spec.name}")
-        if spec.max_length is not None:
-            _checked(present.flatten(), replace(spec, type="VarChar", element_type=None, nullable=True, max_capacity=None))
-        return values
-    if spec.max_length is not None and (pc.max(pc.utf8_length(present)).as_py() or 0) > spec.max_length:
-        raise ValueError(f"text longer than {spec.max_length} in field {spec.name}")
-    if spec.type == "JSON":
-        for text in present.to_pylist():
-            try:
-                json.loads(text)
-            except ValueError as error:
-                raise ValueError(f"invalid JSON in field {spec.name}") from error
-    return values
-
-
-def _sorted_maps(values: pa.MapArray, spec: Field) -> pa.MapArray:
-    """Entries in key order; a null weight is an error."""
-    offsets = values.offsets.to_numpy()
-    inside = slice(offsets[0], offsets[-1])
-    keys, weights = values.keys.to_numpy()[inside], values.items.take(pa.array(np.arange(*offsets[[0, -1]])))
-    if weights.null_count:
-        raise ValueError(f"null value in sparse vector field {spec.name}")
-    order = np.lexsort((keys, np.repeat(np.arange(len(values)), np.diff(offsets))))
-    starts = pa.array(offsets - offsets[0])
-    if values.null_count:
-        # A null start marks a null map.
-        starts = pc.if_else(pa.concat_arrays([values.is_null(), pa.array([False])]), None, starts)
-    return pa.MapArray.from_arrays(starts, pa.array(keys[order]), weights.take(pa.array(order)))
+from vectable.sources.collection import append_collection, read_collection
+
+
+class _Options:
+    def __init__(self) -> None:
+        self._given: dict[str, object] = {}
+
+    def option(self, key: str, value: object):
+        self._given[key] = value
+        return self
+
+    def options(self, **given: object):
+        self._given.update(given)
+        return self
+
+
+class Reader(_Options):
+    """Options of a read; ``partition`` restricts it to one partition."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        super().__init__()
+        self._spark = spark
+
+    def load(self) -> DataFrame:
+        return read_collection(self._spark, self._given, self._given.get("partition"))
+
+    def map_batches(self, func: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
+        """``func`` over the rows, ``batchsize`` at a time."""
+        return map_batches(self.load(), func, schema, CollectionOptions.of(self._given).batchsize)
+
+
+class Writer(_Options):
+    """Options of a write; ``table`` names a SQL table over the collection to refresh."""
+
+    def __init__(self, df: DataFrame) -> None:
+        super().__init__()
+        self._df = df
+        self._mode = "append"
+
+    def mode(self, mode: str) -> Writer:
+        self._mode = mode
+        return self
+
+    def save(self) -> None:
+        append_collection(self._df, self._given, self._mode, table=self._given.get("table"))
+
+
+def reader(spark: SparkSession) -> Reader:
+    return Reader(spark)
+
+
+def writer(df: DataFrame) -> Writer:
+    return Writer(df)

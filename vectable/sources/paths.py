@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a directory holds; none if there is no such directory."""
+    fs, p = _resolve(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, p = _resolve(spark, path)
     if not fs.mkdirs(p):

@@ -24,12 +24,37 @@ def create_table(spark: SparkSession, options: Options, table: str) -> None:
     )
     location = text_literal(paths.qualified(spark, opts.data_path))
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COLUMN}) LOCATION {location}"
+        f"CREATE TABLE {_quoted(table)} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COLUMN}) LOCATION {location}"
     )
     repair_table(spark, table)
 
 
 def repair_table(spark: SparkSession, table: str) -> None:
-    """Make partitions and files added since the last repair visible to SQL."""
-    spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
+    """Make all partitions and files that were added visible to SQL."""
+    spark.catalog.recoverPartitions(_quoted(table))
+    spark.catalog.refreshTable(_quoted(table))
+
+
+def add_partitions(spark: SparkSession, table: str, names: list[str]) -> None:
+    """Make new partitions, and new files in known ones, visible to SQL."""
+    if names:
+        each = " ".join(f"PARTITION ({PARTITION_COLUMN} = {text_literal(name)})" for name in names)
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {each}")
+    spark.catalog.refreshTable(_quoted(table))
+
+
+def partition_names(spark: SparkSession, data_path: str) -> list[str]:
+    """Partitions that hold a data file, from the directories' names."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    head = f"{PARTITION_COLUMN}="
+    held = [n for n in paths.children(spark, data_path) if n.startswith(head)]
+    return [
+        unescape(name[len(head) :])
+        for name in held
+        if any(f[0] not in "_." for f in paths.children(spark, f"{data_path}/{name}"))
+    ]
+
+
+def _quoted(table: str) -> str:
+    """The name's parts, each quoted; a part may be quoted already."""
+    return ".".join(quoted_name(part.strip("`")) for part in table.split("."))

@@ -52,11 +52,11 @@ WITH hello AS (
     CASE WHEN v % 11 <> 0 THEN '{{"path":"root/abc/path' || v || '","size":' || v
       || CASE WHEN v % 7 = 0 THEN ',"special":true' ELSE '' END
       || ',"flags":[' || v || ',' || (v + 1) || ',' || (v + 2) || ']}}' END AS f11,
-    {_doubles("e[1:8]")} AS dense, {_doubles("e[1:16]")} AS long_dense,
-    array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN e[1:16]], '') AS bits,
-    {_byte(1)} AS byte_0, {_byte(9)} AS byte_1,
-    [i * 50021 + v % 7 FOR i IN range(0, 10 + v % 10)] AS sparse_keys,
-    {_doubles("e[1:CAST(10 + v % 10 AS INTEGER)]")} AS sparse_values,
+    {_doubles("e")} AS dense,
+    array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN e], '') AS bits,
+    [{", ".join(_byte(8 * i + 1) for i in range(8))}] AS bytes,
+    [i * 15013 + v % 7 FOR i IN range(0, len(e))] AS sparse_keys,
+    {_doubles("e")} AS sparse_values,
     CASE WHEN label < 5 THEN '_default' ELSE 'p' || label END AS __partition
   FROM (SELECT vec_id AS v, embedding AS e, label FROM embeddings)
 )
@@ -65,8 +65,8 @@ WITH hello AS (
 _SCALARS = "id, f2, f3, f4, f5, f6, round(f7, 6) AS f7, round(f8, 6) AS f8, f9"
 _ARRAYS = "array_to_string(f10, '|') AS f10, array_to_string(f10_2, '|') AS f10_2"
 _VECTORS = f"""{_sum("dense")} AS dense_sum, bits, array_to_string(sparse_keys, '|') AS sparse_keys,
-  {_sum("sparse_values")} AS sparse_sum, {_sum(_halves("long_dense", FP16))} AS fp16_sum"""
-_BF16_SUM = f"{_sum(_halves('long_dense', BF16))} AS bf16_sum"
+  {_sum("sparse_values")} AS sparse_sum, {_sum(_halves("dense", FP16))} AS fp16_sum"""
+_BF16_SUM = f"{_sum(_halves('dense', BF16))} AS bf16_sum"
 _FLAT = f"{_SCALARS}, {_ARRAYS}, f11, {_VECTORS}, {_BF16_SUM}"
 
 
@@ -163,7 +163,8 @@ def oracles() -> dict[str, str]:
     lines = "FROM lineitem"
     events = """FROM events GROUP BY event_type"""
     event_sums = """SELECT event_type AS __partition, count(*) AS row_count,
-      CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, round(sum(value), 2) AS value_sum"""
+      CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, round(sum(value), 2) AS value_sum,
+      strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts"""
     return {
         "scan_collection": flat,
         "scan_partition_tag": _hello("id, __partition"),
@@ -172,7 +173,9 @@ def oracles() -> dict[str, str]:
             "__partition, count(*) AS row_count, CAST(ceil(count(*) / 100.0) AS BIGINT) AS batches",
             "GROUP BY __partition",
         ),
-        "batch_scan": "SELECT count(*) AS row_count, true AS bounded FROM embeddings",
+        "batch_scan": f"""{HELLO}, sizes AS (SELECT count(*) AS n FROM hello GROUP BY __partition)
+          SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(ceil(n / 100.0)) AS BIGINT) AS batches, true AS bounded
+          FROM sizes""",
         "scan_hides_function_output": _hello(
             f"id, {_ARRAYS}, {_VECTORS}, {_BF16_SUM}, CAST(18 AS INTEGER) AS column_count, false AS shown"
         ),
@@ -187,6 +190,8 @@ def oracles() -> dict[str, str]:
         "list_function_outputs": "SELECT 'sparse_out' AS function_outputs, count(*) AS row_count FROM embeddings",
         "sql_table_scan": _per_partition(),
         "sql_limit": _hello("id, f2, f5, f9, f11, __partition", "ORDER BY id LIMIT 10"),
+        "option_read": _hello("id, f9, __partition", "WHERE __partition = 'p7'"),
+        "option_append": "SELECT 2 * count(*) AS row_count, 2 * count(*) AS ids, true AS bounded FROM embeddings",
         "create_collection": _per_partition(),
         "append_roundtrip": _per_partition(2),
         "append_routing": _hello(
@@ -199,9 +204,9 @@ def oracles() -> dict[str, str]:
         "append_skips_function_output": _per_partition(more=", false AS stored"),
         "to_entities": _hello(
             f"""id, '{",".join(_NAMES[:-1])}' AS names, CAST(f2 AS VARCHAR) AS f2, f9, f10[2] AS second_text,
-            f10_2[4] AS fourth_number, f11, round(dense[8], 6) AS last_dense,
-            CAST(CASE WHEN byte_0 > 127 THEN byte_0 - 256 ELSE byte_0 END AS INTEGER) AS first_byte,
-            CAST(32 AS INTEGER) AS fp16_bytes, array_to_string(sparse_keys, '|') AS sparse_keys, __partition"""
+            f10_2[4] AS fourth_number, f11, round(dense[64], 6) AS last_dense,
+            CAST(CASE WHEN bytes[1] > 127 THEN bytes[1] - 256 ELSE bytes[1] END AS INTEGER) AS first_byte,
+            CAST(128 AS INTEGER) AS fp16_bytes, array_to_string(sparse_keys, '|') AS sparse_keys, __partition"""
         ),
         "from_entities": flat,
         "copy_collection": flat,
@@ -230,9 +235,9 @@ def oracles() -> dict[str, str]:
             round(f7, 6) AS a_float_0, round(f8, 6) AS a_float_1, round(f8, 6) AS a_double_0, round(-f8, 6) AS a_double_1"""
         ),
         "types_float_vector": _elements("dense"),
-        "types_binary_vector": _elements("[CASE WHEN b > 127 THEN b - 256 ELSE b END FOR b IN [byte_0, byte_1]]"),
-        "types_fp16_vector": _elements(_halves("long_dense", FP16)),
-        "types_bf16_vector": _elements(_halves("long_dense", BF16)),
+        "types_binary_vector": _elements("[CASE WHEN b > 127 THEN b - 256 ELSE b END FOR b IN bytes]"),
+        "types_fp16_vector": _elements(_halves("dense", FP16)),
+        "types_bf16_vector": _elements(_halves("dense", BF16)),
         "types_sparse_vector": f"""{HELLO}
           SELECT id, CAST(n AS INTEGER) AS pos, sparse_keys[n + 1] AS key, round(sparse_values[n + 1], 6) AS value
           FROM (SELECT *, unnest(range(0, len(sparse_keys))) AS n FROM hello)""",
@@ -254,15 +259,16 @@ def oracles() -> dict[str, str]:
         "count_collection": "SELECT count(*) AS row_count FROM embeddings",
         "project_limit": _hello(f"{_SCALARS}, {_ARRAYS}, f11, {_VECTORS}", "ORDER BY id LIMIT 5"),
         "project_vectors": _hello(
-            f"id, {_sum('dense')} AS dense_sum, bits, {_sum(_halves('long_dense', FP16))} AS fp16_sum",
+            f"id, {_sum('dense')} AS dense_sum, bits, {_sum(_halves('dense', FP16))} AS fp16_sum",
             "ORDER BY id LIMIT 5",
         ),
         "topk_cosine": _cosine("dense"),
-        "topk_cosine_fp16": _cosine(_halves("long_dense", FP16)),
-        "topk_cosine_bf16": _cosine(_halves("long_dense", BF16)),
+        "topk_cosine_blocks": _cosine("dense"),
+        "topk_cosine_fp16": _cosine(_halves("dense", FP16)),
+        "topk_cosine_bf16": _cosine(_halves("dense", BF16)),
         "topk_hamming": _nearest(
-            """SELECT a.__partition AS query_id, h.id, CAST(bit_count(xor(a.byte_0, h.byte_0))
-              + bit_count(xor(a.byte_1, h.byte_1)) AS DOUBLE) AS score FROM asked a, hello h""",
+            """SELECT a.__partition AS query_id, h.id, CAST(list_sum([bit_count(xor(a.bytes[n], h.bytes[n]))
+              FOR n IN range(1, 9)]) AS DOUBLE) AS score FROM asked a, hello h""",
             "ASC",
         ),
         "topk_sparse_ip": _nearest(

@@ -6,7 +6,6 @@ of scalar columns.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -19,7 +18,7 @@ from vectable.operators.topk import top_k
 from vectable.plans.schema import DEFAULT_PARTITION, PARTITION_COLUMN, CollectionSchema, Field
 from vectable.sources import catalog, collection
 from vectable.sources.collection import append_collection, read_collection
-from vectable.sources.tables import create_table
+from vectable.sources.facade import reader, writer
 from vectable.workload import recipes
 from vectable.workload.recipes import HELLO, HELLO_FN, empty_collection, kept_collection, new_collection
 
@@ -109,9 +108,11 @@ def batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def sizes(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"batch_rows": pa.array([batch.num_rows], pa.int64())})
 
-    held = batches.map_batches(_read(spark, sf_dir, "hello").select("id"), sizes, "batch_rows bigint", BATCHSIZE)
+    held = batches.map_batches(_read(spark, sf_dir, "hello").select("id", PARTITION_COLUMN), sizes, "batch_rows bigint", BATCHSIZE)
     return held.agg(
-        F.sum("batch_rows").alias("row_count"), (F.max("batch_rows") <= BATCHSIZE).alias("bounded")
+        F.sum("batch_rows").alias("row_count"),
+        F.count("*").alias("batches"),
+        (F.max("batch_rows") <= BATCHSIZE).alias("bounded"),
     )
 
 
@@ -164,25 +165,53 @@ def list_function_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_collection(spark, options).agg(hidden, F.count("*").alias("row_count"))
 
 
-def _table_over(spark: SparkSession, sf_dir: str, name: str) -> str:
-    table = f"{name}_{uuid.uuid4().hex}"
-    create_table(spark, kept_collection(spark, sf_dir, name), table)
-    return table
+def _over_table(spark: SparkSession, sf_dir: str, name: str, query: str) -> DataFrame:
+    """The query over the SQL table of the kept collection."""
+    return spark.sql(query.format(table=recipes.kept_table(spark, sf_dir, name)))
 
 
 @registered
 def sql_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _table_over(spark, sf_dir, "hello")
-    return spark.sql(
-        f"SELECT __partition, count(*) AS row_count, count(DISTINCT id) AS ids, sum(f6) AS f6_sum"
-        f" FROM {table} GROUP BY __partition"
+    return _over_table(
+        spark,
+        sf_dir,
+        "hello",
+        "SELECT __partition, count(*) AS row_count, count(DISTINCT id) AS ids, sum(f6) AS f6_sum"
+        " FROM {table} GROUP BY __partition",
     )
 
 
 @registered
 def sql_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _table_over(spark, sf_dir, "hello")
-    return spark.sql(f"SELECT id, f2, f5, f9, f11, __partition FROM {table} ORDER BY id LIMIT 10")
+    query = "SELECT id, f2, f5, f9, f11, __partition FROM {table} ORDER BY id LIMIT 10"
+    return _over_table(spark, sf_dir, "hello", query)
+
+
+@registered
+def option_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read by option calls, of one partition and two columns."""
+    held = kept_collection(spark, sf_dir, "hello")
+    found = reader(spark).option("uri", held.uri).option("collection", held.collection).option("partition", "p7")
+    return found.load().select("id", "f9", PARTITION_COLUMN)
+
+
+@registered
+def option_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends by option calls, with drawn ids and a batch size."""
+    held = empty_collection(spark, "hello_auto", recipes.HELLO_AUTO)
+    for _ in range(2):
+        call = writer(recipes.hello_rows(spark, sf_dir)).options(uri=held.uri, collection=held.collection)
+        call.option("batchsize", BATCHSIZE).mode("append").save()
+    per_file = (
+        read_collection(spark, held)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.count("*").alias("file_rows"), F.countDistinct("id").alias("ids"))
+    )
+    return per_file.agg(
+        F.sum("file_rows").alias("row_count"),
+        F.sum("ids").alias("ids"),
+        (F.max("file_rows") <= BATCHSIZE).alias("bounded"),
+    )
 
 
 @registered
@@ -265,7 +294,7 @@ def to_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         part("$.f10[1]").alias("second_text"),
         part("$.f10_2[3]").cast("int").alias("fourth_number"),
         part("$.f11").alias("f11"),
-        F.round(part("$.vec_dense[7]").cast("float").cast("double"), 6).alias("last_dense"),
+        F.round(part("$.vec_dense[63]").cast("float").cast("double"), 6).alias("last_dense"),
         part("$.vec_binary[0]").cast("int").alias("first_byte"),
         F.json_array_length(part("$.vec_fp16")).alias("fp16_bytes"),
         F.array_join(F.json_object_keys(part("$.vec_sparse")), "|").alias("sparse_keys"),
@@ -550,11 +579,11 @@ def project_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _nearest(spark: SparkSession, sf_dir: str, vector: str) -> DataFrame:
+def _nearest(spark: SparkSession, sf_dir: str, vector: str, **bounds: int) -> DataFrame:
     """The five rows nearest to the first row of each partition, in the whole collection."""
     df = _read(spark, sf_dir, "hello")
     first = df.groupBy(F.col(PARTITION_COLUMN).alias("query_id")).agg(F.min_by(vector, "id").alias("query_vector"))
-    found = top_k(df, HELLO, vector, first, k=5)
+    found = top_k(df, HELLO, vector, first, k=5, **bounds)
     return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
 
 
@@ -563,6 +592,12 @@ def topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nearest(spark, sf_dir, "vec_dense")
 
 
+@registered
+def topk_cosine_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search with queries cut into blocks of two vectors or so."""
+    return _nearest(spark, sf_dir, "vec_dense", block_bytes=1024)
+
+
 @registered
 def topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nearest(spark, sf_dir, "vec_binary")
@@ -629,6 +664,8 @@ def scan_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("row_count"),
         F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k_sum"),
         F.round(F.sum("value"), 2).alias("value_sum"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
     )
 
 
@@ -641,4 +678,6 @@ def entities_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("event_id").alias("event_ids"),
         F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k_sum"),
         F.round(F.sum("value"), 2).alias("value_sum"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
     )

@@ -7,6 +7,7 @@ writes to gets a fresh folder each time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -18,7 +19,8 @@ from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
 from vectable.sources.catalog import create_collection, has_collection
 from vectable.sources.collection import append_collection
-from vectable.workspace import fresh_folder
+from vectable.sources.tables import create_table
+from vectable.workspace import clear_scratch, fresh_folder
 
 HELLO = CollectionSchema(
     [
@@ -34,11 +36,11 @@ HELLO = CollectionSchema(
         Field("f10", "Array", element_type="VarChar", max_capacity=1024, max_length=1024),
         Field("f10_2", "Array", element_type="Int32", max_capacity=1024),
         Field("f11", "JSON", nullable=True, description="free-form attributes"),
-        Field("vec_dense", "FloatVector", dim=8, metric="COSINE"),
-        Field("vec_binary", "BinaryVector", dim=16, metric="HAMMING"),
+        Field("vec_dense", "FloatVector", dim=64, metric="COSINE"),
+        Field("vec_binary", "BinaryVector", dim=64, metric="HAMMING"),
         Field("vec_sparse", "SparseFloatVector", metric="IP"),
-        Field("vec_fp16", "Float16Vector", dim=16, metric="COSINE"),
-        Field("vec_bf16", "BFloat16Vector", dim=16, metric="COSINE"),
+        Field("vec_fp16", "Float16Vector", dim=64, metric="COSINE"),
+        Field("vec_bf16", "BFloat16Vector", dim=64, metric="COSINE"),
     ],
     "every field type once",
 )
@@ -77,16 +79,14 @@ def hello_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"transform({steps}, k -> {_wrapped_int('v * k - 100')}) AS f10_2",
         """CASE WHEN v % 11 <> 0 THEN concat('{"path":"root/abc/path', v, '","size":', v,
             IF(v % 7 = 0, ',"special":true', ''), ',"flags":[', v, ',', v + 1, ',', v + 2, ']}') END AS f11""",
-        "slice(e, 1, 8) AS vec_dense",
-        f"array({_packed_byte(0)}, {_packed_byte(8)}) AS vec_binary",
-        """map_from_entries(transform(sequence(0, CAST(v % 10 + 9 AS INT)),
-            i -> struct(i * 50021 + v % 7, get(e, i)))) AS vec_sparse""",
-        "slice(e, 1, 16) AS long_dense",
+        "e AS vec_dense",
+        f"array({', '.join(_packed_byte(8 * i) for i in range(8))}) AS vec_binary",
+        "map_from_entries(transform(e, (x, i) -> struct(i * 15013 + v % 7, x))) AS vec_sparse",
         f"IF(label < 5, '_default', concat('p', label)) AS {PARTITION_COLUMN}",
     ).select(
         *[f.name for f in HELLO.fields[:-2]],
-        encode_fp16("long_dense").alias("vec_fp16"),
-        encode_bf16("long_dense").alias("vec_bf16"),
+        encode_fp16("vec_dense").alias("vec_fp16"),
+        encode_bf16("vec_dense").alias("vec_bf16"),
         PARTITION_COLUMN,
     )
 
@@ -184,6 +184,7 @@ EVENTS = CollectionSchema(
     [
         Field("event_id", "Int64", primary_key=True),
         Field("user_id", "Int64"),
+        Field("ts", "VarChar", max_length=26),
         Field("event_type", "VarChar", max_length=32),
         Field("value", "Double"),
         Field("props", "JSON", nullable=True),
@@ -193,7 +194,10 @@ EVENTS = CollectionSchema(
 
 
 def events_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").withColumn(PARTITION_COLUMN, F.col("event_type"))
+    rows = _table(spark, sf_dir, "events")
+    return rows.withColumns(
+        {"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), PARTITION_COLUMN: F.col("event_type")}
+    )
 
 
 Rows = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +223,27 @@ def kept_collection(spark: SparkSession, sf_dir: str, name: str) -> CollectionOp
     return _kept[key]
 
 
+_tables: dict[tuple[str, str, str], str] = {}
+
+
+def kept_table(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The SQL table over the kept collection, created once per session; see ``clear_kept``."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables or not spark.catalog.tableExists(_tables[key]):
+        _tables[key] = f"{name}_{uuid.uuid4().hex}"
+        create_table(spark, kept_collection(spark, sf_dir, name), _tables[key])
+    return _tables[key]
+
+
+def clear_kept(spark: SparkSession) -> None:
+    """Drop the session's tables and all it wrote below the shared folder; results read before are void."""
+    for key in [k for k in _tables if k[0] == spark.sparkContext.applicationId]:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(key)}")
+    for key in [k for k in _kept if k[0] == spark.sparkContext.applicationId]:
+        del _kept[key]
+    clear_scratch(spark)
+
+
 def new_collection(spark: SparkSession, sf_dir: str, name: str, batchsize: int | None = None) -> CollectionOptions:
     """The named collection in a fresh folder, filled from its recipe."""
     schema, rows = RECIPES[name]

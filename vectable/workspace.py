@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from vectable.sources.paths import delete
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, else one beside the warehouse's tables.
@@ -16,9 +18,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_vectable_scratch"
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/vectable/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/vectable/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder."""
+    delete(spark, _own_folder(spark))
 
 
 def pinned(df):
