@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from brute import base_counts
+from llm_fixtures import none, odd, sf  # noqa: F401
 from pyspark.sql import functions as F
 
 from vectable.llm import html_extraction, language_id, quality_rules, rule_classifier, url_filter

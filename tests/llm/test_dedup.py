@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from brute import jaccard_classes, line_dedup, similar_vectors
+from llm_fixtures import none, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from vectable.llm import epsilon_join, jaccard_join

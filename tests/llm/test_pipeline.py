@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import best_fit_count
+from llm_fixtures import none, odd, sf  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
