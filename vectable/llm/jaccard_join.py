@@ -1,18 +1,21 @@
 """Near-duplicate classes by exact Jaccard similarity of word shingles, over a token-group matrix.
 
 A document's node is the hash of its shingle set, so documents with equal sets are one node.
-Two sets that are similar enough share a token (shingle) among the first of each, in any order
-common to all; the order here puts tokens seen often last, so that shared passages and
-boilerplate rarely count. The order only steers the work: any order finds every link.
-
-1. *Stars.* Tokens' holders are listed once, and every holder is compared with one hub of the
-   lists it is in, the holder with the largest share of frequent tokens. This joins most of a
-   family of copies without comparing its members with each other.
-2. *Groups.* What is joined so far forms groups of similar documents, cut into blocks of
-   bounded size. The token-group matrix says which groups hold a token in first place; only
-   pairs of groups of different components that share such a token, and whose set sizes allow a
-   link, are opened. Inside, a document is first bounded by its overlap with the other group's
-   token union and is compared with members only if that bound suffices.
+Two sets that are similar enough share ``m`` tokens (shingles) among the first of each, in any
+order common to all, if ``m - 1`` more of each are taken than one shared token needs; ``m`` grows
+with the set, so chance rarely makes two documents candidates. The order here puts tokens seen
+often last, so that shared passages and boilerplate rarely count. It only steers the work: any
+order finds every link.
+
+1. *Stars.* Tokens' holders are listed once. Short lists count what pairs share; of long ones every
+   holder is paired with the list's hub, the holder with the largest share of frequent tokens.
+   Every document is compared with its best partner. This joins most of a family of copies
+   without comparing its members with each other.
+2. *Groups.* Documents and their best partners, linked or not, form groups of similar documents,
+   cut to a bounded size. The token-group matrix says which groups hold a token in first place;
+   only pairs of groups that share enough such tokens, whose set sizes allow a link, and which
+   aren't joined already, are opened. Inside, a document is first bounded by its overlap with
+   the other group's token union and is compared with members only if that bound suffices.
 
 Lists are collapsed in every task before they are shuffled: to one entry per token and group, and
 where a task has many holders of a token, to their hub, with a list of their own for that task.
@@ -35,10 +38,16 @@ from vectable.llm.rolling import mix, shingle_sets, slices
 from vectable.llm.scratch import kept
 
 FREQUENT_TOKENS = 400_000  # length of the list of frequent tokens that orders the rest
-TOKENS_AT_ONCE = 2_000_000  # tokens that a task holds before it counts or lists them
-TOKENS_IN_BLOCK = 400_000  # tokens of the documents that are compared in one group
-MIN_SEEN = 4  # times that a task sees a token before it may count as frequent
-LONG_LIST = 32  # holders of a token in one task beyond which only their hub stays in the list
+TOKENS_AT_ONCE = 4_000_000  # tokens that a task holds before it counts or lists them
+TOKENS_IN_GROUP = 100_000  # tokens of the documents of one group
+MIN_SEEN = 2  # times that a task sees a token before it may count as frequent
+SHORT_LIST = 16  # holders of a token up to which all their pairs are counted
+TOKENS_PER_SHARED = 32  # set size for which one more shared token is asked for
+
+
+def shared_needed(n: int) -> int:
+    """How many of their first tokens two similar sets share, the smaller of which has ``n``."""
+    return 1 + n // TOKENS_PER_SHARED
 
 
 def _node(tokens: np.ndarray) -> int:
@@ -69,18 +78,18 @@ class Order:
         return np.where(self.tokens[at] == tokens, self.place[at], -1)
 
     def first(self, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-        """The first tokens, of which similar sets share one, and the share of frequent tokens (0..255)."""
+        """The first tokens, of which similar sets share ``shared_needed``, and the share of frequent tokens (0..255)."""
         need = -(-percent * len(tokens) // 100)
         places = self.places(tokens)
         ordered = tokens[np.argsort(places, kind="stable")]  # the rare ones are sorted by value
-        return ordered[: len(tokens) - need + 1], int(255 * (places >= 0).mean())
+        return ordered[: len(tokens) - need + shared_needed(len(tokens))], int(255 * (places >= 0).mean())
 
 
 def _signatures(words: int):
     """Rows ``(doc, node, n, token, seen)``: one per document, and one per token seen again in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, known, size = [], set(), 0
 
         def again() -> pa.RecordBatch | None:
             tokens, seen = np.unique(np.concatenate(held), return_counts=True)
@@ -102,11 +111,13 @@ def _signatures(words: int):
                 for tokens in shingle_sets(texts, words):
                     nodes.append(_node(tokens))
                     sizes.append(len(tokens))
-                    held.append(tokens)
-                    size += len(tokens)
+                    if nodes[-1] not in known:  # copies don't make a token frequent
+                        known.add(nodes[-1])
+                        held.append(tokens)
+                        size += len(tokens)
                 if size >= TOKENS_AT_ONCE:
                     yield again()
-                    held, size = [], 0
+                    held, known, size = [], set(), 0
             yield _batch(batch.column(0), nodes, sizes, None, None)
         if size:
             yield again()
@@ -202,7 +213,7 @@ def _left_to_hubs(entries: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     token = entries["token"]
     starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     counts = np.diff(np.append(starts, len(token)))
-    long = counts > LONG_LIST
+    long = counts > SHORT_LIST
     if not long.any():
         return entries
     rows = _ragged(starts[long], counts[long])
@@ -253,38 +264,63 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return by[at], np.diff(np.append(at, len(by)))
 
 
+def _pairs_within(starts: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The entries of lists in pairs: those 1 apart, 2 apart, and so on."""
+    apart = 1
+    while True:
+        live = counts > apart
+        starts, counts = starts[live], counts[live]
+        if not len(starts):
+            return
+        left = _ragged(starts, counts - apart)
+        yield left, left + apart
+        apart += 1
+
+
 def _stars(percent: int):
-    """``(node, n, hub, shared)``: the hub of each list with each other holder that its size allows.
+    """``(node, n, hub, hub_n, shared, near)``: pairs that their sizes allow, and how many lists show them.
 
-    ``hub`` is null for a node that only may link with some other holder.
+    Rows without a hub are nodes of long lists, of which not all pairs are shown; ``near`` is a hub
+    of such a list, whatever its size.
     """
 
     def run(table: pa.Table) -> pa.Table:
         entries, starts, ends = _lists(table)
         counts = ends - starts
-        rows = _ragged(starts, counts)
-        lists = np.repeat(np.arange(len(starts)), counts)
-        node, n = entries["node"], entries["low"].astype(np.int64)
-        hub = np.repeat(_hubs(entries, rows, lists, counts), counts)
-        fits = (hub != rows) & (100 * np.minimum(n[hub], n[rows]) >= percent * np.maximum(n[hub], n[rows]))
-        hubs, members = node[hub[fits]], node[rows[fits]]
-        at, shared = _distinct(hubs, members)
-        # Some holder fits by size if the next smaller or larger one does.
-        by = np.lexsort((n[rows], lists))
-        n_by, list_by = n[rows][by], lists[by]
-        near = (list_by[1:] == list_by[:-1]) & (100 * n_by[:-1] >= percent * n_by[1:])
-        may = np.append(near, False) | np.append(False, near)
+        node, n, hub_share = entries["node"], entries["low"].astype(np.int64), entries["hub"].astype(np.int64)
         marked = (entries["high"] > entries["low"]) | (entries["root"] != entries["node"])
-        in_marked = np.bincount(lists, weights=marked[rows], minlength=len(starts)) > 0
-        alone = rows[by][may | in_marked[list_by]]
-        alone = alone[_distinct(node[alone])[0]]
+        sums = np.append(0, np.cumsum(marked))
+        long = (counts > SHORT_LIST) | (sums[ends] > sums[starts])
+        hubs, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for left, right in _pairs_within(starts[~long], counts[~long]):
+            first = (hub_share[left] > hub_share[right]) | (
+                (hub_share[left] == hub_share[right]) & (node[left] < node[right])
+            )
+            hubs.append(np.where(first, left, right))
+            members.append(np.where(first, right, left))
+        rows = _ragged(starts[long], counts[long])
+        lists = np.repeat(np.arange(int(long.sum())), counts[long])
+        near = np.repeat(_hubs(entries, rows, lists, counts[long]), counts[long])
+        hubs.append(near)
+        members.append(rows)
+        hub, member = np.concatenate(hubs), np.concatenate(members)
+        fits = (hub != member) & (
+            100 * np.minimum(n[hub], n[member]) >= percent * np.maximum(n[hub], n[member])
+        )
+        hub, member = hub[fits], member[fits]
+        at, shared = _distinct(node[hub], node[member])
+        hub, member = hub[at], member[at]
+        first = _distinct(node[rows])[0]
+        alone, near = rows[first], near[first]
         none = pa.nulls(len(alone), pa.int64())
         return pa.table(
             {
-                "node": pa.array(np.concatenate([members[at], node[alone]])),
-                "n": pa.array(np.concatenate([n[rows[fits]][at], n[alone]])),
-                "hub": pa.chunked_array([pa.array(hubs[at], pa.int64()), none]),
+                "node": pa.array(np.concatenate([node[member], node[alone]])),
+                "n": pa.array(np.concatenate([n[member], n[alone]])),
+                "hub": pa.chunked_array([pa.array(node[hub], pa.int64()), none]),
+                "hub_n": pa.chunked_array([pa.array(n[hub], pa.int64()), none]),
                 "shared": pa.array(np.concatenate([shared, np.zeros(len(alone), np.int64)])),
+                "near": pa.chunked_array([pa.nulls(len(hub), pa.int64()), pa.array(node[near], pa.int64())]),
             }
         )
 
@@ -292,49 +328,65 @@ def _stars(percent: int):
 
 
 def _group_pairs(percent: int):
-    """``(left, right)``: groups of different components that share a first token and may link by size."""
+    """``(left, right, shared, least)``: groups of different components that share first tokens and may
+    link by size, how many they share, and the size of the smallest set of both."""
 
     def run(table: pa.Table) -> pa.Table:
         entries, starts, ends = _lists(table)
-        found = [np.zeros((0, 2), np.int64)]
-        counts, held = ends - starts, 0
-        offset = 1
-        while len(starts):  # entries ``offset`` apart in the same list
-            live = counts > offset
-            starts, counts = starts[live], counts[live]
-            if not len(starts):
-                break
-            left = _ragged(starts, counts - offset)
-            right = left + offset
-            low, high = entries["low"].astype(np.int64), entries["high"].astype(np.int64)
+        low, high = entries["low"].astype(np.int64), entries["high"].astype(np.int64)
+        found, held = [np.zeros((0, 4), np.int64)], 0
+        for left, right in _pairs_within(starts, ends - starts):
             fits = (100 * high[right] >= percent * low[left]) & (100 * high[left] >= percent * low[right])
             fits &= entries["root"][left] != entries["root"][right]
-            found.append(np.stack([entries["node"][left[fits]], entries["node"][right[fits]]], 1))
-            held += int(fits.sum())
+            left, right = left[fits], right[fits]
+            nodes = entries["node"][left], entries["node"][right]  # in order of node within a list
+            found.append(np.stack([*nodes, np.ones(len(left), np.int64), np.minimum(low[left], low[right])], 1))
+            held += len(left)
             if held > 1_000_000:
-                pairs = np.concatenate(found)
-                found, held = [pairs[_distinct(pairs[:, 0], pairs[:, 1])[0]]], 0
-            offset += 1
-        pairs = np.concatenate(found)
-        pairs = pairs[_distinct(pairs[:, 0], pairs[:, 1])[0]]
-        return pa.table({"left": pa.array(pairs[:, 0]), "right": pa.array(pairs[:, 1])})
+                found, held = [_summed_pairs(np.concatenate(found))], 0
+        pairs = _summed_pairs(np.concatenate(found))
+        return pa.table({f: pa.array(pairs[:, i]) for i, f in enumerate(("left", "right", "shared", "least"))})
 
     return run
 
 
-def _compare(words: int, percent: int, one_link: bool):
-    """Links between the two sides of a key: all of them, or one that shows them to be joined."""
+def _summed_pairs(pairs: np.ndarray) -> np.ndarray:
+    by = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[by]
+    if not len(pairs):
+        return pairs
+    at = np.flatnonzero(np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(1)))
+    shared, least = np.add.reduceat(pairs[:, 2], at), np.minimum.reduceat(pairs[:, 3], at)
+    return np.column_stack([pairs[at, :2], shared, least])
+
+
+def _compare(words: int, percent: int):
+    """Links between documents of the two sides of a key, or of its only side, with different roots.
+
+    Of links that join what earlier ones of the same key have joined, none is returned.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         nodes = table.column("node").to_numpy()
-        sets: tuple[list, list] = ([], [])
+        roots = table.column("root").to_numpy()
+        sets: tuple[dict, dict] = ({}, {})
+        root_of: dict[int, int] = {}
         for texts in slices(table.column("text")):
             for i, tokens in enumerate(shingle_sets(texts, words)):
                 row = texts.first_row + i
-                if len(tokens) and _node(tokens) == nodes[row]:  # else a row that repeats the id
-                    sets[side[row]].append((int(nodes[row]), tokens))
-        few, many = sorted((dict(s) for s in sets), key=len)
+                node = int(nodes[row])
+                if len(tokens) and _node(tokens) == node:  # else a row that repeats the id
+                    sets[side[row]][node] = tokens
+                    root_of[node] = int(roots[row])
+        few, many = sorted(sets, key=len) if (side == 1).any() else (sets[0], sets[0])
+        joined: dict[int, int] = {}
+
+        def find(root: int) -> int:
+            while root in joined:
+                root = joined[root]
+            return root
+
         links = []
         if few and many:
             names = np.array(list(many), np.int64)
@@ -349,10 +401,11 @@ def _compare(words: int, percent: int, one_link: bool):
                     continue  # too little of it is in the union
                 shared = np.bincount(owner[_ragged(low, high - low)], minlength=len(names))
                 linked = names[100 * shared >= percent * (len(tokens) + sizes - shared)]
-                linked = linked[linked != node]
-                links += [(node, int(x)) for x in (linked[:1] if one_link else linked)]
-                if links and one_link:
-                    break
+                for other in linked.tolist():
+                    mine, yours = find(root_of[node]), find(root_of[other])
+                    if mine != yours:
+                        joined[yours] = mine
+                        links.append((node, other))
         return pa.table(
             {"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())}
         )
@@ -360,9 +413,10 @@ def _compare(words: int, percent: int, one_link: bool):
     return run
 
 
-def _opened(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(key, side, node, text)`` of ``(key, side, node)`` rows."""
-    return pairs.join(texts, "node").select("key", "side", "node", "text")
+def _compared(sides: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of ``(key, side, node, root)`` rows."""
+    opened = sides.join(texts, "node").select("key", "side", "node", "root", "text")
+    return opened.groupBy("key").applyInArrow(_compare(words, percent), "a long, b long")
 
 
 def similar_classes(
@@ -389,21 +443,29 @@ def similar_classes(
     order = _order(spark, seen)
 
     per_bucket = TOKENS_AT_ONCE // 2
-    total = signatures.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0] or 0
+    total = signatures.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1 + n DIV {TOKENS_PER_SHARED}"))).first()[0] or 0
     buckets = max(1, int(-(-total // per_bucket)))
     lists = given.select("text").mapInArrow(_postings(words, percent, order, buckets), PACKED)
-    stars = (
+    pairs = (
         lists.groupBy("bucket")
-        .applyInArrow(_stars(percent), "node long, n long, hub long, shared long")
+        .applyInArrow(_stars(percent), "node long, n long, hub long, hub_n long, shared long, near long")
         .groupBy("node", "hub")
-        .agg(F.sum("shared").alias("shared"), F.max("n").alias("n"))
-        .groupBy("node")
-        .agg(F.max(F.struct("shared", "hub")).alias("best"), F.max("n").alias("n"))
+        .agg(
+            F.sum("shared").alias("shared"),
+            F.max("n").alias("n"),
+            F.max("hub_n").alias("hub_n"),
+            F.min("near").alias("near"),
+        )
     )
-    stars = kept(stars.select("node", "n", F.col("best.hub").alias("hub")))
-
-    # Texts of all documents that share a first token with another one of fitting size.
-    active = stars.select("node")
+    enough = F.expr(f"shared >= 1 + least(n, hub_n) DIV {TOKENS_PER_SHARED}")
+    pairs = kept(pairs.where(F.col("hub").isNull() | enough))
+    best = F.max(F.when(F.col("hub").isNotNull(), F.struct("shared", "hub"))).alias("best")
+    partners = pairs.groupBy("node").agg(best, F.max("n").alias("n"), F.min("near").alias("near"))
+    partners = partners.select("node", "n", F.col("best.hub").alias("hub"), "near")
+    stars = partners.where("hub IS NOT NULL")
+
+    # Texts of all documents that may link with another one.
+    active = pairs.select("node").unionByName(pairs.where("hub IS NOT NULL").select(F.col("hub").alias("node"))).distinct()
     holders = signatures.groupBy("node").agg(F.min("doc").alias("doc")).join(active, "node")
     texts = kept(
         given.join(holders.withColumnRenamed("doc", "holder"), F.col("doc").eqNullSafe(F.col("holder"))).select(
@@ -411,40 +473,62 @@ def similar_classes(
         )
     )
 
-    stars = stars.where("hub IS NOT NULL")
-    chunks = stars.groupBy("hub").agg(F.ceil(F.sum("n") / TOKENS_IN_BLOCK).cast("int").alias("chunks"))
+    chunks = stars.groupBy("hub").agg(F.ceil(F.sum("n") / TOKENS_IN_GROUP).cast("int").alias("chunks"))
     chunked = stars.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    sides = chunked.select(F.struct("hub", "chunk").alias("key"), F.lit(1).alias("side"), "node").unionByName(
-        chunked.select(F.struct("hub", "chunk").alias("key"), F.lit(0).alias("side"), F.col("hub").alias("node")).distinct()
-    )
-    compared = _opened(sides, texts).groupBy("key").applyInArrow(_compare(words, percent, False), "a long, b long")
-    links = kept(compared)
-    joined = components(links)
+    key = F.struct("hub", "chunk").alias("key")
+    members = chunked.select(key, F.lit(1).alias("side"), "node", F.col("node").alias("root"))
+    hubs = chunked.select(key, F.lit(0).alias("side"), F.col("hub").alias("node"), F.col("hub").alias("root"))
+    links = kept(_compared(members.unionByName(hubs.distinct()), texts, words, percent))
 
-    # Groups: components so far, cut into blocks of bounded size; a document alone is its own group.
+    # Groups: documents with their best partners, or with the hub of a list they are in, by size of
+    # their sets, cut to a bounded number of tokens. A document alone is its own group.
     n_of = signatures.groupBy("node").agg(F.max("n").alias("n"))
-    grouped = active.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    blocks = (
-        grouped.join(n_of, "node").groupBy("root").agg(F.ceil(F.sum("n") / TOKENS_IN_BLOCK).cast("int").alias("blocks"))
+    close = partners.select("node", F.coalesce("hub", "near").alias("other"))
+    clusters = components(close, "node", "other").withColumnRenamed("root", "cluster")
+    joined = components(links)
+    grouped = active.join(n_of, "node").join(clusters, "node", "left").join(joined, "node", "left")
+    grouped = kept(
+        grouped.select(
+            "node",
+            "n",
+            F.coalesce("cluster", "node").alias("cluster"),
+            F.floor(F.log(100 / percent, F.col("n"))).alias("size"),
+            F.coalesce("root", "node").alias("root"),
+        )
+    )
+    parts = grouped.groupBy("cluster", "size").agg(F.ceil(F.sum("n") / TOKENS_IN_GROUP).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    grouped = kept(
+        grouped.join(parts, ["cluster", "size"]).select(
+            "node", "root", F.xxhash64("cluster", "size", part.cast("int")).alias("group")
+        )
     )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    group = F.when(F.col("blocks") == 1, F.col("root")).otherwise(F.xxhash64("root", block))
-    grouped = kept(grouped.join(blocks, "root").select("node", "root", group.alias("group")))
+    groups = grouped.groupBy("group").agg(F.min("root").alias("one"), F.max("root").alias("other"))
+    mixed = F.col("one") != F.col("other")
+    # A group of one root may be skipped with others of that root; a mixed one may not.
+    tags = groups.select("group", F.when(mixed, F.xxhash64("group", F.lit("mixed"))).otherwise(F.col("one")).alias("tag"))
+    placed = grouped.join(tags, "group").select("node", "group", "tag")
     matrix = (
-        texts.join(grouped, "node")
-        .select("text", "group", "root")
+        texts.join(placed, "node")
+        .select("text", "group", "tag")
         .mapInArrow(_postings(words, percent, order, buckets), PACKED)
     )
-    opened = kept(
-        matrix.groupBy("bucket").applyInArrow(_group_pairs(percent), "left long, right long").distinct()
+    opened = (
+        matrix.groupBy("bucket")
+        .applyInArrow(_group_pairs(percent), "left long, right long, shared long, least long")
+        .groupBy("left", "right")
+        .agg(F.sum("shared").alias("shared"), F.min("least").alias("least"))
     )
-    sides = opened.select(F.struct("left", "right").alias("key"), F.lit(0).alias("side"), F.col("left").alias("group"))
-    sides = sides.unionByName(
-        opened.select(F.struct("left", "right").alias("key"), F.lit(1).alias("side"), F.col("right").alias("group"))
+    opened = opened.where(F.expr(f"shared >= 1 + least DIV {TOKENS_PER_SHARED}")).select("left", "right")
+    within = groups.where(mixed).select(F.col("group").alias("left"), F.col("group").alias("right"))
+    opened = kept(opened.unionByName(within))
+    key = F.struct("left", "right").alias("key")
+    sides = opened.select(key, F.lit(0).alias("side"), F.col("left").alias("group")).unionByName(
+        opened.where("left <> right").select(key, F.lit(1).alias("side"), F.col("right").alias("group"))
     )
-    members = sides.join(grouped.select("group", "node"), "group").select("key", "side", "node")
-    more = _opened(members, texts).groupBy("key").applyInArrow(_compare(words, percent, True), "a long, b long")
-    roots = components(links.unionByName(kept(more)))
+    members = sides.join(grouped, "group").select("key", "side", "node", "root")
+    more = kept(_compared(members, texts, words, percent))
+    roots = components(links.unionByName(more))
 
     rooted = signatures.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.where("n > 0").groupBy("root").agg(F.min("doc").alias("smallest"))
