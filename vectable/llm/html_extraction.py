@@ -318,6 +318,7 @@ def variants(source: str) -> list[str]:
         f"{head}{first}<article>{mixed}{second}</article>{second}{tail}",
         f'{head}{second}<div class="teacher {name}">{body}</div>{first}{tail}',
         f'{head}<div><div class="teacher">{mixed}</div></div>{second}{tail}',
+        f'<main class="teacher">{mixed}{second}</main>{first}',
     ]
 
 
