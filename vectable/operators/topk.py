@@ -117,6 +117,7 @@ def _blocks(asked: DataFrame, block_bytes: int) -> int:
         F.max(size).alias("largest"),
         F.sum(F.when(F.col("query_id").isNull() | F.col("vector").isNull(), 1).otherwise(0)).alias("nulls"),
         F.sum(_endless(kind)).alias("endless"),
+        (F.count("query_id") - F.count_distinct("query_id")).alias("repeats"),
     ).first()
     if found["nulls"]:
         raise ValueError(f"{found['nulls']} queries have a null id or vector")
@@ -124,8 +125,8 @@ def _blocks(asked: DataFrame, block_bytes: int) -> int:
         raise ValueError(f"{found['endless']} query vectors have a NaN or infinite element")
     if (found["largest"] or 0) > block_bytes:
         raise ValueError(f"a query vector of {found['largest']} bytes exceeds {block_bytes}")
-    if not asked.groupBy("query_id").count().where("count > 1").isEmpty():
-        raise ValueError("query ids repeat")
+    if found["repeats"]:
+        raise ValueError(f"query ids repeat {found['repeats']} times")
     return max(1, math.ceil(2 * (found["bytes"] or 0) / block_bytes))
 
 
