@@ -1,20 +1,24 @@
 """Connected components of a link table, by contraction.
 
 Each round every node that has links picks the smallest node, by a hash that changes with
-the round, among itself and its neighbours, and all links are renamed to the picks. Loops
-and repeats vanish, so a round removes a constant share of the linked nodes and the number
-of rounds is logarithmic. Nothing is gathered by node: picks are minima, which Spark
+the round, within two links of it, and all links are renamed to the picks. Loops and repeats
+vanish: a star is gone after one round, and a chain loses most of its nodes in each, so the
+number of rounds is logarithmic. Nothing is gathered by node: picks are minima, which Spark
 combines before the shuffle, and renaming is a join that adaptive execution can split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectable.llm.scratch import kept
 
 
+def _ranked(column: str, turn: int) -> Column:
+    return F.struct(F.xxhash64(F.col(column), F.lit(turn)).alias("rank"), F.col(column).alias("node"))
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``(node, root)`` for every node that occurs in ``links``; equal roots, same component.
 
@@ -24,13 +28,15 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     pairs = links.select(F.col(left).alias("a"), F.col(right).alias("b"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = kept(both.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct())
-    roots = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-    turn = 0
+    rounds: list[DataFrame] = []
     while not edges.isEmpty():
-        rank = F.xxhash64(F.col("b"), F.lit(turn))
-        picks = edges.groupBy("a").agg(F.min(F.struct(rank.alias("rank"), F.col("b").alias("pick"))).alias("best"))
-        own = F.struct(F.xxhash64(F.col("a"), F.lit(turn)).alias("rank"), F.col("a").alias("pick"))
-        picks = kept(picks.select("a", F.least("best", own)["pick"].alias("pick")))
+        turn = len(rounds)
+        near = F.least(_ranked("a", turn), F.min(_ranked("b", turn)))
+        nearest = edges.groupBy("a").agg(near.alias("best")).withColumnRenamed("a", "b")
+        # The least of what the neighbours found is within two links, and no larger than what the node found.
+        picks = edges.join(nearest, "b").groupBy("a").agg(F.min("best")["node"].alias("pick"))
+        picks = kept(picks)
+        rounds.append(picks)
         first = picks.select("a", F.col("pick").alias("left_pick"))
         second = picks.select(F.col("a").alias("b"), F.col("pick").alias("right_pick"))
         renamed = edges.join(first, "a").join(second, "b")
@@ -39,9 +45,10 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             .select(F.col("left_pick").alias("a"), F.col("right_pick").alias("b"))
             .distinct()
         )
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("a").alias("root"))
+    roots = rounds[0].select(F.col("a").alias("node"), F.col("pick").alias("root"))
+    for picks in rounds[1:]:  # logarithmically many
         moved = picks.select(F.col("a").alias("root"), "pick")
-        roots = kept(
-            roots.join(moved, "root", "left").select("node", F.coalesce("pick", "root").alias("root"))
-        )
-        turn += 1
-    return roots
+        roots = roots.join(moved, "root", "left").select("node", F.coalesce("pick", "root").alias("root"))
+    return kept(roots)

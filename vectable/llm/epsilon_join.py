@@ -134,7 +134,7 @@ def _forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         label = lowest
 
 
-def _blocks(directions, cell: float):
+def _blocks(directions):
     """Sorted rows to blocks with their boxes; a block never spans two tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +251,7 @@ def similar_vectors(
     ordered = ordered.select("node", "copies", "vector")
     blocks = kept(
         ordered.mapInArrow(
-            _blocks(directions, cell),
+            _blocks(directions),
             "block long, low array<double>, high array<double>, nodes binary, copies binary, vectors binary",
         )
     )
