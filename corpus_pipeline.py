@@ -17,13 +17,16 @@ from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
 from vectable.llm.scratch import kept
 
+LEAST_SCORE = 0.4  # texts in two languages pass
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, or as near to a second one, go."""
+    """Documents without letters go, and those of which no language is likelier than ``LEAST_SCORE``."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     names = {"lang_pred": "_lang_pred", "score": "_score", "ambiguous": "_ambiguous"}
     judged = with_language(docs, fit_languages(docs, ~held_out), **names)
-    return judged.where((F.col("_lang_pred") != UNDETERMINED) & ~F.col("_ambiguous")).select(docs.columns)
+    known = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)
+    return judged.where(known).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
