@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 
@@ -111,3 +112,25 @@ def base_counts(text):
             seen.add(line)
     symbols = len(re.findall(r"[#*$%&|<>]", text))
     return len(words), sum(map(len, words)), symbols, repeated, len(covered)
+
+
+def url_tokens(url):
+    host, path, query = re.match(r"[^:]*://([^/?#]*)([^?#]*)(?:\?([^#]*))?", url).groups(default="")
+    parts = re.split(r"[/._-]", re.sub("[0-9]+", "0", path.lower()))
+    names = [n.split("=")[0] for n in query.split("&")]
+    tokens = {f"host={t}" for t in host.lower().split(".") if t}
+    return tokens | {f"path={t}" for t in parts if t} | {f"query={t}" for t in names if t}
+
+
+def mined_rules(rows, min_support=0.002, min_confidence=0.7, least_bad=5):
+    """All token combinations of ``(url, bad)`` rows counted one by one; those with a rule inside go."""
+    held, bad = Counter(), Counter()
+    for url, label in rows:
+        tokens = sorted(url_tokens(url))
+        for size in range(1, len(tokens) + 1):
+            for rule in combinations(tokens, size):
+                held[rule] += 1
+                bad[rule] += label
+    good_enough = [r for r, n in bad.items() if n >= max(least_bad, min_support * len(rows)) and n >= min_confidence * held[r]]
+    rules = {frozenset(r) for r in good_enough}
+    return sorted(r for r in good_enough if not any(frozenset(c) in rules for k in range(1, len(r)) for c in combinations(r, k)))

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from brute import base_counts
+from brute import base_counts, mined_rules, url_tokens
 from llm_fixtures import none, odd, sf  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -154,6 +154,34 @@ def test_mined_rules(spark):
     assert url_filter.mine_rules(df.where("false")) == [] and url_filter.with_verdict(df.where("false"), [], rules).count() == 0
 
 
+def judged_by_brute_force(spark, folder):
+    """Verdicts of op9, and those by counting token combinations over the documents that pages show."""
+    found = {r.page_id: r.verdict for r in QUERIES["op9_url_filters"](spark, folder).collect()}
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    pages = [(r.page_id, r.url, int(r.url.split("/")[4].split("?")[0].split("#")[0].split(".")[0])) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
+    rules = mined_rules([(url, quality[doc] == 0) for _, url, doc in pages if doc in quality])
+    mined = {i: any(set(r) <= url_tokens(url) for r in rules) for i, url, _ in pages}
+    return rules, found, {i: plain_verdict(url)[3] or ("block" if mined[i] else "allow") for i, url, _ in pages}
+
+
+def test_url_filters_learn_from_the_documents_shown(spark, sf, tmp_path):
+    rules, found, expected = judged_by_brute_force(spark, sf)
+    assert found == expected
+    # Hosts of bad documents; a page's own id is another document's.
+    urls = [f"http://{('spam', 'good', 'fair')[d % 3]}.example.net/en/{d}?ref=x" for d in range(90)]
+    spark.createDataFrame([(d + 1, u) for d, u in enumerate(urls)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(d, int(d % 3 > 0)) for d in range(90)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    rules, found, expected = judged_by_brute_force(spark, tmp_path)
+    assert rules == [("host=spam",)] and found == expected
+    assert {i for i, v in found.items() if v == "block"} == {d + 1 for d in range(0, 90, 3)}
+
+
+def test_a_rule_needs_some_bad_rows(spark):
+    rows = [(f"http://h{i}.example.net/a", i < 4 or 30 <= i < 35) for i in range(30)] + [("http://five.example.net/a", True)] * 5
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    assert url_filter.mine_rules(df) == mined_rules(rows) == [("host=five",)]
+
+
 PAGES = [
     "<p>One</p> two <b>th</b>ree<br>four<p>five &amp; &eacute;&#228;<ul><li>a<li>b</ul>",
     '<body><nav class="m"><a href="x>y">Menu</a></nav><article><h1>T</h1><p>Text <script>var a="</p>";</script>more</p></article>',

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.llm.epsilon_join import similar_vectors
@@ -21,7 +21,7 @@ from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
 from vectable.llm.quality_rules import log_ratios, with_quality
 from vectable.llm.rule_classifier import fit_rules, with_score
-from vectable.llm.url_filter import mine_rules, with_verdict
+from vectable.llm.url_filter import mine_rules, path_of, with_verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,9 +97,14 @@ URL_RULES = (
 )
 
 
+def document_of(url: Column) -> Column:
+    """The id of the document that a page shows: the number after the language in its URL's path."""
+    return F.regexp_extract(path_of(url), "^/[a-z]*/([0-9]+)", 1).try_cast("long")
+
+
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = _table(spark, sf_dir, "pages").select("page_id", "url"), _table(spark, sf_dir, "labels")
-    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id"))
+    labelled = pages.withColumn("doc_id", document_of(F.col("url"))).join(labels, "doc_id")
     rules = mine_rules(labelled.select("url", (F.col("quality") == 0).alias("bad")))
     return with_verdict(pages, URL_RULES, rules).select("page.page_id", "host", "path", "rule", "verdict")
 

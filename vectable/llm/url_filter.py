@@ -8,6 +8,7 @@ checks only the rules found there.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Sequence
 
@@ -16,8 +17,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vectable.llm.scratch import kept
+
 BAD = "label=bad"
 MAX_RULES = 5_000
+LEAST_BAD = 5  # bad rows of a rule, whatever share of the labelled rows they are
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -49,19 +53,24 @@ def mine_rules(
     min_confidence: float = 0.7,
     url_column: str = "url",
     bad_column: str = "bad",
+    least_bad: int = LEAST_BAD,
 ) -> list[tuple[str, ...]]:
     """Token combinations that go with ``bad``, the ``MAX_RULES`` surest at most.
 
     Rows with a null url or label aren't used. A combination holds in at least ``min_support`` of the
-    labelled rows together with ``bad``, and ``min_confidence`` of the rows that have it are bad. No
-    labelled row, no rule.
+    labelled rows together with ``bad``, in ``least_bad`` of them however few are labelled, and
+    ``min_confidence`` of the rows that have it are bad. No labelled row, no rule.
     """
     label = F.when(F.col(bad_column), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     usable = labelled.where(F.col(url_column).isNotNull() & F.col(bad_column).isNotNull())
     items = usable.select(F.concat(url_tokens(F.col(url_column)), label).alias("items")).where(F.size("items") > 0)
-    if items.isEmpty():
+    items = kept(items)
+    total = items.count()
+    needed = max(math.ceil(min_support * total), least_bad, 1)
+    if needed > total:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    # Spark rounds support times rows up: half a row less is safe from rounding.
+    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.array_contains("consequent", BAD))
     best = rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent"))
     found = [tuple(sorted(r["antecedent"])) for r in best.select("antecedent").limit(MAX_RULES).collect()]
