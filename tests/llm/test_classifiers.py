@@ -182,6 +182,28 @@ def test_a_rule_needs_some_bad_rows(spark):
     assert url_filter.mine_rules(df) == mined_rules(rows) == [("host=five",)]
 
 
+def test_sure_rules_do_not_push_out_others(spark):
+    """Every superset of a sure host is a rule too, 8,192 here; a less sure host must still be found."""
+    path = "/".join("abcdefghijk")
+    rows = [(f"http://{h}.example.net/{path}", bad) for h, n, m in (("evil", 9, 9), ("shady", 20, 17), ("good", 60, 0)) for bad in [True] * m + [False] * (n - m)]
+    assert url_filter.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")) == [("host=evil",), ("host=shady",)]
+
+
+def test_rules_equal_those_of_a_brute_force_miner(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    rows = []
+    for _ in range(400):
+        host, a, b, c = rng.integers(0, 4), *rng.integers(0, 3, 3)
+        odds = 0.9 if host == 0 and a == 1 or a == b == c == 2 else 0.72 if host == 3 else 0.1
+        rows.append((f"http://h{host}.example.net/a{'xyz'[a]}/b{'xyz'[b]}/?{'uvw'[c]}=1", bool(rng.random() < odds)))
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    expected = mined_rules(rows)
+    assert len({len(r) for r in expected}) > 2 and sorted(url_filter.mine_rules(df)) == expected
+    monkeypatch.setattr(url_filter, "MAX_RULES", len(expected) - 1)
+    with pytest.raises(ValueError, match="more than"):
+        url_filter.mine_rules(df)
+
+
 PAGES = [
     "<p>One</p> two <b>th</b>ree<br>four<p>five &amp; &eacute;&#228;<ul><li>a<li>b</ul>",
     '<body><nav class="m"><a href="x>y">Menu</a></nav><article><h1>T</h1><p>Text <script>var a="</p>";</script>more</p></article>',

@@ -1,8 +1,8 @@
 """URL verdicts from given host and path rules, and from mined association rules.
 
 Spark's FP-growth mines which combinations of URL tokens go with a bad label. Rules below the
-support and confidence asked for are pruned, and so are rules that a shorter one covers. A rule
-is filed under one of its tokens, the one with the fewest rules; a URL looks up its tokens and
+support and confidence asked for are pruned, and so are rules that a shorter one covers, on Spark
+and before any is collected. A rule is filed under one of its tokens, the one with the fewest rules; a URL looks up its tokens and
 checks only the rules found there.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from vectable.llm.scratch import kept
 
 BAD = "label=bad"
-MAX_RULES = 5_000
+MAX_RULES = 200_000  # what every worker can hold
 LEAST_BAD = 5  # bad rows of a rule, whatever share of the labelled rows they are
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -55,11 +55,12 @@ def mine_rules(
     bad_column: str = "bad",
     least_bad: int = LEAST_BAD,
 ) -> list[tuple[str, ...]]:
-    """Token combinations that go with ``bad``, the ``MAX_RULES`` surest at most.
+    """All token combinations that go with ``bad`` and have no smaller part that does.
 
     Rows with a null url or label aren't used. A combination holds in at least ``min_support`` of the
     labelled rows together with ``bad``, in ``least_bad`` of them however few are labelled, and
-    ``min_confidence`` of the rows that have it are bad. No labelled row, no rule.
+    ``min_confidence`` of the rows that have it are bad. No labelled row, no rule. More than
+    ``MAX_RULES`` of them are an error: none is left out.
     """
     label = F.when(F.col(bad_column), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     usable = labelled.where(F.col(url_column).isNotNull() & F.col(bad_column).isNotNull())
@@ -70,24 +71,46 @@ def mine_rules(
     if needed > total:
         return []
     # Spark rounds support times rows up: half a row less is safe from rounding.
-    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD))
-    best = rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent"))
-    found = [tuple(sorted(r["antecedent"])) for r in best.select("antecedent").limit(MAX_RULES).collect()]
-    pruned: list[tuple[str, ...]] = []
-    known: set[frozenset] = set()
-    for rule in sorted(found, key=lambda r: (len(r), r)):
-        if not _covered(rule, known):
-            known.add(frozenset(rule))
-            pruned.append(rule)
-    return pruned
-
-
-def _covered(rule: Sequence[str], known: set[frozenset]) -> bool:
-    """Whether dropping some tokens of ``rule`` gives a known rule; URLs have few tokens."""
-    from itertools import combinations
-
-    return any(frozenset(c) in known for size in range(1, len(rule) + 1) for c in combinations(rule, size))
+    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total).fit(items)
+    sets = kept(model.freqItemsets.select(F.array_sort("items").alias("tokens"), "freq"))
+    with_bad = sets.where(F.array_contains("tokens", BAD) & (F.size("tokens") > 1))
+    with_bad = with_bad.select(F.array_remove("tokens", BAD).alias("tokens"), F.col("freq").alias("n_bad"))
+    # A combination is at least as frequent without the label, so every one has its partner.
+    counted = with_bad.join(sets.where(~F.array_contains("tokens", BAD)), "tokens")
+    surely = F.col("n_bad").cast("double") / F.col("freq").cast("double") >= min_confidence
+    rules = _shortest(counted.select("tokens", surely.alias("rule")))
+    found = [tuple(r["tokens"]) for r in rules.limit(MAX_RULES + 1).collect()]
+    if len(found) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules that no shorter one covers: ask for more support or confidence")
+    return sorted(found, key=lambda r: (len(r), r))
+
+
+def _shortest(combinations: DataFrame) -> DataFrame:
+    """The ``tokens`` of rules of which no smaller part is a rule.
+
+    ``combinations`` has sorted ``tokens`` and whether they are a ``rule``, and with a combination all
+    its parts. A combination is settled if it is a rule or a part of it is settled: level by level, by
+    its parts of one token less.
+    """
+    spark = combinations.sparkSession
+    combinations = kept(combinations)
+    longest = combinations.agg(F.max(F.size("tokens"))).first()[0] or 0
+    shortest = spark.createDataFrame([], "tokens array<string>")
+    settled = None
+    for size in range(1, longest + 1):
+        level = combinations.where(F.size("tokens") == size)
+        if settled is None:
+            level = level.withColumn("covered", F.lit(False))
+        else:
+            less = F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t)))
+            parts = level.select("tokens", less.alias("part"))
+            covered = parts.join(settled.withColumnRenamed("tokens", "part"), "part", "left_semi")
+            covered = covered.select("tokens").distinct().withColumn("covered", F.lit(True))
+            level = level.join(covered, "tokens", "left").select("tokens", "rule", F.coalesce("covered", F.lit(False)).alias("covered"))
+        level = kept(level)
+        shortest = shortest.unionByName(level.where("rule AND NOT covered").select("tokens"))
+        settled = level.where("rule OR covered").select("tokens")
+    return shortest
 
 
 def inverted(rules: Sequence[tuple[str, ...]]) -> dict[str, list[frozenset]]:
