@@ -228,6 +228,40 @@ def test_blocks():
     assert all_blocks(PAGES[4]) == ["unended tag"] and all_blocks("") == [] and all_blocks(PAGES[6]) == ["plain text"]
 
 
+FRAGMENTS = {
+    "Hello world.<br>More text.": ["Hello world. More text."],
+    PAGES[0]: ["One", "two three four", "five & éä", "a", "b"],
+    "<html><body><p>First</p></body></html>Rest <b>of</b> it.<p>More</p> end": ["First", "Rest of it.", "More", "end"],
+    "<html><head><title>T</title></head><p>x</p></html>tail": ["x", "tail"],
+    "before<body><p>x</p></body>": ["before", "x"],
+    "<b>a</b> <i>b</i><br><b>c</b>": ["a b c"],
+    "<p>x</p>\n": ["x"],
+}
+
+
+@pytest.mark.parametrize("source", FRAGMENTS)
+def test_text_at_page_level(source, extractor):
+    page = html_extraction.with_body(html_extraction.parse(source))
+    assert all(0 <= up < i for i, up in enumerate(page.parent[1:], 1)) and len(page.parent) == len(page.tag) == len(page.words)
+    assert all(node or piece.isspace() for node, _, piece in page.texts)
+    assert html_extraction.blocks_of(page, np.ones(len(page.tag), bool)) == FRAGMENTS[source]
+    assert html_extraction.extract(source, html_extraction._trees(extractor)).split("\n\n") == FRAGMENTS[source]
+    # The likeliest labelling of all, the implied body among the nodes.
+    n, odds = len(page.tag), np.random.default_rng(0).normal(size=len(page.tag)) * 3
+    labels = ((np.arange(1 << (n - 1))[:, None] >> np.arange(n - 1)) & 1).astype(bool)
+    whole = np.hstack([np.ones((len(labels), 1), bool), labels])
+    allowed = (whole[:, page.parent[1:]] | ~labels).all(1)
+    value = np.where(labels, -np.logaddexp(0, -odds[1:]), -np.logaddexp(0, odds[1:])).sum(1)
+    assert (html_extraction.decode(page, odds) == whole[np.where(allowed, value, -np.inf).argmax()]).all()
+
+
+def test_an_implied_body_is_decoded(extractor):
+    page = html_extraction.with_body(html_extraction.parse("<html><head></head>one<p>two</p></html>three"))
+    assert page.tag == ["#page", "html", "body", "head", "p"] and page.parent == [-1, 0, 1, 1, 2]
+    assert html_extraction.features(page).shape == (5, html_extraction.FEATURES)
+    assert not html_extraction.decode(page, np.array([0, 1, -9, -1, 1.0]))[[2, 4]].any()
+
+
 def test_decoding_never_keeps_below_a_dropped_element():
     page = html_extraction.parse("<div><div><p>a</p><p>b</p></div><p>c</p></div>")
     rng = np.random.default_rng(0)

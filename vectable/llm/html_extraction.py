@@ -140,6 +140,36 @@ def _close(page: Page, open_: list[int], names: set[str]) -> None:
             return
 
 
+def with_body(page: Page) -> Page:
+    """``page`` with its page-level text under the body, as browsers put it; without a body it gets one.
+
+    An implied body takes all that lies at page level or in ``html``, but for the head. Pages without
+    such text, and those without any element, stay as they are.
+    """
+    count = len(page.tag)
+    if count == 1 or all(node or piece.isspace() for node, _, piece in page.texts):
+        return page
+    if "body" in page.tag:
+        body = page.tag.index("body")
+        return Page(page.parent, page.tag, page.words, [(node or body, *rest) for node, *rest in page.texts])
+    root = next((i for i in range(1, count) if page.tag[i] == "html" and page.parent[i] == 0), 0)
+    top = [0, root] if root else [0]
+    rest = [i for i in range(1, count) if i != root]
+    body = len(top)
+    place = {old: new + (new >= body) for new, old in enumerate([*top, *rest])}
+
+    def above(i: int) -> int:
+        up = page.parent[i]
+        return place[up] if up not in top else body - 1 if page.tag[i] == "head" else body
+
+    return Page(
+        [*range(-1, body), *[above(i) for i in rest]],
+        [*[page.tag[i] for i in top], "body", *[page.tag[i] for i in rest]],
+        [*[page.words[i] for i in top], [], *[page.words[i] for i in rest]],
+        [(body if node in top else place[node], block, piece) for node, block, piece in page.texts],
+    )
+
+
 FEATURES = 24
 
 
@@ -250,7 +280,8 @@ def decode(page: Page, odds: np.ndarray) -> np.ndarray:
 def blocks_of(page: Page, kept: np.ndarray) -> list[str]:
     """The kept text, block by block, with single blanks.
 
-    Text outside every element is kept only where a page has no element.
+    Text outside every element is kept only where a page has no element (``with_body`` leaves none
+    in other pages); blanks there part words.
     """
     blocks: list[str] = []
     last, pieces = None, []
@@ -260,7 +291,7 @@ def blocks_of(page: Page, kept: np.ndarray) -> list[str]:
             if words:
                 blocks.append(" ".join(words))
             last, pieces = block, []
-        if kept[node] and (node or len(page.tag) == 1):
+        if kept[node] and (node or len(page.tag) == 1 or piece.isspace()):
             pieces.append(piece)
     return blocks
 
@@ -339,7 +370,7 @@ def fit_extractor(pages: DataFrame, id_column: str = "page_id", html_column: str
             rows, labels = [], []
             for source in batch.column(0).to_pylist():
                 for variant in variants(source):
-                    page = parse(variant)
+                    page = with_body(parse(variant))
                     label = teacher_labels(page)
                     if label is not None:
                         page.words = [[w for w in words if w != "teacher"] for words in page.words]
@@ -371,7 +402,7 @@ def _trees(model: str) -> tuple[list[Tree], float] | None:
 
 def extract(source: str, trees: tuple[list[Tree], float] | None) -> str:
     """The main text of one page."""
-    page = parse(source)
+    page = with_body(parse(source))
     rows = features(page)
     odds = log_odds(*trees, rows) if trees else np.where(rows[:, 15] > 0, -4.0, 1.0)
     return "\n\n".join(blocks_of(page, decode(page, odds)))
