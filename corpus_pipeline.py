@@ -44,7 +44,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are drawn towards the tempered shares of sources, languages and topics."""
-    return mix(docs).where("sampled").select("row.*")
+    return mix(docs, languages=None).where("sampled").select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

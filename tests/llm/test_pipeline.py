@@ -113,6 +113,30 @@ def test_mixing_of_odd_rows(odd, none):
     assert mix(none).count() == 0 and mix(odd.where("doc_id < 4")).where("sampled").count() == 3
 
 
+def test_mixing_takes_the_languages_of_the_data(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    other = F.element_at(F.lit(["it", "pl", "nl", "pt", "sv", "de"]), (F.pmod(F.xxhash64("doc_id"), F.lit(6)) + 1).cast("int"))
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 9 > 0, other))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op6_mixing"](spark, str(tmp_path)).toPandas().fillna({"lang": "-"})
+    assert set(rows.lang) == {"it", "pl", "nl", "pt", "sv", "de", "-"}
+    share = rows.groupby("lang").n_tokens.sum() / rows.n_tokens.sum()
+    weighted = (rows.n_tokens * rows.weight).groupby(rows.lang).sum() / rows.n_tokens.sum()
+    assert np.allclose(weighted, tempered(share, 0.97), atol=1e-5)
+    sampled = rows[rows.sampled].doc_id.tolist()
+    staged = corpus_pipeline.mixing(spark, docs, str(tmp_path)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in staged) == sorted(sampled)
+
+
+def test_mixing_of_very_many_languages(spark):
+    rows = [(i, "a b c " * (1 + i % 5), f"s{i % 3}", f"l{i % 500}") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = mix(docs, 1, 0.5, 1, languages=None).select("lang", "n_tokens", "weight").toPandas()
+    share = found.groupby("lang").n_tokens.sum() / found.n_tokens.sum()
+    weighted = (found.n_tokens * found.weight).groupby(found.lang).sum() / found.n_tokens.sum()
+    assert len(share) == 500 and np.allclose(weighted, tempered(share, 0.5), atol=1e-5)
+
+
 def test_stages_keep_columns_and_take_odd_rows(spark, odd, none, sf):
     docs = odd.select("doc_id", "text", "lang", "source", F.lit(0).cast("long").alias("n_chars"))
     for name, stage in corpus_pipeline.STAGES[:-1]:

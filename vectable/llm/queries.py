@@ -50,7 +50,7 @@ def _remainder(divisor: int):
 
 
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(_table(spark, sf_dir, "documents"))
+    mixed = mix(_table(spark, sf_dir, "documents"), languages=None)
     return mixed.select(
         "row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled"
     )
