@@ -132,3 +132,16 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     rows = [(i, p.tolist()) for i, p in enumerate(points)]
     rows += [(1000 + i, rows[5][1]) for i in range(90)]  # a third are copies
     assert as_rows(epsilon_join.similar_vectors(vectors_of(spark, rows))) == some(similar_vectors(rows))
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for dim, n in ((3, 30), (8, 40), (5, 20), (1, 4)):
+        centres = rng.normal(size=(4, dim))
+        points = centres[rng.integers(0, 4, n)] + rng.normal(size=(n, dim)) * 0.1
+        rows += [(len(rows) + i, p.tolist()) for i, p in enumerate(points)]
+    rows += [(500, rows[0][1]), (501, rows[75][1]), (502, None), (503, [0.0] * 8)]
+    expected = similar_vectors(rows)
+    assert sum(n > 0 for _, n, _, _ in expected) > 60
+    assert as_rows(epsilon_join.similar_vectors(vectors_of(spark, rows))) == some(expected)

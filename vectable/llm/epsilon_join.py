@@ -28,6 +28,7 @@ from vectable.llm.scratch import kept
 DIRECTIONS = 6  # leading principal directions of the grid
 BLOCK = 2048  # vectors of a block
 LEAF = 256  # vectors of an interval that is compared without halving
+LINKS = "node long, links long, other long"
 
 
 def _rows(column: pa.Array) -> list:
@@ -210,29 +211,12 @@ def _cut(data: bytes, dim: int) -> list[bytes]:
     return [data[i : i + 8 * dim] for i in range(0, len(data), 8 * dim)]
 
 
-def similar_vectors(
-    vectors: DataFrame, cosine: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding"
-) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``.
-
-    Two vectors link when their cosine in double precision is at least ``cosine`` (more than 0).
-    ``n_links`` counts the other rows linked directly, equal vectors included; ``component_id`` is the
-    smallest id reachable over links, the row's own included; ``kept`` is whether that is its own.
-    Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, and
-    so do those that haven't the length that most have (of equally frequent lengths the larger).
-    Repeated ids are rows of their own. An empty table gives no rows.
-    """
-    spark = vectors.sparkSession
-    kind = dict(vectors.dtypes)[id_column]
-    given = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
-    rows = kept(given.mapInArrow(_nodes, f"vec_id {kind}, node long, dim int, vector binary"))
-    common = rows.where("dim IS NOT NULL").groupBy("dim").count().orderBy(F.desc("count"), F.desc("dim")).first()
-    dim = common["dim"] if common else 1
-    sound = rows.where(F.col("dim") == dim)
-    nodes = kept(sound.groupBy("node").agg(F.count("*").alias("copies"), F.first("vector").alias("vector")))
+def _linked(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
+    """``(node, links, other)`` of distinct vectors of length ``dim``: counts of links and a forest of them."""
+    spark = nodes.sparkSession
     reach = (2 - 2 * cosine) * (1 + 1e-9) + 1e-12
     cell = float(np.sqrt(reach))
-    directions = spark.sparkContext.broadcast(principal_directions(nodes, dim) if common else np.ones((1, 1)))
+    directions = spark.sparkContext.broadcast(principal_directions(nodes, dim))
     width = directions.value.shape[1]
 
     def cells_of(batches):
@@ -260,17 +244,35 @@ def similar_vectors(
         pairs.where("a <> b").select("a", "b", F.lit(1).alias("side"), F.col("b").alias("block"))
     )
     opened = sides.join(blocks.select("block", "nodes", "copies", "vectors"), "block")
-    found = kept(
-        opened.groupBy("a", "b").applyInArrow(
-            _open(directions, cosine, reach, dim), "node long, links long, other long"
-        )
-    )
+    return kept(opened.groupBy("a", "b").applyInArrow(_open(directions, cosine, reach, dim), LINKS))
+
+
+def similar_vectors(
+    vectors: DataFrame, cosine: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding"
+) -> DataFrame:
+    """One row per vector: ``vec_id, n_links, component_id, kept``.
+
+    Two vectors link when their cosine in double precision is at least ``cosine`` (more than 0).
+    ``n_links`` counts the other rows linked directly, equal vectors included; ``component_id`` is the
+    smallest id reachable over links, the row's own included; ``kept`` is whether that is its own.
+    Vectors that are null, empty, zero or hold a null or non-finite component link with nothing; others
+    link with those of their length. Each length is joined along its own directions.
+    Repeated ids are rows of their own. An empty table gives no rows.
+    """
+    spark = vectors.sparkSession
+    kind = dict(vectors.dtypes)[id_column]
+    given = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
+    rows = kept(given.mapInArrow(_nodes, f"vec_id {kind}, node long, dim int, vector binary"))
+    sound = rows.where("dim IS NOT NULL").groupBy("dim", "node")
+    nodes = kept(sound.agg(F.count("*").alias("copies"), F.first("vector").alias("vector")))
+    found = kept(spark.createDataFrame([], LINKS))
+    for r in nodes.select("dim").distinct().orderBy("dim").collect():  # lengths are few
+        found = found.unionByName(_linked(nodes.where(F.col("dim") == r["dim"]), r["dim"], cosine))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.select("node", "other"), "node", "other")
     copies = nodes.select("node", "copies")
-    usable = F.when(F.col("dim") == dim, F.col("node"))
     joined = (
-        rows.select("vec_id", usable.alias("node"))
+        rows.select("vec_id", "node")
         .join(copies, "node", "left")
         .join(links, "node", "left")
         .join(roots, "node", "left")
