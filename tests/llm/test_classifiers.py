@@ -37,6 +37,16 @@ def test_log_ratios_count_what_a_loop_counts(spark):
     assert np.isclose(found.min(), np.log(1 / (3 + n)) - np.log(3 / (8 + n)))  # twice in the other text
 
 
+def test_log_ratios_count_every_trusted_document(spark):
+    n, many = quality_rules.BUCKETS, 20_050
+    docs = spark.range(many).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, "b")], "doc_id long, text string"))
+    found = quality_rules.log_ratios(docs, docs.where("doc_id >= 0").select("doc_id"))
+    # One bucket has every document, another only the one that isn't trusted.
+    assert np.isclose(found.max(), np.log((many + 1) / (many + n)) - np.log((many + 1) / (many + 1 + n)))
+    assert np.isclose(found.min(), np.log(1 / (many + n)) - np.log(2 / (many + 1 + n)))
+
+
 def test_quality_rules_keep_good_documents(spark, sf):
     found = QUERIES["op1_quality_rules"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     right = found.where("NOT base_failed").select(F.avg(((F.col("quality") == 1) == F.col("kept")).cast("int"))).first()[0]

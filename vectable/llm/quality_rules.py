@@ -1,10 +1,10 @@
 """Quality rules: base counts per text, and a log-likelihood ratio of hashed word n-grams.
 
-Two multinomials over a fixed number of n-gram buckets are counted: one on a bounded sample of
-trusted documents, one on the whole corpus. A document's score is the mean over its n-grams of
+Two multinomials over a fixed number of n-gram buckets are counted: one on all trusted documents,
+one on the whole corpus. A document's score is the mean over its n-grams of
 the log ratio of the two, so it doesn't depend on its length; documents below a fixed threshold
 fail. A pass over the corpus counts, a second one scores; each task sends back one row per
-bucket, and no text is shuffled.
+bucket. Counting shuffles the text once, by id; scoring shuffles none.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from vectable.llm.rolling import Texts, Words, combine, mix, slices
 
 BUCKETS = 1 << 14
-TRUSTED = 20_000  # trusted documents that the target multinomial is counted on
 GRAMS = 2
 THRESHOLD = -0.3
 SYMBOLS = b"#*$%&|<>"
@@ -101,21 +100,19 @@ def base_counts(texts: Texts) -> dict[str, np.ndarray]:
 def log_ratios(
     docs: DataFrame,
     trusted: DataFrame,
-    limit: int = TRUSTED,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> np.ndarray:
     """Per bucket the log of its trusted over its corpus probability, one added to each count.
 
-    ``trusted`` has ids in its first column, of which the ``limit`` with the smallest hashes are
-    used. With no trusted document every ratio is 0.
+    ``trusted`` has ids in its first column; all documents with one of them count. With no trusted
+    document every ratio is 0.
     """
     spark = docs.sparkSession
     name = trusted.columns[0]
     chosen = trusted.select(F.col(name).alias("id")).where("id IS NOT NULL").distinct()
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(limit)
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    marked = given.join(F.broadcast(chosen.withColumn("yes", F.lit(True))), "id", "left")  # at most ``limit`` ids
+    marked = given.join(chosen.withColumn("yes", F.lit(True)).hint("merge"), "id", "left")  # ids grow with the corpus
     marked = marked.select("text", F.coalesce("yes", F.lit(False)).alias("yes"))
 
     def count(batches):
