@@ -74,6 +74,18 @@ def test_language_of_odd_texts(odd, none, spark, sf):
     assert language_id.with_language(none, model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(0)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)] for _ in range(70)]
+    rows = [(10 * i + k, f"l{i:02}", " ".join(rng.choice(own, 30))) for i, own in enumerate(words) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language_id.fit_languages(docs, F.col("doc_id") % 10 > 1)
+    assert model.languages == [f"l{i:02}" for i in range(70)]
+    held = language_id.with_language(docs.where("doc_id % 10 <= 1"), model).collect()
+    assert len(held) == 140 and sum(r.lang_pred == r.lang for r in held) >= 130
+    assert {r.lang for r in held if r.lang_pred == r.lang} >= {f"l{i}" for i in range(64, 70)}
+
+
 def test_codewords_differ():
     for n in (1, 2, 3, 4, 7, 8, 30):
         code = language_id.codewords(n)

@@ -24,7 +24,6 @@ from vectable.llm.rolling import Texts, slices
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 SAMPLE = 2400  # texts that the classifiers are fitted on, all languages together
-MAX_LANGUAGES = 64
 RIDGE = 3e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
@@ -108,7 +107,9 @@ def decode(model: tuple, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     """Per row the nearest language's number, the score of it (0 to 1), and of the next one."""
     languages, code, bit_weight, weights, bias = model
     answers = np.clip(shares.astype(np.float64) @ weights + bias, -1.5, 1.5)
-    loss = ((answers[:, None, :] - code[None, :, :]) ** 2 * bit_weight).sum(2)
+    loss = np.empty((len(answers), len(code)))
+    for i, word in enumerate(code):  # languages may be many
+        loss[:, i] = ((answers - word) ** 2 * bit_weight).sum(1)
     score = np.exp(-SHARPNESS * (loss - loss.min(1, keepdims=True)))
     score /= score.sum(1, keepdims=True)
     best = loss.argmin(1)
@@ -128,14 +129,14 @@ def fit_languages(
 ) -> LanguageModel:
     """A model from rows for which ``train`` holds and whose text and language aren't null.
 
-    Of each of the ``MAX_LANGUAGES`` most frequent languages the same number of texts is used, those
-    with the smallest hashes of their ids, ``sample`` in all. Without such rows the model knows no
+    Of every language the same number of texts is used, those with the smallest hashes of their ids,
+    ``sample`` in all but one of each language at least. Without such rows the model knows no
     language and finds every text undetermined.
     """
     spark = docs.sparkSession
     lang = F.col(lang_column)
     labelled = docs.where(train & lang.isNotNull() & F.col(text_column).isNotNull())
-    named = labelled.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    named = labelled.select(lang.alias("lang")).distinct()
     languages = sorted(r["lang"] for r in named.collect())
     if not languages:
         none = np.zeros((0, 0))
@@ -145,7 +146,7 @@ def fit_languages(
     keyed = labelled.select(F.col(id_column).alias("id"), number.alias("label")).where("label >= 0")
     lowest = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     chosen = keyed.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_language)
-    chosen = chosen.select("id").distinct()  # at most ``sample`` ids
+    chosen = chosen.select("id").distinct()  # ``sample`` ids, or one a language
     texts = labelled.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), number.alias("label"))
     rows = texts.where("label >= 0").join(F.broadcast(chosen), "id", "left_semi")
 
