@@ -12,6 +12,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectable.llm.collocations import phrases, top_phrases
+from vectable.llm.conversation_repair import digests, repair
 from vectable.llm.epsilon_join import similar_vectors
 from vectable.llm.html_extraction import fit_extractor, main_text
 from vectable.llm.jaccard_join import similar_classes
@@ -21,6 +23,7 @@ from vectable.llm.mixing import mix
 from vectable.llm.packing import pack
 from vectable.llm.quality_rules import log_ratios, with_quality
 from vectable.llm.rule_classifier import fit_rules, with_score
+from vectable.llm.secret_scan import BASE_KINDS, joined, secret_spans
 from vectable.llm.url_filter import mine_rules, path_of, with_verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +112,62 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_verdict(pages, URL_RULES, rules).select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = top_phrases(phrases(_table(spark, sf_dir, "documents")), 2000)
+    return top.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with faults by the checksum of conversation and turn."""
+    space = F.lit(" ")
+    spaced = {c: F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn", "role", "text")}
+    key = F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"])
+    fault = (F.crc32(key.cast("binary")) % 20).alias("fault")
+    kept = rows.select("conv_id", "turn", spaced["role"].alias("role"), spaced["text"].alias("text"), fault)
+    kept = kept.where("fault <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.when(F.col("fault") == 3, 2).otherwise(1).alias("times"),
+    )
+    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).drop("times", "copy")
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    repaired = repair(damaged(given))
+    every = given.select(F.col("conv_id").alias("own")).distinct()
+    for found in (repaired.summary, digests(repaired)):
+        every = every.join(found, F.col("own").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        F.col("own").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_spans(F.col("text")).alias("found"))
+
+    def of(kind: str) -> Column:
+        return F.filter("found", lambda s: s["kind"] == kind)
+
+    base = F.filter("found", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rules,
     "op2_best_fit_packing": best_fit_packing,
@@ -120,6 +179,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": quality_classifier,
     "op9_url_filters": url_filters,
     "op10_ngram_jaccard": ngram_jaccard,
+    "op11_phrase_collocations": phrase_collocations,
+    "op12_conversation_repair": conversation_repair,
+    "op13_secret_scan": secret_scan,
 }
 
 ORACLES: dict[str, str] = {
