@@ -36,6 +36,7 @@ UNKNOWN = "und"
 BREAKS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))  # fixed values: ends of pieces
 BETWEEN = BREAKS | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
 BROADCAST_KEYS = 1 << 20  # frequent groups that are looked up in every task; 24 bytes each
+AT_ONCE = 1 << 19  # occurrences that a task merges at once, and those of one more document
 SEEDS = 8
 BUCKETS = 64
 
@@ -153,11 +154,17 @@ def _as_batch(found: Occurrences, docs: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs[row]), *lists], ["doc", "at", "phrase"])
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[Occurrences, np.ndarray]:
-    at, phrase = batch.column("at"), batch.column("phrase")
-    sizes = pc.list_value_length(at).to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(batch)), sizes)
-    return Occurrences(row, at.flatten().to_numpy(), phrase.flatten().to_numpy()), batch.column("doc").to_numpy()
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Occurrences, np.ndarray]]:
+    """The relation in runs of whole documents of about ``AT_ONCE`` occurrences, with the documents' numbers."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("at")).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes) // AT_ONCE
+        bounds = np.append(np.unique(run, return_index=True)[1], len(batch))
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            part = batch.slice(low, high - low)
+            row = np.repeat(np.arange(high - low), sizes[low:high])
+            at, phrase = (part.column(c).flatten().to_numpy() for c in ("at", "phrase"))
+            yield Occurrences(row, at, phrase), part.column("doc").to_numpy()
 
 
 def _words(seed: int, table) -> Callable:
@@ -176,11 +183,11 @@ def _words(seed: int, table) -> Callable:
 
 
 def _pairs_counted(seed: int) -> Callable:
-    """How often neighbouring phrases meet, per batch."""
+    """How often neighbouring phrases meet, per run of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, left, right = _flat(batch)[0].merged()
+        for found, _ in _flat(batches):
+            _, left, right = found.merged()
             name = phrase_name(left, right, seed)
             order = np.lexsort((right, left, name))
             name, left, right = name[order], left[order], right[order]
@@ -199,8 +206,7 @@ def _extended(seed: int, table) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = _lookup(table.value)
-        for batch in batches:
-            found, docs = _flat(batch)
+        for found, docs in _flat(batches):
             longer, left, right = found.merged()
             longer.phrase = phrase_name(left, right, seed)
             yield _as_batch(longer.where(keep(longer.phrase, left, right)), docs)
@@ -212,8 +218,7 @@ def _merged_rows(seed: int) -> Callable:
     """The relation one word longer, all of it, an occurrence a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, docs = _flat(batch)
+        for found, docs in _flat(batches):
             longer, left, right = found.merged()
             columns = [docs[longer.row], longer.at, phrase_name(left, right, seed), left, right]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "at", "phrase", "left", "right"])
