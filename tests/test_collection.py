@@ -1,5 +1,7 @@
 """Catalog, scans, appends and SQL tables."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import SF_DIR
 from pyspark.errors import PySparkException
@@ -10,7 +12,7 @@ from vectable.operators.topk import top_k
 from vectable.plans.errors import CollectionExistsError, CollectionNotFoundError, SaveModeError
 from vectable.plans.schema import CollectionSchema, Field
 from vectable.plans.options import CollectionOptions
-from vectable.sources import autoid
+from vectable.sources import autoid, paths
 from vectable.sources.catalog import (
     create_collection,
     describe_collection,
@@ -190,37 +192,94 @@ def test_auto_ids_follow_existing_ones(spark, uri):
     assert df.where(F.col("id") > first).count() == 1000
 
 
-def test_auto_ids_come_from_the_mark(spark, uri, monkeypatch):
-    schema = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("k", "Int32")])
+AUTO = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("k", "Int32")])
+
+
+@pytest.fixture
+def auto(spark, uri):
     options = {"uri": uri, "collection": "auto"}
-    create_collection(spark, options, schema)
-    offered = rows(spark, 10).selectExpr("INT(id) AS k", "__partition")
-    append_collection(offered, options)
-    opts = CollectionOptions.of(options)
-    first = read_collection(spark, options).agg(F.max("id")).first()[0] + 1
+    create_collection(spark, options, AUTO)
+    return options
+
+
+def keys(spark, n):
+    return rows(spark, n).selectExpr("INT(id) AS k", "__partition")
+
+
+def test_settled_ranges_follow_without_a_look_at_the_data(spark, auto, monkeypatch):
+    append_collection(keys(spark, 10), auto)
+    opts = CollectionOptions.of(auto)
+    highest = read_collection(spark, auto).agg(F.max("id")).first()[0]
     with monkeypatch.context() as blind:
-        blind.setattr(autoid, "PARTITION_COLUMN", "__partition")
         blind.setattr(CollectionSchema, "struct", property(lambda self: pytest.fail("the data is read")))
-        assert autoid._next_id(offered, schema, opts) == first
-    autoid._write_mark(spark, opts, 0, settled=False)  # as an append that broke off leaves it
-    assert autoid._next_id(offered, schema, opts) == first
-    append_collection(offered, options)
-    assert read_collection(spark, options).select("id").distinct().count() == 20
+        assert autoid._take_ticket(spark, AUTO, opts) == (2, highest + 1)
+        assert autoid._take_ticket(spark, AUTO, opts) == (3, highest + 1 + autoid.SPAN)  # 2 never settles
+    append_collection(keys(spark, 10), auto)
+    drawn = read_collection(spark, auto).select("id").distinct()
+    assert drawn.count() == 20 and drawn.agg(F.max("id")).first()[0] > highest + 2 * autoid.SPAN
+    append_collection(keys(spark, 10), auto)
+    assert len(autoid._tickets(spark, opts)) <= 3
+
+
+def test_rows_that_came_another_way_count(spark, auto):
+    opts = CollectionOptions.of(auto)
+    spark.sql("SELECT 41L AS id, 1 AS k, 'p' AS __partition").write.partitionBy("__partition").parquet(opts.data_path, mode="append")
+    assert autoid._take_ticket(spark, AUTO, opts) == (1, 42)
+
+
+def test_a_failed_append_costs_its_range_only(spark, auto):
+    bad = keys(spark, 10).withColumn("k", F.expr("CAST(raise_error('stop') AS INT)"))
+    with pytest.raises(Exception, match="stop"):
+        append_collection(bad, auto)
+    append_collection(keys(spark, 10), auto)
+    assert read_collection(spark, auto).agg(F.min("id"), F.count("*")).first()[:] == (autoid.SPAN, 10)
+
+
+def test_tickets_are_published_once(spark, uri):
+    texts = [f"{i}" * 1000 for i in range(12)]
+    with ThreadPoolExecutor(12) as pool:
+        done = list(pool.map(lambda t: paths.publish_text(spark, f"{uri}/ids/1.first", t), texts))
+    assert sum(done) == 1 and paths.read_text(spark, f"{uri}/ids/1.first") == texts[done.index(True)]
+    assert paths.children(spark, f"{uri}/ids") == ["1.first"]
+
+
+def test_a_late_ticket_gives_way_to_a_higher_one(spark, auto, monkeypatch):
+    """An append that listed the tickets long ago must not take a number that was used and cleared."""
+    opts = CollectionOptions.of(auto)
+    for _ in range(4):
+        append_collection(keys(spark, 2), auto)
+    listed = autoid._tickets
+    stale = iter([{1: {"first"}}])
+    monkeypatch.setattr(autoid, "_tickets", lambda *a: next(stale, None) or listed(*a))
+    number, first = autoid._take_ticket(spark, AUTO, opts)
+    assert number == 5 and first > read_collection(spark, auto).agg(F.max("id")).first()[0]
+
+
+def test_appends_side_by_side_draw_different_ids(spark, auto):
+    def slow(n):
+        spin = F.expr("aggregate(sequence(1, 20000), INT(0), (a, x) -> a + x % 2)")
+        return keys(spark, n).withColumn("k", F.col("k") + spin)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: append_collection(slow(n), auto), [500, 700, 300, 500]))
+    found = read_collection(spark, auto)
+    assert found.count() == 2000 == found.select("id").distinct().count()
+    data = CollectionOptions.of(auto).data_path
+    assert "_temporary" not in paths.children(spark, data)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_auto_ids_run_out(spark, uri, ansi):
-    schema = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("k", "Int32")])
-    options = {"uri": uri, "collection": "auto"}
-    create_collection(spark, options, schema)
-    autoid._write_mark(spark, CollectionOptions.of(options), autoid.LARGEST - 2, settled=True)
+def test_auto_ids_run_out(spark, auto, ansi):
+    folder = autoid._folder(CollectionOptions.of(auto))
+    paths.publish_text(spark, f"{folder}/000000000001.first", '{"first": 0}')
+    paths.publish_text(spark, f"{folder}/000000000001.settled", f'{{"next": {autoid.LARGEST - 2}}}')
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         with pytest.raises(Exception, match="no ids are left"):
-            append_collection(rows(spark, 10).selectExpr("INT(id) AS k", "__partition"), options)
+            append_collection(keys(spark, 10), auto)
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
-    assert read_collection(spark, options).count() == 0
+    assert read_collection(spark, auto).count() == 0
 
 
 def test_partitions_are_listed_from_directories(spark, options):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vectable.functions.members import json_members
 from vectable.plans.binder import bind
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema, Field
 from vectable.plans.sqltext import quoted_name
@@ -84,49 +85,29 @@ def from_entities(
     """The rows that entities describe, checked and typed as for an append.
 
     Numbers are parsed wide and then range-checked, so a value too large for its
-    field fails the job instead of turning into null. JSON fields come back with the
-    same values and key order, but without blanks and with numbers respelled; JSON
-    ``null`` comes back as a null field. An entity with a fraction of more than 17
-    digits or beyond the doubles fails the job if there are JSON fields, and so does a
-    sparse key that isn't a whole number.
+    field fails the job instead of turning into null. JSON fields come back byte for
+    byte, without blanks around them; JSON ``null`` comes back as a null field. A
+    sparse key that isn't a whole number fails the job.
     """
     fields = _fields(schema, auto_ids)
-    json_fields = [f for f in fields if f.type == "JSON"]
-    wide = T.StructType([T.StructField(f.name, _wide(f.spark_type)) for f in fields])
+    json_fields = [f.name for f in fields if f.type == "JSON"]
+    wide = T.StructType([T.StructField(f.name, _wide(f.spark_type)) for f in fields if f.type != "JSON"])
     columns = [F.from_json(F.col(entity), wide, {"mode": "FAILFAST"}).alias("row")]
     if json_fields:
-        # A JSON string loses its quotes as text; only the JSON members are parsed again to tell.
-        typed = T.StructType([T.StructField(f.name, T.VariantType()) for f in json_fields])
-        columns.append(F.from_json(F.col(entity), typed, {"mode": "FAILFAST"}).alias("typed"))
-    parsed = df.select(*columns, F.col(entity).alias("text"), PARTITION_COLUMN)
+        columns.append(json_members(F.col(entity), json_fields).alias("written"))
+    parsed = df.select(*columns, PARTITION_COLUMN)
     out = []
     for spec in fields:
-        value = F.col("row").getField(spec.name)
         if spec.type == "JSON":
-            value = _json_text(value, F.col("typed").getField(spec.name), spec)
-        elif isinstance(spec.spark_type, T.MapType):
-            value = _whole_keys(value, spec)
+            value = F.col("written").getField(f"m{json_fields.index(spec.name)}")
+        else:
+            value = F.col("row").getField(spec.name)
+            if isinstance(spec.spark_type, T.MapType):
+                value = _whole_keys(value, spec)
         out.append(value.alias(spec.name))
     return bind(parsed.select(*out, PARTITION_COLUMN), schema, fields)
 
 
-# A JSON string, and fractions that a double doesn't hold: of 18 digits or more, too large, too small.
-_STRING = r'"(?:[^"\\]++|\\.)*+"'
-_LOSSY = (
-    r"(?<![0-9.])0\.0*[1-9][0-9]{17}|(?<![0-9.])(?=(?:[0-9]\.?){18})[1-9][0-9]*\.[0-9]|[1-9][0-9]{17,}[eE]"
-    r"|[eE]\+?0*(?:309|3[1-9][0-9]|[4-9][0-9]{2}|[1-9][0-9]{3,})"
-    r"|[eE]-0*(?:32[5-9]|3[3-9][0-9]|[4-9][0-9]{2}|[1-9][0-9]{3,})"
-)
-
-
-def _json_text(value: Column, member: Column, spec: Field) -> Column:
-    """The member as JSON text."""
-    lossy = F.regexp_replace("text", _STRING, "").rlike(_LOSSY)
-    error = F.raise_error(F.lit(f"an entity with JSON field {spec.name} has a number that doesn't survive parsing"))
-    quoted = F.when(F.schema_of_variant(member) == "STRING", F.to_json(member)).otherwise(value)
-    return F.when(lossy, error.cast("string")).otherwise(quoted)
-
-
 def _whole_keys(value: Column, spec: Field) -> Column:
     keys = F.map_keys(value)
     odd = F.size(F.filter(keys, lambda k: ~k.rlike("^[0-9]+$"))) > 0

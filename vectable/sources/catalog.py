@@ -48,7 +48,7 @@ def drop_collection(spark: SparkSession, options: Options) -> bool:
     """Remove a collection with its data; False if there was none."""
     opts = CollectionOptions.of(options)
     found = paths.delete(spark, opts.descriptor_path)
-    paths.delete(spark, f"{opts.collection_path}/_next_id.json")
+    paths.delete(spark, f"{opts.collection_path}/_ids")
     # Leftovers of an interrupted create or drop go as well.
     return paths.delete(spark, opts.data_path) or found
 

@@ -6,6 +6,10 @@ pushdown and partition pruning on ``__partition`` come from Catalyst.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from vectable.plans.errors import SaveModeError
 from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema
 from vectable.plans.sqltext import quoted_name
+from vectable.sources import paths
 from vectable.sources.autoid import auto_ids
 from vectable.sources.catalog import Options, load_schema
 from vectable.sources.tables import add_partitions, partition_names
@@ -55,8 +60,8 @@ def append_collection(
 
     Columns are taken by name, checked and cast (see ``plans.binder``); auto ids are
     generated; function outputs are skipped. Spark's file committer publishes the
-    rows when the job ends, so a failed append leaves nothing behind. One append at a
-    time may run per collection.
+    rows when the job ends, so a failed append leaves nothing behind. Appends may run
+    side by side: each has pending files of its own, and auto ids of its own.
 
     ``table`` names a SQL table over the collection (``sources.tables``) to refresh.
     ``aligned`` skips the routing shuffle for input that already comes partition by
@@ -70,8 +75,8 @@ def append_collection(
     bound = bind(df, schema)
     routed = bound if aligned else _route(bound)
     before = set(partition_names(spark, opts.data_path)) if table is not None else set()
-    with auto_ids(routed, schema, opts) as filled:
-        writer = filled.write.mode("append").partitionBy(PARTITION_COLUMN)
+    with auto_ids(routed, schema, opts) as filled, own_attempt(spark, opts.data_path) as options_of_attempt:
+        writer = filled.write.mode("append").partitionBy(PARTITION_COLUMN).options(**options_of_attempt)
         if opts.batchsize_given:
             writer = writer.option("maxRecordsPerFile", opts.batchsize)
         writer.parquet(opts.data_path)
@@ -79,6 +84,21 @@ def append_collection(
         add_partitions(spark, table, [n for n in partition_names(spark, opts.data_path) if n not in before])
 
 
+@contextmanager
+def own_attempt(spark: SparkSession, data_path: str) -> Iterator[dict[str, str]]:
+    """Write options by which the committer keeps a job's pending files apart from other jobs'.
+
+    By default all jobs share one folder of pending files, and the first to end deletes it.
+    """
+    number = uuid.uuid4().int & 0x7FFFFFFF
+    skip = "mapreduce.fileoutputcommitter.cleanup.skipped"
+    try:
+        yield {"mapreduce.job.application.attempt.id": str(number), skip: "true"}
+    finally:
+        paths.delete(spark, f"{data_path}/_temporary/{number}")
+        paths.delete_empty(spark, f"{data_path}/_temporary")
+
+
 def copy_collection(spark: SparkSession, source: Options, target: Options) -> None:
     """Append all rows of one collection to another, without a shuffle."""
     append_collection(read_collection(spark, source), target, aligned=True)

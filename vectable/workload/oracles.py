@@ -176,6 +176,9 @@ def oracles() -> dict[str, str]:
         "batch_scan": f"""{HELLO}, sizes AS (SELECT count(*) AS n FROM hello GROUP BY __partition)
           SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(ceil(n / 100.0)) AS BIGINT) AS batches, true AS bounded
           FROM sizes""",
+        "batch_addresses": _hello(
+            "__partition, CAST(count(*) AS BIGINT) AS row_count, true AS found, true AS bounded", "GROUP BY __partition"
+        ),
         "scan_hides_function_output": _hello(
             f"id, {_ARRAYS}, {_VECTORS}, {_BF16_SUM}, CAST(18 AS INTEGER) AS column_count, false AS shown"
         ),

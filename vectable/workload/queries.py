@@ -116,6 +116,19 @@ def batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def batch_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row lies in the batch that an address names; addresses add up to the collection."""
+    df, at = _read(spark, sf_dir, "hello"), [PARTITION_COLUMN, "file", "start"]
+    held = batches.with_address(df, BATCHSIZE).groupBy(*at).agg(F.count("*").alias("held"))
+    both = batches.batch_addresses(df, BATCHSIZE).join(held, at, "full")
+    return both.groupBy(PARTITION_COLUMN).agg(
+        F.sum("rows").alias("row_count"),
+        F.bool_and(F.col("rows").eqNullSafe(F.col("held"))).alias("found"),
+        (F.max("held") <= BATCHSIZE).alias("bounded"),
+    )
+
+
 @registered
 def scan_hides_function_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _read(spark, sf_dir, "hello_fn")
