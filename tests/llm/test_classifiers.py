@@ -1,5 +1,7 @@
 """Quality rules, language identification, the rule ensemble, URL filters and HTML extraction."""
 
+import time
+
 import numpy as np
 import pytest
 from brute import base_counts, mined_rules, url_tokens
@@ -250,6 +252,49 @@ def test_blocks():
     assert all_blocks(PAGES[4]) == ["unended tag"] and all_blocks("") == [] and all_blocks(PAGES[6]) == ["plain text"]
 
 
+KEPT_WHOLE = {
+    "<p data-x=it's>Hello</p><p>It's me</p><p>end</p>": ["Hello", "It's me", "end"],
+    '<p title="a>b" id = \'x"y>\' class=a"b>One</p><p x=>two</p>': ["One", "two"],
+    "<p>a</p><svg class=icon /><p>b</p><svg><text>no</text></svg><p>c</p>": ["a", "b", "c"],
+    "<p>a</p><svg><p>b</p>": ["a", "b"],
+    "<div><select><option>no<option>none</select>a</div><p>b</p>": ["a", "b"],
+    "<div><select><option>no</div><p>a</p>": ["a"],
+    "<div><select><option>no<p>a</p>b</div>": ["a", "b"],
+    "<div><template><p>no</p></div><p>a</p>": ["a"],
+    "<p>a <noscript>b</p><p>c</p>": ["a b", "c"],
+    "<p>a</p>1 <2 and x < y or <b>z": ["a", "1 <2 and x < y or z"],
+    "<p>a</p>b <!-- cut": ["a", "b"],
+    '<p>say "x=">y</p><p>z</p>': ['say "x=">y', "z"],
+    '<p a="b>c</p><p>d</p>': ["c", "d"],
+}
+
+
+@pytest.mark.parametrize("source", KEPT_WHOLE)
+def test_no_text_is_lost_by_parsing(source):
+    page = html_extraction.with_body(html_extraction.parse(source))
+    assert html_extraction.blocks_of(page, html_extraction.decode(page, np.full(len(page.tag), 5.0))) == KEPT_WHOLE[source]
+
+
+def test_parsing_takes_time_in_proportion():
+    pieces = ["<a '", "<a b", '<a b="', "<a b='x\" ", "<", "<!", "<!--", "</svg '", "<svg>", "<select>", "<noscript>", "=", "<title "]
+    for piece in pieces:
+        for tail in ("", ">", "<p>x</p>"):
+            source = "<svg>" * (piece == "</svg '") + piece * (1_000_000 // len(piece)) + tail
+            start = time.perf_counter()
+            html_extraction.parse(source)
+            assert time.perf_counter() - start < 8, (piece, tail)
+
+
+def test_pages_judged_together_are_judged_alike(extractor, monkeypatch):
+    trees = html_extraction._trees(extractor)
+    sources = [*FRAGMENTS, *KEPT_WHOLE, *PAGES, "", "<p>long " + "word " * 50_000]
+    whole = html_extraction.extract(sources, trees)
+    assert whole == [html_extraction.extract([source], trees)[0] for source in sources]
+    monkeypatch.setattr(html_extraction, "AT_ONCE", 100)
+    runs = list(html_extraction._runs(sources))
+    assert [source for run in runs for source in run] == sources and len(runs) > 5
+
+
 FRAGMENTS = {
     "Hello world.<br>More text.": ["Hello world. More text."],
     PAGES[0]: ["One", "two three four", "five & éä", "a", "b"],
@@ -267,7 +312,7 @@ def test_text_at_page_level(source, extractor):
     assert all(0 <= up < i for i, up in enumerate(page.parent[1:], 1)) and len(page.parent) == len(page.tag) == len(page.words)
     assert all(node or piece.isspace() for node, _, piece in page.texts)
     assert html_extraction.blocks_of(page, np.ones(len(page.tag), bool)) == FRAGMENTS[source]
-    assert html_extraction.extract(source, html_extraction._trees(extractor)).split("\n\n") == FRAGMENTS[source]
+    assert html_extraction.extract([source], html_extraction._trees(extractor))[0].split("\n\n") == FRAGMENTS[source]
     # The likeliest labelling of all, the implied body among the nodes.
     n, odds = len(page.tag), np.random.default_rng(0).normal(size=len(page.tag)) * 3
     labels = ((np.arange(1 << (n - 1))[:, None] >> np.arange(n - 1)) & 1).astype(bool)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,11 +28,13 @@ from vectable.llm.trees import Tree, fit_trees, log_odds
 from vectable.llm.worker import kept_by_worker
 
 SAMPLE = 300  # pages that the trees are fitted on
-SAMPLE_CHARS = 200_000  # longer pages aren't used for fitting
+SAMPLE_CHARS = 200_000  # pages of more characters aren't used for fitting
+AT_ONCE = 4_000_000  # characters of pages that are judged at once, and those of one more page
 
 # Elements by kind, and words of attributes.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe xmp svg select".split())
+RAW = set("script style title textarea noscript iframe xmp svg".split())
+UNSEEN = set("select template".split())  # elements whose text is no page text
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer"
     " form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table"
@@ -57,14 +60,14 @@ ASIDE_WORDS = set(
 )
 ARTICLE_WORDS = set("article main content post entry story body text maintext articlebody prose".split())
 
+# A quote opens a value only right after an equals sign, and only if it ends.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.DOTALL,
+    r"<!--|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>",
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*+>", re.IGNORECASE) for name in RAW}
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-UNENDED = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
+UNENDED = re.compile(r"<[!?/]?[a-zA-Z!-][^<>]*\Z")
 
 
 @dataclass
@@ -78,9 +81,14 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """The page's elements; wrong nesting, missing ends and a cut page are taken as browsers roughly do."""
+    """The page's elements; wrong nesting, missing ends and a cut page are taken as browsers roughly do.
+
+    What follows the last ``>`` is text, but for a tag or comment cut by the page's end. Work grows in
+    proportion to the page, whatever it holds.
+    """
     page, open_, block, at = Page(), [0], 0, 0
-    size = len(source)
+    size, tags_end = len(source), source.rfind(">") + 1
+    no_end: set[str] = set()  # raw elements that don't end in the rest of the page
 
     def text(until: int) -> None:
         piece = source[at:until]
@@ -89,19 +97,23 @@ def parse(source: str) -> Page:
         if piece:
             page.texts.append((open_[-1], block, html.unescape(piece)))
 
-    while at < size:
-        match = TAG.search(source, at)
+    while at < tags_end:
+        match = TAG.search(source, at, tags_end)
         if match is None:
             break
         text(match.start())
         at = match.end()
-        name = match[2] or match[5]
+        name = match[2]
         if name is None:
+            if match[0] == "<!--":
+                end = source.find("-->", at)
+                at = end + 3 if end >= 0 else size
             continue
         name = name.lower()
-        ends = bool(match[1] or match[4])
+        ends = bool(match[1])
         if name in BLOCK:
             block += 1
+            _close(page, open_, {"select"})
         if ends:
             for place in range(len(open_) - 1, 0, -1):
                 if page.tag[open_[place]] == name:
@@ -114,14 +126,20 @@ def parse(source: str) -> Page:
             _close(page, open_, {"p"})
         if name in CLOSES:
             _close(page, open_, CLOSES[name])
-        attributes = match[3] or match[6] or ""
+        attributes = match[3]
         found = " ".join(x for m in ATTRIBUTE.findall(attributes) for x in m if x) if "=" in attributes else ""
         page.parent.append(open_[-1])
         page.tag.append(name)
         page.words.append([w.lower() for w in WORD.findall(found)])
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at)
-            at = end.end() if end else size
+            if (name != "svg" or not attributes.endswith("/")) and name not in no_end:
+                end = RAW_ENDS[name].search(source, at, tags_end)
+                if end:
+                    at = end.end()
+                elif name in ("script", "style", "textarea", "xmp"):
+                    at = size
+                else:  # what never ends holds nothing
+                    no_end.add(name)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             open_.append(len(page.tag) - 1)
         elif name not in VOID and name in BLOCK:
@@ -265,6 +283,8 @@ def decode(page: Page, odds: np.ndarray) -> np.ndarray:
     n = len(page.tag)
     keep = -np.logaddexp(0, -odds)
     drop = -np.logaddexp(0, odds)
+    unseen = [i for i, tag in enumerate(page.tag) if tag in UNSEEN]
+    keep[unseen], drop[unseen] = -np.inf, 0.0
     keep[0], drop[0] = 0.0, -np.inf  # the page itself
     for i in range(n - 1, 0, -1):
         up = page.parent[i]
@@ -353,17 +373,24 @@ def variants(source: str) -> list[str]:
     ]
 
 
-def fit_extractor(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", sample: int = SAMPLE) -> str:
+def fit_extractor(
+    pages: DataFrame,
+    id_column: str = "page_id",
+    html_column: str = "html",
+    sample: int = SAMPLE,
+    sample_chars: int = SAMPLE_CHARS,
+) -> str:
     """Trees as JSON from the ``sample`` pages with the smallest hashes of their ids that mark one article.
 
-    Without such a page the trees are none, and elements named like something aside are dropped.
+    Pages of more than ``sample_chars`` characters don't teach, and of a repeated id only one row does. Without such a page the trees are none, and elements named like something aside are dropped.
     """
     source = F.col(html_column)
-    marked = source.isNotNull() & source.contains("<article") & (F.length(source) <= SAMPLE_CHARS)
+    marked = source.isNotNull() & source.contains("<article") & (F.length(source) <= sample_chars)
     ids = pages.where(marked).select(F.col(id_column).alias("id")).where("id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(sample)
     given = pages.where(marked).select(F.col(id_column).alias("id"), source.alias("html"))
-    known = given.join(F.broadcast(chosen), "id", "left_semi")  # at most ``sample`` ids
+    known = given.join(F.broadcast(chosen), "id", "left_semi").groupBy("id")  # at most ``sample`` ids
+    known = known.agg(F.min_by("html", F.xxhash64("html")).alias("html"))
 
     def rows_of(batches):
         for batch in batches:
@@ -400,12 +427,29 @@ def _trees(model: str) -> tuple[list[Tree], float] | None:
     return [Tree(np.array(f), np.array(t), np.array(v)) for f, t, v in parts], start
 
 
-def extract(source: str, trees: tuple[list[Tree], float] | None) -> str:
-    """The main text of one page."""
-    page = with_body(parse(source))
-    rows = features(page)
-    odds = log_odds(*trees, rows) if trees else np.where(rows[:, 15] > 0, -4.0, 1.0)
-    return "\n\n".join(blocks_of(page, decode(page, odds)))
+def extract(sources: list[str], trees: tuple[list[Tree], float] | None) -> list[str]:
+    """The main texts of some pages, all of whose elements are judged at once."""
+    pages = [with_body(parse(source)) for source in sources]
+    if not pages:
+        return []
+    rows = [features(page) for page in pages]
+    every = np.concatenate(rows)
+    odds = log_odds(*trees, every) if trees else np.where(every[:, 15] > 0, -4.0, 1.0)
+    ends = np.cumsum([len(r) for r in rows])
+    parts = np.split(odds, ends[:-1])
+    return ["\n\n".join(blocks_of(page, decode(page, own))) for page, own in zip(pages, parts, strict=True)]
+
+
+def _runs(sources: list[str]) -> Iterator[list[str]]:
+    """The pages in runs of about ``AT_ONCE`` characters."""
+    run, size = [], 0
+    for source in sources:
+        run.append(source)
+        size += len(source)
+        if size >= AT_ONCE:
+            yield run
+            run, size = [], 0
+    yield run
 
 
 def main_text(model: str, column: Column) -> Column:
@@ -417,6 +461,7 @@ def main_text(model: str, column: Column) -> Column:
     @F.arrow_udf("string")
     def run(pages: pa.Array) -> pa.Array:
         trees = kept_by_worker(("trees", model), lambda: _trees(model))
-        return pa.array([extract(source, trees) if source else "" for source in pages.to_pylist()], pa.string())
+        sources = [source or "" for source in pages.to_pylist()]
+        return pa.array([text for run in _runs(sources) for text in extract(run, trees)], pa.string())
 
     return run(column)
