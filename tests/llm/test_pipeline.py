@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oracle import differences, duck
-from vectable.llm.mixing import mix, tempered
+from vectable.llm.mixing import mix, reached, tempered
 from vectable.llm.packing import CapacityTree, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
 
@@ -90,27 +90,69 @@ def test_capacity_tree():
     assert tree.tightest(1) == 10
 
 
+def raked(sums, powers):
+    """Weights per cell of a token table of any dimensions, fitted margin by margin."""
+    table = sums / sums.sum()
+    fitted = table.copy()
+    for _ in range(2000):
+        for axis, power in enumerate(powers):
+            others = tuple(k for k in range(table.ndim) if k != axis)
+            factor = tempered(table.sum(others), power) / fitted.sum(others)
+            fitted = fitted * factor.reshape([-1 if k == axis else 1 for k in range(table.ndim)])
+    return np.divide(fitted, table, out=np.zeros_like(table), where=table > 0)
+
+
 def test_mixture_meets_its_targets(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    rows = mix(docs, 0.5, 0.7, 0.8).select("source", "lang", "topic", "n_tokens", "weight", "probability", "sampled").toPandas()
+    mixed = mix(docs, 0.5, 0.7, 0.8, max_copies=50).cache()
+    rows = mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "copies", "sampled").toPandas()
     total = rows.n_tokens.sum()
     weighted = rows.n_tokens * rows.weight
     assert np.isclose(weighted.sum(), total)
     for column, power in (("source", 0.5), ("lang", 0.7), ("topic", 0.8)):
         share = rows.groupby(column).n_tokens.sum() / total
         assert np.allclose(weighted.groupby(rows[column]).sum() / total, tempered(share, power), atol=1e-5)
-    assert np.isclose(rows.probability.max(), 1) and np.allclose(rows.probability / rows.weight, rows.probability[0] / rows.weight[0])
-    assert abs(rows.sampled.mean() - rows.probability.mean()) < 0.1
+        drawn = {r[column]: r for r in reached(mixed, column).collect()}
+        for name, part in rows.groupby(column):
+            assert np.isclose(drawn[name].corpus, share[name])
+            assert np.isclose(drawn[name].target, (part.n_tokens * part.weight).sum() / total)
+            assert np.isclose(drawn[name].drawn, (part.n_tokens * part.copies).sum() / (rows.n_tokens * rows.copies).sum())
+    cells = [rows[c].astype("category").cat for c in ("source", "lang", "topic")]
+    sums = np.zeros([len(c.categories) for c in cells])
+    np.add.at(sums, tuple(c.codes.to_numpy() for c in cells), rows.n_tokens)
+    plain = raked(sums, (0.5, 0.7, 0.8))
+    assert np.allclose(plain[tuple(c.codes.to_numpy() for c in cells)], rows.weight, rtol=1e-3)
+    assert (rows.copies - rows.weight).abs().max() < 1 and (rows.sampled == (rows.copies > 0)).all()
+    assert abs(rows.copies.mean() - rows.weight.mean()) < 0.1
+    once = mix(docs, 0.5, 0.7, 0.8).select("row.doc_id", "copies").toPandas()
+    assert dict(once.values) == {i: min(c, 1) for i, c in zip(rows.doc_id, rows.copies, strict=True)}
+    half = mix(docs, 0.5, 0.7, 0.8, rate=0.5, max_copies=50).agg(F.sum(F.col("copies") * F.col("n_tokens"))).first()[0]
+    assert abs(half / total - 0.5) < 0.15
+    mixed.unpersist()
+
+
+@pytest.mark.parametrize("power", [0.95, 0.5])
+def test_a_tiny_class_leaves_the_others_alone(spark, power):
+    rows = [(i, "some equal words", "big", "en") for i in range(2000)]
+    docs = spark.createDataFrame([*rows, (2000, "one", "tiny", "xx")], "doc_id long, text string, source string, lang string")
+    found = mix(docs, power, power, power).select("row.doc_id", "weight", "sampled").toPandas().set_index("doc_id")
+    tiny = tempered([6000, 1], power)[1]
+    assert found.sampled[2000] and found.sampled[:2000].mean() > 1 - tiny - 0.01
+    assert np.isclose(found.weight[0], (1 - tiny) / (6000 / 6001), atol=1e-4)
 
 
 def test_mixing_of_odd_rows(odd, none):
     spare = odd.withColumn("source", F.when(F.col("doc_id") != 6, F.col("source"))).withColumn("lang", F.when(F.col("doc_id") == 9, "xx"))
-    found = mix(spare).collect()
+    for name in ("weight", "sampled", "copies", "topic", "tokens", "id", "source_class"):
+        spare = spare.withColumn(name, F.lit("x"))
+    found = mix(spare, languages=("en",)).collect()
     assert len(found) == odd.count() and all(r.row.doc_id is None or r.n_tokens == len((r.row.text or "").split(None)) or r.row.doc_id == 10 for r in found)
-    assert {r.lang for r in found} == {None, "other"}
+    assert {r.lang for r in found} == {None, "other"} and {r.row.weight for r in found} == {"x"}
     bare = [r for r in found if not r.n_tokens]
-    assert len(bare) == 3 and all(r.sampled and r.weight == r.probability == 1 and r.topic == 0 for r in bare)
+    assert len(bare) == 3 and all(r.sampled and r.weight == r.copies == 1 and r.topic == 0 for r in bare)
     assert mix(none).count() == 0 and mix(odd.where("doc_id < 4")).where("sampled").count() == 3
+    with pytest.raises(ValueError, match="positive"):
+        mix(odd, rate=0)
 
 
 def test_mixing_takes_the_languages_of_the_data(spark, sf, tmp_path):

@@ -53,10 +53,8 @@ def _remainder(divisor: int):
 
 
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(_table(spark, sf_dir, "documents"), languages=None)
-    return mixed.select(
-        "row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled"
-    )
+    mixed = mix(_table(spark, sf_dir, "documents"), max_copies=4)
+    return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "copies", "sampled")
 
 
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
