@@ -27,7 +27,7 @@ from vectable.sources.collection import (
     list_partitions,
     read_collection,
 )
-from vectable.sources.tables import create_table
+from vectable.sources.tables import create_table, partition_names
 from vectable.workload.recipes import HELLO, hello_rows, kept_collection
 
 SIMPLE = CollectionSchema([Field("id", "Int64", primary_key=True, description="it's the key"), Field("n", "Int32")])
@@ -282,6 +282,22 @@ def test_auto_ids_run_out(spark, auto, ansi):
     assert read_collection(spark, auto).count() == 0
 
 
+def test_listing_partitions_asks_nothing_per_file(spark, options, monkeypatch):
+    client = spark.sparkContext._gateway._gateway_client
+    send, calls = client.send_command, []
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+
+    def count():
+        calls.clear()
+        assert partition_names(spark, CollectionOptions.of(options).data_path) == ["a", "b"]
+        return len(calls)
+
+    append_collection(rows(spark, 4, "element_at(array('a', 'b'), INT(id % 2) + 1)"), options)
+    few = count()
+    append_collection(rows(spark, 400, "element_at(array('a', 'b'), INT(id % 2) + 1)"), options | {"batchsize": 5})
+    assert abs(count() - few) <= 2
+
+
 def test_partitions_are_listed_from_directories(spark, options):
     assert list_partitions(spark, options).count() == 0
     append_collection(rows(spark, 6, "concat('a b/', id % 2, '%')"), options)

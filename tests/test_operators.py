@@ -1,6 +1,7 @@
 """Entities, batches and top-k."""
 
 import json
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -171,7 +172,7 @@ def test_batches_have_addresses(spark):
         seen += [(r.id, r["__partition"]) for r in rows]
     assert sorted(seen) == sorted(whole.items())
     assert [f.rsplit("/", 1)[1] for f in batch.inputFiles()] == [address["file"].rsplit("/", 1)[1]]
-    assert "ReadSchema: struct<id:bigint>" in batch._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint," in batch._jdf.queryExecution().executedPlan().toString()
     plan = batch_addresses(df, 60)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
 
@@ -373,7 +374,60 @@ def test_field_without_metric_is_not_searched(spark, vectors):
 def test_collection_is_scanned_without_a_shuffle(spark):
     df = read_collection(spark, kept_collection(spark, SF_DIR, "hello"))
     queries = spark.sql("SELECT 1 AS query_id, array_repeat(1F, 64) AS query_vector")
-    text = topk.top_k(df, HELLO, "vec_dense", queries, 3)._jdf.queryExecution().executedPlan().toString()
+    rows = df.selectExpr("id", "vec_dense AS vector").where("vector IS NOT NULL")
+    shared = spark.sparkContext.broadcast(queries.toArrow())
+    asked = queries.withColumnRenamed("query_vector", "vector")
+    planned = topk.ranked(rows, shared, topk._Search("FloatVector", 3), asked, "COSINE")
+    text = planned._jdf.queryExecution().executedPlan().toString()
     scan = text[text.index("MapInArrow") :]
     assert "Exchange" not in scan and "IsNotNull(vec_dense)" in scan and "f9" not in scan
     assert text.count("WindowGroupLimit") == 4
+
+
+def test_queries_are_evaluated_once(spark, vectors):
+    """A query set that isn't deterministic is searched as it was when it was written."""
+    ids = F.expr("CAST(rand() * 1e15 AS BIGINT)").alias("query_id")
+    queries = vectors.where("id < 40 AND dense IS NOT NULL").select(ids, F.col("dense").alias("query_vector"))
+    found = topk.top_k(vectors, SEARCHED, "dense", queries, 2, block_bytes=100)
+    first = {r.query_id for r in found.collect()}
+    assert len(first) == queries.count() and first == {r.query_id for r in found.collect()}
+
+
+def test_blocks_are_cut_by_bytes(spark):
+    rows = [(f"{i}" * (1 if i % 10 else 300), [float(i)] * (i % 7)) for i in range(200)]
+    asked = spark.createDataFrame(rows, "query_id string, vector array<double>")
+    blocks = [b.collect() for b in topk._blocks(asked, 1000)]
+    assert sorted(r.query_id for b in blocks for r in b) == sorted(i for i, _ in rows) and len(blocks) > 10
+    assert all(sum(len(r.query_id) + 8 * len(r.vector) for r in b) <= 2000 for b in blocks)
+
+
+def test_rows_below_every_bar_are_skipped(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, {int(d): float(w) for d, w in zip(rng.choice(300, 12, replace=False), rng.exponential(size=12) ** 2 * rng.choice([1, -0.2], 12), strict=True)}) for i in range(3000)]
+    kind = pa.map_(pa.int64(), pa.float64())
+    vectors = pa.array([list(v.items()) for _, v in rows], kind)
+    score = topk._sparse_products(vectors.slice(0, 20))
+    plain = topk._sparse_products(vectors.slice(0, 20))(vectors, np.full(20, np.inf))
+    kept = topk._Kept(5, 20)
+    for start in range(0, 3000, 250):
+        kept.add(score(vectors.slice(start, 250), kept.bars), pa.array(range(start, start + 250)))
+    best = np.sort(np.round(plain, topk.SCORE_DECIMALS), axis=1)[:, :5]
+    order = kept.order.reshape(20, 5)
+    assert np.allclose(order, best, atol=1e-12) and score.skipped > 300
+
+
+def test_hamming_holds_packed_words():
+    rng = np.random.default_rng(0)
+    for width in (1, 7, 8, 16, 23):
+        given = rng.integers(-128, 128, (50, width)).astype(np.int8)
+        vectors = pa.FixedSizeListArray.from_arrays(pa.array(given.ravel()), width).cast(pa.list_(pa.int8()))
+        bits = np.unpackbits(given.view(np.uint8), axis=1)
+        expected = (bits[:9, None] != bits[None]).sum(2)
+        assert (topk._hamming_distances(vectors.slice(0, 9))(vectors, np.full(9, np.inf)) == expected).all()
+    wide = pa.FixedSizeListArray.from_arrays(pa.array(np.zeros(20_000 * 128, np.int8)), 128).cast(pa.list_(pa.int8()))
+    score = topk._hamming_distances(wide.slice(0, 2))
+    tracemalloc.start()
+    score(wide, np.full(2, np.inf))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * 20_000 * 128  # 32 times as much as bits of four bytes

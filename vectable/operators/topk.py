@@ -1,10 +1,10 @@
 """Exact top-k search by the metric a vector field declares.
 
-Queries are cut into blocks of bounded size by a hash of their id. For each block the
-collection is scanned once and never shuffled: the block is shipped to every task, which
-scores its rows in numpy and keeps the best ``k`` per query as it goes. The final ranking
-has two steps, first among the tasks of one bucket and then among the buckets, so no task
-ranks what all tasks kept. Scored pairs never become rows.
+Queries are written once to the shared folder, in blocks of bounded size, and each block is
+searched on its own. The collection is scanned once for it and never shuffled: the block is
+shipped to every task, which scores its rows in numpy and keeps the best ``k`` per query as it
+goes. The final ranking has two steps, first among the tasks of one bucket and then among the
+buckets, so no task ranks what all tasks kept. Scored pairs never become rows.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ SCORE_DECIMALS = 12
 # The place of rows whose vector has a non-finite element: after all others, without a score.
 LAST = 1e200
 
-# From a block of queries to a function that scores a block of rows against it.
-Scorer = Callable[[pa.Array], Callable[[pa.Array], np.ndarray]]
+# From a block of queries to a function that scores a block of rows against it; ``bars`` are what a
+# score must not exceed to matter, by query, and infinite scores need not be right beyond them.
+Score = Callable[[pa.Array, np.ndarray], np.ndarray]
+Scorer = Callable[[pa.Array], Score]
 
 # The metric each vector type is searched by.
 SEARCHES = {
@@ -71,10 +73,10 @@ def top_k(
     has cosine 0. A row whose vector has a NaN or infinite element ranks after all
     others and has a null score. ``queries`` hold vectors stored the same way as the
     field. Query ids that are null or repeat, and query vectors that are null, have a
-    non-finite element or exceed ``block_bytes``, are errors.
+    non-finite element or exceed ``block_bytes`` (with their id), are errors.
 
-    One block of queries is one scan, planned lazily. Several are ranked one after the
-    other, and their results kept in the shared folder, so the driver holds one block.
+    ``queries`` are evaluated once. The blocks are ranked one after the other and their results kept in
+    the shared folder, so the driver holds one block, of twice ``block_bytes`` at most.
     """
     spec = schema[vector]
     if (spec.type, spec.metric) not in SEARCHES:
@@ -87,36 +89,49 @@ def top_k(
     columns = [F.col(quoted_name(key.name)).alias("id"), F.col(quoted_name(vector)).alias("vector")]
     rows = collection.select(*columns).where(F.col("vector").isNotNull())
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("vector"))
-    blocks = _blocks(asked, block_bytes)
     search = _Search(spec.type, k)
     results = []
-    for number in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
-        held = own.toArrow().combine_chunks()
-        if held.nbytes > 2 * block_bytes:
-            raise ValueError(f"a block of queries has {held.nbytes} bytes, more than twice {block_bytes}")
-        shared = rows.sparkSession.sparkContext.broadcast(held)
-        ranked = _ranked(_scan(rows, shared, search, asked), spec.metric, k)
-        if blocks > 1:
-            ranked = pinned(ranked)
-            shared.unpersist()
-        results.append(ranked)
+    for block in _blocks(asked, block_bytes):
+        shared = rows.sparkSession.sparkContext.broadcast(block.toArrow().combine_chunks())
+        results.append(pinned(ranked(rows, shared, search, asked, spec.metric)))
+        shared.unpersist()
     whole = results[0]
     for result in results[1:]:
         whole = whole.unionByName(result)
     return whole
 
 
-def _blocks(asked: DataFrame, block_bytes: int) -> int:
-    """How many blocks hold the queries, which are checked on the way."""
+def _blocks(asked: DataFrame, block_bytes: int) -> Iterator[DataFrame]:
+    """The queries, checked and written once, in blocks of twice ``block_bytes`` at most; none gives one empty block.
+
+    Hashes of ids deal them into buckets of about ``block_bytes``, and a running sum of bytes cuts
+    what lies in one bucket beyond that.
+    """
     kind = asked.schema["vector"].dataType
     per_element = 12 if isinstance(kind, T.MapType) else _width(kind.elementType)
-    size = F.coalesce(F.size("vector"), F.lit(0)).cast("long") * per_element
-    found = asked.agg(
-        F.sum(size).alias("bytes"),
-        F.max(size).alias("largest"),
+    id_bytes = F.octet_length("query_id") if isinstance(asked.schema["query_id"].dataType, T.StringType) else F.lit(8)
+    size = F.coalesce(F.size("vector"), F.lit(0)).cast("long") * per_element + F.coalesce(id_bytes, F.lit(0))
+    held = pinned(asked.withColumn("bytes", size))
+    buckets = max(1, math.ceil(_checked_bytes(held, block_bytes) / block_bytes))
+    if buckets == 1:
+        yield held.drop("bytes")
+        return
+    bucket = F.pmod(F.xxhash64("query_id"), F.lit(buckets))
+    before = F.sum("bytes").over(Window.partitionBy("bucket").orderBy("query_id")) - F.col("bytes")
+    cut = held.withColumn("bucket", bucket).withColumn("part", F.floor(before / block_bytes))
+    placed = pinned(cut.drop("bytes"), partition_by=("bucket", "part"))
+    numbers = placed.select("bucket", "part").distinct().orderBy("bucket", "part").collect()  # a row a block
+    for number in numbers:
+        own = placed.where((F.col("bucket") == number["bucket"]) & (F.col("part") == number["part"]))
+        yield own.select("query_id", "vector")
+
+
+def _checked_bytes(held: DataFrame, block_bytes: int) -> int:
+    found = held.agg(
+        F.sum("bytes").alias("bytes"),
+        F.max("bytes").alias("largest"),
         F.sum(F.when(F.col("query_id").isNull() | F.col("vector").isNull(), 1).otherwise(0)).alias("nulls"),
-        F.sum(_endless(kind)).alias("endless"),
+        F.sum(_endless(held.schema["vector"].dataType)).alias("endless"),
         (F.count("query_id") - F.count_distinct("query_id")).alias("repeats"),
     ).first()
     if found["nulls"]:
@@ -124,10 +139,10 @@ def _blocks(asked: DataFrame, block_bytes: int) -> int:
     if found["endless"]:
         raise ValueError(f"{found['endless']} query vectors have a NaN or infinite element")
     if (found["largest"] or 0) > block_bytes:
-        raise ValueError(f"a query vector of {found['largest']} bytes exceeds {block_bytes}")
+        raise ValueError(f"a query of {found['largest']} bytes exceeds {block_bytes}")
     if found["repeats"]:
         raise ValueError(f"query ids repeat {found['repeats']} times")
-    return max(1, math.ceil(2 * (found["bytes"] or 0) / block_bytes))
+    return found["bytes"] or 0
 
 
 def _width(element: T.DataType) -> int:
@@ -144,7 +159,8 @@ def _endless(kind: T.DataType) -> Column:
     return F.when(bad, 1).otherwise(0)
 
 
-def _scan(rows: DataFrame, shared, search: _Search, asked: DataFrame) -> DataFrame:
+def ranked(rows: DataFrame, shared, search: _Search, asked: DataFrame, metric: str) -> DataFrame:
+    """The plan for one block of queries: ``rows`` scored against the broadcast ``shared``, and the best of them."""
     out = T.StructType(
         [
             asked.schema["query_id"],
@@ -159,10 +175,10 @@ def _scan(rows: DataFrame, shared, search: _Search, asked: DataFrame) -> DataFra
         if asked is not None:
             yield from search.run(asked, batches)
 
-    return rows.mapInArrow(scan, out)
+    return _best(rows.mapInArrow(scan, out), metric, search.k)
 
 
-def _ranked(candidates: DataFrame, metric: str, k: int) -> DataFrame:
+def _best(candidates: DataFrame, metric: str, k: int) -> DataFrame:
     """The best ``k`` per query, first of every bucket of tasks and then of all."""
     best = F.col("score").asc_nulls_last() if metric == "HAMMING" else F.col("score").desc_nulls_last()
     for keys in (["query_id", "bucket"], ["query_id"]):
@@ -200,7 +216,7 @@ class _Search:
             for start in range(0, batch.num_rows, step):
                 rows = batch.slice(start, step)
                 for score, kept, _ in states:
-                    kept.add(score(rows.column("vector")), rows.column("id"))
+                    kept.add(score(rows.column("vector"), kept.bars), rows.column("id"))
         context = TaskContext.get()
         bucket = context.partitionId() % RANK_BUCKETS if context else 0
         for _, kept, part in states:
@@ -284,12 +300,12 @@ def _cosines(read: Callable[[np.ndarray], np.ndarray]) -> Scorer:
         norms = np.linalg.norm(dense, axis=1, keepdims=True)
         return np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0), finite
 
-    def against(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+    def against(queries: pa.Array) -> Score:
         asked, sound = units(queries)
         if not sound.all():
             raise ValueError("a query vector has a NaN or infinite element")
 
-        def score(vectors: pa.Array) -> np.ndarray:
+        def score(vectors: pa.Array, bars: np.ndarray) -> np.ndarray:
             stored, finite = units(vectors)
             return np.where(finite, -asked @ stored.T, LAST)
 
@@ -298,17 +314,22 @@ def _cosines(read: Callable[[np.ndarray], np.ndarray]) -> Scorer:
     return against
 
 
-def _hamming_distances(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
-    """Differing bits, as |a| + |b| - 2 a.b over bits: whole numbers, exact in float32."""
+def _hamming_distances(queries: pa.Array) -> Score:
+    """Differing bits, counted on words of 64; whole numbers, exact in float32."""
 
-    def bits(vectors: pa.Array) -> np.ndarray:
-        return np.unpackbits(_matrix(vectors).view(np.uint8), axis=1).astype(np.float32)
+    def words(vectors: pa.Array) -> np.ndarray:
+        stored = _matrix(vectors).view(np.uint8)
+        padded = np.zeros((len(stored), -(-stored.shape[1] // 8) * 8), np.uint8)
+        padded[:, : stored.shape[1]] = stored
+        return np.ascontiguousarray(padded.view(np.uint64).T)
 
-    asked = bits(queries)
+    asked = words(queries)
 
-    def score(vectors: pa.Array) -> np.ndarray:
-        stored = bits(vectors)
-        return asked.sum(axis=1)[:, None] + stored.sum(axis=1) - 2 * (asked @ stored.T)
+    def score(vectors: pa.Array, bars: np.ndarray) -> np.ndarray:
+        counts = np.zeros((len(queries), len(vectors)), np.float32)
+        for own, stored in zip(asked, words(vectors), strict=True):
+            counts += np.bitwise_count(own[:, None] ^ stored)
+        return counts
 
     return score
 
@@ -322,17 +343,38 @@ def _entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(vectors)), np.diff(offsets)), dims, weights
 
 
-def _sparse_products(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
-    """Negated inner products; rows sharing no dimension with a query are out of reach."""
+def _sparse_products(queries: pa.Array) -> Score:
+    """Negated inner products; rows sharing no dimension with a query are out of reach.
+
+    The largest query weight of a dimension, over what its query's bar asks for, bounds how far a row's
+    weight there can bring it to any bar. Rows that don't reach one by the sum of that are skipped.
+    """
     numbers, dims, weights = _entries(queries)
     by_dim = np.argsort(dims, kind="stable")
     numbers, dims, weights = numbers[by_dim], dims[by_dim], weights[by_dim]
+    known, first_of = np.unique(dims, return_index=True)
+
+    def steepest(bars: np.ndarray) -> np.ndarray | None:
+        """Per dimension the most that a weight of 1 counts towards a bar, as a share of it."""
+        needed = -bars - 2 * 10.0**-SCORE_DECIMALS
+        if not len(dims) or not (needed > 0).any():
+            return None
+        share = np.where(needed[numbers] > 0, np.abs(weights) / np.maximum(needed[numbers], 1e-300), np.inf)
+        return np.maximum.reduceat(share, first_of)
 
-    def score(vectors: pa.Array) -> np.ndarray:
+    def score(vectors: pa.Array, bars: np.ndarray) -> np.ndarray:
         rows, row_dims, row_weights = _entries(vectors)
         finite = np.ones(len(vectors), bool)
         finite[rows[~np.isfinite(row_weights)]] = False
         row_weights = np.where(np.isfinite(row_weights), row_weights, 0)
+        slopes = steepest(bars)
+        if slopes is not None:
+            at = np.minimum(np.searchsorted(known, row_dims), len(known) - 1)
+            share = np.where((known[at] == row_dims) & (row_weights != 0), slopes[at], 0) * np.abs(row_weights)
+            # Rounding of the sum is far below this margin.
+            reach = np.bincount(rows, share, len(vectors)) >= 1 - 1e-9
+            score.skipped += int(len(vectors) - reach.sum())
+            rows, row_dims, row_weights = rows[reach[rows]], row_dims[reach[rows]], row_weights[reach[rows]]
         first = np.searchsorted(dims, row_dims, "left")
         shared = np.searchsorted(dims, row_dims, "right") - first
         ends = np.cumsum(shared)
@@ -349,6 +391,7 @@ def _sparse_products(queries: pa.Array) -> Callable[[pa.Array], np.ndarray]:
         block = np.where(touched, -products, np.inf).reshape(len(queries), len(vectors))
         return np.where(finite | np.isinf(block), block, LAST)
 
+    score.skipped = 0
     return score
 
 

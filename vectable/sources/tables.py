@@ -16,7 +16,11 @@ from vectable.sources.catalog import Options, load_schema
 
 
 def create_table(spark: SparkSession, options: Options, table: str) -> None:
-    """Create the external table ``table`` over an existing collection."""
+    """Create the external table ``table`` over an existing collection.
+
+    Spark keeps every column of a table over files as nullable, whatever it is declared as;
+    ``describe_collection`` says which fields may be null.
+    """
     opts = CollectionOptions.of(options)
     columns = ", ".join(
         f"{quoted_name(f.name)} {f.dataType.simpleString()} COMMENT {text_literal(f.metadata.get('comment', ''))}"
@@ -44,15 +48,15 @@ def add_partitions(spark: SparkSession, table: str, names: list[str]) -> None:
 
 
 def partition_names(spark: SparkSession, data_path: str) -> list[str]:
-    """Partitions that hold a data file, from the directories' names."""
+    """Partitions that hold a data file, from Spark's own index of the files.
+
+    Spark lists many folders in parallel; what comes back to Python is a name per partition, not per file.
+    """
+    scan = spark.read.schema(f"{PARTITION_COLUMN} string").parquet(data_path)
+    found = scan._jdf.queryExecution().analyzed().relation().location().partitionSpec().partitions()
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    head = f"{PARTITION_COLUMN}="
-    held = [n for n in paths.children(spark, data_path) if n.startswith(head)]
-    return [
-        unescape(name[len(head) :])
-        for name in held
-        if any(f[0] not in "_." for f in paths.children(spark, f"{data_path}/{name}"))
-    ]
+    names = [part.path().getName() for part in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found)]
+    return sorted(unescape(name.partition("=")[2]) for name in names)
 
 
 def _quoted(table: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from vectable.sources.paths import delete
 
@@ -32,8 +32,8 @@ def clear_scratch(spark: SparkSession) -> None:
     delete(spark, _own_folder(spark))
 
 
-def pinned(df):
+def pinned(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` written to the shared folder, so a recomputed task sees the same rows."""
     path = fresh_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
