@@ -228,6 +228,29 @@ def test_rules_equal_those_of_a_brute_force_miner(spark, monkeypatch):
         url_filter.mine_rules(df)
 
 
+def test_an_id_on_a_third_of_the_rows_gives_one_row(spark, sf):
+    """The fits gather one row of a sampled id, whatever its number of rows."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    many = docs.where("doc_id = 5").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300))))
+    many = many.select("doc_id", F.concat_ws(" ", "text", "n").alias("text"), "lang")
+    both = docs.unionByName(many)
+    spare = docs.where("doc_id <> 5").unionByName(both.where("doc_id = 5").groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "lang"))
+    given, plain = (language_id.fit_languages(x, F.lit(True)) for x in (both, spare))
+    assert given.languages == plain.languages and np.allclose(given.weights, plain.weights, atol=1e-6)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").unionByName(spark.sql("SELECT 5L AS doc_id, 1 AS quality, 0 AS toxic"), allowMissingColumns=True)
+    found = rule_classifier.fit_rules(both, labels, F.lit(True))
+    assert found.rules and found == rule_classifier.fit_rules(both.repartition(5), labels, F.lit(True))
+
+
+def test_names_of_few_texts_are_not_languages(spark):
+    rows = [(i, f"{'der die das' if i % 2 else 'the of and'} {i}", "de" if i % 2 else "en") for i in range(40)]
+    rows += [(100 + i, "the of and", f"dirty{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit_languages(docs, F.lit(True)).languages == ["de", "en"]
+    with pytest.raises(ValueError, match="more than 10 languages"):
+        language_id.fit_languages(docs, F.lit(True), sample=10, least_texts=1)
+
+
 PAGES = [
     "<p>One</p> two <b>th</b>ree<br>four<p>five &amp; &eacute;&#228;<ul><li>a<li>b</ul>",
     '<body><nav class="m"><a href="x>y">Menu</a></nav><article><h1>T</h1><p>Text <script>var a="</p>";</script>more</p></article>',

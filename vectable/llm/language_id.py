@@ -24,6 +24,8 @@ from vectable.llm.rolling import Texts, slices
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 SAMPLE = 2400  # texts that the classifiers are fitted on, all languages together
+LEAST_TEXTS = 5  # labelled texts of a language that is learnt
+BUCKETS = 64  # a language's texts are ranked by buckets first, so no task ranks all of them
 RIDGE = 3e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
@@ -126,29 +128,36 @@ def fit_languages(
     id_column: str = "doc_id",
     text_column: str = "text",
     sample: int = SAMPLE,
+    least_texts: int = LEAST_TEXTS,
 ) -> LanguageModel:
     """A model from rows for which ``train`` holds and whose text and language aren't null.
 
-    Of every language the same number of texts is used, those with the smallest hashes of their ids,
-    ``sample`` in all but one of each language at least. Without such rows the model knows no
-    language and finds every text undetermined.
+    Languages with fewer than ``least_texts`` such rows are names given by mistake and aren't learnt; if
+    more than ``sample`` languages are left, that is an error. Of every language the same number of texts
+    is used, those with the smallest hashes of their ids, ``sample`` in all; of a repeated id one row
+    counts. Without such rows the model knows no language and finds every text undetermined.
     """
     spark = docs.sparkSession
     lang = F.col(lang_column)
     labelled = docs.where(train & lang.isNotNull() & F.col(text_column).isNotNull())
-    named = labelled.select(lang.alias("lang")).distinct()
-    languages = sorted(r["lang"] for r in named.collect())
+    named = labelled.groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).where(F.col("n") >= least_texts)
+    languages = sorted(r["lang"] for r in named.limit(sample + 1).collect())
+    if len(languages) > sample:
+        raise ValueError(f"more than {sample} languages, the number of texts that are used")
     if not languages:
         none = np.zeros((0, 0))
         return LanguageModel([], none, none, none, none)
     per_language = max(1, sample // len(languages))
     number = F.array_position(F.lit(languages), lang) - 1
     keyed = labelled.select(F.col(id_column).alias("id"), number.alias("label")).where("label >= 0")
-    lowest = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = keyed.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_language)
-    chosen = chosen.select("id").distinct()  # ``sample`` ids, or one a language
+    keyed = keyed.distinct().withColumn("bucket", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(BUCKETS)))
+    for group in (["label", "bucket"], ["label"]):
+        lowest = Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id")
+        keyed = keyed.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_language)
+    chosen = keyed.select("id", "label")  # ``sample`` at most
     texts = labelled.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), number.alias("label"))
-    rows = texts.where("label >= 0").join(F.broadcast(chosen), "id", "left_semi")
+    rows = texts.join(F.broadcast(chosen), ["id", "label"], "left_semi")
+    rows = rows.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def shares_of(batches):
         for batch in batches:
@@ -158,12 +167,12 @@ def fit_languages(
                 packed = pa.array([x.tobytes() for x in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([packed, label.cast(pa.int64())], ["shares", "label"])
 
-    total, known = per_language * len(languages), len(languages)
+    known = len(languages)
 
     def solve(table: pa.Table) -> pa.Table:
         packed = table.column("shares").to_pylist()
         label = table.column("label").to_numpy()
-        order = sorted(range(len(packed)), key=lambda i: (label[i], packed[i]))[:total]  # repeated ids: no more
+        order = sorted(range(len(packed)), key=lambda i: (label[i], packed[i]))
         shares = np.frombuffer(b"".join(packed[i] for i in order), np.float16).reshape(-1, FEATURES)
         parts = fit_bits(shares.astype(np.float32), label[order], known)
         columns = [np.ascontiguousarray(p, np.float64).tobytes() for p in parts]

@@ -23,7 +23,6 @@ from vectable.llm.trees import fit_trees, sigmoid
 
 SAMPLE = 20_000  # labelled documents that the rules are fitted on
 LASSO = 5e-4
-MAX_RULES = 400
 
 STATISTICS = (
     "log_words",
@@ -154,7 +153,7 @@ def learn_rules(rows: np.ndarray, label: np.ndarray) -> RuleEnsemble:
         for feature, above, threshold in path:
             holds &= (rows[:, feature] > threshold) == above
         key = holds.tobytes()
-        if 0 < holds.sum() < len(rows) and key not in known and len(columns) < MAX_RULES:
+        if 0 < holds.sum() < len(rows) and key not in known:
             known.add(key)
             columns.append(holds)
             kept_paths.append(path)
@@ -182,24 +181,19 @@ def fit_rules(
     """Rules from documents with a label of 0 or 1 whose row of ``labels`` meets ``train``.
 
     The ``sample`` ids with the smallest hashes are used. Null ids and labels aren't; an id with
-    several labels takes the largest. Without a usable label the score is 0.5 throughout.
+    several labels takes the largest, and of a repeated id one row counts, that of the least statistics.
+    Every distinct path of the trees is a candidate. Without a usable label the score is 0.5 throughout.
     """
     wanted = labels.where(train & F.col(label_id).isNotNull() & F.col(label_column).isin(0, 1))
     chosen = wanted.groupBy(F.col(label_id).alias("id")).agg(F.max(label_column).cast("double").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(sample)
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     known = given.join(F.broadcast(chosen), "id")  # at most ``sample`` ids
-    rows = known.select("id", "label", text_statistics("text").alias("found")).select("id", "label", "found.*")
+    found = known.select("id", "label", text_statistics("text").alias("found"))
+    rows = found.groupBy("id", "label").agg(F.min("found").alias("found")).select("id", "label", "found.*")
 
     def learn(table: pa.Table) -> pa.Table:
-        names = ["id", "label", *STATISTICS]
-        table = table.select(names).sort_by([(name, "ascending") for name in names])
-        seen, use = set(), []
-        for i, one in enumerate(table.column("id").to_pylist()):
-            if one not in seen:
-                seen.add(one)
-                use.append(i)
-        table = table.take(use)
+        table = table.sort_by("id")
         matrix = np.stack([table.column(s).to_numpy() for s in STATISTICS], 1)
         model = learn_rules(matrix, table.column("label").to_numpy())
         return pa.table({"model": [json.dumps([model.intercept, model.rules])]})
