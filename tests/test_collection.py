@@ -354,7 +354,7 @@ def test_odd_field_names(spark, uri, adaptive):
     df = read_collection(spark, options)
     assert df.columns == ["the.id", "a b", "it`s 'x'", "v.1", "__partition"]
     back = from_entities(to_entities(df, schema), schema)
-    assert {tuple(r[:2]) for r in back.collect()} == {("x", '{"k":1}'), ("y", None)}
+    assert {tuple(r[:2]) for r in back.collect()} == {("x", '{"k": 1}'), ("y", None)}
     queries = spark.sql("SELECT 1 AS query_id, array(1F, 2F) AS query_vector")
     assert round(top_k(df, schema, "v.1", queries, 1).first().score, 6) == 1.0
     create_table(spark, options, "odd_table")
