@@ -200,4 +200,106 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    # Vectors in double precision; every pair of them is compared.
+    "op3_embedding_near_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+              AND len([x for x in embedding if x <> 0]) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+               AND CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) END >= 0.95),
+        reached AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+        linked AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN linked ON vec_id = linked.a
+    """,
+    # The rules mined from the given pages at sf0.01 are none, so the method allows what no rule fits.
+    "op9_url_filters": r"""
+        WITH parsed AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        given(rule_host, rule_path, says) AS (
+            VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                   ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        fitting AS (
+            SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                   max_by(says, length(rule_host || rule_path)) AS says
+            FROM parsed JOIN given
+            ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parsed LEFT JOIN fitting USING (page_id)
+    """,
+    "op10_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct([
+                array_to_string(w[i:i + 4], ' ')
+                for i in range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END)]) AS s
+            FROM words),
+        shingles AS MATERIALIZED (SELECT doc_id, unnest(s) AS shingle FROM sets),
+        numbered AS (SELECT shingle, row_number() OVER () AS number FROM shingles GROUP BY shingle HAVING count(*) > 1),
+        repeated AS MATERIALIZED (SELECT doc_id, number FROM shingles JOIN numbered USING (shingle)),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM repeated x JOIN repeated y ON x.number = y.number AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sets p ON a = p.doc_id JOIN sets q ON b = q.doc_id
+            WHERE 100 * n >= 75 * (len(p.s) + len(q.s) - n)),
+        reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM sets
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN least ON doc_id = a
+    """,
+    "op11_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        numbered AS (SELECT lang, row_number() OVER () AS no, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        words AS (SELECT lang, no, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM numbered),
+        chains AS (
+            SELECT lang, word, lead(word, 1) OVER following AS second, lead(word, 2) OVER following AS third
+            FROM words WINDOW following AS (PARTITION BY no ORDER BY pos)),
+        grams AS (
+            SELECT lang, 1 AS size, word AS phrase FROM chains
+            UNION ALL SELECT lang, 2, word || ' ' || second FROM chains WHERE second IS NOT NULL
+            UNION ALL SELECT lang, 3, word || ' ' || second || ' ' || third FROM chains WHERE third IS NOT NULL),
+        f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(c) AS n FROM f WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND c >= 10),
+        cuts AS (
+            SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+        begun AS MATERIALIZED (
+            SELECT cuts.*, f.c AS l FROM cuts JOIN f ON f.lang = cuts.lang AND f.phrase = first),
+        parted AS (
+            SELECT b.lang, b.size, b.phrase, a, k, l, f.c AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * f.c) AS score
+            FROM begun b JOIN f ON f.lang = b.lang AND f.phrase = rest),
+        scored AS (
+            SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        covered AS (
+            SELECT DISTINCT s.lang, s.phrase
+            FROM (SELECT lang, a, array_to_string(w[pos:pos + 1], ' ') AS part
+                  FROM (SELECT lang, a, w, unnest([1, 2]) AS pos FROM candidates WHERE size = 3)) t
+            JOIN candidates s ON s.lang = t.lang AND s.phrase = t.part AND 100 * t.a >= 50 * s.a),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM scored ANTI JOIN covered USING (lang, phrase))
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
