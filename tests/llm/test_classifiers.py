@@ -213,6 +213,31 @@ def test_sure_rules_do_not_push_out_others(spark):
     assert url_filter.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")) == [("host=evil",), ("host=shady",)]
 
 
+def test_long_slugs_are_mined_in_little_work(spark):
+    """Each combination of 25 parts is frequent, 2**25 of them: sure by themselves, or in the same rows."""
+    path = "/".join("abcdefghijklmnopqrstuvwxy")
+    only_bad = [(f"http://bad.example.net/{path}", True)] * 6 + [(f"http://good.example.net/{i}", False) for i in range(40)]
+    rules = url_filter.mine_rules(spark.createDataFrame(only_bad, "url string, bad boolean"))
+    assert rules == sorted([("host=bad",), *[(f"path={p}",) for p in "abcdefghijklmnopqrstuvwxy"]])
+    # The same path under a host with bad rows and one without; neither the path nor the host suffices.
+    hosts = [("odd", path, 6, True), ("odd", "z", 30, False), ("good", path, 30, False)]
+    rows = [(f"http://{host}.example.net/{p}", bad) for host, p, n, bad in hosts for _ in range(n)]
+    rules = url_filter.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"))
+    assert rules == sorted(("host=odd", f"path={p}") for p in "abcdefghijklmnopqrstuvwxy")
+
+
+def test_tokens_of_the_same_rows_each_give_their_rules(spark):
+    """Twins stand for each other in mining, and all come back, as the brute-force miner has them."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(300):
+        a, b, c = rng.integers(0, 3, 3)
+        odds = 0.95 if a == b == 1 else 0.9 if b == c == 2 else 0.1
+        rows.append((f"http://{'xyz'[a]}{'xyz'[a]}.{'xyz'[a]}twin/q{'uvw'[b]}/r{'uvw'[b]}/s{'uvw'[c]}", bool(rng.random() < odds)))
+    expected = mined_rules(rows)
+    assert any(len(r) > 1 for r in expected) and url_filter.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")) == sorted(expected, key=lambda r: (len(r), r))
+
+
 def test_rules_equal_those_of_a_brute_force_miner(spark, monkeypatch):
     rng = np.random.default_rng(0)
     rows = []

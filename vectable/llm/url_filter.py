@@ -1,8 +1,10 @@
 """URL verdicts from given host and path rules, and from mined association rules.
 
-Spark's FP-growth mines which combinations of URL tokens go with a bad label. Rules below the
-support and confidence asked for are pruned, and so are rules that a shorter one covers, on Spark
-and before any is collected. A rule is filed under one of its tokens, the one with the fewest rules; a URL looks up its tokens and
+Spark's FP-growth mines which combinations of URL tokens go with a bad label. It is given only the
+tokens that can add to a combination: tokens that are rules by themselves, tokens too rare with the
+label and all but one of the tokens that occur in the same rows are taken out before. Rules below
+the support and confidence asked for are pruned, and so are rules that a shorter one covers, on
+Spark and before any is collected. A rule is filed under one of its tokens, the one with the fewest rules; a URL looks up its tokens and
 checks only the rules found there.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import product
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -62,27 +65,81 @@ def mine_rules(
     ``min_confidence`` of the rows that have it are bad. No labelled row, no rule. More than
     ``MAX_RULES`` of them are an error: none is left out.
     """
-    label = F.when(F.col(bad_column), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     usable = labelled.where(F.col(url_column).isNotNull() & F.col(bad_column).isNotNull())
-    items = usable.select(F.concat(url_tokens(F.col(url_column)), label).alias("items")).where(F.size("items") > 0)
-    items = kept(items)
-    total = items.count()
+    rows = usable.select(F.col(bad_column).alias("bad"), url_tokens(F.col(url_column)).alias("tokens"))
+    rows = kept(rows.where(F.col("bad") | (F.size("tokens") > 0)).withColumn("row", F.monotonically_increasing_id()))
+    total = rows.count()
     needed = max(math.ceil(min_support * total), least_bad, 1)
     if needed > total:
         return []
+    classes = kept(_token_classes(rows, needed, min_confidence))
+    alone = classes.where("sure").select(F.explode("members").alias("token"))
+    found = [(r["token"],) for r in alone.limit(MAX_RULES + 1).collect()]
+    together = _mined_together(rows, classes.where("NOT sure"), needed, min_confidence)
+    if together is not None:
+        heads = [r["tokens"] for r in together.limit(MAX_RULES + 1).collect()]
+        _check_number(len(found) + len(heads))
+        named = together.select(F.explode("tokens").alias("head")).distinct()
+        members = {r["head"]: r["members"] for r in classes.join(named, "head").collect()}
+        choices = [[members[head] for head in rule] for rule in heads]
+        _check_number(len(found) + sum(math.prod(len(m) for m in rule) for rule in choices))
+        found += [tuple(sorted(each)) for rule in choices for each in product(*rule)]
+    _check_number(len(found))
+    return sorted(found, key=lambda r: (len(r), r))
+
+
+def _check_number(rules: int) -> None:
+    if rules > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules that no shorter one covers: ask for more support or confidence")
+
+
+def _surely(n_bad: str, n: str, min_confidence: float) -> Column:
+    return F.col(n_bad).cast("double") / F.col(n).cast("double") >= min_confidence
+
+
+def _token_classes(rows: DataFrame, needed: int, min_confidence: float) -> DataFrame:
+    """``head, members, sure``: tokens that are often enough in bad rows, those of the same rows together.
+
+    Two tokens are in the same rows if the sums of two 64-bit hashes of the rows' numbers agree. A
+    class is at most as large as one row. ``sure`` ones are rules by themselves.
+    """
+    marks = [F.xxhash64("row", F.lit(seed)).cast("decimal(38,0)").alias(f"mark{seed}") for seed in (1, 2)]
+    each = rows.select("bad", *marks, F.explode("tokens").alias("token"))
+    tokens = each.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.count_if("bad").alias("n_bad"),
+        F.sum("mark1").alias("mark1"),
+        F.sum("mark2").alias("mark2"),
+    )
+    frequent = tokens.where(F.col("n_bad") >= needed)
+    same = frequent.groupBy("n", "n_bad", "mark1", "mark2").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return same.select(F.col("members")[0].alias("head"), "members", _surely("n_bad", "n", min_confidence).alias("sure"))
+
+
+def _mined_together(rows: DataFrame, classes: DataFrame, needed: int, min_confidence: float) -> DataFrame | None:
+    """Rules of two or more class heads, as sorted ``tokens``; None if no rows could hold one.
+
+    A token that is a rule by itself covers every combination with it, and of tokens in the same rows
+    one stands for all: a shortest rule never has two of them.
+    """
+    heads = classes.select(F.col("head").alias("token"))
+    if heads.count() <= MAX_RULES:
+        heads = F.broadcast(heads)
+    left = rows.select("row", "bad", F.explode("tokens").alias("token")).join(heads, "token")
+    label = F.when(F.first("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    items = left.groupBy("row").agg(F.concat(F.collect_list("token"), label).alias("items")).select("items")
+    items = kept(items)
+    held = items.count()
+    if held < needed:
+        return None
     # Spark rounds support times rows up: half a row less is safe from rounding.
-    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / held).fit(items)
     sets = kept(model.freqItemsets.select(F.array_sort("items").alias("tokens"), "freq"))
     with_bad = sets.where(F.array_contains("tokens", BAD) & (F.size("tokens") > 1))
     with_bad = with_bad.select(F.array_remove("tokens", BAD).alias("tokens"), F.col("freq").alias("n_bad"))
     # A combination is at least as frequent without the label, so every one has its partner.
     counted = with_bad.join(sets.where(~F.array_contains("tokens", BAD)), "tokens")
-    surely = F.col("n_bad").cast("double") / F.col("freq").cast("double") >= min_confidence
-    rules = _shortest(counted.select("tokens", surely.alias("rule")))
-    found = [tuple(r["tokens"]) for r in rules.limit(MAX_RULES + 1).collect()]
-    if len(found) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules that no shorter one covers: ask for more support or confidence")
-    return sorted(found, key=lambda r: (len(r), r))
+    return kept(_shortest(counted.select("tokens", _surely("n_bad", "freq", min_confidence).alias("rule"))))
 
 
 def _shortest(combinations: DataFrame) -> DataFrame:
