@@ -21,8 +21,10 @@ from vectable.sources.catalog import (
     load_schema,
 )
 from vectable.sources.collection import (
+    _counted,
     _route,
     append_collection,
+    count_rows,
     copy_collection,
     list_partitions,
     read_collection,
@@ -170,6 +172,18 @@ def test_equal_rows_fill_all_writers_without_adaptive_execution(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_rows_are_counted_from_footers(spark, options):
+    assert count_rows(spark, options) == 0
+    append_collection(rows(spark, 3000, "'a'"), options)
+    append_collection(rows(spark, 2000, "'b'"), options)
+    opts = CollectionOptions.of(options)
+    for partition, expected in ((None, 5000), ("b", 2000), ("absent", 0)):
+        assert count_rows(spark, options, partition) == expected
+        counted = _counted(spark, load_schema(spark, options), opts, partition)
+        assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().toString()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
 def test_batchsize_bounds_files_only_when_given(spark, options):
     append_collection(rows(spark, 5000, "'a'"), options)
     append_collection(rows(spark, 5000, "'b'"), {**options, "batchsize": "700"})

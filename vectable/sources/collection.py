@@ -41,6 +41,27 @@ def read_collection(spark: SparkSession, options: Options, partition: str | None
     return df if partition is None else df.where(F.col(PARTITION_COLUMN) == partition)
 
 
+def count_rows(spark: SparkSession, options: Options, partition: str | None = None) -> int:
+    """The number of committed rows, from the footers of the files; no column is read.
+
+    Spark pushes a count into its second Parquet source only, which a session of its own switches on.
+    """
+    opts = CollectionOptions.of(options)
+    schema = load_schema(spark, opts)
+    # Pushed down, the count of no files at all is null.
+    return _counted(spark, schema, opts, partition).first()[0] or 0
+
+
+def _counted(spark: SparkSession, schema: CollectionSchema, opts: CollectionOptions, partition: str | None) -> DataFrame:
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = footers.read.schema(schema.struct).parquet(opts.data_path)
+    if partition is not None:
+        rows = rows.where(F.col(PARTITION_COLUMN) == partition)
+    return rows.agg(F.count("*").alias("row_count"))
+
+
 def list_partitions(spark: SparkSession, options: Options) -> DataFrame:
     """Partition names that hold rows, from the directory names; no file is opened."""
     opts = CollectionOptions.of(options)
