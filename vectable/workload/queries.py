@@ -17,7 +17,7 @@ from vectable.operators import batches, entities
 from vectable.operators.topk import top_k
 from vectable.plans.schema import DEFAULT_PARTITION, PARTITION_COLUMN, CollectionSchema, Field
 from vectable.sources import catalog, collection
-from vectable.sources.collection import append_collection, read_collection
+from vectable.sources.collection import append_collection, count_rows, read_collection
 from vectable.sources.facade import reader, writer
 from vectable.workload import recipes
 from vectable.workload.recipes import HELLO, HELLO_FN, empty_collection, kept_collection, new_collection
@@ -575,7 +575,8 @@ def gen_half_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def count_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "hello").agg(F.count("*").alias("row_count"))
+    counted = count_rows(spark, kept_collection(spark, sf_dir, "hello"))
+    return spark.createDataFrame([(counted,)], "row_count long")
 
 
 @registered
