@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vectable.llm import epsilon_join, jaccard_join
 from vectable.llm.components import components
-from vectable.llm.line_dedup import LineRuns, drop_repeated_lines
+from vectable.llm.line_dedup import LineRuns, drop_repeated_lines, merge_runs, ordered_scans
 
 
 def some(rows):
@@ -145,3 +145,27 @@ def test_vectors_of_several_lengths(spark):
     expected = similar_vectors(rows)
     assert sum(n > 0 for _, n, _, _ in expected) > 60
     assert as_rows(epsilon_join.similar_vectors(vectors_of(spark, rows))) == some(expected)
+
+
+def test_runs_are_neither_sorted_nor_shuffled_where_they_are_read(spark):
+    runs = LineRuns(spark, enough=2)
+    for i in range(3):
+        runs.add(spark.createDataFrame([(i, 0), (100, 0), (7, i)], "h1 long, h2 long"))
+    first, second = runs.runs()
+    batch = spark.createDataFrame([(1, 1), (2, 0)], "h1 long, h2 long")
+    with ordered_scans(spark):
+        unseen = runs.unseen(batch)._jdf.queryExecution().executedPlan().toString()
+        merged = merge_runs([first, second])._jdf.queryExecution().executedPlan().toString()
+    assert unseen.count("SortMergeJoin") == 2 and unseen.count("Sort [") == unseen.count("Exchange ") == 1  # the batch
+    assert "SortMergeJoin" in merged and "Sort [" not in merged and "Exchange " not in merged
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    assert spark.conf.get(name) == "false"
+
+
+def test_a_line_of_every_document_is_not_shuffled_to_one_task(spark):
+    rows = [(i, f"always\nline {i % 9}\nonly {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = drop_repeated_lines(df)
+    assert some((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()) == some(line_dedup(rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2

@@ -1,11 +1,14 @@
 """Corpus-wide line deduplication over levelled sorted runs of line keys.
 
 A run is a table of line-key hashes and the number of documents that hold them, bucketed
-and sorted by the hash, in the shared folder. Every batch of documents gives one new run:
-its counted keys, merge-anti-joined with those that a run already shows to be in enough
-documents. When a level holds ``fan_in`` runs they are merged into one run of the next
-level, so a key is rewritten once per level. Runs share their bucketing with the joins and
-aggregations over them, which therefore sort or shuffle nothing but the new batch.
+and sorted by the hash, one file a bucket, in the shared folder. Every batch of documents
+gives one new run: its counted keys, merge-anti-joined with those that a run already shows
+to be in enough documents. When a level holds ``fan_in`` runs they are merge-joined into one
+run of the next level, so a key is rewritten once per level. A run is neither shuffled nor
+sorted where it is read; sorted are the new batch and, within its buckets, what is written.
+
+Documents lose their lines by a join on the key. The keys that are in so many documents that
+they would fill a task are fewer than tasks times batches, by arithmetic, and are broadcast.
 
 The main path has DataFrame functions only.
 """
@@ -13,6 +16,8 @@ The main path has DataFrame functions only.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +45,21 @@ def hash_of(key: Column) -> Column:
     return F.xxhash64(key)
 
 
+@contextmanager
+def ordered_scans(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark trusts the order of bucketed tables of one file a bucket."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class LineRuns:
     """The levelled runs: ``add`` takes a batch of ``(h1, h2)`` rows, one per document and key."""
 
@@ -55,7 +75,8 @@ class LineRuns:
     def _write(self, counted: DataFrame, level: int) -> None:
         name, path = f"line_run_{uuid.uuid4().hex}", fresh_folder(self.spark)
         writer = counted.write.format("parquet").option("path", path)
-        writer.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
+        with ordered_scans(self.spark):
+            writer.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
         run = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay, and `run` knows them
         while len(self.levels) <= level:
@@ -65,30 +86,46 @@ class LineRuns:
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run, _ in level]
 
-    def add(self, batch: DataFrame) -> None:
+    def unseen(self, batch: DataFrame) -> DataFrame:
+        """The batch's keys with their numbers of rows, without those that a run has often enough."""
         counted = batch.groupBy(*KEY).agg(F.count("*").alias("n"))
         for run in self.runs():
-            counted = counted.join(run.where(F.col("n") >= self.enough), KEY, "left_anti")
-        self._write(counted, 0)
+            counted = counted.join(run.where(F.col("n") >= self.enough).hint("merge"), KEY, "left_anti")
+        return counted
+
+    def add(self, batch: DataFrame) -> None:
+        self._write(self.unseen(batch), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fan_in:
             merged = self.levels[level]
-            self._write(_summed([run for run, _ in merged]), level + 1)
+            self._write(merge_runs([run for run, _ in merged]), level + 1)
             self.levels[level] = []
             for _, path in merged:
                 delete(self.spark, path)
             level += 1
 
     def repeated(self) -> DataFrame:
-        """The keys found in at least ``enough`` documents of all batches."""
-        return _summed(self.runs()).where(F.col("n") >= self.enough).select(*KEY)
+        """The keys found in at least ``enough`` documents of all batches, and ``n``: in how many until then.
+
+        They are written, and the runs deleted.
+        """
+        with ordered_scans(self.spark):
+            found = kept(merge_runs(self.runs()).where(F.col("n") >= self.enough))
+        for level in self.levels:
+            for _, path in level:
+                delete(self.spark, path)
+        self.levels = []
+        return found
 
 
-def _summed(runs: list[DataFrame]) -> DataFrame:
-    union = runs[0]
+def merge_runs(runs: list[DataFrame]) -> DataFrame:
+    """The keys of all runs with the sums of their ``n``; two runs at a time are merged."""
+    merged = runs[0]
     for run in runs[1:]:
-        union = union.unionByName(run)
-    return union.groupBy(*KEY).agg(F.sum("n").alias("n"))
+        more = run.withColumnRenamed("n", "more").hint("merge")
+        n = F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))
+        merged = merged.join(more, KEY, "full").select(*KEY, n.alias("n"))
+    return merged
 
 
 def drop_repeated_lines(
@@ -128,7 +165,16 @@ def drop_repeated_lines(
     runs = LineRuns(spark, min_docs, fan_in)
     for number in range(batches):
         runs.add(digest.where(F.col("batch") == number).select(*KEY))
-    hits = digest.join(runs.repeated(), KEY, "left_semi").groupBy("doc").agg(F.collect_set("h1").alias("hits"))
+    repeated = runs.repeated()
+    # Of all rows of `digest`, fewer than `most` keys can have more than this share each.
+    most = runs.buckets * batches
+    crowded = F.col("n") > digest.count() // most
+    hot = F.broadcast(repeated.where(crowded).select(*KEY))
+    rest = repeated.where(~crowded).select(*KEY)
+    found = digest.join(hot, KEY, "left_semi").unionByName(
+        digest.join(hot, KEY, "left_anti").join(rest, KEY, "left_semi")
+    )
+    hits = found.groupBy("doc").agg(F.collect_set("h1").alias("hits"))
 
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     joined = row.join(hits, F.col(f"row.`{id_column}`").eqNullSafe(F.col("doc")), "left")
