@@ -169,3 +169,31 @@ def test_a_line_of_every_document_is_not_shuffled_to_one_task(spark):
     assert some((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()) == some(line_dedup(rows))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") == 2
+
+
+@pytest.mark.parametrize("room", [0, 1, 5, 60, 10**6])
+def test_the_frequent_tokens_are_bounded_and_the_most_frequent(spark, monkeypatch, room):
+    monkeypatch.setattr(jaccard_join, "FREQUENT_TOKENS", room)
+    rng = random.Random(2)
+    seen = {rng.getrandbits(63) - 2**62: 1 + i // 10 for i in range(100)}
+    rows = spark.createDataFrame([(t, n) for t, n in seen.items()] + [(None, None)], "token long, seen long")
+    token, count = jaccard_join._order(spark, rows).value
+    assert len(token) <= room and len(token) >= min(room, 100) - 2
+    assert all(seen[t] == n for t, n in zip(token.view(np.int64).tolist(), count.tolist(), strict=True))
+    assert not len(token) or min(count) >= sorted(seen.values())[-len(token)]
+
+
+def test_copies_and_components_of_a_third_of_the_rows(spark):
+    rng = random.Random(3)
+    rows = [(i, "one text that most of the rows hold as it is") for i in range(60)]
+    rows += [(100 + i, text) for i, text in enumerate(family(rng, 60, 60, 0.01))]
+    rows += [(200 + i, " ".join(f"a{i}b{k}" for k in range(9))) for i in range(60)]
+    rows += [(300 + i, "") for i in range(20)] + [(None, None)] * 20 + [(7, rows[0][1]), (7, "another"), (7, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.similar_classes(df).collect()
+    assert some((r.doc_id, r.n_shingles, r.component_id) for r in found) == some(jaccard_classes(rows))
+    stay = jaccard_join.one_of_each_class(df).collect()
+    assert some((r.doc_id, r.text) for r in stay if r.doc_id == 7) == some(
+        [(7, "another"), (7, None), (7, rows[0][1])]
+    )
+    assert sum(r.doc_id is None for r in stay) == 1 and sum(r.doc_id == 0 for r in stay) == 1

@@ -530,15 +530,34 @@ def similar_classes(
     more = kept(_compared(members, texts, words, percent))
     roots = components(links.unionByName(more))
 
-    rooted = signatures.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = rooted.where("n > 0").groupBy("root").agg(F.min("doc").alias("smallest"))
-    result = rooted.join(smallest, "root", "left")
-    component = F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc"))
+    # Copies of a text, or texts of a component, that would fill a task are joined by broadcast.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = signatures.count() // tasks
+    by_node = signatures.groupBy("node").agg(
+        F.count("*").alias("rows"), F.min(F.when(F.col("n") > 0, F.col("doc"))).alias("smallest")
+    )
+    by_node = kept(by_node.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    by_root = by_node.groupBy("root").agg(F.min("smallest").alias("component"), F.count("*").alias("rows"))
+    placed = kept(_with(by_node, by_root, "root", share).select("node", "component", "rows"))
+    result = _with(signatures, placed, "node", share)
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
     return result.select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")
     )
 
 
+def _with(many: DataFrame, one: DataFrame, key: str, share: int) -> DataFrame:
+    """``many`` with the one row of its ``key`` in ``one``, whose ``rows`` says how many of ``many`` it meets.
+
+    Keys of more than ``share`` rows are broadcast: with ``share`` a task's part of all rows, they are
+    fewer than the tasks.
+    """
+    one = one.withColumnRenamed("rows", "meets")
+    hot = F.broadcast(one.where(F.col("meets") > share))
+    rest = many.join(hot.select(key), key, "left_anti").join(one.where(F.col("meets") <= share), key)
+    return many.join(hot, key).unionByName(rest).drop("meets")
+
+
 def one_of_each_class(
     docs: DataFrame, words: int = 5, percent: int = 75, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -548,15 +567,43 @@ def one_of_each_class(
     repeat both id and text one stays. Columns are those of ``docs``.
     """
     classes = similar_classes(docs, words, percent, id_column, text_column)
-    stay = classes.where("component_id <=> doc_id").select(F.col("doc_id").alias("stays")).distinct()
+    stay = classes.where("component_id <=> doc_id").groupBy(F.col("doc_id").alias("stays"))
+    stay = stay.agg((F.count("*") > 1).alias("repeats"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept_rows = row.join(stay, F.col(f"row.`{id_column}`").eqNullSafe(F.col("stays")), "left_semi")
-    return kept_rows.select("row.*").dropDuplicates([id_column, text_column])
+    rows = row.join(stay, F.col(f"row.`{id_column}`").eqNullSafe(F.col("stays")))
+    # Only rows of repeated ids are compared, by a hash of 128 bits in place of the text.
+    text = F.col(f"row.`{text_column}`")
+    hashes = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+    again = rows.where("repeats").select("row", "stays", text.isNull().alias("none"), *hashes)
+    alone = rows.where("NOT repeats").select("row")
+    return alone.unionByName(again.dropDuplicates(["stays", "none", "h1", "h2"]).select("row")).select("row.*")
 
 
 def _order(spark: SparkSession, seen: DataFrame):
-    """Broadcast: the most frequent tokens, at most ``FREQUENT_TOKENS`` of them."""
+    """Broadcast: the most frequent tokens, at most ``FREQUENT_TOKENS`` of them.
+
+    Two small histograms find them: of counts, in steps of a 32nd of a doubling, and of the tokens
+    (hashes) of the step that fits in part.
+    """
     often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
-    top = often.orderBy(F.desc("seen"), "token").limit(FREQUENT_TOKENS).toArrow()
+    often = kept(often.withColumn("step", F.floor(32 * F.log2("seen")).cast("int")))
+    part = F.shiftrightunsigned("token", 52).cast("int")
+    steps = often.groupBy("step").count().orderBy(F.desc("step")).collect()  # 2,016 at most
+    room, least = FREQUENT_TOKENS, None
+    chosen = F.lit(False)
+    for r in steps:
+        if r["count"] > room:
+            parts = often.where(F.col("step") == r["step"]).groupBy(part.alias("part")).count().orderBy("part")
+            end = 0
+            for p in parts.collect():  # 4,096 at most
+                if p["count"] > room:
+                    break
+                room, end = room - p["count"], p["part"] + 1
+            chosen = (F.col("step") == r["step"]) & (part < end)
+            break
+        room, least = room - r["count"], r["step"]
+    if least is not None:
+        chosen = chosen | (F.col("step") >= least)
+    top = often.where(chosen).select("token", "seen").toArrow()
     token = top.column("token").to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, np.uint64)
     return spark.sparkContext.broadcast((token, top.column("seen").to_numpy()))
