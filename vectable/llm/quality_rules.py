@@ -3,8 +3,8 @@
 Two multinomials over a fixed number of n-gram buckets are counted: one on all trusted documents,
 one on the whole corpus. A document's score is the mean over its n-grams of
 the log ratio of the two, so it doesn't depend on its length; documents below a fixed threshold
-fail. A pass over the corpus counts, a second one scores; each task sends back one row per
-bucket. Counting shuffles the text once, by id; scoring shuffles none.
+fail. One pass counts the corpus, one the trusted documents, and one scores; each task sends back
+one row per bucket. Only texts of trusted documents, and few others, are shuffled, by id.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from vectable.llm.rolling import Texts, Words, combine, mix, slices
 
 BUCKETS = 1 << 14
 GRAMS = 2
+MARKS = 1 << 27  # bits of the bitmap of trusted ids
+BLOCK_BITS = 1 << 15  # bits of a row of it, fixed by Spark's bitmap functions
 THRESHOLD = -0.3
 SYMBOLS = b"#*$%&|<>"
 RESULT = (
@@ -106,36 +108,49 @@ def log_ratios(
     """Per bucket the log of its trusted over its corpus probability, one added to each count.
 
     ``trusted`` has ids in its first column; all documents with one of them count. With no trusted
-    document every ratio is 0.
+    document every ratio is 0. Null ids are nobody's; trusted ids are cast to the type of the documents'.
     """
-    spark = docs.sparkSession
-    name = trusted.columns[0]
-    chosen = trusted.select(F.col(name).alias("id")).where("id IS NOT NULL").distinct()
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    marked = given.join(chosen.withColumn("yes", F.lit(True)).hint("merge"), "id", "left")  # ids grow with the corpus
-    marked = marked.select("text", F.coalesce("yes", F.lit(False)).alias("yes"))
+    kind = dict(given.dtypes)["id"]
+    chosen = trusted.select(F.col(trusted.columns[0]).try_cast(kind).alias("id")).where("id IS NOT NULL").distinct()
+    likely = _likely(given.where("id IS NOT NULL"), chosen)
+    target = _counts(likely.join(chosen.hint("merge"), "id", "left_semi").select("text"))  # ids grow with the corpus
+    if not target.sum():
+        return np.zeros(BUCKETS)
+    corpus = _counts(given.select("text"))
+    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((corpus + 1) / (corpus.sum() + BUCKETS))
+
+
+def _counts(texts: DataFrame) -> np.ndarray:
+    """The number of n-grams in each bucket."""
 
     def count(batches):
-        sums = np.zeros((2, BUCKETS))
+        sums = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            yes = batch.column(1).to_numpy(zero_copy_only=False)
-            for texts in slices(batch.column(0)):
-                bucket, owner = _grams(texts)
-                sums[1] += np.bincount(bucket, minlength=BUCKETS)
-                own = yes[texts.first_row + owner]
-                sums[0] += np.bincount(bucket[own], minlength=BUCKETS)
-        parts = [pa.array(np.arange(BUCKETS), pa.int32())] + [pa.array(s.astype(np.int64)) for s in sums]
-        yield pa.RecordBatch.from_arrays(parts, ["bucket", "target", "corpus"])
-
-    counted = marked.mapInArrow(count, "bucket int, target long, corpus long")
-    rows = counted.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus")).toArrow()
-    target, corpus = np.zeros(BUCKETS), np.zeros(BUCKETS)
+            for part in slices(batch.column(0)):
+                sums += np.bincount(_grams(part)[0], minlength=BUCKETS)
+        parts = [pa.array(np.arange(BUCKETS), pa.int32()), pa.array(sums)]
+        yield pa.RecordBatch.from_arrays(parts, ["bucket", "n"])
+
+    rows = texts.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros(BUCKETS)
     if rows.num_rows:
-        target[rows.column("bucket").to_numpy()] = rows.column("target").to_numpy()
-        corpus[rows.column("bucket").to_numpy()] = rows.column("corpus").to_numpy()
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((corpus + 1) / (corpus.sum() + BUCKETS))
+        found[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return found
+
+
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose id is one of ``ids``, and few others: by a bitmap over hashes of the ids.
+
+    So few texts but those wanted cross the network. The bitmap has ``MARKS`` bits, whatever the number
+    of ids: at most ``MARKS / BLOCK_BITS`` rows of ``BLOCK_BITS / 8`` bytes are broadcast.
+    """
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    block, bit = F.floor(mark / BLOCK_BITS).alias("block"), (mark % BLOCK_BITS).alias("bit")
+    bits = ids.select(block, bit).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    met = rows.select("*", block, bit).join(F.broadcast(bits), "block")
+    byte = F.conv(F.hex(F.expr("substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    return met.withColumn("byte", byte).where("shiftright(byte, CAST(bit % 8 AS INT)) & 1 = 1").select(rows.columns)
 
 
 def with_quality(
