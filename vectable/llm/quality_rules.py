@@ -114,7 +114,8 @@ def log_ratios(
     kind = dict(given.dtypes)["id"]
     chosen = trusted.select(F.col(trusted.columns[0]).try_cast(kind).alias("id")).where("id IS NOT NULL").distinct()
     likely = _likely(given.where("id IS NOT NULL"), chosen)
-    target = _counts(likely.join(chosen.hint("merge"), "id", "left_semi").select("text"))  # ids grow with the corpus
+    # Ids grow with the corpus. A semi-join would be moved below the bitmap's; ids are distinct here.
+    target = _counts(likely.join(chosen.hint("merge"), "id").select("text"))
     if not target.sum():
         return np.zeros(BUCKETS)
     corpus = _counts(given.select("text"))
