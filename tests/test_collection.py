@@ -30,6 +30,7 @@ from vectable.sources.collection import (
     read_collection,
 )
 from vectable.sources.tables import create_table, partition_names
+from vectable.workspace import shared_folder
 from vectable.workload.recipes import HELLO, hello_rows, kept_collection
 
 SIMPLE = CollectionSchema([Field("id", "Int64", primary_key=True, description="it's the key"), Field("n", "Int32")])
@@ -376,3 +377,74 @@ def test_odd_field_names(spark, uri, adaptive):
         assert spark.sql("SELECT `a b` FROM odd_table WHERE `the.id` >= 0").count() == 2
     finally:
         spark.sql("DROP TABLE odd_table")
+
+
+def test_small_partitions_have_one_writer_and_hot_ones_all_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        value = "IF(id % 2 = 0, 'hot', concat('p', id % 100))"
+        routed = _route(spark.range(20_000).selectExpr("id", "id AS k", f"{value} AS __partition"))
+        at = routed.select("__partition", F.spark_partition_id().alias("at"))
+        writers = at.groupBy("__partition").agg(F.count_distinct("at").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert routed.columns == ["id", "k", "__partition"]
+    by_value = {r["__partition"]: r["n"] for r in writers}
+    assert by_value.pop("hot") >= 7 and set(by_value.values()) == {1}
+
+
+def test_a_replace_that_fails_leaves_the_old_rows(spark, options, monkeypatch):
+    append_collection(rows(spark, 9), options)
+
+    def fail(*_):
+        raise OSError("no disk")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(paths, "replace_text", fail)
+        with pytest.raises(OSError):
+            create_collection(spark, options, HELLO, replace=True)
+    assert load_schema(spark, options) == SIMPLE and read_collection(spark, options).count() == 9
+    with monkeypatch.context() as watched:
+        watched.setattr(paths, "delete", lambda *_: pytest.fail("removed before the swap") if has_old() else True)
+        has_old = lambda: load_schema(spark, options) == SIMPLE
+        create_collection(spark, options, HELLO, replace=True)
+    assert load_schema(spark, options) == HELLO and read_collection(spark, options).count() == 0
+    assert drop_collection(spark, options)
+    assert paths.children(spark, CollectionOptions.of(options).collection_path) == []
+
+
+def test_a_replaced_collection_takes_rows_ids_and_tables_along(spark, uri):
+    options = {"uri": uri, "collection": "again"}
+    keyed = CollectionSchema([Field("id", "Int64", primary_key=True, auto_id=True), Field("n", "Int64")])
+    create_collection(spark, options, keyed)
+    create_table(spark, options, "again_table")
+    try:
+        append_collection(spark.sql("SELECT 1L AS n, 'a' AS __partition"), options, table="again_table")
+        for turn in range(2):
+            create_collection(spark, options, keyed, replace=True)
+            append_collection(spark.sql(f"SELECT {turn + 5}L AS n, 'b' AS __partition"), options, table="again_table")
+            found = [tuple(r) for r in spark.table("again_table").collect()]
+            assert found == [tuple(r) for r in read_collection(spark, options).collect()] == [(0, turn + 5, "b")]
+            names = paths.children(spark, f"{uri}/default/again")
+            assert sum(name.startswith("data") for name in names) == 1
+        assert count_rows(spark, options) == 1 and [r[0] for r in list_partitions(spark, options).collect()] == ["b"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS again_table")
+
+
+def test_scratch_beside_a_local_warehouse_is_refused_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "/tmp/somewhere"}
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Session())
+    Context.master = "local[2]"
+    assert shared_folder(Session()).startswith("file:")

@@ -28,6 +28,7 @@ class CollectionOptions:
     token: str = ""
     batchsize: int = DEFAULT_BATCHSIZE
     batchsize_given: bool = False
+    version: str = ""  # of the data; the definition names it
 
     @classmethod
     def of(cls, options: CollectionOptions | Mapping[str, object]) -> CollectionOptions:
@@ -53,7 +54,15 @@ class CollectionOptions:
 
     @property
     def data_path(self) -> str:
-        return f"{self.collection_path}/data"
+        return f"{self.collection_path}/data{self._suffix}"
+
+    @property
+    def ids_path(self) -> str:
+        return f"{self.collection_path}/_ids{self._suffix}"
+
+    @property
+    def _suffix(self) -> str:
+        return f"-{self.version}" if self.version else ""
 
     @property
     def descriptor_path(self) -> str:

@@ -159,9 +159,10 @@ class CollectionSchema:
         fields = [f.struct_field for f in self.visible_fields]
         return T.StructType([*fields, T.StructField(PARTITION_COLUMN, T.StringType(), False)])
 
-    def to_json(self) -> str:
+    def to_json(self, version: str = "") -> str:
         return json.dumps(
-            {"description": self.description, "fields": [asdict(f) for f in self.fields]}, indent=1
+            {"description": self.description, "version": version, "fields": [asdict(f) for f in self.fields]},
+            indent=1,
         )
 
     @classmethod

@@ -52,7 +52,7 @@ def auto_ids(df: DataFrame, schema: CollectionSchema, opts: CollectionOptions) -
 
 
 def _folder(opts: CollectionOptions) -> str:
-    return f"{opts.collection_path}/_ids"
+    return opts.ids_path
 
 
 def _tickets(spark: SparkSession, opts: CollectionOptions) -> dict[int, set[str]]:

@@ -20,12 +20,13 @@ from vectable.plans.schema import PARTITION_COLUMN, CollectionSchema
 from vectable.plans.sqltext import quoted_name
 from vectable.sources import paths
 from vectable.sources.autoid import auto_ids
-from vectable.sources.catalog import Options, load_schema
-from vectable.sources.tables import add_partitions, partition_names
+from vectable.sources.catalog import Options, open_collection
+from vectable.sources.tables import add_partitions, follow, partition_names
 
-# Salts per shuffle partition when adaptive execution cannot split a hot partition value:
-# enough that hashing spreads one value evenly over all writers.
+# Salts per writer's share of rows when adaptive execution cannot split a hot partition value:
+# enough that hashing spreads one value evenly over its writers.
 SALTS_PER_WRITER = 4
+SALTS = "__salts"
 
 
 def read_collection(spark: SparkSession, options: Options, partition: str | None = None) -> DataFrame:
@@ -33,8 +34,7 @@ def read_collection(spark: SparkSession, options: Options, partition: str | None
 
     ``partition`` restricts the scan to one partition's directory.
     """
-    opts = CollectionOptions.of(options)
-    schema = load_schema(spark, opts)
+    opts, schema = open_collection(spark, options)
     # The schema is always given: inference would read footers and turn a partition
     # named "01" into the number 1.
     df = spark.read.schema(schema.struct).parquet(opts.data_path)
@@ -46,8 +46,7 @@ def count_rows(spark: SparkSession, options: Options, partition: str | None = No
 
     Spark pushes a count into its second Parquet source only, which a session of its own switches on.
     """
-    opts = CollectionOptions.of(options)
-    schema = load_schema(spark, opts)
+    opts, schema = open_collection(spark, options)
     # Pushed down, the count of no files at all is null.
     return _counted(spark, schema, opts, partition).first()[0] or 0
 
@@ -64,8 +63,7 @@ def _counted(spark: SparkSession, schema: CollectionSchema, opts: CollectionOpti
 
 def list_partitions(spark: SparkSession, options: Options) -> DataFrame:
     """Partition names that hold rows, from the directory names; no file is opened."""
-    opts = CollectionOptions.of(options)
-    load_schema(spark, opts)
+    opts, _ = open_collection(spark, options)
     names = partition_names(spark, opts.data_path)
     return spark.createDataFrame([(n,) for n in names], f"{PARTITION_COLUMN} string")
 
@@ -90,11 +88,12 @@ def append_collection(
     """
     if str(mode).lower() != "append":
         raise SaveModeError(f"Only Append mode is supported, not {mode}")
-    opts = CollectionOptions.of(options)
     spark = df.sparkSession
-    schema = load_schema(spark, opts)
+    opts, schema = open_collection(spark, options)
     bound = bind(df, schema)
     routed = bound if aligned else _route(bound)
+    if table is not None:
+        follow(spark, opts, table)
     before = set(partition_names(spark, opts.data_path)) if table is not None else set()
     with auto_ids(routed, schema, opts) as filled, own_attempt(spark, opts.data_path) as options_of_attempt:
         writer = filled.write.mode("append").partitionBy(PARTITION_COLUMN).options(**options_of_attempt)
@@ -129,16 +128,22 @@ def _route(df: DataFrame) -> DataFrame:
     """Bring the rows of a partition together, but a hot partition to many tasks.
 
     Under adaptive execution the rebalance splits partition values above the advisory
-    size and packs small ones, by measured sizes. Without it a salt spreads every value
-    over all writers, at the price of more and smaller files.
+    size and packs small ones, by measured sizes. Without it the rows of each value are
+    counted first: a value of more than a writer's share of all rows is spread by a salt, over
+    writers in proportion; any other has one writer.
     """
     conf = df.sparkSession.conf
     adaptive = conf.get("spark.sql.adaptive.enabled") == "true"
     if adaptive and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true":
         return df.hint("rebalance", PARTITION_COLUMN)
+    writers = int(conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, df.count() // writers)
+    counts = df.groupBy(PARTITION_COLUMN).agg(F.count("*").alias("rows"))
+    salts = F.ceil(F.lit(SALTS_PER_WRITER) * F.col("rows") / share).cast("int").alias(SALTS)
+    hot = counts.where(F.col("rows") > share).select(PARTITION_COLUMN, salts)  # fewer than the writers
     # Content and task, both the same when a task is recomputed; equal rows of many tasks spread by
     # the task, and of one task by their place in it.
     plain = [quoted_name(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
-    salts = SALTS_PER_WRITER * int(conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*plain, F.monotonically_increasing_id()), F.lit(salts))
-    return df.repartition(PARTITION_COLUMN, salt)
+    salt = F.pmod(F.xxhash64(*plain, F.monotonically_increasing_id()), F.coalesce(SALTS, F.lit(1)))
+    spread = df.join(F.broadcast(hot), PARTITION_COLUMN, "left").repartition(PARTITION_COLUMN, salt)
+    return spread.select(*[quoted_name(c) for c in df.columns])

@@ -76,6 +76,32 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put the file in the place of one of that name, in one step where the file system renames in one."""
+    fs, target = _resolve(spark, path)
+    hidden = target.getParent().suffix(f"/.{uuid.uuid4().hex}")
+    write_new_text(spark, hidden.toString(), text)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    try:
+        if fs.getUri().getScheme() == "file":
+            # The checksum beside the old file would not fit the new one.
+            source, place, checksum = [
+                jvm.java.nio.file.Paths.get(p.toUri().getPath(), _no_parts(spark))
+                for p in (hidden, target, target.getParent().suffix(f"/.{target.getName()}.crc"))
+            ]
+            jvm.java.nio.file.Files.deleteIfExists(checksum)
+            moves = gateway.new_array(jvm.java.nio.file.CopyOption, 1)
+            moves[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
+            jvm.java.nio.file.Files.move(source, place, moves)
+        else:
+            files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            renames = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            renames[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            files.rename(hidden, target, renames)
+    finally:
+        fs.delete(hidden, False)
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     """Create the file with its whole content in one step; False if there is one of that name.
 

@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from vectable.plans.options import CollectionOptions
 from vectable.plans.schema import PARTITION_COLUMN
 from vectable.plans.sqltext import quoted_name, text_literal
 from vectable.sources import paths
-from vectable.sources.catalog import Options, load_schema
+from vectable.sources.catalog import Options, open_collection
 
 
 def create_table(spark: SparkSession, options: Options, table: str) -> None:
@@ -21,10 +20,10 @@ def create_table(spark: SparkSession, options: Options, table: str) -> None:
     Spark keeps every column of a table over files as nullable, whatever it is declared as;
     ``describe_collection`` says which fields may be null.
     """
-    opts = CollectionOptions.of(options)
+    opts, schema = open_collection(spark, options)
     columns = ", ".join(
         f"{quoted_name(f.name)} {f.dataType.simpleString()} COMMENT {text_literal(f.metadata.get('comment', ''))}"
-        for f in load_schema(spark, opts).struct.fields
+        for f in schema.struct.fields
     )
     location = text_literal(paths.qualified(spark, opts.data_path))
     spark.sql(
@@ -33,6 +32,16 @@ def create_table(spark: SparkSession, options: Options, table: str) -> None:
     repair_table(spark, table)
 
 
+def follow(spark: SparkSession, options: Options, table: str) -> None:
+    """Define the table anew if its collection was replaced since."""
+    opts, _ = open_collection(spark, options)
+    name = _quoted(table)
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    if [f["data_type"] for f in facts] != [paths.qualified(spark, opts.data_path)]:
+        spark.sql(f"DROP TABLE {name}")  # external: no file is touched
+        create_table(spark, opts, table)
+
+
 def repair_table(spark: SparkSession, table: str) -> None:
     """Make all partitions and files that were added visible to SQL."""
     spark.catalog.recoverPartitions(_quoted(table))

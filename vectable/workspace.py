@@ -6,16 +6,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectable.sources.paths import delete
+from vectable.sources.paths import delete, qualified
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, else one beside the warehouse's tables.
 
-    Both are places that the driver and all executors reach.
+    Both are places that the driver and all executors reach; on a cluster a warehouse in a local folder
+    may not be one, and is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_vectable_scratch"
+    if folder:
+        return folder
+    warehouse = qualified(spark, spark.conf.get("spark.sql.warehouse.dir"))
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_vectable_scratch"
 
 
 def _own_folder(spark: SparkSession) -> str:
