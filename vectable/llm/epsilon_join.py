@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,39 +32,49 @@ LEAF = 256  # vectors of an interval that is compared without halving
 LINKS = "node long, links long, other long"
 
 
-def _rows(column: pa.Array) -> list:
-    return [None if x is None else np.array(x, np.float64) for x in column.to_pylist()]
+def _matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of a list column by length: their places and one matrix, null components as NaN."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths) - lengths
+    for dim in np.unique(lengths[lengths > 0]).tolist():
+        places = np.flatnonzero(lengths == dim)
+        yield places, flat[starts[places][:, None] + np.arange(dim)]
 
 
-def _sound(vector: np.ndarray | None) -> bool:
-    """Not null, not zero, and all components finite (a null one reads as NaN)."""
-    return vector is not None and len(vector) > 0 and bool(np.isfinite(vector).all()) and bool(vector.any())
+def _node_names(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row's components."""
+    spots = np.arange(1, rows.shape[1] + 1, dtype=np.uint64)
+    return mix(mix(rows.view(np.uint64) + mix(spots)).sum(1, dtype=np.uint64)).view(np.int64)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(vec_id, node, dim, vector)``; node, dim and vector are null where nothing can link."""
+    """``(vec_id, node, dim, vector)``; node, dim and vector are null where nothing can link.
+
+    Linked are vectors that aren't null or zero and whose components are all there and finite.
+    """
     for batch in batches:
-        nodes, dims, packed = [], [], []
-        for vector in _rows(batch.column(1)):
-            if _sound(vector):
-                vector = vector + 0.0  # -0 is 0
-                spots = np.arange(1, len(vector) + 1, dtype=np.uint64)
-                bits = mix(vector.view(np.uint64) + mix(spots))
-                nodes.append(int(mix(np.array([bits.sum(dtype=np.uint64)])).view(np.int64)[0]))
-                dims.append(len(vector))
-                packed.append(vector.tobytes())
-            else:
-                nodes.append(None)
-                dims.append(None)
-                packed.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(nodes, pa.int64()), pa.array(dims, pa.int32()), pa.array(packed, pa.binary())],
-            ["vec_id", "node", "dim", "vector"],
-        )
+        nodes, dims = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int32)
+        packed = np.full(batch.num_rows, None, object)
+        for places, rows in _matrices(batch.column(1)):
+            sound = np.isfinite(rows).all(1) & rows.any(1)
+            places, rows = places[sound], rows[sound] + 0.0  # -0 is 0
+            nodes[places], dims[places] = _node_names(rows), rows.shape[1]
+            packed[places] = rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel().tolist()
+        none = dims == 0
+        columns = [pa.array(nodes, mask=none), pa.array(dims, mask=none), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["vec_id", "node", "dim", "vector"])
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    rows = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+    """Packed vectors of one length as a matrix of unit rows."""
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1]
+    return _scaled(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float64), len(column))
+
+
+def _scaled(components: np.ndarray, n: int) -> np.ndarray:
+    rows = components.reshape(n, -1)
     rows = rows / np.abs(rows).max(1, keepdims=True)  # squares neither overflow nor vanish
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
@@ -177,7 +188,7 @@ def _open(directions, cosine: float, reach: float, dim: int):
         first = next(r for r in rows if r["side"] == 0)
         second = next((r for r in rows if r["side"] == 1), first)
         same = second is first
-        vectors = [_unit(pa.array(_cut(r["vectors"], dim), pa.binary())) for r in (first, second)]
+        vectors = [_scaled(np.frombuffer(r["vectors"]), len(r["vectors"]) // (8 * dim)) for r in (first, second)]
         nodes = [np.frombuffer(r["nodes"], np.int64) for r in (first, second)]
         copies = [np.frombuffer(r["copies"], np.int64) for r in (first, second)]
         spots = [v @ directions.value for v in vectors]
@@ -207,10 +218,6 @@ def _open(directions, cosine: float, reach: float, dim: int):
     return run
 
 
-def _cut(data: bytes, dim: int) -> list[bytes]:
-    return [data[i : i + 8 * dim] for i in range(0, len(data), 8 * dim)]
-
-
 def _linked(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
     """``(node, links, other)`` of distinct vectors of length ``dim``: counts of links and a forest of them."""
     spark = nodes.sparkSession
