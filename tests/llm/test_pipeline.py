@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oracle import differences, duck
-from vectable.llm.mixing import mix, reached, tempered
+from vectable.llm.mixing import fit_topics, mix, reached, tempered
 from vectable.llm.packing import CapacityTree, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
 
@@ -141,6 +141,33 @@ def test_a_tiny_class_leaves_the_others_alone(spark, power):
     assert np.isclose(found.weight[0], (1 - tiny) / (6000 / 6001), atol=1e-4)
 
 
+def test_topics_are_what_texts_are_about(spark):
+    draw = np.random.default_rng(3)
+    kinds, rows = {}, []
+    for i in range(400):
+        lang, kind = ("en", "de")[i % 2], (i // 2) % 3
+        own = [f"{lang}{x}" for x in draw.integers(0, 30, 40)]  # words of the language, in all its texts
+        about = [f"name{kind}_{x}" for x in draw.integers(0, 20, 40)]  # names and numbers, alike in both
+        kinds[i] = kind
+        rows.append((i, " ".join(draw.permutation(own + about)), "s", lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    topic = {r.doc_id: r.topic for r in mix(docs, topics=3).select("row.doc_id", "topic").collect()}
+    assert len({(kinds[i], topic[i]) for i in kinds}) == 3 == len(set(topic.values()))
+    part = {r.doc_id: r.topic for r in mix(docs, topics=3, topic_sample=150).select("row.doc_id", "topic").collect()}
+    assert len({(kinds[i], part[i]) for i in kinds}) == 3  # all rows get a topic, learnt from some
+    equal = docs.withColumn("text", F.lit("the same words"))
+    assert {r.topic for r in mix(equal).collect()} == {0}
+
+
+def test_topics_of_a_repeated_id(spark):
+    rows = [(7, f"copy {i % 5} of a row", "s", "en") for i in range(300)] + [(i, f"other text {i}", "s", "en") for i in range(600, 1200)]
+    texts = spark.createDataFrame(rows, "id long, text string, source string, lang_class string")
+    whole = fit_topics(texts, sample=10_000)
+    once = fit_topics(texts.dropDuplicates(["id"]), sample=10_000)
+    assert whole.weights.shape == once.weights.shape and len(whole.centres) == len(once.centres) == 8
+    assert fit_topics(texts.where("false")) is None and fit_topics(texts.withColumn("text", F.lit(" "))) is None
+
+
 def test_mixing_of_odd_rows(odd, none):
     spare = odd.withColumn("source", F.when(F.col("doc_id") != 6, F.col("source"))).withColumn("lang", F.when(F.col("doc_id") == 9, "xx"))
     for name in ("weight", "sampled", "copies", "topic", "tokens", "id", "source_class"):
