@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import best_fit_count
 from llm_fixtures import none, odd, sf  # noqa: F401
@@ -12,9 +13,10 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oracle import differences, duck
-from vectable.llm.mixing import fit_topics, mix, reached, tempered
+from vectable.llm.mixing import _unit, _word_counts, fit_topics, mix, reached, tempered
 from vectable.llm.packing import CapacityTree, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
+from vectable.llm.rolling import slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -168,6 +170,36 @@ def test_topics_of_a_repeated_id(spark):
     assert fit_topics(texts.where("false")) is None and fit_topics(texts.withColumn("text", F.lit(" "))) is None
 
 
+def test_topics_are_learnt_from_all_documents(spark):
+    n, draw = 12_000, np.random.default_rng(5)
+    lists = [[f"{kind}{j}" for j in range(6)] for kind in "abc"]
+    rows = [(i, " ".join(draw.choice(lists[i % 100 % 3 if i % 100 else 2], 5)), "en" if i % 2 else "de") for i in range(n)]
+    rows.append((None, "single words of a row without an id", "en"))
+    texts = spark.createDataFrame(rows, "id long, text string, lang_class string")
+    model = fit_topics(texts, topics=3)
+    texts = next(slices(pa.array([text for _, text, _ in rows])))
+    counts = _word_counts(texts)[1]
+    assert np.allclose(model.weights, np.log((n + 2) / ((counts > 0).sum(0) + 1)))
+    apart = _unit(np.log1p(counts) * model.weights)
+    langs = np.array([lang for *_, lang in rows])
+    for lang in ("en", "de"):
+        apart[langs == lang] -= apart[langs == lang].mean(0)
+    topic = model.of(np.log1p(counts), langs.tolist())
+    assert (topic == (apart @ model.centres.T - (model.centres**2).sum(1) / 2).argmax(1)).mean() > 0.999
+    size = texts.words().counts
+    for k, centre in enumerate(model.centres):
+        own = topic == k
+        assert np.allclose(centre, (apart[own] * size[own, None]).sum(0) / size[own].sum(), atol=1e-3)
+
+
+def test_topics_of_texts_with_a_very_frequent_word(spark):
+    rows = [(i, "often " * (0, 3, 400)[i % 3] + f"w{i % 2}", "en") for i in range(60)]
+    model = fit_topics(spark.createDataFrame(rows, "id long, text string, lang_class string"))
+    apart = _unit(np.log1p(_word_counts(next(slices(pa.array([text for _, text, _ in rows]))))[1]) * model.weights)
+    near = ((apart - apart.mean(0))[:, None] - model.centres) ** 2
+    assert len(model.centres) == 6 and near.sum(2).min(1).max() < 1e-6
+
+
 def test_mixing_of_odd_rows(odd, none):
     spare = odd.withColumn("source", F.when(F.col("doc_id") != 6, F.col("source"))).withColumn("lang", F.when(F.col("doc_id") == 9, "xx"))
     for name in ("weight", "sampled", "copies", "topic", "tokens", "id", "source_class"):
