@@ -1,5 +1,6 @@
 """Packing, mixing, the stages and the registered queries."""
 
+import os
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from oracle import differences, duck
 from vectable.llm.mixing import _unit, _word_counts, fit_topics, mix, reached, tempered
-from vectable.llm.packing import CapacityTree, best_fit_plan, pack
+from vectable.llm.packing import CapacityTree, UnitEncoder, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
 from vectable.llm.rolling import slices
 
@@ -53,6 +54,23 @@ def test_packing_of_odd_texts(odd, capacity):
     check_packing(found, capacity)
 
 
+def test_units_are_encoded_in_bounded_runs_by_one_thread(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    encoder, runs = UnitEncoder(PATH), []
+    plain = encoder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, units, **options):
+            runs.append(len(units))
+            return plain.encode_batch_fast(units, **options)
+
+    encoder.tokenizer = Counting()
+    text = " ".join(f"w{i}" for i in range(10_000))
+    [ids] = encoder.encode(next(slices(pa.array([text]))))
+    assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert sum(runs) == 10_000 and max(runs) <= 4096 and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
 def test_packing_of_documents(spark, sf, none):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = QUERIES["op2_best_fit_packing"](spark, sf).collect()

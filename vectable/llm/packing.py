@@ -11,6 +11,7 @@ pieces of each length, and a piece's length and number give its place in the pla
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,6 +25,7 @@ from vectable.llm.scratch import kept
 from vectable.llm.worker import kept_by_worker
 
 CACHED_UNITS = 1_000_000
+ENCODED_AT_ONCE = 4096  # units; the tokenizer's answers take a kilobyte each until they are plain ids
 
 
 class CapacityTree:
@@ -110,6 +112,7 @@ class UnitEncoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would keep memory of their own
         self.tokenizer = Tokenizer.from_file(path)
         self._clear()
 
@@ -122,15 +125,19 @@ class UnitEncoder:
     def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
         if len(self.hashes) + len(hashes) > CACHED_UNITS and len(self.hashes):
             self._clear()
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+        flat, lengths = [], []
+        for first in range(0, len(units), ENCODED_AT_ONCE):
+            some = units[first : first + ENCODED_AT_ONCE]
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+            flat.append(np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths[-1].sum())))
+        lengths = np.concatenate(lengths)
         starts = len(self.ids) + np.cumsum(lengths) - lengths
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)
         self.starts = np.insert(self.starts, at, starts)
         self.lengths = np.insert(self.lengths, at, lengths)
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, *flat])
 
     def encode(self, texts: Texts) -> list[np.ndarray]:
         lower = texts.lower_ascii()
