@@ -1,6 +1,7 @@
 """Quality rules, language identification, the rule ensemble, URL filters and HTML extraction."""
 
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -76,6 +77,16 @@ def test_language_of_odd_texts(odd, none, spark, sf):
     assert language_id.with_language(none, model).count() == 0
 
 
+def test_the_fit_of_a_whole_sample_holds_few_matrices():
+    shares = np.random.default_rng(0).random((language_id.SAMPLE, language_id.FEATURES), np.float32)
+    tracemalloc.start()
+    language_id.fit_bits(shares, np.arange(len(shares)) % 4, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    square = 8 * len(shares) ** 2
+    assert peak < 8 * shares.size + 2.5 * square  # the centred shares, the kernel and its inverse
+
+
 def test_every_language_is_learned(spark):
     rng = np.random.default_rng(0)
     words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)] for _ in range(70)]

@@ -86,7 +86,10 @@ def fit_bits(shares: np.ndarray, label: np.ndarray, languages: int) -> tuple[np.
     mean = shares.mean(0)
     centred = (shares - mean).astype(np.float64)
     middle = target.mean(0)
-    inverse = np.linalg.inv(centred @ centred.T + RIDGE * len(centred) * np.eye(len(centred)))
+    kernel = centred @ centred.T
+    kernel.flat[:: len(kernel) + 1] += RIDGE * len(kernel)
+    inverse = np.linalg.inv(kernel)
+    del kernel
     dual = inverse @ (target - middle)
     left_out = target - dual / np.diag(inverse)[:, None]
     right = np.mean(np.sign(left_out) == target, axis=0)
@@ -173,8 +176,11 @@ def fit_languages(
         packed = table.column("shares").to_pylist()
         label = table.column("label").to_numpy()
         order = sorted(range(len(packed)), key=lambda i: (label[i], packed[i]))
-        shares = np.frombuffer(b"".join(packed[i] for i in order), np.float16).reshape(-1, FEATURES)
-        parts = fit_bits(shares.astype(np.float32), label[order], known)
+        shares = np.empty((len(order), FEATURES), np.float32)
+        for row, i in enumerate(order):
+            shares[row] = np.frombuffer(packed[i], np.float16)
+        del packed
+        parts = fit_bits(shares, label[order], known)
         columns = [np.ascontiguousarray(p, np.float64).tobytes() for p in parts]
         return pa.table({"parts": pa.array([columns], pa.list_(pa.binary()))})
 
