@@ -18,6 +18,7 @@ from vectable.llm.mixing import _unit, _word_counts, fit_topics, mix, reached, t
 from vectable.llm.packing import CapacityTree, UnitEncoder, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
 from vectable.llm.rolling import slices
+from vectable.llm.worker import give_back
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -71,6 +72,19 @@ def test_units_are_encoded_in_bounded_runs_by_one_thread(monkeypatch):
     assert sum(runs) == 10_000 and max(runs) <= 4096 and os.environ["TOKENIZERS_PARALLELISM"] == "false"
 
 
+def test_a_worker_gives_freed_memory_back():
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) / 1024
+
+    blocks = [bytes(1000) for _ in range(200_000)]
+    last = bytes(1000)  # what lies behind them stays
+    full = held()
+    del blocks
+    give_back()
+    assert last and held() < full - 150
+
+
 def test_packing_of_documents(spark, sf, none):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = QUERIES["op2_best_fit_packing"](spark, sf).collect()

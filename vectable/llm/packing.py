@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from vectable.llm.rolling import Texts, slices
 from vectable.llm.scratch import kept
-from vectable.llm.worker import kept_by_worker
+from vectable.llm.worker import give_back, kept_by_worker
 
 CACHED_UNITS = 1_000_000
 ENCODED_AT_ONCE = 4096  # units; the tokenizer's answers take a kilobyte each until they are plain ids
@@ -227,6 +227,7 @@ def token_pieces(
                     columns.append(pa.array(kept_ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     return docs.select(F.col(id_column), F.col(text_column)).mapInArrow(cut, schema)
 
