@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import LOWER
 from llm_fixtures import none, odd, sf  # noqa: F401
@@ -73,6 +75,35 @@ def test_every_phrase_is_counted(spark, max_words, bound):
     assert rows_of(found, 50) == ranked(mined(rows, max_words), 50)
 
 
+def test_rows_of_a_relation_are_short_and_cut_at_gaps_only():
+    """One row a document made batches of all words of 10,000 documents, however long they are."""
+    rng = np.random.default_rng(0)
+    at = np.cumsum(rng.choice([1, 1, 1, 1, 2], 5000)).astype(np.int32)
+    flow = np.arange(at[-1] + 2, at[-1] + 302, dtype=np.int32)  # a piece of 300 words
+    row = np.repeat([0, 1, 2, 3], [2000, 3000, 300, 1])
+    words = collocations.Occurrences(row, np.concatenate([at, flow, [7]]), rng.integers(0, 9, 5301))
+    found = collocations._as_batch(words, np.array([5, 6, 7, 8]))
+    sizes = [len(x) for x in found.column("at")]
+    assert sorted(sizes)[-1] == 300 and sorted(sizes)[-2] < 2 * collocations.ROW
+    assert len(sizes) <= 4 + 5301 / (collocations.ROW / 2)
+    (again, docs), = collocations._flat([found])
+    assert (docs[again.row] == np.array([5, 6, 7, 8])[row]).all()
+    assert (again.at == words.at).all() and (again.phrase == words.phrase).all()
+    for x, y in zip(again.merged()[1:], words.merged()[1:], strict=True):
+        assert (x == y).all()
+    nothing = collocations._as_batch(words.where(np.zeros(5301, bool)), docs)
+    assert nothing.num_rows == 0 and list(collocations._flat([nothing])) == []
+
+
+def test_counted_pairs_are_sent_in_small_batches():
+    phrase = pa.array([list(range(200_000))], pa.list_(pa.int64()))
+    at = pa.array([list(range(200_000))], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), at, phrase], ["doc", "at", "phrase"])
+    for run in (collocations._pairs_counted(0), collocations._merged_rows(0)):
+        sizes = [x.num_rows for x in run([batch])]
+        assert sum(sizes) == 199_999 and max(sizes) <= 1 << 16
+
+
 def test_odd_texts(spark, odd, none):
     rows = [(r.lang, r.text) for r in odd.collect()]
     assert rows_of(phrases(odd, min_count=2)) == ranked(mined(rows, min_count=2), 10**6)

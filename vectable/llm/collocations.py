@@ -6,8 +6,9 @@ of all phrases of k + 1 words whose first and last k words are frequent; they ar
 and a semi-join with the frequent groups leaves the relation of length k + 1. Every relation is
 written to the shared folder before it is extended.
 
-A relation has one row per document, with the sorted positions and phrases of its occurrences, so
-that no piece is ever split between tasks and the merge needs no shuffle. Counting pre-aggregates
+A relation has rows of about ``ROW`` occurrences of a document, with their sorted positions and phrases.
+A document is cut only where no two occurrences follow each other, so what meets is never split and the
+merge needs no shuffle, and Arrow's batches of rows stay small however long documents are. Counting pre-aggregates
 each batch and then shuffles phrases, never occurrences. The semi-join looks the frequent groups up
 in a broadcast table where their number is below ``BROADCAST_KEYS``, and is a shuffled join beyond.
 
@@ -31,12 +32,15 @@ from pyspark.sql import functions as F
 
 from vectable.llm.rolling import Texts, mix, slices
 from vectable.llm.scratch import kept
+from vectable.llm.worker import give_back
 
 UNKNOWN = "und"
 BREAKS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))  # fixed values: ends of pieces
 BETWEEN = BREAKS | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
 BROADCAST_KEYS = 1 << 20  # frequent groups that are looked up in every task; 24 bytes each
-AT_ONCE = 1 << 19  # occurrences that a task merges at once, and those of one more document
+AT_ONCE = 1 << 19  # occurrences that a task merges at once, and those of one more row
+ROW = 64  # occurrences in a row of a relation, and those that follow the last without a gap
+SENT = 1 << 16  # rows in a batch that a task returns
 SEEDS = 8
 BUCKETS = 64
 
@@ -125,6 +129,7 @@ def _vocabulary(seed: int):
             yield pa.RecordBatch.from_arrays(
                 [own, spelled, pa.array(phrase), pa.array(n)], ["lang", "word", "phrase", "n"]
             )
+        give_back()
 
     return run
 
@@ -147,15 +152,27 @@ def _lookup(table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Keep:
 
 
 def _as_batch(found: Occurrences, docs: np.ndarray) -> pa.RecordBatch:
-    """The documents that have occurrences, with lists of them."""
-    row, first = np.unique(found.row, return_index=True)
-    bounds = pa.array(np.append(first, len(found.row)), pa.int32())
+    """The documents that have occurrences, with lists of them: rows of about ``ROW``, cut where a gap is."""
+    n = len(found.at)
+    other, gap = np.ones(n, bool), np.ones(n, bool)
+    other[1:] = found.row[1:] != found.row[:-1]
+    gap[1:] = other[1:] | (found.at[1:] != found.at[:-1] + 1)
+    block = np.maximum.accumulate(np.where(gap, np.arange(n), 0)) // ROW
+    other[1:] |= block[1:] != block[:-1]
+    first = np.flatnonzero(other)
+    bounds = pa.array(np.append(first, n), pa.int32())
     lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (found.at.astype(np.int32), found.phrase)]
-    return pa.RecordBatch.from_arrays([pa.array(docs[row]), *lists], ["doc", "at", "phrase"])
+    return pa.RecordBatch.from_arrays([pa.array(docs[found.row[first]]), *lists], ["doc", "at", "phrase"])
+
+
+def _sent(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns in batches of ``SENT`` rows: Spark holds each outside its heap."""
+    for low in range(0, len(columns[0]), SENT):
+        yield pa.RecordBatch.from_arrays([pa.array(x[low : low + SENT]) for x in columns], names)
 
 
 def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Occurrences, np.ndarray]]:
-    """The relation in runs of whole documents of about ``AT_ONCE`` occurrences, with the documents' numbers."""
+    """The relation in runs of whole rows of about ``AT_ONCE`` occurrences, with the numbers of the rows' documents."""
     for batch in batches:
         sizes = pc.list_value_length(batch.column("at")).to_numpy(zero_copy_only=False)
         run = np.cumsum(sizes) // AT_ONCE
@@ -178,6 +195,7 @@ def _words(seed: int, table) -> Callable:
             docs = doc + np.arange(len(texts))
             doc += len(texts)
             yield _as_batch(words.where(keep(words.phrase, None, None)) if keep else words, docs)
+        give_back()
 
     return run
 
@@ -195,8 +213,8 @@ def _pairs_counted(seed: int) -> Callable:
             new[1:] = (name[1:] != name[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
             start = np.flatnonzero(new)
             n = np.diff(np.append(start, len(name)))
-            columns = [pa.array(x) for x in (name[start], left[start], right[start], n)]
-            yield pa.RecordBatch.from_arrays(columns, ["phrase", "left", "right", "n"])
+            yield from _sent([name[start], left[start], right[start], n], ["phrase", "left", "right", "n"])
+        give_back()
 
     return run
 
@@ -210,6 +228,7 @@ def _extended(seed: int, table) -> Callable:
             longer, left, right = found.merged()
             longer.phrase = phrase_name(left, right, seed)
             yield _as_batch(longer.where(keep(longer.phrase, left, right)), docs)
+        give_back()
 
     return run
 
@@ -221,7 +240,8 @@ def _merged_rows(seed: int) -> Callable:
         for found, docs in _flat(batches):
             longer, left, right = found.merged()
             columns = [docs[longer.row], longer.at, phrase_name(left, right, seed), left, right]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "at", "phrase", "left", "right"])
+            yield from _sent(columns, ["doc", "at", "phrase", "left", "right"])
+        give_back()
 
     return run
 
