@@ -9,7 +9,7 @@ from brute import base_counts, mined_rules, url_tokens
 from llm_fixtures import none, odd, sf  # noqa: F401
 from pyspark.sql import functions as F
 
-from vectable.llm import html_extraction, language_id, quality_rules, rule_classifier, url_filter
+from vectable.llm import html_extraction, language_id, mixing, quality_rules, rule_classifier, url_filter
 from vectable.llm.queries import QUERIES, URL_RULES
 from vectable.llm.trees import fit_trees, log_odds
 
@@ -87,6 +87,45 @@ def test_the_fit_of_a_whole_sample_holds_few_matrices():
     assert peak < 8 * shares.size + 2.5 * square  # the centred shares, the kernel and its inverse
 
 
+def test_kernel_is_inverted_in_its_own_place():
+    """Of 2,400 texts, inverting and centring took six matrices of their size at once."""
+    rng = np.random.default_rng(1)
+    for n in (1, language_id.BLOCK, language_id.BLOCK + 3, 700):
+        x = rng.random((n, 50))
+        kernel = x @ x.T + 0.1 * np.eye(n)
+        found = kernel.copy()
+        language_id._invert(found)
+        assert np.allclose(found @ kernel, np.eye(n), atol=1e-7)
+    shares = rng.random((language_id.SAMPLE, language_id.FEATURES), np.float32)
+    tracemalloc.start()
+    language_id.fit_bits(shares, np.arange(len(shares)) % 4, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_short_texts_are_worked_on_a_few_at_once(spark, monkeypatch):
+    """Slices of a megabyte held thousands of short texts, with a row of features each."""
+    plain = language_id.ngram_shares
+
+    def few(texts):
+        assert len(texts) <= 256
+        return plain(texts)
+
+    docs = spark.range(4000).selectExpr("id doc_id", "if(id % 2 = 0, 'this is it', 'das ist es') text", "if(id % 2 = 0, 'en', 'de') lang")
+    docs = docs.repartition(1)
+    monkeypatch.setattr(language_id, "ngram_shares", few)
+    model = language_id.fit_languages(docs, F.lit(True))
+    found = language_id.with_language(docs, model)
+    assert found.where("lang = lang_pred").count() == 4000
+
+    counts, sizes = mixing._word_counts, []
+    monkeypatch.setattr(mixing, "_word_counts", lambda texts: (sizes.append(len(texts)), counts(texts))[1])
+    rows = docs.selectExpr("doc_id id", "xxhash64(text) h", "lang lang_class", "text").toArrow().combine_chunks()
+    assert sum(x.num_rows for x in mixing._counts_of(rows.to_batches())) == 4000
+    assert sum(sizes) == 4000 and max(sizes) <= mixing.BLOCK
+
+
 def test_every_language_is_learned(spark):
     rng = np.random.default_rng(0)
     words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)] for _ in range(70)]

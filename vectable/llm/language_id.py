@@ -20,12 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectable.llm.rolling import Texts, slices
+from vectable.llm.worker import give_back
 
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 SAMPLE = 2400  # texts that the classifiers are fitted on, all languages together
 LEAST_TEXTS = 5  # labelled texts of a language that is learnt
 BUCKETS = 64  # a language's texts are ranked by buckets first, so no task ranks all of them
+AT_ONCE = 256  # texts whose n-grams are counted at once, 32 kilobytes each
+BLOCK = 256  # rows of the kernel, and features, that are worked on at once
 RIDGE = 3e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
@@ -79,22 +82,45 @@ class LanguageModel:
         return self.languages, self.code, self.bit_weight, self.weights, self.bias
 
 
+def _invert(a: np.ndarray) -> None:
+    """A positive definite matrix becomes its inverse, in its own place: Gauss-Jordan elimination by blocks."""
+    blocks = [slice(low, min(low + BLOCK, len(a))) for low in range(0, len(a), BLOCK)]
+    for pivot in blocks:
+        own = np.linalg.inv(a[pivot, pivot])
+        across = own @ a[pivot]
+        for rows in blocks:
+            if rows != pivot:
+                down = a[rows, pivot].copy()
+                a[rows] -= down @ across
+                a[rows, pivot] = -down @ own
+        a[pivot] = across
+        a[pivot, pivot] = own
+
+
 def fit_bits(shares: np.ndarray, label: np.ndarray, languages: int) -> tuple[np.ndarray, ...]:
     """Code, bit weights, and the ridge solutions of all bits with their left-out errors."""
     code = codewords(languages)
     target = code[label]
     mean = shares.mean(0)
-    centred = (shares - mean).astype(np.float64)
     middle = target.mean(0)
-    kernel = centred @ centred.T
+    blocks = [slice(low, low + BLOCK) for low in range(0, shares.shape[1], BLOCK)]
+
+    def centred(features: slice) -> np.ndarray:
+        return (shares[:, features] - mean[features]).astype(np.float64)
+
+    kernel = np.zeros((len(shares), len(shares)))
+    for features in blocks:
+        part = centred(features)
+        for low in range(0, len(part), BLOCK):
+            kernel[low : low + BLOCK] += part[low : low + BLOCK] @ part.T
     kernel.flat[:: len(kernel) + 1] += RIDGE * len(kernel)
-    inverse = np.linalg.inv(kernel)
+    _invert(kernel)
+    dual = kernel @ (target - middle)
+    left_out = target - dual / np.diag(kernel)[:, None]
     del kernel
-    dual = inverse @ (target - middle)
-    left_out = target - dual / np.diag(inverse)[:, None]
     right = np.mean(np.sign(left_out) == target, axis=0)
     weight = np.maximum(2 * right - 1, 0.01)
-    weights = centred.T @ dual
+    weights = np.concatenate([centred(features).T @ dual for features in blocks])
     return code, weight / weight.sum(), weights, middle - mean @ weights
 
 
@@ -164,11 +190,12 @@ def fit_languages(
 
     def shares_of(batches):
         for batch in batches:
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), rows=AT_ONCE):
                 found = ngram_shares(part).astype(np.float16)
                 label = batch.column(1).slice(part.first_row, len(part))
                 packed = pa.array([x.tobytes() for x in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([packed, label.cast(pa.int64())], ["shares", "label"])
+        give_back()
 
     known = len(languages)
 
@@ -181,6 +208,8 @@ def fit_languages(
             shares[row] = np.frombuffer(packed[i], np.float16)
         del packed
         parts = fit_bits(shares, label[order], known)
+        del shares
+        give_back()
         columns = [np.ascontiguousarray(p, np.float64).tobytes() for p in parts]
         return pa.table({"parts": pa.array([columns], pa.list_(pa.binary()))})
 
@@ -214,7 +243,7 @@ def with_language(
     def judge(column: pa.Array) -> pa.Array:
         languages = parts.value[0]
         names, scores, nexts = [], [], []
-        for texts in slices(column):
+        for texts in slices(column, rows=AT_ONCE):
             known = _has_letter(texts) & bool(languages)
             name = np.full(len(texts), UNDETERMINED, object)
             top, second = np.zeros(len(texts)), np.zeros(len(texts))
