@@ -1,8 +1,10 @@
 """Line dedup, the Jaccard join and the vector join against plain versions."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import jaccard_classes, line_dedup, similar_vectors
 from llm_fixtures import none, odd  # noqa: F401
@@ -103,6 +105,63 @@ def test_jaccard_of_families(spark, monkeypatch, small):
     assert sorted(stay) == sorted(i for i, _, c in expected if i == c)
 
 
+def test_jaccard_in_small_buckets_and_batches(spark, monkeypatch):
+    """Families whose lists, pairs and texts are worked on a few at once."""
+    small = {"LISTED_AT_ONCE": 900, "TOKENS_IN_BUCKET": 500, "TOKENS_IN_BATCH": 40, "PAIRS_AT_ONCE": 60, "TEXT_AT_ONCE": 700}
+    for name, value in (small | {"SHORT_LIST": 4, "TOKENS_AT_ONCE": 3000}).items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(11)
+    texts = [text for change in (0.0, 0.01, 0.04) for text in family(rng, 30, 70, change)]
+    texts += [" ".join(f"t{rng.randint(0, 10**6)}" for _ in range(50)) for _ in range(20)] + [None, "", "a"]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard_join.similar_classes(df).collect()
+    assert some((r.doc_id, r.n_shingles, r.component_id) for r in found) == some(jaccard_classes(rows))
+
+
+def test_tokens_seen_often():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 50, 1000):
+        tokens = rng.integers(0, 1 + n // 3, n).astype(np.uint64)
+        values, counts = np.unique(tokens, return_counts=True)
+        often = counts >= jaccard_join.MIN_SEEN
+        found, seen = jaccard_join._often(tokens)
+        assert found.tolist() == values[often].tolist() and seen.tolist() == counts[often].tolist()
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        found = work()
+        return found, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_first_tokens_do_not_hold_their_sets():
+    order = jaccard_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    prefix, _ = order.first(np.arange(1000, dtype=np.uint64), 75)
+    assert len(prefix) < 300 and prefix.base is None
+
+
+def test_lists_are_sent_a_few_at_once():
+    tokens = np.arange(200_000, dtype=np.uint64)
+    sent = list(jaccard_join._packed([(tokens, 5, 5, len(tokens), 0)], 400, False))
+    assert len(sent) > 1 and max(batch.nbytes for batch in sent) < 3e6
+    assert sum(len(x) for batch in sent for x in batch.column("token").to_pylist()) == 8 * len(tokens)
+
+
+def test_pairs_of_a_bucket_are_summed_as_they_are_found():
+    """Half a million entries in lists of sixteen show 3.75 million pairs of the same 16 documents."""
+    lists = 500_000 // jaccard_join.SHORT_LIST
+    held = [(np.arange(lists, dtype=np.uint64), k, k, lists, 0) for k in range(jaccard_join.SHORT_LIST)]
+    table = pa.Table.from_batches(list(jaccard_join._packed(held, 1, False)))
+    found, peak = peak_mb(lambda: jaccard_join._stars(75)(table))
+    assert set(found.column("shared").to_pylist()) == {lists} and found.num_rows == 16 * 15 // 2
+    assert peak < 200
+
+
 def vectors_of(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
 

@@ -36,9 +36,15 @@ from pyspark.sql import functions as F
 from vectable.llm.components import components
 from vectable.llm.rolling import mix, shingle_sets, slices
 from vectable.llm.scratch import kept
+from vectable.llm.worker import give_back
 
 FREQUENT_TOKENS = 400_000  # length of the list of frequent tokens that orders the rest
-TOKENS_AT_ONCE = 4_000_000  # tokens that a task holds before it counts or lists them
+TOKENS_AT_ONCE = 4_000_000  # tokens that a task holds before it counts them
+LISTED_AT_ONCE = 250_000  # first tokens that a task holds before it lists them
+TOKENS_IN_BUCKET = 500_000  # first tokens whose lists are worked on at once
+TOKENS_IN_BATCH = 50_000  # first tokens that are sent at once
+TEXT_AT_ONCE = 1 << 18  # bytes of texts that are made shingles at once
+PAIRS_AT_ONCE = 500_000  # pairs that a task holds before it sums them up
 TOKENS_IN_GROUP = 100_000  # tokens of the documents of one group
 MIN_SEEN = 2  # times that a task sees a token before it may count as frequent
 SHORT_LIST = 16  # holders of a token up to which all their pairs are counted
@@ -82,7 +88,18 @@ class Order:
         need = -(-percent * len(tokens) // 100)
         places = self.places(tokens)
         ordered = tokens[np.argsort(places, kind="stable")]  # the rare ones are sorted by value
-        return ordered[: len(tokens) - need + shared_needed(len(tokens))], int(255 * (places >= 0).mean())
+        prefix = ordered[: len(tokens) - need + shared_needed(len(tokens))].copy()  # a view would hold the whole set
+        return prefix, int(255 * (places >= 0).mean())
+
+
+def _often(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those there ``MIN_SEEN`` times or more, and how often; ``tokens`` are sorted in their own place."""
+    tokens.sort()
+    again = np.zeros(max(len(tokens) - MIN_SEEN + 1, 0) + 2, bool)  # with a False at both ends
+    again[1:-1] = tokens[MIN_SEEN - 1 :] == tokens[: len(again) - 2]
+    first = np.flatnonzero(again[1:] & ~again[:-1])
+    end = np.flatnonzero(again[:-1] & ~again[1:])
+    return tokens[first], end - first + MIN_SEEN - 1
 
 
 def _signatures(words: int):
@@ -92,9 +109,11 @@ def _signatures(words: int):
         held, known, size = [], set(), 0
 
         def again() -> pa.RecordBatch | None:
-            tokens, seen = np.unique(np.concatenate(held), return_counts=True)
-            often = seen >= MIN_SEEN
-            return _batch(None, None, None, tokens[often].view(np.int64), seen[often])
+            tokens = np.concatenate(held)
+            held.clear()
+            known.clear()
+            tokens, seen = _often(tokens)
+            return _batch(None, None, None, tokens.view(np.int64), seen)
 
         def _batch(doc, node, n, token, seen):
             rows = len(token) if doc is None else len(doc)
@@ -107,7 +126,7 @@ def _signatures(words: int):
         for batch in batches:
             kind = batch.column(0).type
             nodes, sizes = [], []
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), TEXT_AT_ONCE):
                 for tokens in shingle_sets(texts, words):
                     nodes.append(_node(tokens))
                     sizes.append(len(tokens))
@@ -117,10 +136,11 @@ def _signatures(words: int):
                         size += len(tokens)
                 if size >= TOKENS_AT_ONCE:
                     yield again()
-                    held, known, size = [], set(), 0
+                    size = 0
             yield _batch(batch.column(0), nodes, sizes, None, None)
         if size:
             yield again()
+        give_back()
 
     return run
 
@@ -134,7 +154,7 @@ def _postings(words: int, percent: int, order, buckets: int):
         size = 0
         for batch in batches:
             known = batch.num_columns > 1
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), TEXT_AT_ONCE):
                 for i, tokens in enumerate(shingle_sets(texts, words)):
                     if not len(tokens):
                         continue
@@ -146,11 +166,12 @@ def _postings(words: int, percent: int, order, buckets: int):
                         group, root = batch.column(1)[row].as_py(), batch.column(2)[row].as_py()
                     held.append((prefix, group, root, len(tokens), hub))
                     size += len(prefix)
-                if size >= TOKENS_AT_ONCE:
+                if size >= LISTED_AT_ONCE:
                     yield from _packed(held, buckets, known)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from _packed(held, buckets, known)
+        give_back()
 
     return run
 
@@ -161,7 +182,7 @@ PACKED = "bucket int, " + ", ".join(f"{f} binary" for f in FIELDS)
 
 
 def _packed(held, buckets: int, known: bool) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: its tokens with their groups, each (token, group) once.
+    """One row per bucket: its tokens with their groups, each (token, group) once. ``held`` is emptied.
 
     Where groups aren't known yet, a list of many holders is left to its hub, marked by
     ``high > low``; all of them get a list under a token made up for this task and hub, and have
@@ -176,6 +197,7 @@ def _packed(held, buckets: int, known: bool) -> Iterator[pa.RecordBatch]:
         "hub": np.repeat(np.array([x[4] for x in held], np.uint8), repeat),
     }
     entries["high"] = entries["low"]
+    held.clear()
     entries = _collapsed(entries)
     if not known:
         entries = _left_to_hubs(entries)
@@ -183,11 +205,16 @@ def _packed(held, buckets: int, known: bool) -> Iterator[pa.RecordBatch]:
     by = np.argsort(bucket, kind="stable")
     numbers, starts = np.unique(bucket[by], return_index=True)
     ends = np.append(starts[1:], len(by))
-    columns = [pa.array(numbers, pa.int32())]
-    for f in FIELDS:
-        values = entries[f][by].astype(TYPES[f])
-        columns.append(pa.array([_binary(values[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()))
-    yield pa.RecordBatch.from_arrays(columns, ["bucket", *FIELDS])
+    row = 0
+    while row < len(numbers):
+        end = max(int(np.searchsorted(ends, starts[row] + TOKENS_IN_BATCH, side="right")), row + 1)
+        columns = [pa.array(numbers[row:end], pa.int32())]
+        for f in FIELDS:
+            values = entries[f][by[starts[row] : ends[end - 1]]].astype(TYPES[f])
+            cuts = zip(starts[row:end] - starts[row], ends[row:end] - starts[row], strict=True)
+            columns.append(pa.array([_binary(values[a:b]) for a, b in cuts], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", *FIELDS])
+        row = end
 
 
 def _collapsed(entries: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -241,7 +268,7 @@ def _hubs(entries: dict[str, np.ndarray], rows: np.ndarray, lists: np.ndarray, c
 def _lists(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """The bucket's entries of tokens with two groups or more, and where each list begins and ends."""
     entries = {
-        f: np.concatenate([np.frombuffer(x, TYPES[f]) for x in table.column(f).to_pylist()]) for f in FIELDS
+        f: np.concatenate([np.frombuffer(x.as_buffer(), TYPES[f]) for x in table.column(f)]) for f in FIELDS
     }
     entries = _collapsed(entries)
     token = entries["token"]
@@ -287,42 +314,45 @@ def _stars(percent: int):
     def run(table: pa.Table) -> pa.Table:
         entries, starts, ends = _lists(table)
         counts = ends - starts
-        node, n, hub_share = entries["node"], entries["low"].astype(np.int64), entries["hub"].astype(np.int64)
+        node, n, hub_share = entries["node"], entries["low"].astype(np.int64), entries["hub"]
         marked = (entries["high"] > entries["low"]) | (entries["root"] != entries["node"])
         sums = np.append(0, np.cumsum(marked))
         long = (counts > SHORT_LIST) | (sums[ends] > sums[starts])
-        hubs, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        found = _Pairs(5)
+
+        def show(hub: np.ndarray, member: np.ndarray) -> None:
+            fits = (hub != member) & (
+                100 * np.minimum(n[hub], n[member]) >= percent * np.maximum(n[hub], n[member])
+            )
+            hub, member = hub[fits], member[fits]
+            found.add(node[hub], node[member], np.ones(len(hub), np.int64), n[hub], n[member])
+
         for left, right in _pairs_within(starts[~long], counts[~long]):
             first = (hub_share[left] > hub_share[right]) | (
                 (hub_share[left] == hub_share[right]) & (node[left] < node[right])
             )
-            hubs.append(np.where(first, left, right))
-            members.append(np.where(first, right, left))
+            show(np.where(first, left, right), np.where(first, right, left))
         rows = _ragged(starts[long], counts[long])
         lists = np.repeat(np.arange(int(long.sum())), counts[long])
         near = np.repeat(_hubs(entries, rows, lists, counts[long]), counts[long])
-        hubs.append(near)
-        members.append(rows)
-        hub, member = np.concatenate(hubs), np.concatenate(members)
-        fits = (hub != member) & (
-            100 * np.minimum(n[hub], n[member]) >= percent * np.maximum(n[hub], n[member])
-        )
-        hub, member = hub[fits], member[fits]
-        at, shared = _distinct(node[hub], node[member])
-        hub, member = hub[at], member[at]
+        show(near, rows)
+        hub, member, shared, hub_n, member_n = found.summed().T
         first = _distinct(node[rows])[0]
         alone, near = rows[first], near[first]
         none = pa.nulls(len(alone), pa.int64())
-        return pa.table(
+        pairs = pa.table(
             {
-                "node": pa.array(np.concatenate([node[member], node[alone]])),
-                "n": pa.array(np.concatenate([n[member], n[alone]])),
-                "hub": pa.chunked_array([pa.array(node[hub], pa.int64()), none]),
-                "hub_n": pa.chunked_array([pa.array(n[hub], pa.int64()), none]),
+                "node": pa.array(np.concatenate([member, node[alone]])),
+                "n": pa.array(np.concatenate([member_n, n[alone]])),
+                "hub": pa.chunked_array([pa.array(hub, pa.int64()), none]),
+                "hub_n": pa.chunked_array([pa.array(hub_n, pa.int64()), none]),
                 "shared": pa.array(np.concatenate([shared, np.zeros(len(alone), np.int64)])),
                 "near": pa.chunked_array([pa.nulls(len(hub), pa.int64()), pa.array(node[near], pa.int64())]),
             }
         )
+        del found, hub, member, shared, hub_n, member_n, entries, node, n
+        give_back()
+        return pairs
 
     return run
 
@@ -334,29 +364,50 @@ def _group_pairs(percent: int):
     def run(table: pa.Table) -> pa.Table:
         entries, starts, ends = _lists(table)
         low, high = entries["low"].astype(np.int64), entries["high"].astype(np.int64)
-        found, held = [np.zeros((0, 4), np.int64)], 0
+        found = _Pairs(4)
         for left, right in _pairs_within(starts, ends - starts):
             fits = (100 * high[right] >= percent * low[left]) & (100 * high[left] >= percent * low[right])
             fits &= entries["root"][left] != entries["root"][right]
             left, right = left[fits], right[fits]
             nodes = entries["node"][left], entries["node"][right]  # in order of node within a list
-            found.append(np.stack([*nodes, np.ones(len(left), np.int64), np.minimum(low[left], low[right])], 1))
-            held += len(left)
-            if held > 1_000_000:
-                found, held = [_summed_pairs(np.concatenate(found))], 0
-        pairs = _summed_pairs(np.concatenate(found))
-        return pa.table({f: pa.array(pairs[:, i]) for i, f in enumerate(("left", "right", "shared", "least"))})
+            found.add(*nodes, np.ones(len(left), np.int64), np.minimum(low[left], low[right]))
+        pairs = pa.table({f: pa.array(x) for f, x in zip(("left", "right", "shared", "least"), found.summed().T, strict=True)})
+        del found, entries, low, high
+        give_back()
+        return pairs
 
     return run
 
 
+class _Pairs:
+    """Rows of two names, a number to be added up and further ones of which the least counts, each pair once.
+
+    New rows are held until they are ``PAIRS_AT_ONCE``, or as many as the pairs already known.
+    """
+
+    def __init__(self, columns: int) -> None:
+        self.parts, self.held, self.known = [np.zeros((0, columns), np.int64)], 0, 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(np.stack(columns, 1))
+        self.held += len(columns[0])
+        if self.held > max(PAIRS_AT_ONCE, self.known):
+            self.summed()
+
+    def summed(self) -> np.ndarray:
+        pairs = np.concatenate(self.parts)
+        self.parts.clear()
+        pairs = _summed_pairs(pairs)
+        self.parts, self.held, self.known = [pairs], 0, len(pairs)
+        return pairs
+
+
 def _summed_pairs(pairs: np.ndarray) -> np.ndarray:
-    by = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[by]
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
     if not len(pairs):
         return pairs
     at = np.flatnonzero(np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(1)))
-    shared, least = np.add.reduceat(pairs[:, 2], at), np.minimum.reduceat(pairs[:, 3], at)
+    shared, least = np.add.reduceat(pairs[:, 2], at), np.minimum.reduceat(pairs[:, 3:], at)
     return np.column_stack([pairs[at, :2], shared, least])
 
 
@@ -372,7 +423,7 @@ def _compare(words: int, percent: int):
         roots = table.column("root").to_numpy()
         sets: tuple[dict, dict] = ({}, {})
         root_of: dict[int, int] = {}
-        for texts in slices(table.column("text")):
+        for texts in slices(table.column("text"), TEXT_AT_ONCE):
             for i, tokens in enumerate(shingle_sets(texts, words)):
                 row = texts.first_row + i
                 node = int(nodes[row])
@@ -442,9 +493,8 @@ def similar_classes(
     signatures = seen.where("node IS NOT NULL").select("doc", "node", "n")
     order = _order(spark, seen)
 
-    per_bucket = TOKENS_AT_ONCE // 2
     total = signatures.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1 + n DIV {TOKENS_PER_SHARED}"))).first()[0] or 0
-    buckets = max(1, int(-(-total // per_bucket)))
+    buckets = max(1, int(-(-total // TOKENS_IN_BUCKET)))
     lists = given.select("text").mapInArrow(_postings(words, percent, order, buckets), PACKED)
     pairs = (
         lists.groupBy("bucket")
