@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from vectable.llm import epsilon_join, jaccard_join
 from vectable.llm.components import components
 from vectable.llm.line_dedup import LineRuns, drop_repeated_lines, merge_runs, ordered_scans
+from vectable.llm.scratch import forget, kept
 
 
 def some(rows):
@@ -193,6 +195,41 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     assert as_rows(epsilon_join.similar_vectors(vectors_of(spark, rows))) == some(similar_vectors(rows))
 
 
+def test_blocks_are_not_shuffled_for_the_blocks_that_they_meet(spark, monkeypatch):
+    """Copies meet in one node over batches and tasks; floats stay floats."""
+    monkeypatch.setattr(epsilon_join, "BLOCK", 8)
+    plans = {}
+
+    def spied(df):
+        plans[tuple(df.columns)] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df)
+
+    monkeypatch.setattr(epsilon_join, "kept", spied)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, 6))
+    points = (centres[rng.integers(0, 5, 60)] + rng.normal(size=(60, 6)) * 0.1).astype(np.float32).astype(float)
+    points = np.vstack([points, points[:7].repeat(5, 0)])
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    few = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(few)
+    spark.conf.set(few, "3")
+    try:
+        found = as_rows(epsilon_join.similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+    finally:
+        spark.conf.set(few, before)
+    assert found == some(similar_vectors(rows))
+    assert "Exchange hashpartitioning" not in plans["node", "links", "other"]
+    assert "Exchange rangepartitioning" in plans["block", "low", "high", "nodes", "copies", "vectors"]
+
+
+def test_scratch_tables_can_be_forgotten(spark):
+    table = kept(spark.range(3).groupBy("id").count())
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists()
+    forget(table)
+    assert not folder.exists()
+
+
 def test_vectors_of_several_lengths(spark):
     rng = np.random.default_rng(5)
     rows = []

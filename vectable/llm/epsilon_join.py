@@ -6,7 +6,11 @@ principal directions, put into grid cells of side epsilon, and sorted by cell, d
 dimension: the epsilon grid order. The sorted sequence is cut into blocks; pairs of blocks whose
 boxes are farther apart than epsilon are never opened, and a pair that is opened is joined by
 halving its two intervals, skipping the provably distant halves. What is left is compared in
-double precision.
+single precision, and in double precision where the error of that could matter.
+
+Vectors are shuffled once, to be sorted. Pairs of blocks are opened by the tasks that read them: a
+Cartesian product of the blocks' files with the boxes as its condition, so no block is written or shuffled
+again for each block that it meets. Vectors stay as wide as the table has them.
 
 Equal vectors are one node, and a task returns counts of links and a spanning forest of them, so
 a dense group costs comparisons but never rows.
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 
 from vectable.llm.components import components
 from vectable.llm.rolling import mix
-from vectable.llm.scratch import kept
+from vectable.llm.scratch import forget, kept
 
 DIRECTIONS = 6  # leading principal directions of the grid
 BLOCK = 2048  # vectors of a block
+BLOCK_BYTES = 1 << 20  # and their size, or one vector's
 LEAF = 256  # vectors of an interval that is compared without halving
+STEPS = 1 << 24  # a unit: components are rounded to its parts for the grid, so sums don't depend on their order
 LINKS = "node long, links long, other long"
 
 
@@ -48,50 +54,56 @@ def _node_names(rows: np.ndarray) -> np.ndarray:
     return mix(mix(rows.view(np.uint64) + mix(spots)).sum(1, dtype=np.uint64)).view(np.int64)
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _nodes(kind: type):
     """``(vec_id, node, dim, vector)``; node, dim and vector are null where nothing can link.
 
     Linked are vectors that aren't null or zero and whose components are all there and finite.
     """
-    for batch in batches:
-        nodes, dims = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int32)
-        packed = np.full(batch.num_rows, None, object)
-        for places, rows in _matrices(batch.column(1)):
-            sound = np.isfinite(rows).all(1) & rows.any(1)
-            places, rows = places[sound], rows[sound] + 0.0  # -0 is 0
-            nodes[places], dims[places] = _node_names(rows), rows.shape[1]
-            packed[places] = rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel().tolist()
-        none = dims == 0
-        columns = [pa.array(nodes, mask=none), pa.array(dims, mask=none), pa.array(packed, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["vec_id", "node", "dim", "vector"])
-
-
-def _unit(column: pa.Array) -> np.ndarray:
-    """Packed vectors of one length as a matrix of unit rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, dims = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int32)
+            packed = np.full(batch.num_rows, None, object)
+            for places, rows in _matrices(batch.column(1)):
+                sound = np.isfinite(rows).all(1) & rows.any(1)
+                places, rows = places[sound], rows[sound] + 0.0  # -0 is 0
+                nodes[places], dims[places] = _node_names(rows), rows.shape[1]
+                rows = rows.astype(kind)
+                packed[places] = rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel().tolist()
+            none = dims == 0
+            columns = [pa.array(nodes, mask=none), pa.array(dims, mask=none), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["vec_id", "node", "dim", "vector"])
+
+    return run
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Packed vectors of one length, a row each."""
     width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
     ends = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1]
-    return _scaled(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float64), len(column))
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(column), -1)
 
 
-def _scaled(components: np.ndarray, n: int) -> np.ndarray:
-    rows = components.reshape(n, -1)
+def _unit(packed: np.ndarray, kind: type) -> np.ndarray:
+    """Packed vectors as a matrix of unit rows."""
+    rows = packed.view(kind).astype(np.float64)
     rows = rows / np.abs(rows).max(1, keepdims=True)  # squares neither overflow nor vanish
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def principal_directions(nodes: DataFrame, dim: int) -> np.ndarray:
-    """The leading directions of all distinct unit vectors, ``dim`` by at most ``DIRECTIONS``."""
+def principal_directions(vectors: DataFrame, dim: int, kind: type) -> np.ndarray:
+    """The leading directions of all unit vectors, ``dim`` by at most ``DIRECTIONS``."""
 
     def moments(batches):
         total = np.zeros((dim + 1, dim))
         for batch in batches:
-            unit = _unit(batch.column(0))
+            unit = _unit(_bytes(batch.column(0)), kind)
             total[:-1] += unit.T @ unit
             total[-1] += unit.sum(0)
         numbers = pa.array(np.arange(total.size), pa.int32())
         yield pa.RecordBatch.from_arrays([numbers, pa.array(total.ravel())], ["spot", "total"])
 
-    sums = nodes.select("vector").mapInArrow(moments, "spot int, total double")
+    sums = vectors.select("vector").mapInArrow(moments, "spot int, total double")
     rows = sums.groupBy("spot").agg(F.sum("total").alias("total")).toArrow()
     total = np.zeros((dim + 1) * dim)
     total[rows.column("spot").to_numpy()] = rows.column("total").to_numpy()
@@ -108,22 +120,43 @@ def _gap(low_a, high_a, low_b, high_b) -> float:
     return float((apart**2).sum())
 
 
-def _join(a: np.ndarray, b: np.ndarray, spots_a, spots_b, cosine: float, reach: float, same: bool):
-    """Index pairs of linked rows. Projections ``spots`` decide which intervals are opened."""
+class _Side:
+    """Unit rows of a block in double and in single precision, and the boxes of its intervals."""
+
+    def __init__(self, unit: np.ndarray, spots: np.ndarray) -> None:
+        self.unit, self.spots = unit, spots
+        self.single = unit.astype(np.float32)
+        self.boxes: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def box(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        if (low, high) not in self.boxes:
+            part = self.spots[low:high]
+            self.boxes[low, high] = part.min(0), part.max(0)
+        return self.boxes[low, high]
+
+
+def _join(a: _Side, b: _Side, cosine: float, reach: float, same: bool):
+    """Index pairs of linked rows. Projections decide which intervals are opened."""
     left, right = [np.zeros(0, int)], [np.zeros(0, int)]
-    todo = [(0, len(a), 0, len(b))]
+    margin = (a.unit.shape[1] + 8) * 2.0**-23  # more than single precision errs
+    todo = [(0, len(a.unit), 0, len(b.unit))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        pa_, pb_ = spots_a[a0:a1], spots_b[b0:b1]
-        if _gap(pa_.min(0), pa_.max(0), pb_.min(0), pb_.max(0)) > reach:
+        if _gap(*a.box(a0, a1), *b.box(b0, b1)) > reach:
             continue
         if max(a1 - a0, b1 - b0) <= LEAF:
-            i, j = np.nonzero(a[a0:a1] @ b[b0:b1].T >= cosine)
+            products = a.single[a0:a1] @ b.single[b0:b1].T
+            if products.max() < cosine - margin:
+                continue
+            i, j = np.nonzero(products >= cosine - margin)
+            linked = products[i, j] >= cosine + margin
             i, j = i + a0, j + b0
+            unsure = np.flatnonzero(~linked)
+            linked[unsure] = (a.unit[i[unsure]] * b.unit[j[unsure]]).sum(1) >= cosine
             if same:
-                i, j = i[i != j], j[i != j]
-            left.append(i)
-            right.append(j)
+                linked &= i != j
+            left.append(i[linked])
+            right.append(j[linked])
         elif a1 - a0 >= b1 - b0:
             middle = (a0 + a1) // 2
             todo += [(a0, middle, b0, b1), (middle, a1, b0, b1)]
@@ -146,112 +179,138 @@ def _forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         label = lowest
 
 
-def _blocks(directions):
-    """Sorted rows to blocks with their boxes; a block never spans two tasks."""
+def _blocks(directions, kind: type):
+    """Sorted rows to blocks with their boxes; a block never spans two tasks. Rows of a node become one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # nodes, copies, vectors
         size = 0
 
-        def out() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
-            spots = _unit(table.column("vector").combine_chunks()) @ directions.value
-            node = table.column("node").to_numpy()
+        def out(node: np.ndarray, copies: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
+            spots = _unit(packed, kind) @ directions.value
             columns = {
                 "block": pa.array([int(mix(node.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))]),
                 "low": pa.array([spots.min(0).tolist()]),
                 "high": pa.array([spots.max(0).tolist()]),
                 "nodes": pa.array([node.tobytes()], pa.binary()),
-                "copies": pa.array([table.column("copies").to_numpy().tobytes()], pa.binary()),
-                "vectors": pa.array([b"".join(table.column("vector").to_pylist())], pa.binary()),
+                "copies": pa.array([copies.tobytes()], pa.binary()),
+                "vectors": pa.array([packed.tobytes()], pa.binary()),
             }
             return pa.RecordBatch.from_pydict(columns)
 
         for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, BLOCK - size)
-                batch = batch.slice(part.num_rows)
-                held.append(part)
-                size += part.num_rows
-                if size == BLOCK:
-                    yield out()
-                    held, size = [], 0
+            if not batch.num_rows:
+                continue
+            node, copies = (batch.column(k).to_numpy() for k in (0, 1))
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            copies, packed = np.add.reduceat(copies, first), _bytes(batch.column(2))[first]
+            node = node[first]
+            if held and held[-1][0][-1] == node[0]:
+                held[-1][1][-1] += copies[0]
+                node, copies, packed = node[1:], copies[1:], packed[1:]
+            if not len(node):
+                continue
+            held.append((node, copies, packed))
+            size += len(node)
+            most = max(1, min(BLOCK, BLOCK_BYTES // packed.shape[1]))
+            if size > most:  # the last node may have more rows
+                whole = [np.concatenate(x) for x in zip(*held)]
+                low = 0
+                while size - low > most:
+                    yield out(*(x[low : low + most] for x in whole))
+                    low += most
+                held, size = [tuple(x[low:].copy() for x in whole)], size - low
         if size:
-            yield out()
+            yield out(*(np.concatenate(x) for x in zip(*held)))
 
     return run
 
 
-def _open(directions, cosine: float, reach: float, dim: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        first = next(r for r in rows if r["side"] == 0)
-        second = next((r for r in rows if r["side"] == 1), first)
-        same = second is first
-        vectors = [_scaled(np.frombuffer(r["vectors"]), len(r["vectors"]) // (8 * dim)) for r in (first, second)]
-        nodes = [np.frombuffer(r["nodes"], np.int64) for r in (first, second)]
-        copies = [np.frombuffer(r["copies"], np.int64) for r in (first, second)]
-        spots = [v @ directions.value for v in vectors]
-        left, right = _join(*vectors, *spots, cosine, reach, same)
-        n = len(nodes[0])
-        if same:
-            names, links = nodes[0], np.bincount(left, weights=copies[0][right], minlength=n)
-        else:
-            names = np.concatenate(nodes)
-            links = np.concatenate(
-                [
-                    np.bincount(left, weights=copies[1][right], minlength=n),
-                    np.bincount(right, weights=copies[0][left], minlength=len(nodes[1])),
-                ]
-            )
-            right = right + n
-        label = _forest(left, right, len(names))
-        linked = np.flatnonzero(links)
-        return pa.table(
-            {
-                "node": pa.array(names[linked]),
-                "links": pa.array(links[linked].astype(np.int64)),
-                "other": pa.array(names[label[linked]]),
-            }
-        )
+def _open(directions, kind: type, cosine: float, reach: float):
+    """Pairs of blocks, a row each, to counts of links and forests."""
+
+    def side(row: dict, which: str) -> tuple[_Side, np.ndarray, np.ndarray]:
+        nodes, copies = (np.frombuffer(row[f"{which}_{c}"], np.int64) for c in ("nodes", "copies"))
+        unit = _unit(np.frombuffer(row[f"{which}_vectors"], np.uint8).reshape(len(nodes), -1), kind)
+        return _Side(unit, unit @ directions.value), nodes, copies
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, first = None, None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+                if row["x_block"] != last:
+                    last, first = row["x_block"], side(row, "x")
+                same = row["y_block"] == last
+                a, names, copies = first
+                b, other_names, other_copies = first if same else side(row, "y")
+                left, right = _join(a, b, cosine, reach, same)
+                if not len(left):
+                    continue
+                n = len(names)
+                links = np.bincount(left, weights=other_copies[right], minlength=n)
+                if not same:
+                    links = np.append(links, np.bincount(right, weights=copies[left], minlength=len(other_names)))
+                    names = np.append(names, other_names)
+                    right = right + n
+                label = _forest(left, right, len(names))
+                linked = np.flatnonzero(links)
+                columns = [names[linked], links[linked].astype(np.int64), names[label[linked]]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["node", "links", "other"])
 
     return run
 
 
-def _linked(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
+def _near(width: int, reach: float):
+    """Whether the boxes of blocks ``x`` and ``y`` are within reach; each pair once."""
+    gaps = [
+        F.pow(
+            F.greatest(
+                F.col("x_low")[i] - F.col("y_high")[i], F.col("y_low")[i] - F.col("x_high")[i], F.lit(0.0)
+            ),
+            2,
+        )
+        for i in range(width)
+    ]
+    return (F.col("x_block") <= F.col("y_block")) & (sum(gaps[1:], gaps[0]) <= reach)
+
+
+def _linked(rows: DataFrame, dim: int, kind: type, cosine: float) -> DataFrame:
     """``(node, links, other)`` of distinct vectors of length ``dim``: counts of links and a forest of them."""
-    spark = nodes.sparkSession
+    spark = rows.sparkSession
     reach = (2 - 2 * cosine) * (1 + 1e-9) + 1e-12
-    cell = float(np.sqrt(reach))
-    directions = spark.sparkContext.broadcast(principal_directions(nodes, dim))
+    directions = spark.sparkContext.broadcast(principal_directions(rows, dim, kind))
     width = directions.value.shape[1]
+    grid = [f"c{i}" for i in range(width)]
 
     def cells_of(batches):
+        whole = np.rint(directions.value * STEPS)
+        cell = float(np.sqrt(reach)) * STEPS * STEPS
         for batch in batches:
-            spots = np.floor(_unit(batch.column(2)) @ directions.value / cell).astype(np.int32)
-            cells = [pa.array(spots[:, i]) for i in range(width)]
-            names = [*batch.schema.names, *[f"c{i}" for i in range(width)]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cells], names)
+            node, first, copies = np.unique(batch.column(0).to_numpy(), return_index=True, return_counts=True)
+            vectors = batch.column(1).take(pa.array(first))
+            spots = np.rint(_unit(_bytes(vectors), kind) * STEPS) @ whole  # whole numbers, so equal rows meet
+            cells = [pa.array(c) for c in np.floor(spots / cell).astype(np.int32).T]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(copies), vectors, *cells], ["node", "copies", "vector", *grid])
 
-    grid = [f"c{i}" for i in range(width)]
     schema = "node long, copies long, vector binary, " + ", ".join(f"{c} int" for c in grid)
-    placed = nodes.select("node", "copies", "vector").mapInArrow(cells_of, schema)
+    placed = rows.select("node", "vector").mapInArrow(cells_of, schema)
     order = [*grid, "node"]  # the node splits a cell that holds very many
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     ordered = ordered.select("node", "copies", "vector")
     blocks = kept(
         ordered.mapInArrow(
-            _blocks(directions),
+            _blocks(directions, kind),
             "block long, low array<double>, high array<double>, nodes binary, copies binary, vectors binary",
         )
     )
-    pairs = kept(_near_blocks(blocks, cell, reach, width))
-    sides = pairs.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("block")).unionByName(
-        pairs.where("a <> b").select("a", "b", F.lit(1).alias("side"), F.col("b").alias("block"))
-    )
-    opened = sides.join(blocks.select("block", "nodes", "copies", "vectors"), "block")
-    return kept(opened.groupBy("a", "b").applyInArrow(_open(directions, cosine, reach, dim), LINKS))
+    x, y = (blocks.select([F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in ("x", "y"))
+    pairs = x.join(y, _near(width, reach))
+    content = [f"{side}_{c}" for side in ("x", "y") for c in ("block", "nodes", "copies", "vectors")]
+    found = kept(pairs.select(*content).mapInArrow(_open(directions, kind, cosine, reach), LINKS))
+    forget(blocks)
+    return found
 
 
 def similar_vectors(
@@ -267,20 +326,21 @@ def similar_vectors(
     Repeated ids are rows of their own. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    kind = dict(vectors.dtypes)[id_column]
+    types = dict(vectors.dtypes)
+    kind = np.float32 if types[vector_column] == "array<float>" else np.float64
     given = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
-    rows = kept(given.mapInArrow(_nodes, f"vec_id {kind}, node long, dim int, vector binary"))
-    sound = rows.where("dim IS NOT NULL").groupBy("dim", "node")
-    nodes = kept(sound.agg(F.count("*").alias("copies"), F.first("vector").alias("vector")))
+    whole = kept(given.mapInArrow(_nodes(kind), f"vec_id {types[id_column]}, node long, dim int, vector binary"))
+    rows = kept(whole.select("vec_id", "node"))
     found = kept(spark.createDataFrame([], LINKS))
-    for r in nodes.select("dim").distinct().orderBy("dim").collect():  # lengths are few
-        found = found.unionByName(_linked(nodes.where(F.col("dim") == r["dim"]), r["dim"], cosine))
+    sound = whole.where("dim IS NOT NULL")
+    for r in sound.select("dim").distinct().orderBy("dim").collect():  # lengths are few
+        found = found.unionByName(_linked(sound.where(F.col("dim") == r["dim"]), r["dim"], kind, cosine))
+    forget(whole)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.select("node", "other"), "node", "other")
-    copies = nodes.select("node", "copies")
+    copies = rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
     joined = (
-        rows.select("vec_id", "node")
-        .join(copies, "node", "left")
+        rows.join(copies, "node", "left")
         .join(links, "node", "left")
         .join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
@@ -294,31 +354,3 @@ def similar_vectors(
         component.alias("component_id"),
         component.eqNullSafe(F.col("vec_id")).alias("kept"),
     )
-
-
-def _near_blocks(blocks: DataFrame, cell: float, reach: float, width: int) -> DataFrame:
-    """Pairs ``(a, b)`` of blocks, ``a <= b``, whose boxes are within reach; found by grid cells."""
-    keys = min(width, 2)
-    boxes = blocks.select("block", "low", "high")
-
-    def spread(df: DataFrame, more: int, name: str) -> DataFrame:
-        out = df.select(F.struct("block", "low", "high").alias(name))
-        for i in range(keys):
-            first = F.floor(F.col(f"{name}.low")[i] / cell) - more
-            last = F.floor(F.col(f"{name}.high")[i] / cell) + more
-            out = out.withColumn(f"k{i}", F.explode(F.sequence(first, last)))
-        return out
-
-    on = [f"k{i}" for i in range(keys)]
-    met = spread(boxes, 0, "x").join(spread(boxes, 1, "y"), on)
-    gaps = [
-        F.pow(
-            F.greatest(
-                F.col("x.low")[i] - F.col("y.high")[i], F.col("y.low")[i] - F.col("x.high")[i], F.lit(0.0)
-            ),
-            2,
-        )
-        for i in range(width)
-    ]
-    near = met.where(sum(gaps[1:], gaps[0]) <= reach).where("x.block <= y.block")
-    return near.select(F.col("x.block").alias("a"), F.col("y.block").alias("b")).distinct()
