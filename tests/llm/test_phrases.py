@@ -13,6 +13,7 @@ from llm_fixtures import none, odd, sf  # noqa: F401
 from vectable.llm import collocations
 from vectable.llm.collocations import phrases, top_phrases
 from vectable.llm.queries import QUERIES
+from vectable.llm.scratch import kept
 
 
 def mined(rows, max_words=3, min_count=10, percent=50):
@@ -75,6 +76,43 @@ def test_every_phrase_is_counted(spark, max_words, bound):
     assert rows_of(found, 50) == ranked(mined(rows, max_words), 50)
 
 
+def test_occurrences_are_never_shuffled(spark, monkeypatch):
+    """Beyond the bound of the broadcast table every occurrence was shuffled twice."""
+    plans = []
+
+    def spied(df, *codec):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return kept(df, *codec)
+
+    monkeypatch.setattr(collocations, "kept", spied)
+    monkeypatch.setattr(collocations, "MARK", 15)  # 32,768 bits: some that no phrase of three set are met
+    rows = [("en", t) for t in texts(5, 60)]
+    found = phrases(spark.createDataFrame(rows, "lang string, text string"), max_words=3, broadcast_keys=0)
+    assert rows_of(found, 50) == ranked(mined(rows, 3), 50)
+    relations = [plan for columns, plan in plans if "at" in columns]
+    assert len(relations) == 2 and not any("Exchange" in plan for plan in relations)
+
+
+def test_phrases_that_share_a_name_get_another_seed(spark, monkeypatch):
+    plain, calls = collocations.phrase_name, []
+
+    def weak(left, right, seed):
+        calls.append(seed)
+        return plain(left, right, seed) & (-1 if seed else 3)
+
+    rows = [("en", "so it is " * 20), ("en", "but we are not " * 4)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    monkeypatch.setattr(collocations, "phrase_name", weak)
+    assert rows_of(phrases(df, broadcast_keys=0)) == ranked(mined(rows), 10**6)
+
+
+def test_name_and_first_part_give_the_last_part():
+    left, right = np.random.default_rng(1).integers(-(2**63), 2**63, (2, 1000))
+    for seed in (0, 5):
+        name = collocations.phrase_name(left, right, seed)
+        assert (collocations.last_part(name, left, seed) == right).all()
+
+
 def test_rows_of_a_relation_are_short_and_cut_at_gaps_only():
     """One row a document made batches of all words of 10,000 documents, however long they are."""
     rng = np.random.default_rng(0)

@@ -4,17 +4,20 @@ The relation of length k holds the occurrences of the frequent phrases of k word
 and position. Merging it with itself on the same piece and the next position gives the occurrences
 of all phrases of k + 1 words whose first and last k words are frequent; they are counted by group,
 and a semi-join with the frequent groups leaves the relation of length k + 1. Every relation is
-written to the shared folder before it is extended.
+written to the shared folder before it is extended, and deleted when the next one is there.
 
 A relation has rows of about ``ROW`` occurrences of a document, with their sorted positions and phrases.
 A document is cut only where no two occurrences follow each other, so what meets is never split and the
 merge needs no shuffle, and Arrow's batches of rows stay small however long documents are. Counting pre-aggregates
 each batch and then shuffles phrases, never occurrences. The semi-join looks the frequent groups up
-in a broadcast table where their number is below ``BROADCAST_KEYS``, and is a shuffled join beyond.
+in a broadcast table where their number is below ``BROADCAST_KEYS``, and in a bitmap of ``2 ** MARK`` bits
+beyond. Occurrences that the bitmap leaves in besides cost work, but count nothing: of a phrase of the next length
+that is frequent all parts are, and the others go when they are counted.
 
 A word is known by a 64-bit hash of its language and bytes, a longer phrase by its first and last
 parts. Whether two words of the corpus share a hash of a frequent one is checked, and so are the
-names of phrases; another seed is taken then, so counts are exact.
+names of all phrases counted, by their first parts, as name and first part give the last one; another
+seed is taken then, so counts are exact.
 """
 
 from __future__ import annotations
@@ -30,14 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vectable.llm.rolling import Texts, mix, slices
-from vectable.llm.scratch import kept
+from vectable.llm.rolling import Texts, mix, slices, unmix
+from vectable.llm.scratch import forget, kept
 from vectable.llm.worker import give_back
 
 UNKNOWN = "und"
 BREAKS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))  # fixed values: ends of pieces
 BETWEEN = BREAKS | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
 BROADCAST_KEYS = 1 << 20  # frequent groups that are looked up in every task; 24 bytes each
+MARK = 27  # bits of a name that are its place in the bitmap, which has 16 MB
+MARKS_IN_ROW = 15  # of these, the place in a row of it, fixed by Spark's bitmap functions
 AT_ONCE = 1 << 19  # occurrences that a task merges at once, and those of one more row
 ROW = 64  # occurrences in a row of a relation, and those that follow the last without a gap
 SENT = 1 << 16  # rows in a batch that a task returns
@@ -72,8 +77,16 @@ class Occurrences:
 
 def phrase_name(left: np.ndarray, right: np.ndarray, seed: int) -> np.ndarray:
     """The 64-bit name of the phrase with these first and last parts."""
-    x = mix(left.view(np.uint64) + np.uint64(2 * seed + 1))
-    return mix(x * np.uint64(0x9E3779B97F4A7C15) + right.view(np.uint64)).view(np.int64)
+    return mix(_first_part(left, seed) + right.view(np.uint64)).view(np.int64)
+
+
+def _first_part(left: np.ndarray, seed: int) -> np.ndarray:
+    return mix(left.view(np.uint64) + np.uint64(2 * seed + 1)) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def last_part(name: np.ndarray, left: np.ndarray, seed: int) -> np.ndarray:
+    """The last part of the phrase with this name and first part."""
+    return (unmix(name.view(np.uint64)) - _first_part(left, seed)).view(np.int64)
 
 
 def _language_keys(languages: list[str], seed: int) -> np.ndarray:
@@ -137,8 +150,10 @@ def _vocabulary(seed: int):
 Keep = Callable[[np.ndarray, np.ndarray | None, np.ndarray | None], np.ndarray]
 
 
-def _lookup(table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Keep:
-    """Which phrases are in a broadcast table of names (sorted) and of their parts."""
+def _lookup(table: tuple[np.ndarray, np.ndarray, np.ndarray] | np.ndarray) -> Keep:
+    """Which phrases are in a broadcast table of names (sorted) and of their parts, or have their bits in a bitmap."""
+    if isinstance(table, np.ndarray):
+        return lambda phrase, left, right: _marked(table, phrase)
     names, lefts, rights = table
 
     def keep(phrase: np.ndarray, left: np.ndarray | None, right: np.ndarray | None) -> np.ndarray:
@@ -151,6 +166,11 @@ def _lookup(table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Keep:
     return keep
 
 
+def _marked(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    mark = names.view(np.uint64) >> np.uint64(64 - MARK)
+    return (bits[mark >> np.uint64(3)] >> (mark & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
 def _as_batch(found: Occurrences, docs: np.ndarray) -> pa.RecordBatch:
     """The documents that have occurrences, with lists of them: rows of about ``ROW``, cut where a gap is."""
     n = len(found.at)
@@ -185,16 +205,16 @@ def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Occurrences, np.n
 
 
 def _words(seed: int, table) -> Callable:
-    """The relation of single words, or of those in the table."""
+    """The relation of the single words in the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = TaskContext.get().partitionId() << 33
-        keep = _lookup(table.value) if table else None
+        keep = _lookup(table.value)
         for texts, languages in _slices(batches):
             words = word_occurrences(texts, languages, seed)[0]
             docs = doc + np.arange(len(texts))
             doc += len(texts)
-            yield _as_batch(words.where(keep(words.phrase, None, None)) if keep else words, docs)
+            yield _as_batch(words.where(keep(words.phrase, None, None)), docs)
         give_back()
 
     return run
@@ -207,18 +227,30 @@ def _pairs_counted(seed: int) -> Callable:
         for found, _ in _flat(batches):
             _, left, right = found.merged()
             name = phrase_name(left, right, seed)
-            order = np.lexsort((right, left, name))
-            name, left, right = name[order], left[order], right[order]
+            order = np.lexsort((left, name))
+            name, left = name[order], left[order]
             new = np.ones(len(name), bool)
-            new[1:] = (name[1:] != name[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+            new[1:] = (name[1:] != name[:-1]) | (left[1:] != left[:-1])
             start = np.flatnonzero(new)
             n = np.diff(np.append(start, len(name)))
-            yield from _sent([name[start], left[start], right[start], n], ["phrase", "left", "right", "n"])
+            yield from _sent([name[start], left[start], n], ["phrase", "left", "n"])
         give_back()
 
     return run
 
 
+def _with_last(seed: int) -> Callable:
+    """Phrases with their last parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name, left, n = batch.columns
+            right = pa.array(last_part(name.to_numpy(), left.to_numpy(), seed))
+            yield pa.RecordBatch.from_arrays([name, left, right, n], ["phrase", "left", "right", "n"])
+
+    return run
+
+
 def _extended(seed: int, table) -> Callable:
     """The relation one word longer, semi-joined with the table of frequent phrases."""
 
@@ -247,23 +279,25 @@ def _merged_rows(seed: int) -> Callable:
 
 
 def _broadcast_table(frequent: DataFrame, bound: int):
-    """The frequent phrases, sorted by name, broadcast; None if there are more than ``bound``."""
+    """The frequent phrases, sorted by name, broadcast; a bitmap of their names if there are more than ``bound``."""
+    context = frequent.sparkSession.sparkContext
     if frequent.count() > bound:
-        return None
+        return context.broadcast(_bitmap(frequent.select("phrase")))
     table = frequent.select("phrase", "left", "right").toArrow()
     parts = [table.column(k).to_numpy() for k in range(3)]
     order = np.argsort(parts[0])
-    return frequent.sparkSession.sparkContext.broadcast(tuple(x[order] for x in parts))
-
+    return context.broadcast(tuple(x[order] for x in parts))
 
-def _regathered(rows: DataFrame) -> DataFrame:
-    listed = F.array_sort(F.collect_list(F.struct("at", "phrase")))
-    gathered = rows.groupBy("doc").agg(listed.alias("found"))
-    return gathered.select("doc", F.col("found.at").alias("at"), F.col("found.phrase").alias("phrase"))
 
-
-def _named_apart(frequent: DataFrame) -> bool:
-    return frequent.groupBy("phrase").count().where("count > 1").isEmpty()
+def _bitmap(names: DataFrame) -> np.ndarray:
+    """``2 ** MARK`` bits, those set that are the first bits of a name; at most 4,096 rows come back."""
+    mark = F.shiftrightunsigned("phrase", 64 - MARK)
+    row, bit = F.shiftright(mark, MARKS_IN_ROW).alias("row"), mark.bitwiseAND((1 << MARKS_IN_ROW) - 1).alias("bit")
+    rows = names.select(row, bit).groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
+    bits = np.zeros((1 << MARK - MARKS_IN_ROW, (1 << MARKS_IN_ROW) // 8), np.uint8)
+    for at, held in zip(rows.column("row").to_pylist(), rows.column("bits").to_pylist(), strict=True):
+        bits[at] = np.frombuffer(held, np.uint8)
+    return bits.ravel()
 
 
 def _counted_words(docs: DataFrame, min_count: int) -> tuple[DataFrame, int]:
@@ -280,13 +314,18 @@ def _counted_words(docs: DataFrame, min_count: int) -> tuple[DataFrame, int]:
 def _longer(relation: DataFrame, frequent: DataFrame, min_count: int) -> tuple[DataFrame, int]:
     """The frequent phrases one word longer, with the counts of their parts and their text."""
     for seed in range(SEEDS):
-        found = relation.mapInArrow(_pairs_counted(seed), "phrase long, left long, right long, n long")
-        counted = found.groupBy("phrase", "left", "right").agg(F.sum("n").alias("n"))
-        new = kept(counted.where(F.col("n") >= min_count))
-        if _named_apart(new):
+        found = relation.mapInArrow(_pairs_counted(seed), "phrase long, left long, n long")
+        counted = found.groupBy("phrase").agg(
+            F.sum("n").alias("n"), F.min("left").alias("left"), F.max("left").alias("other")
+        )
+        often = kept(counted.where(F.col("n") >= min_count))
+        if often.where("left <> other").isEmpty():  # else phrases share a name
             break
     else:
         raise ValueError(f"no seed of {SEEDS} tells the phrases apart")
+    new = often.select("phrase", "left", "n").mapInArrow(
+        _with_last(seed), "phrase long, left long, right long, n long"
+    )
     first = frequent.select(
         F.col("phrase").alias("left"),
         "lang",
@@ -321,21 +360,13 @@ def _score(l: Column, r: Column) -> Column:
 
 
 def _first_relation(docs: DataFrame, frequent: DataFrame, seed: int, bound: int) -> DataFrame:
-    table = _broadcast_table(frequent, bound)
-    words = docs.mapInArrow(_words(seed, table), RELATION)
-    if table is None:
-        rows = kept(words).select("doc", F.inline(F.arrays_zip("at", "phrase")))
-        words = _regathered(rows.join(frequent.select("phrase"), "phrase", "left_semi"))
-    return kept(words)
+    return kept(docs.mapInArrow(_words(seed, _broadcast_table(frequent, bound)), RELATION), "zstd")
 
 
 def _next_relation(relation: DataFrame, frequent: DataFrame, seed: int, bound: int) -> DataFrame:
-    table = _broadcast_table(frequent, bound)
-    if table is not None:
-        return kept(relation.mapInArrow(_extended(seed, table), RELATION))
-    rows = relation.mapInArrow(_merged_rows(seed), "doc long, at int, phrase long, left long, right long")
-    keys = ["phrase", "left", "right"]
-    return kept(_regathered(rows.join(frequent.select(*keys), keys, "left_semi")))
+    longer = kept(relation.mapInArrow(_extended(seed, _broadcast_table(frequent, bound)), RELATION), "zstd")
+    forget(relation)
+    return longer
 
 
 def phrases(
@@ -375,6 +406,7 @@ def phrases(
         levels.append(longer)
         if size < max_words:
             relation = _next_relation(relation, longer, seed, broadcast_keys)
+    forget(relation)
 
     found = []
     for shorter, longer in zip(levels[1:], [*levels[2:], None], strict=True):
