@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oracle import differences, duck
+from vectable.llm import queries
 from vectable.llm.mixing import _unit, _word_counts, fit_topics, mix, reached, tempered
 from vectable.llm.packing import CapacityTree, UnitEncoder, best_fit_plan, pack
 from vectable.llm.queries import ORACLES, QUERIES
@@ -175,6 +176,16 @@ def test_a_tiny_class_leaves_the_others_alone(spark, power):
     assert np.isclose(found.weight[0], (1 - tiny) / (6000 / 6001), atol=1e-4)
 
 
+def test_the_query_draws_as_often_as_weights_say(spark, tmp_path, monkeypatch):
+    """Documents that need more than four copies were drawn four times."""
+    rows = [(i, "some equal words", "big", "en") for i in range(400)] + [(400, "one", "tiny", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "mix", lambda docs, **given: mix(docs, 0.5, 0.5, 0.5, **given))
+    found = QUERIES["op6_mixing"](spark, str(tmp_path)).toPandas().set_index("doc_id")
+    assert found.weight[400] > 10 and (found.copies - found.weight).abs().max() < 1
+
+
 def test_topics_are_what_texts_are_about(spark):
     draw = np.random.default_rng(3)
     kinds, rows = {}, []
